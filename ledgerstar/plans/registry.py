@@ -291,3 +291,168 @@ register("pit_margin_by_month", O.canonical_select(
      "margin": "expr:m:sum(f.gross_margin)", "lines": "expr:i:count(*)",
      "fallback_lines": "expr:i:count_if(f.is_fallback_cost)"},
     "fct_line f JOIN dim_date dd ON f.sk_order_date = dd.sk_date", extra="GROUP BY dd.year_month"))(flagship)
+
+
+# ================================================================== sources and landing
+from ledgerstar.sources import bronze as SB  # noqa: E402
+from ledgerstar.sources import landing as SL  # noqa: E402
+from ledgerstar.sources import registry as SR  # noqa: E402
+from ledgerstar.operators.staging import apply_spec  # noqa: E402
+from ledgerstar.session import scratch_path  # noqa: E402
+
+CUTOFF = "1999-12-31"
+BATCH_ID = "init_20000101_000000"
+
+
+def header_landing_text(w: Warehouse) -> DataFrame:
+    """The order-header role as landing text in the source's positional layout; NULL is
+    written as the empty field, and every fifth order carries the text 'NULL' as comment."""
+    sp = {c.raw: c.name for c in SR.spec("stg_orderheader")}
+    h = w.header.withColumn("order_comment", F.when(F.col("sales_order_id") % 5 == 0, F.lit("NULL")))
+    h = h.withColumn("row_guid", F.md5(F.col("sales_order_id").cast("string")))
+    h = h.withColumn("credit_card_approval_code", F.lit(None).cast("string"))
+    return h.select(*[F.col(sp[raw]).cast("string").alias(raw) for raw in SR.ORDER_HEADER_LANDING])
+
+
+def _landing_roundtrip(spark: SparkSession, sf_dir: str, encoding: str) -> DataFrame:
+    w = wh(spark, sf_dir)
+    path = SL.write_landing(header_landing_text(w), scratch_path(spark, f"landing-{encoding}"), encoding)
+    raw = SL.read_landing(spark, path, SR.ORDER_HEADER_LANDING, encoding=encoding)
+    return apply_spec(raw, SR.spec("stg_orderheader"))
+
+
+_K_STG_HEADER = {c.name: ("m" if c.kind.startswith("dec") else "i" if c.kind == "i" else
+                          "d" if c.kind == "d" else "s") for c in SR.spec("stg_orderheader")}
+_STG_HEADER_SQL = O.canonical_select(
+    {**{k: v for k, v in _K_STG_HEADER.items()},
+     "order_comment": "expr:s:CAST(NULL AS VARCHAR)",
+     "row_guid": "expr:s:md5(CAST(sales_order_id AS VARCHAR))",
+     "credit_card_approval_code": "expr:s:CAST(NULL AS VARCHAR)"}, "header")
+register("src_tsv_utf8", _STG_HEADER_SQL)(lambda s, d: _landing_roundtrip(s, d, "UTF-8"))
+register("src_tsv_utf16", _STG_HEADER_SQL)(lambda s, d: _landing_roundtrip(s, d, "UTF-16"))
+
+_LINE_LANDING = SR.landing_columns("stg_orderdetail")
+
+
+def _bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing lines with planted faults (orders with key mod 1000 = 7 get one field too
+    many, = 8 one field too few); the dry-run validation returns exactly those rows."""
+    w = wh(spark, sf_dir)
+    d = w.detail
+    text = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in [
+        "sales_order_id", "sales_order_detail_id"]], F.lit(""), *[F.col(c).cast("string") for c in [
+        "order_quantity", "product_id", "special_offer_id", "unit_price", "unit_price", "unit_price_discount",
+        "modified_date"]], F.md5(F.concat_ws("-", "sales_order_id", "sales_order_detail_id")))
+    k = F.col("sales_order_id") % 1000
+    line = (F.when(k == 7, F.concat(text, F.lit("\textra")))
+             .when(k == 8, F.regexp_replace(text, "\t[^\t]*$", "")).otherwise(text))
+    path = scratch_path(spark, "landing-bad")
+    d.select(line.alias("value")).write.mode("overwrite").text(path)
+    bad = SL.validate_landing(spark, path, _LINE_LANDING)
+    return bad.select(F.col("salesorderid").cast("bigint").alias("sales_order_id"),
+                      F.col("salesorderdetailid").cast("int").alias("sales_order_detail_id"),
+                      F.size(F.split(F.col(SL.CORRUPT), "\t")).alias("n_fields"))
+
+
+register("src_bad_rows", O.canonical_select(
+    {"sales_order_id": "i", "sales_order_detail_id": "i",
+     "n_fields": "expr:i:CASE WHEN sales_order_id % 1000 = 7 THEN 12 ELSE 10 END"},
+    "detail", where="sales_order_id % 1000 IN (7, 8)"))(_bad_rows)
+
+
+def orders_text(t: dict) -> DataFrame:
+    """Order headers as landed text; every 500th order date is unparsable."""
+    o = t["orders"]
+    return o.select(F.col("o_orderkey").cast("string").alias("salesorderid"),
+                    F.col("o_custkey").cast("string").alias("customerid"),
+                    F.when(F.col("o_orderkey") % 500 == 0, F.lit("n/a"))
+                     .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("orderdate"))
+
+
+def lines_text(t: dict) -> DataFrame:
+    li = t["lineitem"]
+    return li.select(F.col("l_orderkey").cast("string").alias("salesorderid"),
+                     F.col("l_linenumber").cast("string").alias("linenumber"),
+                     F.col("l_partkey").cast("string").alias("productid"))
+
+
+_ORDERS_TEXT = ("(SELECT CAST(o_orderkey AS VARCHAR) AS salesorderid, CAST(o_custkey AS VARCHAR) AS customerid, "
+                "CASE WHEN o_orderkey % 500 = 0 THEN 'n/a' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS orderdate "
+                "FROM orders)")
+_BRONZE_ORDERS = (f"(SELECT * FROM {_ORDERS_TEXT} ot WHERE TRY_CAST(orderdate AS DATE) <= DATE '{CUTOFF}')")
+
+
+def _bronze_orders(s, d):
+    return SB.bronze_extract(orders_text(R_load(s, d)), "orderdate", CUTOFF, BATCH_ID, "SalesOrderHeader.csv")
+
+
+def R_load(s, d):
+    from ledgerstar.plans import roles
+
+    return roles.load(s, d)
+
+
+register("src_cutoff", O.canonical_select(
+    {"salesorderid": "s", "customerid": "s", "orderdate": "s", "_source_file": "expr:s:'SalesOrderHeader.csv'",
+     "_batch_id": f"expr:s:'{BATCH_ID}'"}, _BRONZE_ORDERS + " b"))(
+    lambda s, d: _bronze_orders(s, d).drop("_loaded_at"))
+
+
+def _bronze_lines(s, d):
+    return SB.with_load_metadata(SB.bronze_children(lines_text(R_load(s, d)), _bronze_orders(s, d), "salesorderid"),
+                                 BATCH_ID, "SalesOrderDetail.csv")
+
+
+register("src_children", O.canonical_select(
+    {"salesorderid": "s", "linenumber": "s", "productid": "s", "_source_file": "expr:s:'SalesOrderDetail.csv'",
+     "_batch_id": f"expr:s:'{BATCH_ID}'"},
+    "(SELECT CAST(l_orderkey AS VARCHAR) AS salesorderid, CAST(l_linenumber AS VARCHAR) AS linenumber, "
+    "CAST(l_partkey AS VARCHAR) AS productid FROM lineitem) li",
+    where=f"li.salesorderid IN (SELECT salesorderid FROM {_BRONZE_ORDERS} b)"))(
+    lambda s, d: _bronze_lines(s, d).drop("_loaded_at"))
+
+
+def _reconcile(s, d):
+    t = R_load(s, d)
+    return SB.reconcile_counts({"orders": t["orders"], "lineitem": t["lineitem"],
+                                "bronze_orders": _bronze_orders(s, d), "bronze_lines": _bronze_lines(s, d)})
+
+
+register("src_reconcile", with_sql := (
+    "SELECT 'orders' AS tbl, CAST(count(*) AS BIGINT) AS n FROM orders UNION ALL "
+    "SELECT 'lineitem', CAST(count(*) AS BIGINT) FROM lineitem UNION ALL "
+    f"SELECT 'bronze_orders', CAST(count(*) AS BIGINT) FROM {_BRONZE_ORDERS} b UNION ALL "
+    f"SELECT 'bronze_lines', CAST(count(*) AS BIGINT) FROM lineitem WHERE CAST(l_orderkey AS VARCHAR) IN "
+    f"(SELECT salesorderid FROM {_BRONZE_ORDERS} b2)"))(_reconcile)
+
+register("src_cutoff_split", O.canonical_select(
+    {"bronze_initial": f"expr:i:count_if(TRY_CAST(orderdate AS DATE) <= DATE '{CUTOFF}')",
+     "held_back": f"expr:i:count_if(TRY_CAST(orderdate AS DATE) > DATE '{CUTOFF}')",
+     "total_source": "expr:i:count(*)"}, _ORDERS_TEXT + " ot"))(
+    lambda s, d: SB.cutoff_split(orders_text(R_load(s, d)), "orderdate", CUTOFF))
+
+register("src_date_range", O.canonical_select(
+    {"min_date": "expr:d:min(TRY_CAST(orderdate AS DATE))", "max_date": "expr:d:max(TRY_CAST(orderdate AS DATE))"},
+    _BRONZE_ORDERS + " b"))(lambda s, d: SB.date_range(_bronze_orders(s, d), "orderdate"))
+
+
+def _load_batches(s, d):
+    o = _bronze_orders(s, d).select("_batch_id", "_source_file", "_loaded_at")
+    li = _bronze_lines(s, d).select("_batch_id", "_source_file", "_loaded_at")
+    return SB.load_batches(o.unionByName(li)).drop("first_loaded")
+
+
+register("src_load_batches",
+         f"SELECT '{BATCH_ID}' AS _batch_id, 'SalesOrderHeader.csv' AS _source_file, CAST(count(*) AS BIGINT) AS n_rows "
+         f"FROM {_BRONZE_ORDERS} b UNION ALL "
+         f"SELECT '{BATCH_ID}', 'SalesOrderDetail.csv', CAST(count(*) AS BIGINT) FROM lineitem "
+         f"WHERE CAST(l_orderkey AS VARCHAR) IN (SELECT salesorderid FROM {_BRONZE_ORDERS} b2)")(_load_batches)
+
+FRESH_NOW = "2024-02-15 00:00:00"
+register("src_freshness", O.canonical_select(
+    {"event_type": "s", "max_loaded": "expr:t:max(ts)",
+     "age_days": f"expr:i:date_diff('day', CAST(max(ts) AS DATE), DATE '{FRESH_NOW[:10]}')",
+     "status": f"expr:s:CASE WHEN date_diff('day', CAST(max(ts) AS DATE), DATE '{FRESH_NOW[:10]}') > 90 THEN 'error' "
+               f"WHEN date_diff('day', CAST(max(ts) AS DATE), DATE '{FRESH_NOW[:10]}') > 30 THEN 'warn' "
+               "ELSE 'pass' END"}, "events", extra="GROUP BY event_type"))(
+    lambda s, d: SB.freshness(R_load(s, d)["events"], "ts", now=FRESH_NOW, by=["event_type"]))
