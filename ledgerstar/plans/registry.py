@@ -418,7 +418,7 @@ def _reconcile(s, d):
                                 "bronze_orders": _bronze_orders(s, d), "bronze_lines": _bronze_lines(s, d)})
 
 
-register("src_reconcile", with_sql := (
+register("src_reconcile", (
     "SELECT 'orders' AS tbl, CAST(count(*) AS BIGINT) AS n FROM orders UNION ALL "
     "SELECT 'lineitem', CAST(count(*) AS BIGINT) FROM lineitem UNION ALL "
     f"SELECT 'bronze_orders', CAST(count(*) AS BIGINT) FROM {_BRONZE_ORDERS} b UNION ALL "
@@ -456,3 +456,227 @@ register("src_freshness", O.canonical_select(
                f"WHEN date_diff('day', CAST(max(ts) AS DATE), DATE '{FRESH_NOW[:10]}') > 30 THEN 'warn' "
                "ELSE 'pass' END"}, "events", extra="GROUP BY event_type"))(
     lambda s, d: SB.freshness(R_load(s, d)["events"], "ts", now=FRESH_NOW, by=["event_type"]))
+
+
+# ================================================================== data-quality gates
+from ledgerstar.functions.columns import net_amount  # noqa: E402
+from ledgerstar.operators import quality as Q  # noqa: E402
+
+
+def _dq_not_null(s, d):
+    return Q.not_null(wh(s, d).fct_line, list(K_LINE))
+
+
+register("dq_not_null", with_blocks := O.with_blocks(
+    "SELECT column_name, CAST(null_rows AS BIGINT) AS null_rows FROM (UNPIVOT (SELECT "
+    + ", ".join(f"count_if({c} IS NULL) AS {c}" for c in K_LINE)
+    + " FROM fct_line) ON COLUMNS(*) INTO NAME column_name VALUE null_rows) WHERE null_rows > 0"))(_dq_not_null)
+
+register("dq_unique", O.canonical_select(
+    {"l_orderkey": "i", "l_linenumber": "i", "n_rows": "expr:i:count(*)"}, "lineitem",
+    extra="GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"))(
+    lambda s, d: Q.unique(R_load(s, d)["lineitem"], ["l_orderkey", "l_linenumber"]))
+
+
+def _dq_rel(s, d):
+    w = wh(s, d)
+    return Q.relationships(w.header, "sales_person_id", w.dims["salesperson"], "salesperson_id")
+
+
+register("dq_relationships", O.canonical_select(
+    {"sales_person_id": "i", "n_rows": "expr:i:count(*)"}, "header h",
+    where="sales_person_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_salesperson s "
+          "WHERE s.salesperson_id = h.sales_person_id)", extra="GROUP BY sales_person_id"))(_dq_rel)
+
+register("dq_accepted_values", O.canonical_select(
+    {"o_orderstatus": "s", "n_rows": "expr:i:count(*)"}, "orders",
+    where="o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O')", extra="GROUP BY o_orderstatus"))(
+    lambda s, d: Q.accepted_values(R_load(s, d)["orders"], "o_orderstatus", ["F", "O"]))
+
+
+def _dq_alloc(s, d):
+    w = wh(s, d)
+    return Q.allocation_gap(w.fct_line, w.header, "sales_order_id", "allocated_freight", "freight_amount",
+                            "net_amount")
+
+
+register("dq_allocation_gap", O.canonical_select(
+    {"sales_order_id": "expr:i:h.sales_order_id", "freight_amount": "expr:m:h.freight_amount",
+     "allocated_total": "expr:f:a.allocated_total",
+     "variance": f"expr:f:round({O.dbl('h.freight_amount')} - a.allocated_total, 2)"},
+    "header h JOIN (SELECT sales_order_id, sum(allocated_freight) AS allocated_total, sum(net_amount) AS order_net "
+    "FROM fct_line GROUP BY sales_order_id) a ON h.sales_order_id = a.sales_order_id",
+    where=f"a.order_net > 0 AND abs({O.dbl('h.freight_amount')} - a.allocated_total) > 0.01"))(_dq_alloc)
+
+
+def _dq_net(s, d):
+    w = wh(s, d)
+    return Q.net_gap(w.fct_line, w.header, "sales_order_id", "net_amount", "sub_total")
+
+
+_NET_GAP = ("header h JOIN (SELECT sales_order_id, sum({net}) AS lines_net FROM {src} GROUP BY sales_order_id) l "
+            "ON h.sales_order_id = l.sales_order_id")
+_NET_GAP_COLS = {"sales_order_id": "expr:i:h.sales_order_id", "sub_total": "expr:m:h.sub_total",
+                 "lines_net": "expr:m:l.lines_net", "variance": "expr:m:round(h.sub_total - l.lines_net, 2)"}
+register("dq_net_gap", O.canonical_select(
+    _NET_GAP_COLS, _NET_GAP.format(net="net_amount", src="fct_line"),
+    where="abs(h.sub_total - l.lines_net) > 0.01"))(_dq_net)
+
+
+def _dq_net_mutation(s, d):
+    """Mutation check: a line net computed with the discount sign flipped must be caught."""
+    w = wh(s, d)
+    broken = w.detail.withColumn(
+        "net_amount", net_amount("order_quantity", "unit_price", F.lit(0).cast("decimal(5,4)"))
+        + net_amount("order_quantity", "unit_price", F.lit(0).cast("decimal(5,4)"))
+        - net_amount("order_quantity", "unit_price", "unit_price_discount"))
+    return Q.net_gap(broken, w.header, "sales_order_id", "net_amount", "sub_total")
+
+
+_BROKEN = ("(CAST(order_quantity AS DECIMAL(10,0)) * unit_price * (1 + unit_price_discount))")
+register("dq_net_gap_mutation", O.canonical_select(
+    _NET_GAP_COLS, _NET_GAP.format(net=_BROKEN, src="detail"), where="abs(h.sub_total - l.lines_net) > 0.01"))(
+    _dq_net_mutation)
+
+
+def _dq_pit(s, d):
+    w = wh(s, d)
+    return Q.pit_has_effect(w.fct_line, w.dims["product"])
+
+
+register("dq_pit_effect", O.canonical_select(
+    {"differing_rows": "i"},
+    "(SELECT count_if(abs(f.unit_standard_cost - p.standard_cost) > 0.001) AS differing_rows FROM fct_line f "
+    "JOIN dim_product p ON f.sk_product = p.sk_product WHERE NOT f.is_fallback_cost) x",
+    where="differing_rows = 0"))(_dq_pit)
+
+
+def _dq_count(s, d):
+    w = wh(s, d)
+    return Q.same_count(w.fct_line, w.detail)
+
+
+register("dq_same_count", O.canonical_select(
+    {"fact_rows": "i", "source_rows": "i"},
+    "(SELECT (SELECT count(*) FROM fct_line) AS fact_rows, (SELECT count(*) FROM detail) AS source_rows) x",
+    where="fact_rows <> source_rows"))(_dq_count)
+
+
+def _dq_total(s, d):
+    w = wh(s, d)
+    return Q.same_total(w.fct_line, F.col("net_amount"), w.detail,
+                        net_amount("order_quantity", "unit_price", "unit_price_discount"))
+
+
+register("dq_same_total", O.canonical_select(
+    {"fact_revenue": "m", "source_revenue": "m", "variance": "expr:m:round(fact_revenue - source_revenue, 2)"},
+    f"(SELECT (SELECT sum(net_amount) FROM fct_line) AS fact_revenue, (SELECT sum({O.NET}) FROM detail) "
+    "AS source_revenue) x", where="abs(fact_revenue - source_revenue) > 0.01"))(_dq_total)
+
+
+def _dq_overlap(s, d):
+    w = wh(s, d)
+    return Q.union_labelled({
+        "dim_product": Q.no_overlap(w.dims["product"], "product_id", "sk_product")
+                        .withColumnRenamed("product_id", "nk"),
+        "dim_customer": Q.no_overlap(w.dims["customer"], "customer_id", "sk_customer")
+                         .withColumnRenamed("customer_id", "nk")})
+
+
+def _lag_overlap_sql(dim: str, key: str, sk: str) -> str:
+    return (f"SELECT '{dim}' AS label, {key} AS nk, prev_sk AS version_a, {sk} AS version_b FROM ("
+            f"SELECT {key}, {sk}, valid_from, lag(valid_to) OVER (PARTITION BY {key} ORDER BY valid_from, {sk}) "
+            f"AS prev_to, lag({sk}) OVER (PARTITION BY {key} ORDER BY valid_from, {sk}) AS prev_sk "
+            f"FROM {dim} WHERE {key} <> -1) x WHERE prev_to IS NOT NULL AND valid_from < prev_to")
+
+
+register("dq_no_overlap", O.with_blocks(
+    "SELECT label, CAST(nk AS BIGINT) AS nk, version_a, version_b FROM ("
+    + _lag_overlap_sql("dim_product", "product_id", "sk_product") + " UNION ALL "
+    + _lag_overlap_sql("dim_customer", "customer_id", "sk_customer") + ") u"))(_dq_overlap)
+
+
+def _planted_intervals(s, d):
+    """Cost intervals plus, for products with key mod 100 = 1, a copy of the first year
+    shifted by six months: each planted copy overlaps two real intervals."""
+    iv = wh(s, d).cost_intervals
+    extra = (iv.where((F.col("product_id") % 100 == 1) & (F.col("valid_from") == F.lit("1995-01-01").cast("date")))
+               .withColumn("valid_from", F.add_months("valid_from", 6))
+               .withColumn("valid_to", F.add_months("valid_to", 6)))
+    return iv.unionByName(extra).withColumn("version_id", F.date_format("valid_from", "yyyy-MM-dd"))
+
+
+def _dq_overlap_planted(s, d):
+    iv = _planted_intervals(s, d)
+    return Q.no_overlap(iv, "product_id", "version_id")
+
+
+register("dq_no_overlap_planted", O.with_blocks(
+    "SELECT CAST(product_id AS BIGINT) AS product_id, prev_v AS version_a, v AS version_b FROM ("
+    "SELECT product_id, v, valid_from, lag(valid_to) OVER (PARTITION BY product_id ORDER BY valid_from, v) AS prev_to, "
+    "lag(v) OVER (PARTITION BY product_id ORDER BY valid_from, v) AS prev_v FROM ("
+    "SELECT product_id, valid_from, valid_to, strftime(valid_from, '%Y-%m-%d') AS v FROM cost_iv UNION ALL "
+    "SELECT product_id, CAST(valid_from + INTERVAL 6 MONTH AS DATE), CAST(valid_to + INTERVAL 6 MONTH AS DATE), "
+    "strftime(CAST(valid_from + INTERVAL 6 MONTH AS DATE), '%Y-%m-%d') FROM cost_iv "
+    "WHERE product_id % 100 = 1 AND valid_from = DATE '1995-01-01') a WHERE product_id <> -1) x "
+    "WHERE prev_to IS NOT NULL AND valid_from < prev_to"))(_dq_overlap_planted)
+
+
+def _dq_one_current(s, d):
+    w = wh(s, d)
+    return Q.union_labelled({
+        "dim_product": Q.one_current(w.dims["product"], "product_id").withColumnRenamed("product_id", "nk"),
+        "dim_customer": Q.one_current(w.dims["customer"], "customer_id").withColumnRenamed("customer_id", "nk")})
+
+
+register("dq_one_current", O.with_blocks(
+    "SELECT label, CAST(nk AS BIGINT) AS nk, CAST(n_current AS BIGINT) AS n_current FROM ("
+    "SELECT 'dim_product' AS label, product_id AS nk, count_if(is_current) AS n_current FROM dim_product "
+    "WHERE product_id <> -1 GROUP BY product_id UNION ALL "
+    "SELECT 'dim_customer', customer_id, count_if(is_current) FROM dim_customer WHERE customer_id <> -1 "
+    "GROUP BY customer_id) x WHERE n_current <> 1"))(_dq_one_current)
+
+register("dq_grain", O.canonical_select(
+    {"sk_sales_order_line": "s", "n_rows": "expr:i:count(*)"}, "fct_line",
+    extra="GROUP BY sk_sales_order_line HAVING count(*) > 1"))(
+    lambda s, d: Q.grain(wh(s, d).fct_line, ["sk_sales_order_line"]))
+
+
+# ================================================================== scalable windows
+from ledgerstar.operators.windows import global_rank, keyed_lag  # noqa: E402
+
+
+def _win_rank(method: str):
+    def run(s, d):
+        o = R_load(s, d)["orders"].select("o_orderkey", F.col("o_totalprice").cast("decimal(19,2)").alias("price"))
+        return global_rank(o, [("price", "desc"), "o_orderkey"], value="price", ntiles={"decile": 10},
+                           rank_col="price_rank", running_col="running_price", total_col="total_price",
+                           method=method)
+    return run
+
+
+_WIN_SQL = O.canonical_select(
+    {"o_orderkey": "i", "price": "m", "price_rank": "i", "running_price": "m", "total_price": "m", "decile": "i"},
+    "(SELECT o_orderkey, price, row_number() OVER w AS price_rank, "
+    "sum(price) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_price, "
+    "sum(price) OVER () AS total_price, ntile(10) OVER w AS decile "
+    "FROM (SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(19,2)) AS price FROM orders) "
+    "WINDOW w AS (ORDER BY price DESC, o_orderkey)) x")
+register("win_two_phase_rank", _WIN_SQL)(_win_rank("two_phase"))
+register("win_window_rank", _WIN_SQL)(_win_rank("window"))
+
+
+def _win_lag(method: str):
+    def run(s, d):
+        o = R_load(s, d)["orders"].select("o_custkey", "o_orderkey", "o_orderdate")
+        return keyed_lag(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderdate", "o_orderkey"],
+                         method=method)
+    return run
+
+
+_LAG_SQL = O.canonical_select(
+    {"o_custkey": "i", "o_orderkey": "i", "o_orderdate": "t", "prev_o_orderdate": "t", "prev_o_orderkey": "i"},
+    "(SELECT o_custkey, o_orderkey, o_orderdate, lag(o_orderdate) OVER w AS prev_o_orderdate, "
+    "lag(o_orderkey) OVER w AS prev_o_orderkey FROM orders "
+    "WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)) x")
+register("win_two_phase_lag", _LAG_SQL)(_win_lag("two_phase"))
