@@ -59,11 +59,14 @@ def resolve_dates(fact: DataFrame, dim_date: DataFrame, roles: dict, date_col: s
 def literal_key_join(fact: DataFrame, dim: DataFrame, dim_col: str, value, sk: str, out: str,
                      unknown="-1") -> DataFrame:
     """Left join on a constant (``dim.col = 'USD'``): every fact row gets the same member,
-    or the unknown member when the constant is absent. Written as an equi-join on a
-    literal column so that it plans as a hash join, never as a Cartesian product."""
-    lit_col = f"__lit_{out}"
-    f2 = fact.withColumn(lit_col, F.lit(value))
-    return resolve_fk(f2, dim, {lit_col: dim_col}, sk, out=out, unknown=unknown).drop(lit_col)
+    or the unknown member when the constant is absent.
+
+    The member is looked up once as a scalar subquery (which also fails loudly if the
+    constant matches more than one row), so the fact is neither joined nor shuffled:
+    a join whose key is a literal would be planned as a nested-loop join.
+    """
+    member = dim.where(F.col(dim_col) == F.lit(value)).select(F.col(sk)).scalar()
+    return fact.withColumn(out, F.coalesce(member, F.lit(unknown).cast(dim.schema[sk].dataType)))
 
 
 def allocate(amount, weight, total) -> Column:

@@ -680,3 +680,93 @@ _LAG_SQL = O.canonical_select(
     "lag(o_orderkey) OVER w AS prev_o_orderkey FROM orders "
     "WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)) x")
 register("win_two_phase_lag", _LAG_SQL)(_win_lag("two_phase"))
+
+
+# ================================================================== incremental load
+from ledgerstar.operators import incremental as INC  # noqa: E402
+from ledgerstar.plans import facts as FCT  # noqa: E402
+
+INC_BOUNDARY = "2000-01-01"      # first load: lines modified before this day
+INC_LOOKBACK = 3
+
+
+def _inc_parts(s, d):
+    w = wh(s, d)
+    first = w.detail.where(F.col("modified_date") < F.lit(INC_BOUNDARY).cast("date"))
+    tgt = FCT.fct_sales_order_line(first, w.header_resolved, w.dims, w.cost_intervals, w.price_intervals,
+                                   all_detail=w.detail)
+    sl = INC.incremental_slice(w.detail, tgt, "modified_date", "source_modified_date", days=INC_LOOKBACK)
+    delta = FCT.fct_sales_order_line(sl, w.header_resolved, w.dims, w.cost_intervals, w.price_intervals,
+                                     all_detail=w.detail)
+    return w, tgt, sl, delta
+
+
+_SLICE_BOUND = (f"(SELECT max(modified_date) - {INC_LOOKBACK} FROM detail "
+                f"WHERE modified_date < DATE '{INC_BOUNDARY}')")
+register("inc_slice", O.canonical_select(
+    {"sales_order_id": "i", "sales_order_detail_id": "i", "modified_date": "d"}, "detail",
+    where=f"modified_date >= {_SLICE_BOUND}"))(
+    lambda s, d: _inc_parts(s, d)[2].select("sales_order_id", "sales_order_detail_id", "modified_date"))
+
+
+def _inc_merge(s, d):
+    _, tgt, _, delta = _inc_parts(s, d)
+    return INC.merge_upsert(tgt, delta, ["sk_sales_order_line"])
+
+
+register("inc_merge", O.canonical_select(K_LINE, "fct_line"))(_inc_merge)
+
+
+def _inc_replay(s, d):
+    """Replaying the same increment over the merged table changes no row."""
+    _, tgt, _, delta = _inc_parts(s, d)
+    once = INC.merge_upsert(tgt, delta, ["sk_sales_order_line"])
+    twice = INC.merge_upsert(once, delta, ["sk_sales_order_line"])
+    return INC.changed_rows(once, twice).select("sk_sales_order_line", "change")
+
+
+register("inc_replay", "SELECT CAST(NULL AS VARCHAR) AS sk_sales_order_line, CAST(NULL AS VARCHAR) AS change "
+                       "WHERE false")(_inc_replay)
+
+
+def _inc_partitions(s, d):
+    """The physical merge: the first load is written partitioned by order month; the
+    increment rewrites only the months it touches."""
+    _, tgt, _, delta = _inc_parts(s, d)
+    month = (F.col("sk_order_date") / 100).cast("int")
+    table = scratch_path(s, "fct_line_inc")
+    tgt.withColumn("order_month", month).write.mode("overwrite").partitionBy("order_month").parquet(table)
+    INC.merge_partitions(s, table, delta.withColumn("order_month", month), ["sk_sales_order_line"], "order_month",
+                         scratch_path(s, "fct_line_inc_staging"))
+    return s.read.parquet(table).drop("order_month")
+
+
+register("inc_merge_partitions", O.canonical_select(K_LINE, "fct_line"))(_inc_partitions)
+
+
+# ================================================================== streaming micro-batches
+from ledgerstar.streaming.merge_stream import stream_merge  # noqa: E402
+
+STREAM_SPLIT = "2024-01-20"      # first landing file: events before this time
+STREAM_REPLAY_FROM = "2024-01-17"  # second file re-delivers from here, with corrections
+
+
+def _stream(s, d):
+    """Two landing files of events go through the micro-batch merge: the second re-delivers
+    three days of the first (late data) with corrected values on every 50th event."""
+    ev = R_load(s, d)["events"].select("event_id", "ts", "user_id", "event_type", "value")
+    landing, table, ckpt = (scratch_path(s, "events-landing"), scratch_path(s, "events-table"),
+                            scratch_path(s, "events-stream"))
+    ev.where(F.col("ts") < F.lit(STREAM_SPLIT).cast("timestamp_ntz")).write.parquet(f"{landing}/f1")
+    stream_merge(s, landing, ev.schema, table, ckpt, ["event_id"], "ts")
+    late = ev.where(F.col("ts") >= F.lit(STREAM_REPLAY_FROM).cast("timestamp_ntz")).withColumn(
+        "value", F.when(F.col("event_id") % 50 == 0, F.col("value") + 1).otherwise(F.col("value")))
+    late.write.parquet(f"{landing}/f2")
+    stream_merge(s, landing, ev.schema, table, ckpt, ["event_id"], "ts")
+    return s.read.parquet(table).select("event_id", "ts", "user_id", "event_type", "value")
+
+
+register("inc_stream", O.canonical_select(
+    {"event_id": "i", "ts": "expr:s:strftime(ts, '%Y-%m-%d %H:%M:%S')", "user_id": "i", "event_type": "s",
+     "value": f"expr:f:CASE WHEN ts >= TIMESTAMP '{STREAM_REPLAY_FROM}' AND event_id % 50 = 0 THEN value + 1 "
+              "ELSE value END"}, "events"))(_stream)

@@ -16,6 +16,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.driver.memory": "16g",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
