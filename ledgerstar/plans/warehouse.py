@@ -9,6 +9,7 @@ that decides broadcast joins) and lineage is cut at every layer.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,21 +22,66 @@ from ledgerstar.plans import marts as M
 from ledgerstar.plans import roles as R
 
 
+class LazyDims(Mapping):
+    """Dimension builders evaluated (and materialised) on first use only."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]], keep: Callable[[str, DataFrame], DataFrame],
+                 written: set[str]):
+        self._b, self._keep, self._written, self._done = builders, keep, written, {}
+
+    def __getitem__(self, k: str) -> DataFrame:
+        if k not in self._done:
+            df = self._b[k]()
+            self._done[k] = self._keep(f"dim_{k}", df) if k in self._written else df
+        return self._done[k]
+
+    def __iter__(self):
+        return iter(self._b)
+
+    def __len__(self) -> int:
+        return len(self._b)
+
+
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, tables: dict | None = None, mart_method: str = "two_phase"):
+    """Layers as lazily built DataFrames.
+
+    With ``materialize=True`` the large layers that several later layers read (order
+    lines and headers, resolved header keys, the two SCD2 histories and their
+    dimensions, the validity intervals, the facts) are written once to a table in the
+    shared checkpoint folder and read back: later layers then plan against real file
+    sizes (the size check behind every broadcast decision), reuse them instead of
+    recomputing them, and a lost executor only recomputes from the last written
+    layer. Small dimensions stay lazy; they are cheap to recompute and are broadcast.
+    """
+
+    WRITTEN_DIMS = {"product", "customer"}
+
+    def __init__(self, spark: SparkSession, sf_dir: str, tables: dict | None = None, mart_method: str = "two_phase",
+                 materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.t = tables or R.load(spark, sf_dir)
         self.mart_method = mart_method
+        self.materialize = materialize
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        if not self.materialize:
+            return df
+        from ledgerstar.session import scratch_path
+
+        path = scratch_path(self.spark, name)
+        df.write.mode("overwrite").parquet(path)
+        # Known schema: no footer-reading job on the way back.
+        return self.spark.read.schema(df.schema).parquet(path)
 
     # ------------------------------------------------------------ silver
     @cached_property
     def detail(self) -> DataFrame:
-        return R.order_detail(self.t)
+        return self.keep("stg_orderdetail", R.order_detail(self.t))
 
     @cached_property
     def header(self) -> DataFrame:
-        return R.order_header(self.t, self.detail)
+        return self.keep("stg_orderheader", R.order_header(self.t, self.detail))
 
     @cached_property
     def reason_pairs(self) -> DataFrame:
@@ -50,6 +96,7 @@ class Warehouse:
         snap = None
         for i, run in enumerate(R.PRODUCT_RUNS, start=1):
             snap = scd2_apply(snap, R.product_state(self.t, i), "product_id", R.PRODUCT_CHECK_COLS, run)
+            snap = self.keep(f"snap_product_run{i}", snap)
         return snap
 
     @cached_property
@@ -57,17 +104,18 @@ class Warehouse:
         snap = None
         for i, run in enumerate(R.CUSTOMER_RUNS, start=1):
             snap = scd2_apply(snap, R.customer_state(self.t, i), "customer_id", R.CUSTOMER_CHECK_COLS, run)
+            snap = self.keep(f"snap_customer_run{i}", snap)
         return snap
 
     @cached_property
     def cost_intervals(self) -> DataFrame:
-        return closed_intervals(R.cost_history(self.t), self.product_current, "product_id", "standard_cost",
-                                flag="is_fallback_cost")
+        return self.keep("int_product_cost_scd", closed_intervals(
+            R.cost_history(self.t), self.product_current, "product_id", "standard_cost", flag="is_fallback_cost"))
 
     @cached_property
     def price_intervals(self) -> DataFrame:
-        return closed_intervals(R.list_price_history(self.t), self.product_current, "product_id", "list_price",
-                                flag="is_fallback_price")
+        return self.keep("int_product_price_scd", closed_intervals(
+            R.list_price_history(self.t), self.product_current, "product_id", "list_price", flag="is_fallback_price"))
 
     @cached_property
     def address(self) -> DataFrame:
@@ -75,35 +123,35 @@ class Warehouse:
 
     # ------------------------------------------------------------ dimensions
     @cached_property
-    def dims(self) -> dict:
+    def dims(self) -> Mapping:
         t = self.t
-        return {
-            "date": D.dim_date(self.spark, R.DATE_SPINE_START, R.DATE_SPINE_DAYS, R.DATE_SPINE_END),
-            "product": D.dim_product(self.snap_product, R.product_subcategories(t), R.product_categories(t)),
-            "customer": D.dim_customer(self.snap_customer, R.persons(t), R.stores(t)),
-            "geography": D.dim_geography(self.address, R.state_provinces(t), R.country_regions(t)),
-            "order_status": D.dim_order_status(self.header),
-            "currency": D.dim_currency(R.currencies(t)),
-            "sales_reason": D.dim_sales_reason(R.sales_reasons(self.reason_pairs)),
-            "salesperson": D.dim_salesperson(R.employees(t), R.seller_names(t), R.seller_info(t)),
-            "ship_method": D.dim_ship_method(R.ship_methods(t)),
-            "special_offer": D.dim_special_offer(R.special_offers(self.detail)),
-            "territory": D.dim_territory(R.territories(t)),
-        }
+        return LazyDims({
+            "date": lambda: D.dim_date(self.spark, R.DATE_SPINE_START, R.DATE_SPINE_DAYS, R.DATE_SPINE_END),
+            "product": lambda: D.dim_product(self.snap_product, R.product_subcategories(t), R.product_categories(t)),
+            "customer": lambda: D.dim_customer(self.snap_customer, R.persons(t), R.stores(t)),
+            "geography": lambda: D.dim_geography(self.address, R.state_provinces(t), R.country_regions(t)),
+            "order_status": lambda: D.dim_order_status(self.header),
+            "currency": lambda: D.dim_currency(R.currencies(t)),
+            "sales_reason": lambda: D.dim_sales_reason(R.sales_reasons(self.reason_pairs)),
+            "salesperson": lambda: D.dim_salesperson(R.employees(t), R.seller_names(t), R.seller_info(t)),
+            "ship_method": lambda: D.dim_ship_method(R.ship_methods(t)),
+            "special_offer": lambda: D.dim_special_offer(R.special_offers(self.detail)),
+            "territory": lambda: D.dim_territory(R.territories(t)),
+        }, self.keep, self.WRITTEN_DIMS)
 
     # ------------------------------------------------------------ facts
     @cached_property
     def header_resolved(self) -> DataFrame:
-        return FCT.header_keys(self.header, self.dims)
+        return self.keep("header_resolved", FCT.header_keys(self.header, self.dims))
 
     @cached_property
     def fct_line(self) -> DataFrame:
-        return FCT.fct_sales_order_line(self.detail, self.header_resolved, self.dims,
-                                        self.cost_intervals, self.price_intervals)
+        return self.keep("fct_sales_order_line", FCT.fct_sales_order_line(
+            self.detail, self.header_resolved, self.dims, self.cost_intervals, self.price_intervals))
 
     @cached_property
     def fct_order(self) -> DataFrame:
-        return FCT.fct_sales_order(self.header_resolved, self.detail)
+        return self.keep("fct_sales_order", FCT.fct_sales_order(self.header_resolved, self.detail))
 
     @cached_property
     def fct_quota(self) -> DataFrame:
@@ -111,7 +159,8 @@ class Warehouse:
 
     @cached_property
     def bridge(self) -> DataFrame:
-        return FCT.bridge_order_sales_reason(self.reason_pairs, self.dims["sales_reason"])
+        return self.keep("bridge_order_sales_reason",
+                         FCT.bridge_order_sales_reason(self.reason_pairs, self.dims["sales_reason"]))
 
     # ------------------------------------------------------------ marts
     @cached_property
@@ -134,7 +183,7 @@ def build_all(spark: SparkSession, sf_dir: str, base: str) -> dict[str, str]:
     order; each later layer reads the written parquet of the earlier ones."""
     from ledgerstar.sources.bronze import table_path
 
-    wh = Warehouse(spark, sf_dir)
+    wh = Warehouse(spark, sf_dir, materialize=False)
     written: dict[str, str] = {}
 
     def put(layer: str, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
@@ -152,7 +201,7 @@ def build_all(spark: SparkSession, sf_dir: str, base: str) -> dict[str, str]:
     wh.snap_customer = put("silver", "snap_customer", wh.snap_customer)
     wh.cost_intervals = put("silver", "int_product_cost_scd", wh.cost_intervals)
     wh.price_intervals = put("silver", "int_product_price_scd", wh.price_intervals)
-    wh.dims = {k: put("gold", f"dim_{k}", v) for k, v in wh.dims.items()}
+    wh.dims = {k: put("gold", f"dim_{k}", wh.dims[k]) for k in list(wh.dims)}
     from pyspark.sql import functions as F
 
     line = wh.fct_line.withColumn("order_month", (F.col("sk_order_date") / 100).cast("int"))
