@@ -770,3 +770,57 @@ register("inc_stream", O.canonical_select(
     {"event_id": "i", "ts": "expr:s:strftime(ts, '%Y-%m-%d %H:%M:%S')", "user_id": "i", "event_type": "s",
      "value": f"expr:f:CASE WHEN ts >= TIMESTAMP '{STREAM_REPLAY_FROM}' AND event_id % 50 = 0 THEN value + 1 "
               "ELSE value END"}, "events"))(_stream)
+
+
+# ================================================================== pricing snapshot, bronze delta
+from ledgerstar.operators.scd2 import scd2_apply  # noqa: E402
+from ledgerstar.plans import roles as ROLES  # noqa: E402
+
+
+def _snap_pricing(s, d):
+    """Snapshot that tracks cost and list price only: the product-number change of the
+    third run opens no version here."""
+    t = R_load(s, d)
+    snap = None
+    for i, run in enumerate(ROLES.PRODUCT_RUNS, start=1):
+        src = ROLES.product_state(t, i).select("product_id", "standard_cost", "list_price", "modified_date")
+        snap = scd2_apply(snap, src, "product_id", ["standard_cost", "list_price"], run)
+    return snap
+
+
+register("scd_snapshot_pricing", O.canonical_select(
+    {"product_id": "i", "standard_cost": "i", "list_price": "i", "modified_date": "d", "version_from": "t",
+     "version_to": "t"},
+    "(SELECT product_id, standard_cost, list_price, modified_date, CAST(modified_date AS TIMESTAMP) AS version_from, "
+    "CASE WHEN run = 1 AND product_id % 7 = 0 THEN TIMESTAMP '1997-01-01' END AS version_to FROM prod_runs "
+    "WHERE run = 1 OR (run = 2 AND product_id % 7 = 0)) x"))(_snap_pricing)
+
+DELTA_CUTOFF = "2001-12-31"
+
+
+def orders_text_modified(t: dict) -> DataFrame:
+    o = orders_text(t)
+    return o.join(t["orders"].select(F.col("o_orderkey").cast("string").alias("salesorderid"),
+                                     F.date_format(F.date_add(F.col("o_orderdate").cast("date"),
+                                                              (F.col("o_orderkey") % 7).cast("int")),
+                                                   "yyyy-MM-dd").alias("modifieddate")), "salesorderid")
+
+
+def _bronze_delta(s, d):
+    t = R_load(s, d)
+    src = orders_text_modified(t)
+    tgt = src.where(SB.before("orderdate", CUTOFF))
+    return SB.bronze_delta(src, tgt, "salesorderid", "modifieddate", "orderdate", DELTA_CUTOFF)
+
+
+_OTM = ("(SELECT CAST(o_orderkey AS VARCHAR) AS salesorderid, CAST(o_custkey AS VARCHAR) AS customerid, "
+        "CASE WHEN o_orderkey % 500 = 0 THEN 'n/a' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS orderdate, "
+        "strftime(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 7 AS INTEGER), '%Y-%m-%d') AS modifieddate "
+        "FROM orders)")
+register("src_bronze_delta", O.canonical_select(
+    {"salesorderid": "s", "customerid": "s", "orderdate": "s", "modifieddate": "s"},
+    f"(SELECT * FROM {_OTM} a WHERE TRY_CAST(orderdate AS DATE) <= DATE '{CUTOFF}' UNION ALL "
+    f"SELECT * FROM {_OTM} b WHERE TRY_CAST(modifieddate AS TIMESTAMP) > (SELECT max(TRY_CAST(modifieddate AS "
+    f"TIMESTAMP)) FROM {_OTM} c WHERE TRY_CAST(orderdate AS DATE) <= DATE '{CUTOFF}') "
+    f"AND TRY_CAST(orderdate AS DATE) <= DATE '{DELTA_CUTOFF}' "
+    f"AND NOT (TRY_CAST(orderdate AS DATE) <= DATE '{CUTOFF}')) u"))(_bronze_delta)
