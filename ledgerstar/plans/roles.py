@@ -57,8 +57,23 @@ DATE_SPINE_DAYS = 11000
 DATE_SPINE_END = "2030-12-31"
 
 
+class Tables(dict):
+    """Input tables, each opened on first use (so a query reads only the tables it needs)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in TABLES:
+            raise KeyError(name)
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        self[name] = df
+        return df
+
+
 def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
+    return Tables(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- order lines, headers
