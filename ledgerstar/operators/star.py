@@ -6,8 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from ledgerstar.functions.columns import ratio
 
+# A NULL foreign key never matches. In a sort-merge join all NULL keys would still hash to
+# one partition (2/3 of the orders have no salesperson), so they get a key far below any
+# dimension key instead, spread over this many values.
+NULL_SALT_BUCKETS = 1 << 16
+NULL_SALT_BASE = -(1 << 62)
+
 
 def with_unknown_member(df: DataFrame, values: dict) -> DataFrame:
     """Append the one constant 'unknown' row; columns not in ``values`` are NULL.
@@ -22,6 +30,13 @@ def with_unknown_member(df: DataFrame, values: dict) -> DataFrame:
     return df.unionByName(row)
 
 
+def spread_nulls(fact: DataFrame, key: str):
+    """``key``, or for NULL keys a salt that matches no dimension key (integral keys only)."""
+    salt = F.lit(NULL_SALT_BASE) - F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]),
+                                         F.lit(NULL_SALT_BUCKETS))
+    return F.coalesce(F.col(key).cast("bigint"), salt)
+
+
 def resolve_fk(fact: DataFrame, dim: DataFrame, on: dict, sk: str, out: str | None = None,
                unknown=-1, broadcast: bool = False) -> DataFrame:
     """Left join ``fact`` to ``dim`` on ``{fact_col: dim_col}`` and keep ``coalesce(sk, unknown)``.
@@ -29,7 +44,8 @@ def resolve_fk(fact: DataFrame, dim: DataFrame, on: dict, sk: str, out: str | No
     No fact row is lost. ``broadcast=True`` only for a dimension whose size has a proven
     bound (e.g. the date spine); otherwise the planner decides from statistics and AQE
     re-plans at run time. The dimension key must be unique (see ``quality.unique``),
-    otherwise the join fans the fact out.
+    otherwise the join fans the fact out. A single integral key that may be NULL is
+    salted (``spread_nulls``) so that NULL keys do not gather in one partition.
     """
     out = out or sk
     tag = f"__{out}"
@@ -38,8 +54,12 @@ def resolve_fk(fact: DataFrame, dim: DataFrame, on: dict, sk: str, out: str | No
     if broadcast:
         right = F.broadcast(right)
     cond = None
+    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
     for i, f in enumerate(on.keys()):
         fc = F.col(f) if isinstance(f, str) else f
+        if (not broadcast and len(on) == 1 and isinstance(f, str) and fact.schema[f].nullable
+                and isinstance(fact.schema[f].dataType, integral)):
+            fc = spread_nulls(fact, f)
         c = fc == F.col(f"{tag}_k{i}")
         cond = c if cond is None else cond & c
     j = fact.join(right, cond, "left")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerstar.functions.columns import (days_between, discount_amount, gross_amount, net_amount, ratio,
@@ -63,8 +62,7 @@ def fct_sales_order_line(detail: DataFrame, header_resolved: DataFrame, dims: di
       on the product key with a half-open range residual);
     * freight and tax are allocated by the line's share of the order's net total;
       the total comes from *all* lines of the order (``all_detail`` when ``detail`` is an
-      incremental slice, otherwise a window over the order, which adds no shuffle
-      because the lines are already partitioned by order after the header join).
+      incremental slice).
     """
     net = net_amount("order_quantity", "unit_price", "unit_price_discount")
     hcols = ["sales_order_id", "sales_order_number", "order_date", "customer_id", "currency_rate_id",
@@ -72,11 +70,12 @@ def fct_sales_order_line(detail: DataFrame, header_resolved: DataFrame, dims: di
              "sk_order_status", "sk_currency", "sk_bill_to_geography", "sk_ship_to_geography",
              "sk_order_date", "sk_due_date", "sk_ship_date"]
     lines = detail.withColumn("__net", net).join(header_resolved.select(*hcols), "sales_order_id", "inner")
-    if all_detail is None:
-        lines = lines.withColumn("__order_net", F.sum("__net").over(W.partitionBy("sales_order_id")))
-    else:
-        totals = all_detail.groupBy("sales_order_id").agg(F.sum(net).alias("__order_net"))
-        lines = lines.join(totals, "sales_order_id", "left")
+    # Order totals from all lines of the order: a grouped sum (partial aggregation, so an
+    # order with very many lines is pre-reduced map-side), joined back on the order key
+    # on which the lines are already partitioned for the header join.
+    totals = (all_detail if all_detail is not None else detail).groupBy("sales_order_id").agg(
+        F.sum(net).alias("__order_net"))
+    lines = lines.join(totals, "sales_order_id", "left")
 
     lines = asof_join(lines, dims["product"], "product_id", "order_date",
                       select={"sk_product": "sk_product", "standard_cost": "__p_cost"})

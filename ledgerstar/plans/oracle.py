@@ -42,13 +42,22 @@ def lst(values) -> str:
 
 
 NET = "(CAST(order_quantity AS DECIMAL(10,0)) * unit_price * (1 - unit_price_discount))"
-LINE_ORDER = ", ".join(f"{c} NULLS FIRST" for c in R.LINE_ORDER)
+
+
+def _cents(c: str) -> str:
+    return f"CAST(CAST(round({c} * 100) AS BIGINT) AS VARCHAR)"
+
+
+LINE_ID = ("md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), "
+           "CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), "
+           + ", ".join(_cents(c) for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+           + ", l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')))")
 
 B: dict[str, str] = {}
 
 B["detail"] = f"""
 SELECT l_orderkey AS sales_order_id,
-       CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINE_ORDER}) AS INTEGER) AS sales_order_detail_id,
+       {LINE_ID} AS sales_order_detail_id,
        l_partkey AS product_id,
        CAST(round(l_discount * 100) AS INTEGER) AS special_offer_id,
        CAST(l_quantity AS INTEGER) AS order_quantity,

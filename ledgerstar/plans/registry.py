@@ -47,10 +47,10 @@ K_HEADER = dict(sales_order_id="i", revision_number="i", order_date="d", due_dat
                 bill_to_address_id="i", ship_to_address_id="i", ship_method_id="i", credit_card_id="i",
                 currency_rate_id="i", sub_total="m", tax_amount="m", freight_amount="m", total_due="m",
                 modified_date="d")
-K_DETAIL = dict(sales_order_id="i", sales_order_detail_id="i", product_id="i", special_offer_id="i",
+K_DETAIL = dict(sales_order_id="i", sales_order_detail_id="s", product_id="i", special_offer_id="i",
                 order_quantity="i", unit_price="m", unit_price_discount="m", modified_date="d")
 K_LINE = dict(
-    sk_sales_order_line="s", sales_order_id="i", sales_order_detail_id="i", sales_order_number="s",
+    sk_sales_order_line="s", sales_order_id="i", sales_order_detail_id="s", sales_order_number="s",
     sk_product="s", sk_customer="s", sk_salesperson="i", sk_territory="i", sk_special_offer="i",
     sk_ship_method="i", sk_order_status="s", sk_currency="s", sk_bill_to_geography="i",
     sk_ship_to_geography="i", currency_rate_id="i", is_multicurrency_order="b", sk_order_date="i",
@@ -350,12 +350,12 @@ def _bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     d.select(line.alias("value")).write.mode("overwrite").text(path)
     bad = SL.validate_landing(spark, path, _LINE_LANDING)
     return bad.select(F.col("salesorderid").cast("bigint").alias("sales_order_id"),
-                      F.col("salesorderdetailid").cast("int").alias("sales_order_detail_id"),
+                      F.col("salesorderdetailid").alias("sales_order_detail_id"),
                       F.size(F.split(F.col(SL.CORRUPT), "\t")).alias("n_fields"))
 
 
 register("src_bad_rows", O.canonical_select(
-    {"sales_order_id": "i", "sales_order_detail_id": "i",
+    {"sales_order_id": "i", "sales_order_detail_id": "s",
      "n_fields": "expr:i:CASE WHEN sales_order_id % 1000 = 7 THEN 12 ELSE 10 END"},
     "detail", where="sales_order_id % 1000 IN (7, 8)"))(_bad_rows)
 
@@ -704,7 +704,7 @@ def _inc_parts(s, d):
 _SLICE_BOUND = (f"(SELECT max(modified_date) - {INC_LOOKBACK} FROM detail "
                 f"WHERE modified_date < DATE '{INC_BOUNDARY}')")
 register("inc_slice", O.canonical_select(
-    {"sales_order_id": "i", "sales_order_detail_id": "i", "modified_date": "d"}, "detail",
+    {"sales_order_id": "i", "sales_order_detail_id": "s", "modified_date": "d"}, "detail",
     where=f"modified_date >= {_SLICE_BOUND}"))(
     lambda s, d: _inc_parts(s, d)[2].select("sales_order_id", "sales_order_detail_id", "modified_date"))
 

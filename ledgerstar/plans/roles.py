@@ -5,8 +5,8 @@ SQL text. Operators elsewhere know nothing about these tables; only this module
 
 Rules (all keys are the input keys, nothing is sampled or capped):
 
-* order line  = ``lineitem``; line id = row number within the order over all columns
-  (full rows are distinct); quantity int; unit price = extended price / quantity
+* order line  = ``lineitem``; line id = md5 of the line's content (full rows are
+  distinct); quantity int; unit price = extended price / quantity
   rounded half up to 4 decimals (integer arithmetic, exact); discount decimal(5,4);
   special offer = discount in percent; modified = ship date.
 * order header = ``orders``; due = order + 12 days; ship = NULL for status 'O', else
@@ -33,7 +33,6 @@ Rules (all keys are the input keys, nothing is sampled or capped):
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerstar.functions.columns import HEADER_MONEY, LINE_DISCOUNT, LINE_PRICE, net_amount
@@ -77,19 +76,31 @@ def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 # ---------------------------------------------------------------- order lines, headers
-LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+def _cents(c: str):
+    """Value with at most two decimals as an exact integer of hundredths."""
+    return F.round(F.col(c) * 100).cast("bigint").cast("string")
+
+
+def line_id():
+    """Content hash of a line: every column, numbers as exact integers of hundredths.
+
+    Full rows are distinct, so the hash identifies the line; computing it needs no
+    shuffle and no ordering, so an order with very many lines costs nothing extra.
+    """
+    parts = [F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
+             F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), _cents("l_quantity"),
+             _cents("l_extendedprice"), _cents("l_discount"), _cents("l_tax"), F.col("l_returnflag"),
+             F.col("l_linestatus"), F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")]
+    return F.md5(F.concat_ws("|", *parts))
 
 
 def order_detail(t: dict) -> DataFrame:
-    """stg_orderdetail role. The window is per order (bounded by the lines of one order)
-    and leaves the lines hash-partitioned on the order key for the joins that follow."""
-    w = W.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
+    """stg_orderdetail role: a projection of the lines (no shuffle)."""
     unit_price_e4 = ("((cast(round(l_extendedprice * 100) as bigint) * 200 + cast(l_quantity as bigint))"
                      " div (2 * cast(l_quantity as bigint)))")
     return t["lineitem"].select(
         F.col("l_orderkey").alias("sales_order_id"),
-        F.row_number().over(w).alias("sales_order_detail_id"),
+        line_id().alias("sales_order_detail_id"),
         F.col("l_partkey").alias("product_id"),
         F.round(F.col("l_discount") * 100).cast("int").alias("special_offer_id"),
         F.col("l_quantity").cast("int").alias("order_quantity"),
