@@ -54,15 +54,17 @@ LINE_FACT_COLUMNS = [
 
 def fct_sales_order_line(detail: DataFrame, header_resolved: DataFrame, dims: dict,
                          cost_iv: DataFrame, price_iv: DataFrame,
-                         all_detail: DataFrame | None = None, audit: bool = False) -> DataFrame:
+                         all_detail: DataFrame | None = None, audit: bool = False,
+                         rollup: DataFrame | None = None) -> DataFrame:
     """Line-grain fact: every source line exactly once (inner join to its header, left
     joins to everything else, unknown member on a miss).
 
     * product version, cost and list price are joined as of the order date (equi-join
       on the product key with a half-open range residual);
     * freight and tax are allocated by the line's share of the order's net total;
-      the total comes from *all* lines of the order (``all_detail`` when ``detail`` is an
-      incremental slice).
+      the total comes from *all* lines of the order: the shared ``rollup`` when given,
+      else a grouped sum over ``all_detail`` (when ``detail`` is an incremental slice)
+      or ``detail``.
     """
     net = net_amount("order_quantity", "unit_price", "unit_price_discount")
     hcols = ["sales_order_id", "sales_order_number", "order_date", "customer_id", "currency_rate_id",
@@ -73,8 +75,11 @@ def fct_sales_order_line(detail: DataFrame, header_resolved: DataFrame, dims: di
     # Order totals from all lines of the order: a grouped sum (partial aggregation, so an
     # order with very many lines is pre-reduced map-side), joined back on the order key
     # on which the lines are already partitioned for the header join.
-    totals = (all_detail if all_detail is not None else detail).groupBy("sales_order_id").agg(
-        F.sum(net).alias("__order_net"))
+    if rollup is not None:
+        totals = rollup.select("sales_order_id", F.col("computed_subtotal").alias("__order_net"))
+    else:
+        totals = (all_detail if all_detail is not None else detail).groupBy("sales_order_id").agg(
+            F.sum(net).alias("__order_net"))
     lines = lines.join(totals, "sales_order_id", "left")
 
     lines = asof_join(lines, dims["product"], "product_id", "order_date",
@@ -125,9 +130,10 @@ def order_rollup(detail: DataFrame) -> DataFrame:
         F.sum(net_amount("order_quantity", "unit_price", "unit_price_discount")).alias("computed_subtotal"))
 
 
-def fct_sales_order(header_resolved: DataFrame, detail: DataFrame, audit: bool = False) -> DataFrame:
+def fct_sales_order(header_resolved: DataFrame, detail: DataFrame, audit: bool = False,
+                    rollup: DataFrame | None = None) -> DataFrame:
     """Header-grain fact: unallocated money, line roll-up and variance, fulfilment lags."""
-    h = header_resolved.join(order_rollup(detail), "sales_order_id", "left")
+    h = header_resolved.join(rollup if rollup is not None else order_rollup(detail), "sales_order_id", "left")
     out = h.select(
         surrogate_key("sales_order_id").alias("sk_sales_order"),
         "sales_order_id", "sales_order_number", "purchase_order_number", "account_number",

@@ -117,10 +117,14 @@ def order_totals(detail: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("order_line_count"))
 
 
-def order_header(t: dict, detail: DataFrame | None = None) -> DataFrame:
-    """stg_orderheader role (subtotal from the lines, so the reconciliation holds)."""
-    detail = detail if detail is not None else order_detail(t)
-    totals = order_totals(detail).select("sales_order_id", "order_net_total")
+def order_header(t: dict, detail: DataFrame | None = None, rollup: DataFrame | None = None) -> DataFrame:
+    """stg_orderheader role (subtotal from the lines, so the reconciliation holds).
+    ``rollup`` is the shared per-order roll-up (``facts.order_rollup``) when available."""
+    if rollup is not None:
+        totals = rollup.select("sales_order_id", F.col("computed_subtotal").alias("order_net_total"))
+    else:
+        detail = detail if detail is not None else order_detail(t)
+        totals = order_totals(detail).select("sales_order_id", "order_net_total")
     n_sup = t["supplier"].agg(F.count(F.lit(1))).scalar()
     o = t["orders"]
     k = F.col("o_orderkey")

@@ -79,9 +79,15 @@ class Warehouse:
     def detail(self) -> DataFrame:
         return self.keep("stg_orderdetail", R.order_detail(self.t))
 
+    @cached_property
+    def rollup(self) -> DataFrame:
+        """Shared per-order roll-up of the lines (count, quantity, products, net total):
+        computed once, used by the header subtotal and by both facts."""
+        return self.keep("order_rollup", FCT.order_rollup(self.detail))
+
     @cached_property
     def header(self) -> DataFrame:
-        return self.keep("stg_orderheader", R.order_header(self.t, self.detail))
+        return self.keep("stg_orderheader", R.order_header(self.t, self.detail, self.rollup))
 
     @cached_property
     def reason_pairs(self) -> DataFrame:
@@ -147,11 +153,13 @@ class Warehouse:
     @cached_property
     def fct_line(self) -> DataFrame:
         return self.keep("fct_sales_order_line", FCT.fct_sales_order_line(
-            self.detail, self.header_resolved, self.dims, self.cost_intervals, self.price_intervals))
+            self.detail, self.header_resolved, self.dims, self.cost_intervals, self.price_intervals,
+            rollup=self.rollup))
 
     @cached_property
     def fct_order(self) -> DataFrame:
-        return self.keep("fct_sales_order", FCT.fct_sales_order(self.header_resolved, self.detail))
+        return self.keep("fct_sales_order", FCT.fct_sales_order(self.header_resolved, self.detail,
+                                                                rollup=self.rollup))
 
     @cached_property
     def fct_quota(self) -> DataFrame:
@@ -196,6 +204,7 @@ def build_all(spark: SparkSession, sf_dir: str, base: str) -> dict[str, str]:
         return spark.read.parquet(path)
 
     wh.detail = put("silver", "stg_orderdetail", wh.detail)
+    wh.rollup = put("silver", "order_rollup", wh.rollup)
     wh.header = put("silver", "stg_orderheader", wh.header)
     wh.snap_product = put("silver", "snap_product", wh.snap_product)
     wh.snap_customer = put("silver", "snap_customer", wh.snap_customer)
