@@ -45,13 +45,13 @@ NET = "(CAST(order_quantity AS DECIMAL(10,0)) * unit_price * (1 - unit_price_dis
 
 
 def _cents(c: str) -> str:
-    return f"CAST(CAST(round({c} * 100) AS BIGINT) AS VARCHAR)"
+    return f"CAST(CAST(floor({c} * 100 + 0.5) AS BIGINT) AS VARCHAR)"
 
 
 LINE_ID = ("md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), "
            "CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), "
            + ", ".join(_cents(c) for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
-           + ", l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')))")
+           + ", l_returnflag, l_linestatus, CAST(l_shipdate AS VARCHAR)))")
 
 B: dict[str, str] = {}
 
@@ -59,9 +59,9 @@ B["detail"] = f"""
 SELECT l_orderkey AS sales_order_id,
        {LINE_ID} AS sales_order_detail_id,
        l_partkey AS product_id,
-       CAST(round(l_discount * 100) AS INTEGER) AS special_offer_id,
+       CAST(floor(l_discount * 100 + 0.5) AS INTEGER) AS special_offer_id,
        CAST(l_quantity AS INTEGER) AS order_quantity,
-       CAST(CAST(((CAST(round(l_extendedprice * 100) AS BIGINT) * 200 + CAST(l_quantity AS BIGINT))
+       CAST(CAST(((CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) * 200 + CAST(l_quantity AS BIGINT))
                   // (2 * CAST(l_quantity AS BIGINT))) AS DECIMAL(19,0)) * 0.0001 AS DECIMAL(19,4)) AS unit_price,
        CAST(l_discount AS DECIMAL(5,4)) AS unit_price_discount,
        CAST(l_shipdate AS DATE) AS modified_date

@@ -76,9 +76,14 @@ def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 # ---------------------------------------------------------------- order lines, headers
+def _hundredths(c: str):
+    """A double with at most two decimals as the exact integer of hundredths (nearest
+    integer of ``100 * c``; floor of +0.5 avoids the slower decimal rounding)."""
+    return F.floor(F.col(c) * 100 + 0.5)
+
+
 def _cents(c: str):
-    """Value with at most two decimals as an exact integer of hundredths."""
-    return F.round(F.col(c) * 100).cast("bigint").cast("string")
+    return _hundredths(c).cast("string")
 
 
 def line_id():
@@ -90,19 +95,19 @@ def line_id():
     parts = [F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
              F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), _cents("l_quantity"),
              _cents("l_extendedprice"), _cents("l_discount"), _cents("l_tax"), F.col("l_returnflag"),
-             F.col("l_linestatus"), F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")]
+             F.col("l_linestatus"), F.col("l_shipdate").cast("string")]
     return F.md5(F.concat_ws("|", *parts))
 
 
 def order_detail(t: dict) -> DataFrame:
     """stg_orderdetail role: a projection of the lines (no shuffle)."""
-    unit_price_e4 = ("((cast(round(l_extendedprice * 100) as bigint) * 200 + cast(l_quantity as bigint))"
+    unit_price_e4 = ("((floor(l_extendedprice * 100 + 0.5) * 200 + cast(l_quantity as bigint))"
                      " div (2 * cast(l_quantity as bigint)))")
     return t["lineitem"].select(
         F.col("l_orderkey").alias("sales_order_id"),
         line_id().alias("sales_order_detail_id"),
         F.col("l_partkey").alias("product_id"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("special_offer_id"),
+        _hundredths("l_discount").cast("int").alias("special_offer_id"),
         F.col("l_quantity").cast("int").alias("order_quantity"),
         F.expr(f"cast(cast({unit_price_e4} as decimal(19,0)) * 0.0001 as decimal(19,4))").alias("unit_price"),
         F.col("l_discount").cast(LINE_DISCOUNT).alias("unit_price_discount"),
