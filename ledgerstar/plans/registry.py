@@ -824,3 +824,18 @@ register("src_bronze_delta", O.canonical_select(
     f"TIMESTAMP)) FROM {_OTM} c WHERE TRY_CAST(orderdate AS DATE) <= DATE '{CUTOFF}') "
     f"AND TRY_CAST(orderdate AS DATE) <= DATE '{DELTA_CUTOFF}' "
     f"AND NOT (TRY_CAST(orderdate AS DATE) <= DATE '{CUTOFF}')) u"))(_bronze_delta)
+
+
+def _bronze_full(s, d):
+    """Full reload of a reference table, run twice into the same table path: the second
+    run replaces the first (deterministic plan + overwrite), so the table is identical."""
+    part = R_load(s, d)["part"]
+    path = scratch_path(s, "bronze-product")
+    for _ in range(2):
+        SB.bronze_full(part, BATCH_ID, "Product.csv").drop("_loaded_at").write.mode("overwrite").parquet(path)
+    return s.read.parquet(path)
+
+
+register("src_bronze_full", O.canonical_select(
+    {"p_partkey": "i", "p_name": "s", "p_brand": "s", "p_type": "s", "p_size": "i", "p_retailprice": "f",
+     "_source_file": "expr:s:'Product.csv'", "_batch_id": f"expr:s:'{BATCH_ID}'"}, "part"))(_bronze_full)

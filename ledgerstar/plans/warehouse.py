@@ -63,6 +63,7 @@ class Warehouse:
         self.t = tables or R.load(spark, sf_dir)
         self.mart_method = mart_method
         self.materialize = materialize
+        self.written: list[str] = []
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         if not self.materialize:
@@ -71,9 +72,19 @@ class Warehouse:
 
         path = scratch_path(self.spark, name)
         df.write.mode("overwrite").parquet(path)
+        self.written.append(path)
         # Known schema: no footer-reading job on the way back.
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def close(self) -> None:
+        """Delete the layers this instance wrote (call once its results are consumed)."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self.written:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+        self.written.clear()
+
     # ------------------------------------------------------------ silver
     @cached_property
     def detail(self) -> DataFrame:
