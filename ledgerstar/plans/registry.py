@@ -694,10 +694,10 @@ def _inc_parts(s, d):
     w = wh(s, d)
     first = w.detail.where(F.col("modified_date") < F.lit(INC_BOUNDARY).cast("date"))
     tgt = FCT.fct_sales_order_line(first, w.header_resolved, w.dims, w.cost_intervals, w.price_intervals,
-                                   all_detail=w.detail)
+                                   rollup=w.rollup)
     sl = INC.incremental_slice(w.detail, tgt, "modified_date", "source_modified_date", days=INC_LOOKBACK)
     delta = FCT.fct_sales_order_line(sl, w.header_resolved, w.dims, w.cost_intervals, w.price_intervals,
-                                     all_detail=w.detail)
+                                     rollup=w.rollup)
     return w, tgt, sl, delta
 
 
