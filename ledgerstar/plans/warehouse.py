@@ -71,6 +71,12 @@ class Warehouse:
         from ledgerstar.session import scratch_path
 
         path = scratch_path(self.spark, name)
+        # A layer computed straight from a scan has as many partitions as the input has
+        # splits; when that is fewer than the cores, spread it so that every later stage
+        # reading the layer uses all cores. On a large input this is a no-op.
+        par = self.spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < par:
+            df = df.repartition(par)
         df.write.mode("overwrite").parquet(path)
         self.written.append(path)
         # Known schema: no footer-reading job on the way back.
