@@ -55,6 +55,7 @@ class Warehouse:
     """
 
     WRITTEN_DIMS = {"product", "customer"}
+    SPREAD_MIN_BYTES = 4 << 20
 
     def __init__(self, spark: SparkSession, sf_dir: str, tables: dict | None = None, mart_method: str = "two_phase",
                  materialize: bool = True):
@@ -72,10 +73,12 @@ class Warehouse:
 
         path = scratch_path(self.spark, name)
         # A layer computed straight from a scan has as many partitions as the input has
-        # splits; when that is fewer than the cores, spread it so that every later stage
-        # reading the layer uses all cores. On a large input this is a no-op.
+        # splits; when that is fewer than the cores and the layer is not tiny (planner's
+        # size estimate), spread it so that every later stage reading it uses all cores.
+        # On a large input (more splits than cores) this is a no-op.
         par = self.spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < par:
+        if df.rdd.getNumPartitions() < par and \
+                int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) >= self.SPREAD_MIN_BYTES:
             df = df.repartition(par)
         df.write.mode("overwrite").parquet(path)
         self.written.append(path)
