@@ -12,6 +12,7 @@ from ledgerstar.operators.scd2 import VERSION_FROM, expose_versions
 from ledgerstar.operators.staging import latest_per_key
 from ledgerstar.operators.star import with_unknown_member
 
+# Order status codes and their names.
 STATUS_NAMES = {1: "In Process", 2: "Approved", 3: "Backordered", 4: "Rejected", 5: "Shipped", 6: "Cancelled"}
 
 

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from ledgerstar.functions.columns import days_between, ratio
 from ledgerstar.operators.windows import global_rank
 
-SEGMENTS = ["Champions", "Loyaux", "Nouveaux", "A risque", "A reconquerir", "Dormants"]   # fixed labels
+# RFM segment labels (first matching rule wins, in this order) and the
+# quota attainment statuses (no quota, reached, not reached).
+SEGMENTS = ["Champions", "Loyaux", "Nouveaux", "A risque", "A reconquerir", "Dormants"]
+ATTAINMENT = ["Sans quota", "Atteint", "Non atteint"]
 
 
 def rfm_base(orders: DataFrame, as_of: str | None = None) -> DataFrame:
@@ -122,6 +125,6 @@ def mart_seller_quota_attainment(fct_line: DataFrame, fct_quota: DataFrame, dim_
         "quota_amount", "actual_revenue", "actual_margin", "orders",
         (F.col("actual_revenue") - F.coalesce("quota_amount", F.lit(0))).alias("variance_to_quota"),
         ratio("actual_revenue", "quota_amount").alias("attainment_pct"),
-        F.when(F.col("quota_amount").isNull(), "Sans quota")
-         .when(F.col("actual_revenue") >= F.col("quota_amount"), "Atteint")
-         .otherwise("Non atteint").alias("attainment_status"))
+        F.when(F.col("quota_amount").isNull(), ATTAINMENT[0])
+         .when(F.col("actual_revenue") >= F.col("quota_amount"), ATTAINMENT[1])
+         .otherwise(ATTAINMENT[2]).alias("attainment_status"))
