@@ -839,3 +839,50 @@ def _bronze_full(s, d):
 register("src_bronze_full", O.canonical_select(
     {"p_partkey": "i", "p_name": "s", "p_brand": "s", "p_type": "s", "p_size": "i", "p_retailprice": "f",
      "_source_file": "expr:s:'Product.csv'", "_batch_id": f"expr:s:'{BATCH_ID}'"}, "part"))(_bronze_full)
+
+
+# ================================================================== staging specs over landed text
+def _territory_text(t: dict) -> DataFrame:
+    """Territory source as text: padded names (trimmed by the spec), money with half cents
+    (rounded by the int cast), the reserved word GROUP as a column name."""
+    r = t["region"]
+    k = F.col("r_regionkey")
+    return r.select(k.cast("string").alias("territoryid"), F.concat(F.lit(" "), F.col("r_name"), F.lit(" ")).alias("name"),
+                    k.cast("string").alias("countryregioncode"),
+                    F.when(k < 2, " West").otherwise("East ").alias("GROUP"),
+                    F.concat((k * 1000).cast("string"), F.lit(".5")).alias("salesytd"),
+                    F.concat((k * 900).cast("string"), F.lit(".49")).alias("saleslastyear"),
+                    F.lit("0").alias("costytd"), F.lit(None).cast("string").alias("costlastyear"),
+                    F.md5(k.cast("string")).alias("rowguid"), F.lit("1995-01-01").alias("modifieddate"))
+
+
+register("stg_territory", O.canonical_select(
+    {"territory_id": "expr:i:r_regionkey", "territory_name": "expr:s:r_name",
+     "country_region_code": "expr:s:CAST(r_regionkey AS VARCHAR)",
+     "territory_group": "expr:s:CASE WHEN r_regionkey < 2 THEN 'West' ELSE 'East' END",
+     "sales_ytd": "expr:i:CAST(round(CAST(CAST(r_regionkey * 1000 AS VARCHAR) || '.5' AS DECIMAL(19,4))) AS INTEGER)",
+     "sales_last_year": "expr:i:CAST(round(CAST(CAST(r_regionkey * 900 AS VARCHAR) || '.49' AS DECIMAL(19,4))) "
+                        "AS INTEGER)",
+     "cost_ytd": "expr:i:0", "cost_last_year": "expr:i:CAST(NULL AS INTEGER)",
+     "row_guid": "expr:s:md5(CAST(r_regionkey AS VARCHAR))", "modified_date": "expr:d:DATE '1995-01-01'"},
+    "region"))(lambda s, d: apply_spec(_territory_text(R_load(s, d)), SR.spec("stg_territory")))
+
+
+def _customer_text(s, d) -> DataFrame:
+    """Customer source as landed text (second snapshot state), NULL ids as empty fields."""
+    from ledgerstar.plans import roles
+
+    c = roles.customer_state(R_load(s, d), 2)
+    path = SL.write_landing(c.select(
+        F.col("customer_id").alias("customerid"), F.col("person_id").alias("personid"),
+        F.col("store_id").alias("storeid"), F.col("territory_id").alias("territoryid"),
+        F.md5(F.col("customer_id").cast("string")).alias("rowguid"),
+        F.col("modified_date").alias("modifieddate")), scratch_path(s, "landing-customer"))
+    raw = SL.read_landing(s, path, SR.landing_columns("stg_customer"))
+    return apply_spec(raw, SR.spec("stg_customer"))
+
+
+register("stg_customer", O.canonical_select(
+    {"customer_id": "i", "person_id": "i", "store_id": "i", "territory_id": "i",
+     "row_guid": "expr:s:md5(CAST(customer_id AS VARCHAR))", "modified_date": "d"},
+    "cust_runs", where="run = 2"))(_customer_text)
