@@ -3,8 +3,8 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerstar.functions.columns import (canonical, clean_text, net_amount, ratio, surrogate_key, to_int_rounded,
-                                          day_of_week_sunday0)
+from ledgerstar.functions.columns import (NULL_KEY_TOKEN, canonical, clean_text, day_of_week_sunday0, net_amount,
+                                          ratio, surrogate_key, to_int_rounded)
 
 
 def test_to_int_rounded_rounds_half_up(spark):
@@ -22,7 +22,7 @@ def test_surrogate_key_null_token_and_separator(spark):
     df = spark.createDataFrame([(1, None), (1, "x")], "a int, b string")
     out = [r[0] for r in df.select(surrogate_key("a", "b")).collect()]
     import hashlib
-    assert out[0] == hashlib.md5(b"1-_dbt_utils_surrogate_key_null_").hexdigest()
+    assert out[0] == hashlib.md5(f"1-{NULL_KEY_TOKEN}".encode()).hexdigest()
     assert out[1] == hashlib.md5(b"1-x").hexdigest()
 
 
