@@ -63,8 +63,9 @@ def resolve_fk(fact: DataFrame, dim: DataFrame, on: dict, sk: str, out: str | No
         c = fc == F.col(f"{tag}_k{i}")
         cond = c if cond is None else cond & c
     j = fact.join(right, cond, "left")
-    return (j.withColumn(out, F.coalesce(F.col(f"{tag}_sk"), F.lit(unknown).cast(dim.schema[sk].dataType)))
-             .drop(*[f"{tag}_k{i}" for i in range(len(on))], f"{tag}_sk"))
+    resolved = F.coalesce(F.col(f"{tag}_sk"), F.lit(unknown).cast(dim.schema[sk].dataType)).alias(out)
+    keep = [F.col(f"`{c}`") for c in fact.columns if c != out]
+    return j.select(*keep, resolved)      # one projection: add the key, drop the helpers
 
 
 def resolve_dates(fact: DataFrame, dim_date: DataFrame, roles: dict, date_col: str = "date_actual",
