@@ -215,7 +215,7 @@ def calibrate(judged: DataFrame, min_keep: float = 0.995) -> float:
     for r in hist:
         (good if r["good"] else bad)[r["bin"]] += r["n"]
     if not good.sum() or not bad.sum():
-        return 1.0
+        return float("inf")
     kept, caught = np.cumsum(good) / good.sum(), 1 - np.cumsum(bad) / bad.sum()
     value = np.where(kept >= min_keep, kept + caught, -1)
     return float((int(np.argmax(value)) + 1) / BINS)

@@ -33,8 +33,9 @@ from ledgerstar.llm.common import arrow_map, arrow_schema, cut, draw, ident
 LABELLED_ROWS = 20_000     # labelled rows, at most, from which stems are learned
 LEXICON_STEMS = 4_000      # stems kept, at most
 STEM = (4, 7)
-MIN_TOXIC_TEXTS = 4
-MIN_LOG_ODDS = 3.0
+MIN_TOXIC_TEXTS = 4        # a stem must be in that many toxic texts,
+MIN_TOXIC_SHARE = 0.02     # and in that share of them (a group of copies does not make a stem)
+MIN_LOG_ODDS = 1.5
 LISTS = 6                  # lexicon voters
 FIT_ROWS = 40_000          # rows, at most, on which the classifier is trained
 CACHE_WORDS = 300_000
@@ -93,7 +94,7 @@ def learn_lexicon(rows: DataFrame) -> list[tuple[str, float]]:
 
     counts = arrow_map(rows.select("t", F.col("toxic").cast("int")), run, out).groupBy("stem").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     odds = F.log((F.col("bad") + 0.5) / F.lit(bad + 1.0)) - F.log((F.col("good") + 0.5) / F.lit(good + 1.0))
-    kept = (counts.filter(F.col("bad") >= MIN_TOXIC_TEXTS).withColumn("odds", odds).filter(F.col("odds") >= MIN_LOG_ODDS)
+    kept = (counts.filter(F.col("bad") >= max(MIN_TOXIC_TEXTS, MIN_TOXIC_SHARE * bad)).withColumn("odds", odds).filter(F.col("odds") >= MIN_LOG_ODDS)
             .orderBy(F.desc("odds"), "stem").limit(LEXICON_STEMS).collect())
     found = {r["stem"]: r["odds"] for r in kept}
     own = [(s, o) for s, o in found.items() if not any(s[:k] in found and found[s[:k]] >= o - 1.0 for k in range(STEM[0], len(s)))]
