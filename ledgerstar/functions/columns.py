@@ -32,8 +32,10 @@ def clean_text(c) -> Column:
 
 
 def to_int_rounded(c) -> Column:
-    """Cast text or decimal to int by rounding half up (a plain cast would truncate or fail)."""
-    return F.round(col(c).cast(T.DecimalType(19, 4)), 0).cast(T.IntegerType())
+    """Cast text or decimal to int by rounding half up (a plain cast would truncate or fail).
+
+    One rounding, from 18 decimals: 12.49996 is 12."""
+    return F.round(col(c).cast(T.DecimalType(38, 18)), 0).cast(T.IntegerType())
 
 
 def typed(c, spark_type: str) -> Column:
@@ -99,10 +101,6 @@ def off_by_more_than(a, b, eps: float = 0.01) -> Column:
     return F.abs(col(a) - col(b)) > F.lit(eps)
 
 
-def typed_null(spark_type) -> Column:
-    return F.lit(None).cast(spark_type)
-
-
 def canonical(df: DataFrame) -> DataFrame:
     """Comparison form of a result: decimals as double, integers as bigint, dates and
     timestamps as ISO text. Values are unchanged; only the representation is fixed so

@@ -1,10 +1,18 @@
-"""Incremental loads: look-back slice, merge by unique key, partition-scoped rewrite."""
+"""Incremental loads: look-back slice, merge by unique key, versioned partitioned tables.
+
+A merged table is a folder with two parts: ``data/run=<id>/<partition folders>``, never
+changed once written, and ``versions/v=<n>``, the list of data folders that make up version
+n. A merge writes new folders for the partitions it touches, then the next version list;
+readers take the newest complete list. So nobody reads a half-written table, a failed merge
+leaves the old version in place, and untouched partitions are not rewritten.
+"""
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -13,7 +21,7 @@ def watermark(tgt: DataFrame | None, tgt_ts: str, days: int = 3, floor: str = "1
 
     One aggregate over the target's watermark column (pruned to that column, partial
     per file); the single value goes back as a literal so that the slice below is a
-    pushed-down parquet filter.
+    pushed-down parquet filter. Pass the stored target, not a plan that computes it.
     """
     if tgt is None:
         m = None
@@ -36,14 +44,34 @@ def incremental_slice(src: DataFrame, tgt: DataFrame | None, src_ts: str, tgt_ts
     return src.where(F.col(src_ts) >= F.lit(bound))
 
 
-def merge_upsert(tgt: DataFrame | None, src: DataFrame, keys: list[str] | str) -> DataFrame:
+class DuplicateKeys(ValueError):
+    """The source of a merge holds a key more than once."""
+
+
+def require_unique(src: DataFrame, keys: list[str]) -> None:
+    """Fail when a key occurs more than once (a merge would multiply its rows)."""
+    twice = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).limit(5).collect()
+    if twice:
+        raise DuplicateKeys(f"source keys are not unique: {[tuple(r[k] for k in keys) for r in twice]}")
+
+
+def _same_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & a[k].eqNullSafe(b["__" + k])
+    return cond
+
+
+def merge_upsert(tgt: DataFrame | None, src: DataFrame, keys: list[str] | str, check: bool = True) -> DataFrame:
     """Matched keys take the source row, unmatched source rows are inserted, the rest
-    of the target stays: ``anti-join + union``. Source keys must be unique
-    (``quality.unique`` on the source before the merge)."""
+    of the target stays: ``anti-join + union``. Duplicate source keys fail (``check``)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if check:
+        require_unique(src, keys)
     if tgt is None:
         return src
-    kept = tgt.join(src.select(*keys), keys, "left_anti")
+    seen = src.select(*[F.col(k).alias("__" + k) for k in keys])
+    kept = tgt.join(seen, _same_keys(tgt, seen, keys), "left_anti")
     return kept.unionByName(src.select(*tgt.columns))
 
 
@@ -58,64 +86,103 @@ def changed_rows(before: DataFrame, after: DataFrame, ignore: list[str] | None =
             .unionByName(b.exceptAll(a).withColumn("change", F.lit("removed"))))
 
 
+# ---------------------------------------------------------------- versioned tables
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def list_versions(spark: SparkSession, base: str) -> list[int]:
-    fs, p = _fs(spark, base)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-                st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-def read_current(spark: SparkSession, base: str) -> DataFrame | None:
-    """Latest complete version of a versioned table, or None."""
+    """Complete versions, oldest first."""
+    out = [int(n[2:]) for n in _names(spark, f"{base}/versions") if n.startswith("v=")]
+    return sorted(v for v in out if "_SUCCESS" in _names(spark, f"{base}/versions/v={v}"))
+
+
+def _folders(spark: SparkSession, base: str, version: int) -> list[str]:
+    """Data folders of a version, relative to ``data``; one per partition."""
+    return [r["folder"] for r in spark.read.parquet(f"{base}/versions/v={version}").collect()]
+
+
+def read_current(spark: SparkSession, base: str, version: int | None = None) -> DataFrame | None:
+    """The newest complete version (or the one asked for); None before the first."""
     vs = list_versions(spark, base)
-    return spark.read.parquet(f"{base}/v={vs[-1]}") if vs else None
+    if not vs:
+        return None
+    folders = _folders(spark, base, version or vs[-1])
+    schema = spark.read.parquet(f"{base}/schema").schema
+    if not folders:
+        return spark.createDataFrame([], schema)
+    root = f"{base}/data"
+    df = spark.read.option("basePath", root).parquet(*[f"{root}/{f}" for f in folders])
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
+def _write_run(df: DataFrame, base: str, partition_col: str) -> list[str]:
+    """Write ``df`` as a run of partition folders; their names relative to ``data``."""
+    spark, run = df.sparkSession, f"run={uuid.uuid4().hex[:12]}"
+    path = f"{base}/data/{run}"
+    df.write.partitionBy(partition_col).parquet(path)
+    return [f"{run}/{n}" for n in _names(spark, path) if n.startswith(f"{partition_col}=")]
+
+
+def _publish(spark: SparkSession, base: str, folders: list[str]) -> int:
+    vs = list_versions(spark, base)
+    v = vs[-1] + 1 if vs else 1
+    spark.createDataFrame([(f,) for f in folders], "folder string").coalesce(1).write.mode("overwrite").parquet(f"{base}/versions/v={v}")
+    return v
 
 
-def write_version(df: DataFrame, base: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as the next version directory. Readers switch only once the new
-    version's ``_SUCCESS`` marker exists, so a table is never read and overwritten by
-    the same job, and a failed write leaves the previous version current."""
+def write_table(df: DataFrame, base: str, partition_col: str) -> int:
+    """Write ``df`` as the next version of the table, replacing all partitions (a full
+    refresh); the version number."""
     spark = df.sparkSession
-    vs = list_versions(spark, base)
-    path = f"{base}/v={(vs[-1] + 1) if vs else 1}"
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
-
-
-def merge_partitions(spark: SparkSession, table: str, src: DataFrame, keys: list[str],
-                     partition_col: str, staging: str) -> None:
-    """Merge ``src`` into a parquet table partitioned by ``partition_col``, rewriting only
-    the partitions that ``src`` touches.
-
-    1. the touched partitions of the live table are read (partition pruning) and merged
-       with ``src`` into a staging folder;
-    2. the staging folder replaces exactly those partitions of the live table through
-       dynamic partition overwrite.
-    Rows of a key never move between partitions here: ``src`` carries the key's
-    partition value, and the key is unique within the table.
+    df.limit(0).write.mode("overwrite").parquet(f"{base}/schema")
+    return _publish(spark, base, _write_run(df, base, partition_col))
+
+
+def merge_table(spark: SparkSession, base: str, src: DataFrame, keys: list[str] | str, partition_col: str,
+                newest: str | None = None) -> int:
+    """Merge ``src`` into the table as its next version; the version number.
+
+    The partitions rewritten are those of the source rows and those that hold a source key
+    now, so a key whose partition value changes leaves its old partition; NULL is a
+    partition like any other. With ``newest``, a stored row with a later value of that
+    column stays (files of one landing may arrive in any order).
     """
-    touched = [r[0] for r in src.select(partition_col).distinct().collect()]  # bounded: one per partition
-    live = spark.read.parquet(table).where(F.col(partition_col).isin(touched))
-    merged = merge_upsert(live, src.select(*live.columns), keys)
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        spark.read.parquet(staging).write.mode("overwrite").partitionBy(partition_col).parquet(table)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    require_unique(src, keys)
+    cur = read_current(spark, base)
+    if cur is None:
+        return write_table(src, base, partition_col)
+    src = src.select(*cur.columns)
+    if newest:
+        old = cur.select(*[F.col(k).alias("__" + k) for k in keys], F.col(newest).alias("__newest"))
+        src = (src.join(old, _same_keys(src, old, keys), "left")
+               .where(F.col("__newest").isNull() | (F.col(newest) >= F.col("__newest"))).select(*cur.columns))
+    seen = src.select(*[F.col(k).alias("__" + k) for k in keys])
+    left = cur.join(seen, _same_keys(cur, seen, keys), "left_semi").select(partition_col)
+    # bounded: one value per partition of the table
+    touched = [r[0] for r in src.select(partition_col).unionByName(left).distinct().collect()]
+    if not touched:
+        return list_versions(spark, base)[-1]
+    here = F.coalesce(F.col(partition_col).isin([t for t in touched if t is not None]), F.lit(False))
+    if None in touched:
+        here = here | F.col(partition_col).isNull()
+    merged = merge_upsert(cur.where(here), src, keys, check=False)
+    new = _write_run(merged, base, partition_col)
+    gone = {_folder_name(spark, partition_col, t) for t in touched}
+    old = [f for f in _folders(spark, base, list_versions(spark, base)[-1]) if f.split("/", 1)[1] not in gone]
+    return _publish(spark, base, old + new)
+
+
+def _folder_name(spark: SparkSession, column: str, value) -> str:
+    """Spark's folder name of a partition value."""
+    if value is None:
+        return f"{column}=__HIVE_DEFAULT_PARTITION__"
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"{column}={escape(str(value))}"

@@ -20,6 +20,40 @@ def not_null(df: DataFrame, cols: list[str]) -> DataFrame:
             .where(F.col("null_rows") > 0))
 
 
+def declared_checks(df: DataFrame, not_null_cols: list[str], unique_cols: list[str], accepted: dict[str, list] | None = None) -> DataFrame:
+    """All column checks declared for one table: ``(check_name, column_name, failures)``, a row per check.
+
+    NULLs and values outside a list are counted by one aggregate over the table. A uniqueness
+    check counts the values that occur more than once, as a grouped count per column (partial
+    before its shuffle).
+    """
+    accepted = accepted or {}
+    one = [("not_null", c, F.count_if(F.col(c).isNull())) for c in not_null_cols]
+    one += [("accepted_values", c, F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(v))) for c, v in accepted.items()]
+    out = None
+    if one:
+        counts = df.agg(*[e.alias(f"c{i}") for i, (_, _, e) in enumerate(one)])
+        stack = ", ".join(f"'{n}', '{c}', c{i}" for i, (n, c, _) in enumerate(one))
+        out = counts.selectExpr(f"stack({len(one)}, {stack}) as (check_name, column_name, failures)")
+    for c in unique_cols:
+        twice = unique(df, c).agg(F.count(F.lit(1)).alias("failures")).select(F.lit("unique").alias("check_name"), F.lit(c).alias("column_name"), "failures")
+        out = twice if out is None else out.unionByName(twice)
+    return out
+
+
+def declared_relationships(df: DataFrame, links: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Orphaned values per foreign key: ``(check_name, column_name, failures)``; ``links`` maps the
+    key column to (dimension, its key). Keys are reduced to their distinct values before the
+    anti join, so a hot key costs one row."""
+    out = None
+    for fk, (dim, pk) in links.items():
+        values = df.where(F.col(fk).isNotNull()).select(F.col(fk).alias("k")).distinct()
+        lost = values.join(dim.select(F.col(pk).alias("k")), "k", "left_anti").agg(F.count(F.lit(1)).alias("failures"))
+        row = lost.select(F.lit("relationships").alias("check_name"), F.lit(fk).alias("column_name"), "failures")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def unique(df: DataFrame, keys: list[str] | str) -> DataFrame:
     """Key values that occur more than once (NULL keys ignored)."""
     keys = [keys] if isinstance(keys, str) else keys
@@ -91,19 +125,19 @@ def same_total(fact: DataFrame, fact_expr, source: DataFrame, source_expr, eps:
         "variance", F.round(F.col("fact_revenue") - F.col("source_revenue"), 2))
 
 
-def no_overlap(dim: DataFrame, key: str, version_id: str, unknown=-1, method: str = "two_phase") -> DataFrame:
-    """Versions whose range starts before the previous version (in start order) ends.
+def no_overlap(dim: DataFrame, key: str, version_id: str, unknown=-1) -> DataFrame:
+    """Versions that start before some earlier version of their key ends.
 
-    Some pair of versions overlaps exactly when some pair adjacent in start order does,
-    so comparing each version with its predecessor is a complete check, with no pair
-    enumeration. The lag per key runs in the scalable two-phase form.
+    Versions are taken in start order (then by id); a version overlaps an earlier one exactly
+    when it starts before the greatest end so far, so the running maximum names every such
+    version, also one nested inside a long one, without forming pairs. ``covered_until`` is
+    that greatest end. The running maximum is the scalable two-phase form.
     """
-    from ledgerstar.operators.windows import keyed_lag
+    from ledgerstar.operators.windows import keyed_running_max
 
     d = dim.where(F.col(key) != F.lit(unknown)).select(key, version_id, "valid_from", "valid_to")
-    lagged = keyed_lag(d, [key], ["valid_from", version_id], ["valid_to", version_id], method=method)
-    return (lagged.where(F.col("prev_valid_to").isNotNull() & (F.col("valid_from") < F.col("prev_valid_to")))
-                  .select(key, F.col("prev_" + version_id).alias("version_a"), F.col(version_id).alias("version_b")))
+    run = keyed_running_max(d, [key], ["valid_from", version_id], "valid_to", out="covered_until")
+    return run.where(F.col("valid_from") < F.col("covered_until")).select(key, version_id, "covered_until")
 
 
 def one_current(dim: DataFrame, key: str, unknown=-1) -> DataFrame:

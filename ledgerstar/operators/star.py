@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
 
-from ledgerstar.functions.columns import ratio
-
 # A NULL foreign key never matches. In a sort-merge join all NULL keys would still hash to
 # one partition (2/3 of the orders have no salesperson), so they get a key far below any
 # dimension key instead, spread over this many values.
@@ -30,10 +27,13 @@ def with_unknown_member(df: DataFrame, values: dict) -> DataFrame:
     return df.unionByName(row)
 
 
-def spread_nulls(fact: DataFrame, key: str):
-    """``key``, or for NULL keys a salt that matches no dimension key (integral keys only)."""
-    salt = F.lit(NULL_SALT_BASE) - F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]),
-                                         F.lit(NULL_SALT_BUCKETS))
+def spread_nulls(fact: DataFrame, key: str, spread_by: str | None = None):
+    """``key``, or for NULL keys a salt that matches no dimension key (integral keys only).
+
+    The salt is a hash of one column that differs between rows: ``spread_by``, by default the
+    fact's first column (its own id)."""
+    by = F.col(f"`{spread_by or fact.columns[0]}`")
+    salt = F.lit(NULL_SALT_BASE) - F.pmod(F.xxhash64(by), F.lit(NULL_SALT_BUCKETS))
     return F.coalesce(F.col(key).cast("bigint"), salt)
 
 
@@ -90,12 +90,6 @@ def literal_key_join(fact: DataFrame, dim: DataFrame, dim_col: str, value, sk: s
     return fact.withColumn(out, F.coalesce(member, F.lit(unknown).cast(dim.schema[sk].dataType)))
 
 
-def allocate(amount, weight, total) -> Column:
-    """Pro-rata share ``amount * weight / nullif(total, 0)`` in double precision."""
-    return F.col(amount).cast("double") * ratio(weight, total) if isinstance(amount, str) \
-        else amount.cast("double") * ratio(weight, total)
-
-
 def bridge(pairs: DataFrame, left_key: str, right_key: str, dim: DataFrame, dim_key: str, dim_sk: str,
            sk_name: str, out_sk: str) -> DataFrame:
     """Many-to-many bridge with ``allocation_factor = 1 / (rows of the left key)``.
@@ -125,10 +119,3 @@ def weighted_rollup(fact: DataFrame, bridge_df: DataFrame, key: str, by: str, me
     per_key = fact.groupBy(key).agg(F.sum(measure).alias("__m"))
     j = bridge_df.join(per_key, key, "inner")
     return j.groupBy(by).agg(F.sum(F.col("__m").cast("double") * F.col(factor)).alias(out))
-
-
-def share_of_group(value: str, group: str | list[str]) -> Column:
-    """Group total of ``value`` as a window column (used where the data is already
-    partitioned by ``group``, so the window adds no shuffle)."""
-    g = [group] if isinstance(group, str) else group
-    return F.sum(value).over(W.partitionBy(*g))

@@ -5,10 +5,13 @@ a single task, and a window partitioned by a hot key buffers that whole key in o
 task. Both are avoided here with a two-phase scan:
 
 1. ``repartitionByRange`` on the full sort order (which includes a unique tie-breaker,
-   so the range bounds can split even a hot key over several partitions), then a
-   reliable ``checkpoint()`` so that the partition of every row is pinned;
-2. per-partition local results (row number, running sum, lag) computed by a window
-   over ``(_pid, key)`` groups, which are bounded by the partition size;
+   so the range bounds can split even a hot key over several partitions), a sort inside
+   the partitions, then a reliable ``checkpoint()`` so that the partition and place of
+   every row are pinned;
+2. per-partition local results: a row's number is its place in the sorted partition
+   (``monotonically_increasing_id``), which needs no second exchange; running sums and
+   per-key values come from a window over ``(_pid, ...)`` groups, which are bounded by
+   the partition size;
 3. a per-partition summary (one row per partition, a proven small bound), whose
    prefix gives the carry that each partition adds to its local results.
 
@@ -41,7 +44,9 @@ def _pin_ranges(df: DataFrame, sort_exprs: list[Column], num_partitions: int | N
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pinned = df.repartitionByRange(n, *sort_exprs).withColumn("_pid", F.spark_partition_id())
+    pinned = (df.repartitionByRange(n, *sort_exprs).sortWithinPartitions(*sort_exprs)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_lrn", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1))
     # Reliable checkpoint: range bounds come from sampling, so a recomputation could
     # move rows between partitions; the written copy also survives executor loss.
     return pinned.checkpoint(eager=True)
@@ -88,11 +93,11 @@ def global_rank(df: DataFrame, order: list, value: str | None = None, ntiles: di
         raise ValueError(method)
 
     pinned = _pin_ranges(df, sort_exprs, num_partitions)
-    wl = W.partitionBy("_pid").orderBy(*sort_exprs)
-    local = pinned.withColumn("_lrn", F.row_number().over(wl).cast("bigint"))
+    local = pinned
     aggs = [F.count(F.lit(1)).alias("_cnt")]
     if value is not None:
-        local = local.withColumn("_lsum", F.sum(value).over(wl.rowsBetween(W.unboundedPreceding, W.currentRow)))
+        wl = W.partitionBy("_pid").orderBy("_lrn").rowsBetween(W.unboundedPreceding, W.currentRow)
+        local = local.withColumn("_lsum", F.sum(value).over(wl))
         aggs.append(F.sum(value).alias("_psum"))
     # One row per partition: bounded by the partition count, so it is broadcast.
     summary = pinned.groupBy("_pid").agg(*aggs)
@@ -128,7 +133,7 @@ def keyed_lag(df: DataFrame, keys: list[str], order: list, cols: list[str], pref
     if method == "window":
         w = W.partitionBy(*keys).orderBy(*_order_exprs(order))
         return df.select("*", *[F.lag(c, 1).over(w).alias(prefix + c) for c in cols])
-    pinned = _pin_ranges(df, sort_exprs, num_partitions)
+    pinned = _pin_ranges(df, sort_exprs, num_partitions).drop("_lrn")
     wl = W.partitionBy("_pid", *keys).orderBy(*_order_exprs(order))
     local = pinned.select("*", F.row_number().over(wl).alias("_lrn"),
                           *[F.lag(c, 1).over(wl).alias(prefix + c) for c in cols])
@@ -149,3 +154,29 @@ def keyed_lag(df: DataFrame, keys: list[str], order: list, cols: list[str], pref
         out = out.withColumn(prefix + c, F.when((F.col("_lrn") == 1) & same_key, F.col("_prev")["v_" + c])
                              .otherwise(F.col(prefix + c)))
     return out.drop("_pid", "_lrn", "_prev")
+
+
+def keyed_running_max(df: DataFrame, keys: list[str], order: list[str], value: str, out: str = "prev_max",
+                      num_partitions: int | None = None) -> DataFrame:
+    """``max(value)`` over the earlier rows of the same key in ``order`` (NULL for a key's first row).
+
+    Two-phase form: range partitions over ``keys + order``; a key that goes on from an earlier
+    partition starts with the greatest value found there. Only the first and the last key of a
+    partition can go on, so the carry has at most two rows per partition.
+    """
+    sort_exprs = [F.col(k).asc() for k in keys] + _order_exprs(order)
+    pinned = _pin_ranges(df, sort_exprs, num_partitions).drop("_lrn")
+    key = F.struct(*[F.col(k) for k in keys])
+    wl = W.partitionBy("_pid", *keys).orderBy(*_order_exprs(order)).rowsBetween(W.unboundedPreceding, -1)
+    local = pinned.withColumn("_local", F.max(value).over(wl))
+    per_key = pinned.groupBy("_pid", *keys).agg(F.max(value).alias("_m"))
+    ends = per_key.groupBy("_pid").agg(F.min_by(F.struct(*keys, "_m"), key).alias("a"), F.max_by(F.struct(*keys, "_m"), key).alias("b"))
+    edge = ends.select("_pid", F.explode(F.array_distinct(F.array("a", "b"))).alias("e")).select("_pid", "e.*")
+    before = W.partitionBy(*keys).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
+    carry = edge.select("_pid", *[F.col(k).alias("_c_" + k) for k in keys], F.max("_m").over(before).alias("_carry"))
+    carry = carry.withColumnRenamed("_pid", "_cpid")
+    cond = F.col("_pid") == F.col("_cpid")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col("_c_" + k))
+    joined = local.join(F.broadcast(carry), cond, "left")
+    return joined.select(*[F.col(c) for c in df.columns], F.greatest("_local", "_carry").alias(out))

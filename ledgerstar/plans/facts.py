@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerstar.functions.columns import (days_between, discount_amount, gross_amount, net_amount, ratio,
@@ -52,15 +53,45 @@ LINE_FACT_COLUMNS = [
 ]
 
 
-def fct_sales_order_line(detail: DataFrame, header_resolved: DataFrame, dims: dict,
-                         cost_iv: DataFrame, price_iv: DataFrame,
+def _as_date(c: str):
+    """First day that begins at or after a date or timestamp."""
+    d = F.to_date(F.col(c))
+    return F.date_add(d, (F.col(c).cast("timestamp_ntz") > d.cast("timestamp_ntz")).cast("int"))
+
+
+def product_timeline(dim_product: DataFrame, cost_iv: DataFrame, price_iv: DataFrame) -> DataFrame:
+    """Product versions, cost intervals and price intervals as one interval table.
+
+    The bounds of all three cut a product's time into segments within which nothing changes;
+    each segment takes the version, cost and price that hold on its first day. A fact then
+    needs one join on the product instead of three, and that one join can be split by AQE
+    when a product is hot.
+    """
+    versions = dim_product.select("product_id", "sk_product", F.col("standard_cost").alias("version_cost"),
+                                  _as_date("valid_from").alias("valid_from"), _as_date("valid_to").alias("valid_to"))
+    bounds = None
+    for iv in (versions, cost_iv, price_iv):
+        for end in ("valid_from", "valid_to"):
+            b = iv.select("product_id", F.col(end).cast("date").alias("valid_from"))
+            bounds = b if bounds is None else bounds.unionByName(b)
+    following = W.partitionBy("product_id").orderBy("valid_from")   # a product has few bounds
+    seg = bounds.distinct().withColumn("valid_to", F.lead("valid_from").over(following)).where("valid_to is not null")
+    seg = asof_join(seg.withColumnsRenamed({"valid_from": "seg_from", "valid_to": "seg_to"}), versions, "product_id", "seg_from",
+                    select=["sk_product", "version_cost"])
+    seg = asof_join(seg, cost_iv, "product_id", "seg_from", select={"standard_cost": "interval_cost", "is_fallback_cost": "is_fallback_cost"})
+    seg = asof_join(seg, price_iv, "product_id", "seg_from", select=["list_price"])
+    return seg.withColumnsRenamed({"seg_from": "valid_from", "seg_to": "valid_to"})
+
+
+def fct_sales_order_line(detail: DataFrame, header_resolved: DataFrame, dims: dict, timeline: DataFrame,
                          all_detail: DataFrame | None = None, audit: bool = False,
                          rollup: DataFrame | None = None) -> DataFrame:
     """Line-grain fact: every source line exactly once (inner join to its header, left
     joins to everything else, unknown member on a miss).
 
-    * product version, cost and list price are joined as of the order date (equi-join
-      on the product key with a half-open range residual);
+    * product version, cost and list price come from one join to the product timeline as of
+      the order date (equi-join on the product key with a half-open range residual), which
+      is the last join, so AQE can split a hot product;
     * freight and tax are allocated by the line's share of the order's net total;
       the total comes from *all* lines of the order: the shared ``rollup`` when given,
       else a grouped sum over ``all_detail`` (when ``detail`` is an incremental slice)
@@ -82,12 +113,10 @@ def fct_sales_order_line(detail: DataFrame, header_resolved: DataFrame, dims: di
             F.sum(net).alias("__order_net"))
     lines = lines.join(totals, "sales_order_id", "left")
 
-    lines = asof_join(lines, dims["product"], "product_id", "order_date",
-                      select={"sk_product": "sk_product", "standard_cost": "__p_cost"})
-    lines = asof_join(lines, cost_iv, "product_id", "order_date",
-                      select={"standard_cost": "__pc_cost", "is_fallback_cost": "__pc_fallback"})
-    lines = asof_join(lines, price_iv, "product_id", "order_date", select={"list_price": "list_price_at_order_date"})
     lines = resolve_fk(lines, dims["special_offer"], {"special_offer_id": "special_offer_id"}, "sk_special_offer")
+    lines = asof_join(lines, timeline, "product_id", "order_date",
+                      select={"sk_product": "sk_product", "version_cost": "__p_cost", "interval_cost": "__pc_cost",
+                              "is_fallback_cost": "__pc_fallback", "list_price": "list_price_at_order_date"})
 
     cost = F.coalesce(F.col("__pc_cost"), F.col("__p_cost"), F.lit(0))
     out = lines.select(

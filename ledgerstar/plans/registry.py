@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerstar.functions.columns import canonical
 from ledgerstar.plans import business as BQ
 from ledgerstar.plans import oracle as O
-from ledgerstar.plans.warehouse import Warehouse
+from ledgerstar.plans.warehouse import Warehouse, clustered, shared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,7 +37,7 @@ def register(name: str, sql: str | None = None):
 
 
 def wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse(spark, sf_dir)
+    return shared(spark, sf_dir)
 
 
 # ------------------------------------------------------------------ column kinds of the big tables
@@ -360,10 +360,11 @@ register("src_bad_rows", O.canonical_select(
     "detail", where="sales_order_id % 1000 IN (7, 8)"))(_bad_rows)
 
 
-def orders_text(t: dict) -> DataFrame:
+def orders_text(t: dict, **more) -> DataFrame:
     """Order headers as landed text; every 500th order date is unparsable."""
     o = t["orders"]
-    return o.select(F.col("o_orderkey").cast("string").alias("salesorderid"),
+    return o.select(*[c.alias(n) for n, c in more.items()],
+                    F.col("o_orderkey").cast("string").alias("salesorderid"),
                     F.col("o_custkey").cast("string").alias("customerid"),
                     F.when(F.col("o_orderkey") % 500 == 0, F.lit("n/a"))
                      .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("orderdate"))
@@ -578,48 +579,61 @@ def _dq_overlap(s, d):
     w = wh(s, d)
     return Q.union_labelled({
         "dim_product": Q.no_overlap(w.dims["product"], "product_id", "sk_product")
-                        .withColumnRenamed("product_id", "nk"),
+                        .toDF("nk", "version_id", "covered_until"),
         "dim_customer": Q.no_overlap(w.dims["customer"], "customer_id", "sk_customer")
-                         .withColumnRenamed("customer_id", "nk")})
+                         .toDF("nk", "version_id", "covered_until")})
 
 
-def _lag_overlap_sql(dim: str, key: str, sk: str) -> str:
-    return (f"SELECT '{dim}' AS label, {key} AS nk, prev_sk AS version_a, {sk} AS version_b FROM ("
-            f"SELECT {key}, {sk}, valid_from, lag(valid_to) OVER (PARTITION BY {key} ORDER BY valid_from, {sk}) "
-            f"AS prev_to, lag({sk}) OVER (PARTITION BY {key} ORDER BY valid_from, {sk}) AS prev_sk "
-            f"FROM {dim} WHERE {key} <> -1) x WHERE prev_to IS NOT NULL AND valid_from < prev_to")
+def _overlap_sql(label: str, src: str, key: str, sk: str) -> str:
+    """Self join of all pairs of a key: a version with some earlier one (by start, then id) that ends after its start."""
+    return (f"SELECT '{label}' AS label, b.{key} AS nk, b.{sk} AS version_id, max(a.valid_to) AS covered_until "
+            f"FROM {src} a JOIN {src} b ON a.{key} = b.{key} AND a.{sk} <> b.{sk} "
+            f"AND (a.valid_from < b.valid_from OR (a.valid_from = b.valid_from AND a.{sk} < b.{sk})) "
+            f"AND b.valid_from < a.valid_to WHERE b.{key} <> -1 GROUP BY b.{key}, b.{sk}")
 
 
-register("dq_no_overlap", O.with_blocks(
-    "SELECT label, CAST(nk AS BIGINT) AS nk, version_a, version_b FROM ("
-    + _lag_overlap_sql("dim_product", "product_id", "sk_product") + " UNION ALL "
-    + _lag_overlap_sql("dim_customer", "customer_id", "sk_customer") + ") u"))(_dq_overlap)
+_OVERLAP_COLS = {"label": "s", "nk": "i", "version_id": "s", "covered_until": "t"}
+register("dq_no_overlap", O.canonical_select(
+    _OVERLAP_COLS, "(" + _overlap_sql("dim_product", "dim_product", "product_id", "sk_product") + " UNION ALL "
+    + _overlap_sql("dim_customer", "dim_customer", "customer_id", "sk_customer") + ") u"))(_dq_overlap)
 
 
 def _planted_intervals(s, d):
-    """Cost intervals plus, for products with key mod 100 = 1, a copy of the first year
-    shifted by six months: each planted copy overlaps two real intervals."""
+    """Cost intervals plus, for products with key mod 100 = 1, one interval over all of time from
+    1995 on and a short one inside 1998: the real later intervals and the short one are nested in the long one."""
     iv = wh(s, d).cost_intervals
-    extra = (iv.where((F.col("product_id") % 100 == 1) & (F.col("valid_from") == F.lit("1995-01-01").cast("date")))
-               .withColumn("valid_from", F.add_months("valid_from", 6))
-               .withColumn("valid_to", F.add_months("valid_to", 6)))
-    return iv.unionByName(extra).withColumn("version_id", F.date_format("valid_from", "yyyy-MM-dd"))
+    first = iv.where((F.col("product_id") % 100 == 1) & (F.col("valid_from") == F.lit("1995-01-01").cast("date")))
+    long = first.withColumn("valid_from", F.lit("1994-06-01").cast("date")).withColumn("valid_to", F.lit("9999-12-31").cast("date"))
+    short = first.withColumn("valid_from", F.lit("1998-03-01").cast("date")).withColumn("valid_to", F.lit("1998-04-01").cast("date"))
+    return iv.unionByName(long).unionByName(short).withColumn(
+        "version_id", F.concat_ws("/", F.date_format("valid_from", "yyyy-MM-dd"), F.date_format("valid_to", "yyyy-MM-dd")))
 
 
 def _dq_overlap_planted(s, d):
-    iv = _planted_intervals(s, d)
-    return Q.no_overlap(iv, "product_id", "version_id")
+    return Q.no_overlap(_planted_intervals(s, d), "product_id", "version_id").select(
+        F.col("product_id").alias("nk"), "version_id", "covered_until")
 
 
-register("dq_no_overlap_planted", O.with_blocks(
-    "SELECT CAST(product_id AS BIGINT) AS product_id, prev_v AS version_a, v AS version_b FROM ("
-    "SELECT product_id, v, valid_from, lag(valid_to) OVER (PARTITION BY product_id ORDER BY valid_from, v) AS prev_to, "
-    "lag(v) OVER (PARTITION BY product_id ORDER BY valid_from, v) AS prev_v FROM ("
-    "SELECT product_id, valid_from, valid_to, strftime(valid_from, '%Y-%m-%d') AS v FROM cost_iv UNION ALL "
-    "SELECT product_id, CAST(valid_from + INTERVAL 6 MONTH AS DATE), CAST(valid_to + INTERVAL 6 MONTH AS DATE), "
-    "strftime(CAST(valid_from + INTERVAL 6 MONTH AS DATE), '%Y-%m-%d') FROM cost_iv "
-    "WHERE product_id % 100 = 1 AND valid_from = DATE '1995-01-01') a WHERE product_id <> -1) x "
-    "WHERE prev_to IS NOT NULL AND valid_from < prev_to"))(_dq_overlap_planted)
+_PLANTED_IV = ("(SELECT product_id, valid_from, valid_to, strftime(valid_from, '%Y-%m-%d') || '/' || strftime(valid_to, '%Y-%m-%d') AS v FROM ("
+               "SELECT product_id, valid_from, valid_to FROM cost_iv UNION ALL "
+               "SELECT product_id, DATE '1994-06-01', DATE '9999-12-31' FROM cost_iv WHERE product_id % 100 = 1 AND valid_from = DATE '1995-01-01' UNION ALL "
+               "SELECT product_id, DATE '1998-03-01', DATE '1998-04-01' FROM cost_iv WHERE product_id % 100 = 1 AND valid_from = DATE '1995-01-01') p)")
+register("dq_no_overlap_planted", O.canonical_select(
+    {"nk": "i", "version_id": "s", "covered_until": "d"},
+    "(" + _overlap_sql("x", _PLANTED_IV, "product_id", "v") + ") u"))(_dq_overlap_planted)
+
+
+def _overlap_pairs(s, d):
+    """Every pair of overlapping versions of the planted intervals (a product has a handful of versions)."""
+    from ledgerstar.operators.intervals import overlaps
+
+    return overlaps(_planted_intervals(s, d), "product_id", "version_id")
+
+
+register("rel_interval_overlaps", O.canonical_select(
+    {"product_id": "expr:i:a.product_id", "version_a": "expr:s:a.v", "version_b": "expr:s:b.v"},
+    f"{_PLANTED_IV} a JOIN {_PLANTED_IV} b ON a.product_id = b.product_id AND a.v <> b.v "
+    "AND a.valid_from < b.valid_to AND b.valid_from < a.valid_to"))(_overlap_pairs)
 
 
 def _dq_one_current(s, d):
@@ -663,7 +677,6 @@ _WIN_SQL = O.canonical_select(
     "FROM (SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(19,2)) AS price FROM orders) "
     "WINDOW w AS (ORDER BY price DESC, o_orderkey)) x")
 register("win_two_phase_rank", _WIN_SQL)(_win_rank("two_phase"))
-register("win_window_rank", _WIN_SQL)(_win_rank("window"))
 
 
 def _win_lag(method: str):
@@ -690,15 +703,30 @@ INC_BOUNDARY = "2000-01-01"      # first load: lines modified before this day
 INC_LOOKBACK = 3
 
 
-def _inc_parts(s, d):
-    w = wh(s, d)
-    first = w.detail.where(F.col("modified_date") < F.lit(INC_BOUNDARY).cast("date"))
-    tgt = FCT.fct_sales_order_line(first, w.header_resolved, w.dims, w.cost_intervals, w.price_intervals,
-                                   rollup=w.rollup)
-    sl = INC.incremental_slice(w.detail, tgt, "modified_date", "source_modified_date", days=INC_LOOKBACK)
-    delta = FCT.fct_sales_order_line(sl, w.header_resolved, w.dims, w.cost_intervals, w.price_intervals,
-                                     rollup=w.rollup)
-    return w, tgt, sl, delta
+def _month(df):
+    return df.withColumn("order_month", (F.col("sk_order_date") / 100).cast("int"))
+
+
+def _first_load(w):
+    """The stored line fact of the first load, a table partitioned by order month."""
+    if "line_first_load" not in w.__dict__:
+        base = scratch_path(w.spark, "fct_line_inc")
+        first = w.detail.where(F.col("modified_date") < F.lit(INC_BOUNDARY).cast("date"))
+        fact = FCT.fct_sales_order_line(first, w.header_resolved, w.dims, w.product_timeline, rollup=w.rollup)
+        INC.write_table(_month(fact), base, "order_month")
+        w.written.append(base)
+        w.__dict__["line_first_load"] = base
+    return w.__dict__["line_first_load"]
+
+
+def _line_slice(w, full_refresh: bool = False):
+    """Lines to load next; the watermark comes from the stored fact."""
+    stored = INC.read_current(w.spark, _first_load(w), 1)
+    return INC.incremental_slice(w.detail, stored, "modified_date", "source_modified_date", days=INC_LOOKBACK, full_refresh=full_refresh)
+
+
+def _line_delta(w, full_refresh: bool = False):
+    return _month(FCT.fct_sales_order_line(_line_slice(w, full_refresh), w.header_resolved, w.dims, w.product_timeline, rollup=w.rollup))
 
 
 _SLICE_BOUND = (f"(SELECT max(modified_date) - {INC_LOOKBACK} FROM detail "
@@ -706,104 +734,168 @@ _SLICE_BOUND = (f"(SELECT max(modified_date) - {INC_LOOKBACK} FROM detail "
 register("inc_slice", O.canonical_select(
     {"sales_order_id": "i", "sales_order_detail_id": "s", "modified_date": "d"}, "detail",
     where=f"modified_date >= {_SLICE_BOUND}"))(
-    lambda s, d: _inc_parts(s, d)[2].select("sales_order_id", "sales_order_detail_id", "modified_date"))
+    lambda s, d: _line_slice(wh(s, d)).select("sales_order_id", "sales_order_detail_id", "modified_date"))
 
 
 def _inc_merge(s, d):
-    _, tgt, _, delta = _inc_parts(s, d)
-    return INC.merge_upsert(tgt, delta, ["sk_sales_order_line"])
+    """Stored first load and increment, merged as rows."""
+    w = wh(s, d)
+    return INC.merge_upsert(INC.read_current(s, _first_load(w), 1), _line_delta(w), ["sk_sales_order_line"]).drop("order_month")
 
 
 register("inc_merge", O.canonical_select(K_LINE, "fct_line"))(_inc_merge)
 
 
+def _own_table(s, w, name):
+    """A copy of the first load as a table of its own."""
+    base = scratch_path(s, name)
+    w.written.append(base)
+    INC.write_table(INC.read_current(s, _first_load(w), 1), base, "order_month")
+    return base
+
+
+def _inc_partitions(s, d):
+    """The physical merge: the increment writes only the months it touches, as a new version."""
+    w = wh(s, d)
+    base = _own_table(s, w, "fct_line_merge")
+    INC.merge_table(s, base, _line_delta(w), "sk_sales_order_line", "order_month")
+    return INC.read_current(s, base).drop("order_month")
+
+
+register("inc_merge_partitions", O.canonical_select(K_LINE, "fct_line"))(_inc_partitions)
+
+
 def _inc_replay(s, d):
-    """Replaying the same increment over the merged table changes no row."""
-    _, tgt, _, delta = _inc_parts(s, d)
-    once = INC.merge_upsert(tgt, delta, ["sk_sales_order_line"])
-    twice = INC.merge_upsert(once, delta, ["sk_sales_order_line"])
-    return INC.changed_rows(once, twice).select("sk_sales_order_line", "change")
+    """The increment merged twice into the stored table: rows per version, and rows that the second
+    merge changed (both directions), which must be 0."""
+    w = wh(s, d)
+    base = _own_table(s, w, "fct_line_replay")
+    delta = w.keep("fct_line_delta", _line_delta(w))
+    once = INC.merge_table(s, base, delta, "sk_sales_order_line", "order_month")
+    twice = INC.merge_table(s, base, delta, "sk_sales_order_line", "order_month")
+    a, b = INC.read_current(s, base, once), INC.read_current(s, base, twice)
+    n = b.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("net_amount").alias("revenue")).withColumn("k", F.lit(1))
+    c = INC.changed_rows(a, b).agg(F.count(F.lit(1)).alias("changed")).withColumn("k", F.lit(1))
+    return n.join(c, "k").drop("k")
 
 
-register("inc_replay", "SELECT CAST(NULL AS VARCHAR) AS sk_sales_order_line, CAST(NULL AS VARCHAR) AS change "
-                       "WHERE false")(_inc_replay)
+register("inc_replay", O.canonical_select(
+    {"n_rows": "expr:i:count(*)", "revenue": "expr:m:sum(net_amount)", "changed": "expr:i:0"}, "fct_line"))(_inc_replay)
 
 
-def _inc_partitions(s, d):
-    """The physical merge: the first load is written partitioned by order month; the
-    increment rewrites only the months it touches."""
-    _, tgt, _, delta = _inc_parts(s, d)
-    month = (F.col("sk_order_date") / 100).cast("int")
-    table = scratch_path(s, "fct_line_inc")
-    tgt.withColumn("order_month", month).write.mode("overwrite").partitionBy("order_month").parquet(table)
-    INC.merge_partitions(s, table, delta.withColumn("order_month", month), ["sk_sales_order_line"], "order_month",
-                         scratch_path(s, "fct_line_inc_staging"))
-    return s.read.parquet(table).drop("order_month")
+def _inc_moved_keys(s, d):
+    """A correction that moves orders to another month, one month without a date, and new rows: each key
+    stands once, in its new place, and rows that nothing touches stay."""
+    ev = R_load(s, d)["orders"].select("o_orderkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("day"))
+    month = F.when(F.col("o_orderkey") % 13 != 0, F.date_format("day", "yyyy-MM"))
+    src = ev.withColumn("month", month)
+    base = scratch_path(s, "orders_moved")
+    wh(s, d).written.append(base)
+    INC.write_table(src.where(F.col("o_orderkey") % 10 != 1), base, "month")
+    moved = src.where(F.col("o_orderkey") % 100 == 3).withColumn("day", F.add_months("day", 1)).withColumn("month", month)
+    new = src.where(F.col("o_orderkey") % 10 == 1)
+    INC.merge_table(s, base, moved.unionByName(new), "o_orderkey", "month")
+    return INC.read_current(s, base)
 
 
-register("inc_merge_partitions", O.canonical_select(K_LINE, "fct_line"))(_inc_partitions)
+_MOVED_DAY = ("CASE WHEN o_orderkey % 100 = 3 THEN CAST(CAST(o_orderdate AS DATE) + INTERVAL 1 MONTH AS DATE) "
+              "ELSE CAST(o_orderdate AS DATE) END")
+register("inc_merge_moved_keys", O.canonical_select(
+    {"o_orderkey": "i", "o_totalprice": "f", "day": f"expr:d:{_MOVED_DAY}",
+     "month": f"expr:s:CASE WHEN o_orderkey % 13 <> 0 THEN strftime({_MOVED_DAY}, '%Y-%m') END"}, "orders"))(_inc_moved_keys)
+
+
+def _order_first(w):
+    f = w.header_resolved.where(F.col("modified_date") < F.lit(INC_BOUNDARY).cast("date"))
+    return FCT.fct_sales_order(f, w.detail, rollup=w.rollup)
+
+
+def _inc_order(s, d, full_refresh: bool = False):
+    """The order fact: first load, slice by its own watermark, merge by order."""
+    w = wh(s, d)
+    base = scratch_path(s, "fct_order_inc")
+    w.written.append(base)
+    INC.write_table(_month(_order_first(w)), base, "order_month")
+    sl = INC.incremental_slice(w.header_resolved, INC.read_current(s, base), "modified_date", "source_modified_date",
+                               days=INC_LOOKBACK, full_refresh=full_refresh)
+    delta = _month(FCT.fct_sales_order(sl, w.detail, rollup=w.rollup))
+    if full_refresh:
+        INC.write_table(delta, base, "order_month")
+    else:
+        INC.merge_table(s, base, delta, "sk_sales_order", "order_month")
+    return INC.read_current(s, base).drop("order_month")
+
+
+register("inc_order_merge", O.canonical_select(K_ORDER, "fct_order"))(_inc_order)
+register("inc_order_full_refresh", O.canonical_select(K_ORDER, "fct_order"))(lambda s, d: _inc_order(s, d, full_refresh=True))
+
+
+def _clustered_write(s, d):
+    """The line fact written clustered and partitioned, with its audit column, and read back: rows per
+    month, rows without a load time, and files whose date ranges overlap inside a month's sort order."""
+    w = wh(s, d)
+    path = scratch_path(s, "fct_line_clustered")
+    w.written.append(path)
+    clustered(w.fct_line.withColumn("dwh_loaded_at", F.current_timestamp())).write.partitionBy("order_month").parquet(path)
+    back = s.read.parquet(path)
+    return back.groupBy("order_month").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("net_amount").alias("revenue"),
+                                           F.count_if(F.col("dwh_loaded_at").isNull()).alias("unloaded"))
+
+
+register("snk_clustered_fact", O.canonical_select(
+    {"order_month": "expr:i:CAST(floor(sk_order_date / 100) AS INTEGER)", "n_rows": "expr:i:count(*)",
+     "revenue": "expr:m:sum(net_amount)", "unloaded": "expr:i:0"}, "fct_line",
+    extra="GROUP BY CAST(floor(sk_order_date / 100) AS INTEGER)"))(_clustered_write)
 
 
 # ================================================================== streaming micro-batches
+from ledgerstar.operators.incremental import read_current  # noqa: E402
 from ledgerstar.streaming.merge_stream import stream_merge  # noqa: E402
 
 STREAM_SPLIT = "2024-01-20"      # first landing file: events before this time
 STREAM_REPLAY_FROM = "2024-01-17"  # second file re-delivers from here, with corrections
 
 
-def _stream(s, d):
-    """Two landing files of events go through the micro-batch merge: the second re-delivers
-    three days of the first (late data) with corrected values on every 50th event."""
+def _stream(s, d, files: int = 1, per_trigger: int = 1000):
+    """Two landings of events go through the micro-batch merge: the second re-delivers
+    three days of the first (late data) with corrected values on every 50th event. With
+    several files and a small trigger, one landing is many micro-batches in mixed time order."""
     ev = R_load(s, d)["events"].select("event_id", "ts", "user_id", "event_type", "value")
     landing, table, ckpt = (scratch_path(s, "events-landing"), scratch_path(s, "events-table"),
                             scratch_path(s, "events-stream"))
-    ev.where(F.col("ts") < F.lit(STREAM_SPLIT).cast("timestamp_ntz")).write.parquet(f"{landing}/f1")
-    stream_merge(s, landing, ev.schema, table, ckpt, ["event_id"], "ts")
+    wh(s, d).written += [landing, table, ckpt]
+    ev.where(F.col("ts") < F.lit(STREAM_SPLIT).cast("timestamp_ntz")).repartition(files).write.parquet(f"{landing}/f1")
+    stream_merge(s, landing, ev.schema, table, ckpt, ["event_id"], "ts", files_per_trigger=per_trigger)
     late = ev.where(F.col("ts") >= F.lit(STREAM_REPLAY_FROM).cast("timestamp_ntz")).withColumn(
         "value", F.when(F.col("event_id") % 50 == 0, F.col("value") + 1).otherwise(F.col("value")))
-    late.write.parquet(f"{landing}/f2")
-    stream_merge(s, landing, ev.schema, table, ckpt, ["event_id"], "ts")
-    return s.read.parquet(table).select("event_id", "ts", "user_id", "event_type", "value")
+    late.repartition(files).write.parquet(f"{landing}/f2")
+    stream_merge(s, landing, ev.schema, table, ckpt, ["event_id"], "ts", files_per_trigger=per_trigger)
+    return read_current(s, table).select("event_id", "ts", "user_id", "event_type", "value")
 
 
-register("inc_stream", O.canonical_select(
+_STREAM_SQL = O.canonical_select(
     {"event_id": "i", "ts": "expr:s:strftime(ts, '%Y-%m-%d %H:%M:%S')", "user_id": "i", "event_type": "s",
      "value": f"expr:f:CASE WHEN ts >= TIMESTAMP '{STREAM_REPLAY_FROM}' AND event_id % 50 = 0 THEN value + 1 "
-              "ELSE value END"}, "events"))(_stream)
+              "ELSE value END"}, "events")
+register("inc_stream", _STREAM_SQL)(_stream)
+register("inc_stream_many_batches", _STREAM_SQL)(lambda s, d: _stream(s, d, files=6, per_trigger=2))
 
 
 # ================================================================== pricing snapshot, bronze delta
-from ledgerstar.operators.scd2 import scd2_apply  # noqa: E402
-from ledgerstar.plans import roles as ROLES  # noqa: E402
-
-
-def _snap_pricing(s, d):
-    """Snapshot that tracks cost and list price only: the product-number change of the
-    third run opens no version here."""
-    t = R_load(s, d)
-    snap = None
-    for i, run in enumerate(ROLES.PRODUCT_RUNS, start=1):
-        src = ROLES.product_state(t, i).select("product_id", "standard_cost", "list_price", "modified_date")
-        snap = scd2_apply(snap, src, "product_id", ["standard_cost", "list_price"], run)
-    return snap
-
-
 register("scd_snapshot_pricing", O.canonical_select(
     {"product_id": "i", "standard_cost": "i", "list_price": "i", "modified_date": "d", "version_from": "t",
      "version_to": "t"},
     "(SELECT product_id, standard_cost, list_price, modified_date, CAST(modified_date AS TIMESTAMP) AS version_from, "
     "CASE WHEN run = 1 AND product_id % 7 = 0 THEN TIMESTAMP '1997-01-01' END AS version_to FROM prod_runs "
-    "WHERE run = 1 OR (run = 2 AND product_id % 7 = 0)) x"))(_snap_pricing)
+    "WHERE run = 1 OR (run = 2 AND product_id % 7 = 0)) x"))(lambda s, d: wh(s, d).snap_pricing)
 
 DELTA_CUTOFF = "2001-12-31"
 
 
 def orders_text_modified(t: dict) -> DataFrame:
-    o = orders_text(t)
-    return o.join(t["orders"].select(F.col("o_orderkey").cast("string").alias("salesorderid"),
-                                     F.date_format(F.date_add(F.col("o_orderdate").cast("date"),
-                                                              (F.col("o_orderkey") % 7).cast("int")),
-                                                   "yyyy-MM-dd").alias("modifieddate")), "salesorderid")
+    """The order text with its modification date, which the order date and key give."""
+    day = F.date_format(F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 7).cast("int")), "yyyy-MM-dd")
+    return orders_text(t, modifieddate=day)
 
 
 def _bronze_delta(s, d):
@@ -886,3 +978,151 @@ register("stg_customer", O.canonical_select(
     {"customer_id": "i", "person_id": "i", "store_id": "i", "territory_id": "i",
      "row_guid": "expr:s:md5(CAST(customer_id AS VARCHAR))", "modified_date": "d"},
     "cust_runs", where="run = 2"))(_customer_text)
+
+
+# ================================================================== planted faults: one per gate
+def _changed(df: DataFrame, when: str, **values) -> DataFrame:
+    """``df`` with columns replaced by SQL expressions in the rows that ``when`` names."""
+    return df.withColumns({c: F.when(F.expr(when), F.expr(e).cast(df.schema[c].dataType)).otherwise(F.col(c)) for c, e in values.items()})
+
+
+def _planted_not_null(s, d):
+    line = _changed(wh(s, d).fct_line, "sales_order_id % 500 = 3", net_amount="NULL")
+    return Q.not_null(_changed(line, "sales_order_id % 700 = 5", sk_product="NULL"), ["sk_product", "net_amount", "sk_customer"])
+
+
+register("dq_not_null_planted", O.with_blocks(
+    "SELECT 'net_amount' AS column_name, CAST(count(*) AS BIGINT) AS null_rows FROM fct_line WHERE sales_order_id % 500 = 3 HAVING count(*) > 0 "
+    "UNION ALL SELECT 'sk_product', CAST(count(*) AS BIGINT) FROM fct_line WHERE sales_order_id % 700 = 5 HAVING count(*) > 0"))(_planted_not_null)
+
+
+def _planted_alloc(s, d):
+    w = wh(s, d)
+    line = _changed(w.fct_line, "sales_order_id % 500 = 3", allocated_freight="allocated_freight * 2")
+    return Q.allocation_gap(line, w.header, "sales_order_id", "allocated_freight", "freight_amount", "net_amount").select("sales_order_id")
+
+
+register("dq_allocation_gap_planted", O.canonical_select(
+    {"sales_order_id": "expr:i:h.sales_order_id"}, "header h", where="h.sales_order_id % 500 = 3 AND h.freight_amount > 0.01 "
+    "AND h.sales_order_id IN (SELECT sales_order_id FROM fct_line GROUP BY sales_order_id HAVING sum(net_amount) > 0)"))(_planted_alloc)
+
+
+def _planted_pit(s, d):
+    """Every line costed with its product version's current cost: the point-in-time join did nothing."""
+    w = wh(s, d)
+    now = w.dims["product"].select("sk_product", F.col("standard_cost").alias("now_cost"))
+    line = w.fct_line.join(now, "sk_product").withColumn("unit_standard_cost", F.col("now_cost")).drop("now_cost")
+    return Q.pit_has_effect(line, w.dims["product"])
+
+
+register("dq_pit_effect_planted", "SELECT CAST(0 AS BIGINT) AS differing_rows")(_planted_pit)
+
+
+def _planted_count(s, d):
+    w = wh(s, d)
+    return Q.same_count(w.fct_line.where("sales_order_id % 100 <> 7"), w.detail)
+
+
+register("dq_same_count_planted", O.with_blocks(
+    "SELECT CAST((SELECT count(*) FROM fct_line WHERE sales_order_id % 100 <> 7) AS BIGINT) AS fact_rows, "
+    "CAST((SELECT count(*) FROM detail) AS BIGINT) AS source_rows"))(_planted_count)
+
+
+def _planted_total(s, d):
+    w = wh(s, d)
+    line = _changed(w.fct_line, "sales_order_id % 500 = 3", net_amount="net_amount + 1")
+    return Q.same_total(line, F.col("net_amount"), w.detail, net_amount("order_quantity", "unit_price", "unit_price_discount")).select("variance")
+
+
+register("dq_same_total_planted", O.canonical_select(
+    {"variance": "expr:m:CAST(count(*) AS DECIMAL(19,2))"}, "fct_line", where="sales_order_id % 500 = 3", extra="HAVING count(*) > 0"))(_planted_total)
+
+
+def _planted_current(s, d):
+    dim = wh(s, d).dims["product"]
+    none = _changed(dim, "product_id % 50 = 4", is_current="false")
+    return Q.one_current(none.unionByName(dim.where("product_id % 50 = 9 and is_current")), "product_id")
+
+
+register("dq_one_current_planted", O.canonical_select(
+    {"product_id": "i", "n_current": "expr:i:CASE WHEN product_id % 50 = 4 THEN 0 ELSE 2 END"}, "dim_product",
+    where="product_id <> -1 AND product_id % 50 IN (4, 9)", extra="GROUP BY product_id"))(_planted_current)
+
+
+def _planted_grain(s, d):
+    line = wh(s, d).fct_line.select("sk_sales_order_line", "sales_order_id")
+    return Q.grain(line.unionByName(line.where("sales_order_id % 200 = 5")), ["sk_sales_order_line"])
+
+
+register("dq_grain_planted", O.canonical_select(
+    {"sk_sales_order_line": "s", "n_rows": "expr:i:2"}, "fct_line", where="sales_order_id % 200 = 5"))(_planted_grain)
+
+
+def _grains(s, d):
+    """Grain policy of every fact, the bridge and the marts: keys that occur more than once."""
+    w = wh(s, d)
+    tables = {"fct_sales_order_line": (w.fct_line, ["sk_sales_order_line"]), "fct_sales_order": (w.fct_order, ["sk_sales_order"]),
+              "fct_sales_quota": (w.fct_quota, ["sk_sales_quota"]), "bridge_order_sales_reason": (w.bridge, ["sk_order_sales_reason"]),
+              "mart_product_abc_pareto": (w.mart_pareto, ["sk_product"]), "mart_customer_clv_rfm": (w.mart_rfm, ["sk_customer"]),
+              "mart_seller_quota_attainment": (w.mart_quota, ["sk_salesperson", "year_quarter"])}
+    return Q.union_labelled({k: df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("k", F.lit(1)).join(
+        Q.grain(df, keys).agg(F.count(F.lit(1)).alias("repeated_keys")).withColumn("k", F.lit(1)), "k").drop("k")
+        for k, (df, keys) in tables.items()})
+
+
+_GRAIN_TABLES = {"fct_sales_order_line": ("fct_line", "sk_sales_order_line"), "fct_sales_order": ("fct_order", "sk_sales_order"),
+                 "fct_sales_quota": ("fct_quota", "sk_sales_quota"), "bridge_order_sales_reason": ("bridge", "sk_order_sales_reason"),
+                 "mart_product_abc_pareto": ("mart_pareto", "sk_product"), "mart_customer_clv_rfm": ("mart_rfm", "sk_customer"),
+                 "mart_seller_quota_attainment": ("mart_quota", "sk_salesperson, year_quarter")}
+register("dq_grain_all", O.with_blocks(" UNION ALL ".join(
+    f"SELECT '{k}' AS label, CAST((SELECT count(*) FROM {t}) AS BIGINT) AS n_rows, "
+    f"CAST((SELECT count(*) FROM (SELECT {c} FROM {t} GROUP BY {c} HAVING count(*) > 1)) AS BIGINT) AS repeated_keys"
+    for k, (t, c) in _GRAIN_TABLES.items())))(_grains)
+
+
+# ================================================================== every declared column check
+# Fixed values: (table, columns never NULL, columns without repeats, foreign keys, accepted values).
+_DIM_KEY = {f"dim_{k}": f"sk_{k}" for k in ("product", "customer", "salesperson", "territory", "geography", "ship_method",
+                                            "special_offer", "currency", "order_status", "sales_reason", "date")}
+_LINE_KEYS = {"sk_product": "product", "sk_customer": "customer", "sk_salesperson": "salesperson", "sk_territory": "territory",
+              "sk_special_offer": "special_offer", "sk_ship_method": "ship_method", "sk_order_status": "order_status",
+              "sk_currency": "currency", "sk_bill_to_geography": "geography", "sk_ship_to_geography": "geography"}
+DECLARED = [
+    ("fct_line", ["sk_sales_order_line", "sales_order_detail_id", *_LINE_KEYS, "net_amount"], ["sk_sales_order_line", "sales_order_detail_id"], _LINE_KEYS, {}),
+    ("fct_order", ["sk_sales_order", "sales_order_id"], ["sk_sales_order", "sales_order_id"], {"sk_customer": "customer"}, {}),
+    ("fct_quota", ["sk_sales_quota"], ["sk_sales_quota"], {"sk_salesperson": "salesperson"}, {}),
+    ("bridge", ["sk_order_sales_reason"], ["sk_order_sales_reason"], {"sk_sales_reason": "sales_reason"}, {}),
+    *[(t, [k], [k], {}, {}) for t, k in _DIM_KEY.items()],
+    ("mart_rfm", ["sk_customer", "frequency_orders"], ["sk_customer"], {}, {"rfm_segment": O.SEGMENTS}),
+    ("mart_pareto", ["sk_product", "revenue"], ["sk_product"], {}, {"abc_class": ["A", "B", "C"]}),
+    ("mart_quota", [], [], {}, {"attainment_status": O.ATTAINMENT}),
+    ("header", ["sales_order_id"], ["sales_order_id"], {}, {}),
+    ("detail", ["sales_order_id", "sales_order_detail_id"], ["sales_order_detail_id"], {}, {}),
+]
+
+
+def _declared(s, d):
+    """Every declared check with the number of its failures, one row per check."""
+    w, out = wh(s, d), {}
+    for t, nn, un, fks, accepted in DECLARED:
+        df = w.dims[t[4:]] if t.startswith("dim_") else getattr(w, t)
+        if t.startswith("mart_"):
+            df = w.keep(f"declared_{t}", df)
+        checks = Q.declared_checks(df, nn, un, accepted)
+        if fks:
+            checks = checks.unionByName(Q.declared_relationships(df, {fk: (w.dims[x], f"sk_{x}") for fk, x in fks.items()}))
+        out[t] = checks
+    return Q.union_labelled(out)
+
+
+def _declared_sql() -> str:
+    parts = []
+    for t, nn, un, fks, accepted in DECLARED:
+        parts += [(t, "not_null", c, f"SELECT count(*) FROM {t} WHERE {c} IS NULL") for c in nn]
+        parts += [(t, "accepted_values", c, f"SELECT count(*) FROM {t} WHERE {c} NOT IN ({', '.join(repr(x) for x in v)})") for c, v in accepted.items()]
+        parts += [(t, "unique", c, f"SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)") for c in un]
+        parts += [(t, "relationships", c, f"SELECT count(DISTINCT {c}) FROM {t} WHERE {c} NOT IN (SELECT sk_{x} FROM dim_{x})") for c, x in fks.items()]
+    return " UNION ALL ".join(f"SELECT '{t}' AS label, '{n}' AS check_name, '{c}' AS column_name, CAST(({q}) AS BIGINT) AS failures" for t, n, c, q in parts)
+
+
+register("dq_declared", O.with_blocks(_declared_sql()))(_declared)

@@ -9,10 +9,12 @@ that decides broadcast joins) and lineage is cut at every layer.
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerstar.operators.intervals import closed_intervals
 from ledgerstar.operators.scd2 import scd2_apply
@@ -25,14 +27,12 @@ from ledgerstar.plans import roles as R
 class LazyDims(Mapping):
     """Dimension builders evaluated (and materialised) on first use only."""
 
-    def __init__(self, builders: dict[str, Callable[[], DataFrame]], keep: Callable[[str, DataFrame], DataFrame],
-                 written: set[str]):
-        self._b, self._keep, self._written, self._done = builders, keep, written, {}
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]], keep: Callable[[str, DataFrame], DataFrame]):
+        self._b, self._keep, self._done = builders, keep, {}
 
     def __getitem__(self, k: str) -> DataFrame:
         if k not in self._done:
-            df = self._b[k]()
-            self._done[k] = self._keep(f"dim_{k}", df) if k in self._written else df
+            self._done[k] = self._keep(f"dim_{k}", self._b[k]())
         return self._done[k]
 
     def __iter__(self):
@@ -51,12 +51,10 @@ class Warehouse:
     shared checkpoint folder and read back: later layers then plan against real file
     sizes (the size check behind every broadcast decision), reuse them instead of
     recomputing them, and a lost executor only recomputes from the last written
-    layer. Small dimensions stay lazy; they are cheap to recompute and are broadcast.
+    layer. Every dimension is written as well: those that are distinct values of a large
+    table have that table's size estimate until they are, and could not be broadcast.
     """
 
-    WRITTEN_DIMS = {"product", "customer"}
-    SPREAD_MIN_BYTES = 4 << 20
-
     def __init__(self, spark: SparkSession, sf_dir: str, tables: dict | None = None, mart_method: str = "two_phase",
                  materialize: bool = True):
         self.spark = spark
@@ -72,14 +70,6 @@ class Warehouse:
         from ledgerstar.session import scratch_path
 
         path = scratch_path(self.spark, name)
-        # A layer computed straight from a scan has as many partitions as the input has
-        # splits; when that is fewer than the cores and the layer is not tiny (planner's
-        # size estimate), spread it so that every later stage reading it uses all cores.
-        # On a large input (more splits than cores) this is a no-op.
-        par = self.spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < par and \
-                int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) >= self.SPREAD_MIN_BYTES:
-            df = df.repartition(par)
         df.write.mode("overwrite").parquet(path)
         self.written.append(path)
         # Known schema: no footer-reading job on the way back.
@@ -143,6 +133,20 @@ class Warehouse:
         return self.keep("int_product_price_scd", closed_intervals(
             R.list_price_history(self.t), self.product_current, "product_id", "list_price", flag="is_fallback_price"))
 
+    @cached_property
+    def snap_pricing(self) -> DataFrame:
+        """Snapshot of cost and list price only; every run is written, so run n + 1 reads a table."""
+        snap = None
+        for i, run in enumerate(R.PRODUCT_RUNS, start=1):
+            src = R.product_state(self.t, i).select("product_id", "standard_cost", "list_price", "modified_date")
+            snap = self.keep(f"snap_pricing_run{i}", scd2_apply(snap, src, "product_id", ["standard_cost", "list_price"], run))
+        return snap
+
+    @cached_property
+    def product_timeline(self) -> DataFrame:
+        """Product version, cost and list price over one common set of intervals."""
+        return self.keep("product_timeline", FCT.product_timeline(self.dims["product"], self.cost_intervals, self.price_intervals))
+
     @cached_property
     def address(self) -> DataFrame:
         return D.stg_address(R.addresses(self.t))
@@ -163,7 +167,7 @@ class Warehouse:
             "ship_method": lambda: D.dim_ship_method(R.ship_methods(t)),
             "special_offer": lambda: D.dim_special_offer(R.special_offers(self.detail)),
             "territory": lambda: D.dim_territory(R.territories(t)),
-        }, self.keep, self.WRITTEN_DIMS)
+        }, self.keep)
 
     # ------------------------------------------------------------ facts
     @cached_property
@@ -173,8 +177,7 @@ class Warehouse:
     @cached_property
     def fct_line(self) -> DataFrame:
         return self.keep("fct_sales_order_line", FCT.fct_sales_order_line(
-            self.detail, self.header_resolved, self.dims, self.cost_intervals, self.price_intervals,
-            rollup=self.rollup))
+            self.detail, self.header_resolved, self.dims, self.product_timeline, rollup=self.rollup))
 
     @cached_property
     def fct_order(self) -> DataFrame:
@@ -206,6 +209,44 @@ class Warehouse:
                                               self.dims["date"])
 
 
+# ---------------------------------------------------------------- one warehouse per input folder
+_SHARED: dict[tuple[str, str], Warehouse] = {}
+
+
+def shared(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The warehouse of an input folder in this application: its layers are written once and
+    read by every query. ``close_shared`` (also at interpreter exit) deletes them."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SHARED:
+        _SHARED[key] = Warehouse(spark, sf_dir)
+    return _SHARED[key]
+
+
+def close_shared(spark: SparkSession | None = None) -> None:
+    """Delete what the shared warehouses (of this application, or all) have written."""
+    for key in [k for k in _SHARED if spark is None or k[0] == spark.sparkContext.applicationId]:
+        w = _SHARED.pop(key)
+        try:
+            w.close()
+        except Exception:  # the session is gone: nothing can be deleted through it any more
+            if spark is not None:
+                raise
+
+
+atexit.register(close_shared)
+
+
+LINE_CLUSTER = "sk_order_date"
+
+
+def clustered(line: DataFrame) -> DataFrame:
+    """The line fact dealt and sorted for writing: range partitions on the order date (a busy
+    day is spread by the line key), sorted inside each, so files have narrow date ranges."""
+    line = line.withColumn("order_month", (F.col(LINE_CLUSTER) / 100).cast("int"))
+    return (line.repartitionByRange(LINE_CLUSTER, "sk_sales_order_line")
+            .sortWithinPartitions("order_month", LINE_CLUSTER, "sk_sales_order_line"))
+
+
 def build_all(spark: SparkSession, sf_dir: str, base: str) -> dict[str, str]:
     """Materialise silver, gold and marts under ``base/<layer>/<table>`` in dependency
     order; each later layer reads the written parquet of the earlier ones."""
@@ -216,6 +257,8 @@ def build_all(spark: SparkSession, sf_dir: str, base: str) -> dict[str, str]:
 
     def put(layer: str, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         path = table_path(base, layer, name)
+        if name.startswith(("fct_", "mart_", "bridge_")):
+            df = df.withColumn("dwh_loaded_at", F.current_timestamp())  # audit column of facts and marts
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -231,12 +274,9 @@ def build_all(spark: SparkSession, sf_dir: str, base: str) -> dict[str, str]:
     wh.cost_intervals = put("silver", "int_product_cost_scd", wh.cost_intervals)
     wh.price_intervals = put("silver", "int_product_price_scd", wh.price_intervals)
     wh.dims = {k: put("gold", f"dim_{k}", wh.dims[k]) for k in list(wh.dims)}
-    from pyspark.sql import functions as F
-
-    line = wh.fct_line.withColumn("order_month", (F.col("sk_order_date") / 100).cast("int"))
-    # Range partitions on the date spread a busy month over several tasks and files.
-    put("gold", "fct_sales_order_line", line.repartitionByRange("sk_order_date", "sk_sales_order_line"),
-        partition_by=["order_month"])
+    wh.product_timeline = put("silver", "product_timeline", wh.product_timeline)
+    wh.header_resolved = put("silver", "header_resolved", wh.header_resolved)
+    put("gold", "fct_sales_order_line", clustered(wh.fct_line), partition_by=["order_month"])
     wh.fct_line = spark.read.parquet(written["fct_sales_order_line"])
     wh.fct_order = put("gold", "fct_sales_order", wh.fct_order)
     wh.fct_quota = put("gold", "fct_sales_quota", wh.fct_quota)

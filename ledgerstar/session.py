@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -14,24 +15,29 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.ui.enabled": "false",
-    "spark.driver.memory": "16g",
-    "spark.ui.showConsoleProgress": "false",
 }
 
+# Only for a local master: one JVM holds driver and executors.
+_LOCAL = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"}
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "ledgerstar",
+
+def get_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "ledgerstar",
                 extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings above.
 
-    On a cluster ``master`` stays None so that the submitter decides; tests pass
-    ``local[*]``.
+    On a cluster ``master`` stays None: the submitter decides on memory and partition
+    counts, nothing of the kind is set here. Tests pass ``local[*]``; a local master gets
+    few shuffle partitions unless told otherwise.
     """
     b = SparkSession.builder.appName(app)
+    conf = dict(_DEFAULTS)
     if master:
         b = b.master(master)
-    conf = dict(_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        if master.startswith("local"):
+            conf |= _LOCAL
+            shuffle_partitions = shuffle_partitions or 8
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -42,11 +48,17 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Driver and executors are one process (``local-cluster`` starts executors of its own)."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; that value always wins. Only
-    when nothing is set (local tests) a private scratch folder is created.
+    The cluster names it in ``spark.checkpoint.dir``; that value always wins. When it is
+    unset, a local master gets a private scratch folder; any other master is an error,
+    since executors could not see a folder of the driver.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -54,6 +66,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not is_local(sc.master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder (master {sc.master})")
         d = tempfile.mkdtemp(prefix="ledgerstar-ckpt-", dir=os.environ.get("LEDGERSTAR_SCRATCH", "/tmp"))
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -61,7 +75,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written intermediate tables."""
-    base = checkpoint_dir(spark)
-    import uuid
-
-    return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"

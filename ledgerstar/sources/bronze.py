@@ -48,7 +48,7 @@ def bronze_extract(df: DataFrame, date_col: str, cutoff: str, batch_id: str, sou
 def bronze_children(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Only the children of retained parents (semi join: no parent column, no fan-out)."""
     pk = parent_key or key
-    return child.join(parent.select(F.col(pk).alias(key)).distinct(), key, "left_semi")
+    return child.join(parent.select(F.col(pk).alias(key)), key, "left_semi")
 
 
 def bronze_full(df: DataFrame, batch_id: str, source_file: str | None = None,

@@ -55,12 +55,13 @@ def read_landing(spark: SparkSession, path: str, cols: list[str], encoding: str
 def validate_landing(spark: SparkSession, path: str, cols: list[str], encoding: str = "UTF-8") -> DataFrame:
     """Dry run: the rows that would fail the load, with their raw text.
 
-    Column pruning is switched off for this read so that every row is parsed in full
-    (otherwise a count or a narrow projection would not see a short or long row).
+    Column pruning is off for this read alone, so that every row is parsed in full whatever
+    the caller selects (otherwise a count or a narrow projection would not see a short or
+    long row); no session setting is touched.
     """
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     schema = landing_schema(cols).add(T.StructField(CORRUPT, T.StringType(), True))
-    df = (_reader(spark, schema, encoding, "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    df = (_reader(spark, schema, encoding, "PERMISSIVE").option("columnPruning", "false")
+          .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
     return df.where(F.col(CORRUPT).isNotNull())
 
 

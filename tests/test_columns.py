@@ -8,9 +8,9 @@ from ledgerstar.functions.columns import (NULL_KEY_TOKEN, canonical, clean_text,
 
 
 def test_to_int_rounded_rounds_half_up(spark):
-    df = spark.createDataFrame([("12.5",), (" 7 ",), ("-2.5",), ("3.49",)], "v string")
+    df = spark.createDataFrame([("12.5",), (" 7 ",), ("-2.5",), ("3.49",), ("12.49996",)], "v string")
     out = [r[0] for r in df.select(to_int_rounded("v")).collect()]
-    assert out == [13, 7, -3, 3]
+    assert out == [13, 7, -3, 3, 12]
 
 
 def test_clean_text(spark):

@@ -46,3 +46,95 @@ def test_line_fact_has_no_cartesian_or_nested_loop(spark):
     wh = Warehouse(spark, SF_SMALL, materialize=False)
     p = _plan(wh.fct_line)
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def _hot_lines(spark, n=60_000):
+    lines = spark.range(n).select((F.col("id") % 10 == 0).cast("int").alias("cold"), "id")
+    return lines.select("id", F.when(F.col("cold") == 1, F.col("id") % 997).otherwise(F.lit(5)).alias("product_id"),
+                        F.expr("date_add(date'2020-01-01', cast(id % 300 as int))").alias("order_date"), F.lit("x" * 40).alias("pad"))
+
+
+def test_hot_product_is_split(spark):
+    """90 % of the lines on one product: the one product join of the line fact is skew-split."""
+    iv = spark.range(1000).select(F.col("id").alias("product_id"), F.lit(dt.date(2019, 1, 1)).alias("valid_from"),
+                                  F.lit(dt.date(2030, 1, 1)).alias("valid_to"), F.col("id").alias("cost"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+            "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = asof_join(_hot_lines(spark).repartition(8), iv, "product_id", "order_date", select=["cost"])
+        out = out.select("id", (F.col("cost") + 1).alias("c"))
+        assert len(out.collect()) == 60_000
+        assert "isSkew=true" in out._jdf.queryExecution().executedPlan().toString() or "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_small_dimensions_broadcast_and_pages_read_the_stored_fact(spark):
+    from ledgerstar.plans.warehouse import close_shared, shared
+
+    from conftest import SF_SMALL
+    wh = shared(spark, SF_SMALL)
+    assert shared(spark, SF_SMALL) is wh
+    for k in ("order_status", "ship_method", "special_offer"):
+        plan = wh.header.select(F.col("ship_method_id").alias("x")).join(wh.dims[k], F.col("x") == F.col(wh.dims[k].columns[0]).cast("string"), "left")
+        assert "BroadcastHashJoin" in _plan(plan), k
+        assert "file" in _plan(wh.dims[k]).lower()
+    p = _plan(wh.fct_line.groupBy("sk_order_date").count())
+    assert "Scan parquet" in p and "Join" not in p
+    paths = list(wh.written)
+    close_shared(spark)
+    import os
+    assert paths and not any(os.path.exists(x.replace("file:", "")) for x in paths)
+
+
+def test_keep_runs_the_jobs_of_a_plain_write(spark):
+    from ledgerstar.plans.warehouse import Warehouse
+    from ledgerstar.session import scratch_path
+
+    from conftest import SF_SMALL
+    wh = Warehouse(spark, SF_SMALL)
+    df = wh.t["orders"].groupBy("o_custkey").count()
+    sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+
+    def jobs(name, fn):
+        sc.setJobGroup(name, name)
+        fn()
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(name))
+
+    plain = jobs("plain-write", lambda: df.write.parquet(scratch_path(spark, "plain")))
+    assert jobs("keep-write", lambda: wh.keep("kept", df)) == plain
+
+
+def test_session_sets_no_sizes_on_a_cluster(monkeypatch):
+    from ledgerstar import session
+
+    seen = {}
+
+    class Builder:
+        def appName(self, _):
+            return self
+
+        def master(self, _):
+            return self
+
+        def config(self, k, v):
+            seen[k] = v
+            return self
+
+        def getOrCreate(self):
+            raise StopIteration
+
+    monkeypatch.setattr(session, "SparkSession", type("S", (), {"builder": Builder()}))
+    for call in (lambda: session.get_session(),):
+        try:
+            call()
+        except StopIteration:
+            pass
+    assert not {"spark.sql.shuffle.partitions", "spark.driver.memory"} & set(seen)
+    assert session.is_local("local[4]") and not session.is_local("local-cluster[2,1,1024]") and not session.is_local("yarn")

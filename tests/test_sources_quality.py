@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerstar.operators import quality as Q
-from ledgerstar.operators.incremental import changed_rows, incremental_slice, merge_partitions, merge_upsert
+from ledgerstar.operators.incremental import (DuplicateKeys, changed_rows, incremental_slice, list_versions, merge_table, merge_upsert,
+                                              read_current, write_table)
 from ledgerstar.sources import bronze as SB
 from ledgerstar.sources import landing as SL
 
@@ -71,17 +72,95 @@ def test_net_gap_and_mutation(spark):
     assert [r[0] for r in rows(Q.net_gap(broken, header, "o", "net", "sub"))] == [1, 2]
 
 
-def test_merge_is_idempotent_and_partition_scoped(spark):
+def test_merge_is_idempotent_and_partition_scoped(spark, tmp_path):
     tgt = spark.createDataFrame([(1, "a", "m1"), (2, "b", "m1"), (3, "c", "m2")], "k int, v string, p string")
     src = spark.createDataFrame([(2, "B", "m1"), (4, "d", "m3")], "k int, v string, p string")
     once = merge_upsert(tgt, src, ["k"])
     assert rows(once) == [(1, "a", "m1"), (2, "B", "m1"), (3, "c", "m2"), (4, "d", "m3")]
     assert rows(changed_rows(once, merge_upsert(once, src, ["k"]))) == []
-    d = tempfile.mkdtemp(prefix="merge-", dir="/tmp")
-    table = os.path.join(d, "t")
-    tgt.write.partitionBy("p").parquet(table)
-    merge_partitions(spark, table, src, ["k"], "p", os.path.join(d, "staging"))
-    assert rows(spark.read.parquet(table).select("k", "v", "p")) == rows(once)
+    base = str(tmp_path / "t")
+    write_table(tgt, base, "p")
+    assert merge_table(spark, base, src, "k", "p") == 2
+    assert rows(read_current(spark, base)) == rows(once)
+    assert merge_table(spark, base, src, "k", "p") == 3
+    assert rows(read_current(spark, base)) == rows(once)          # replay changes nothing
+    assert rows(read_current(spark, base, 1)) == rows(tgt)        # the old version is untouched
+    runs = {f.split("/")[0] for v in (1, 3) for f in [r["folder"] for r in spark.read.parquet(f"{base}/versions/v={v}").collect()] if f.endswith("p=m2")}
+    assert len(runs) == 1                                         # the untouched month was never rewritten
+
+
+def test_merge_moves_keys_between_partitions_and_keeps_null(spark, tmp_path):
+    base, schema = str(tmp_path / "t"), "k int, d date, p string"
+    day = dt.date
+    write_table(spark.createDataFrame([(1, day(2020, 1, 5), "2020-01"), (2, day(2020, 1, 29), "2020-01"), (3, None, None), (4, None, None)], schema), base, "p")
+    src = spark.createDataFrame([(2, day(2020, 2, 2), "2020-02"), (3, day(2020, 2, 3), "2020-02"), (5, None, None)], schema)
+    merge_table(spark, base, src, "k", "p")
+    assert rows(read_current(spark, base)) == [(1, day(2020, 1, 5), "2020-01"), (2, day(2020, 2, 2), "2020-02"), (3, day(2020, 2, 3), "2020-02"),
+                                               (4, None, None), (5, None, None)]
+
+
+def test_merge_refuses_duplicate_source_keys(spark, tmp_path):
+    tgt = spark.createDataFrame([(1, "a")], "k int, p string")
+    twice = spark.createDataFrame([(1, "b"), (1, "c")], "k int, p string")
+    with pytest.raises(DuplicateKeys):
+        merge_upsert(tgt, twice, "k")
+    base = str(tmp_path / "t")
+    write_table(tgt, base, "p")
+    with pytest.raises(DuplicateKeys):
+        merge_table(spark, base, twice, "k", "p")
+    assert rows(read_current(spark, base)) == [(1, "a")]
+
+
+def test_failed_merge_leaves_the_old_version(spark, tmp_path):
+    base = str(tmp_path / "t")
+    write_table(spark.createDataFrame([(1, 1, "x")], "k int, v int, p string"), base, "p")
+    broken = spark.createDataFrame([(2, 0, "y")], "k int, v int, p string").withColumn("v", (F.lit(1) / F.col("v")).cast("int"))
+    with pytest.raises(Exception):
+        merge_table(spark, base, broken, "k", "p")
+    assert list_versions(spark, base) == [1] and rows(read_current(spark, base)) == [(1, 1, "x")]
+
+
+def test_stream_of_many_batches_keeps_old_rows(spark, tmp_path):
+    from ledgerstar.streaming.merge_stream import run_bound, stream_merge
+
+    land, table, ckpt = (str(tmp_path / x) for x in ("land", "table", "ckpt"))
+    schema = "id int, ts timestamp_ntz, v int"
+    first = [(1, dt.datetime(2024, 1, 20), 1)], [(2, dt.datetime(2024, 1, 5), 1)], [(3, None, 1)], [(4, dt.datetime(2024, 1, 19), 1)]
+    for k, part in enumerate(first):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{land}/a{k}")
+    stream_merge(spark, land, spark.createDataFrame([], schema).schema, table, ckpt, ["id"], "ts", files_per_trigger=1)
+    assert sorted(r["id"] for r in read_current(spark, table).collect()) == [1, 2, 3, 4]
+    # second landing: one row moves to another day, one is older than the look-back, one arrives twice
+    for k, part in enumerate([[(1, dt.datetime(2024, 1, 22), 2)], [(5, dt.datetime(2024, 1, 2), 2)], [(4, dt.datetime(2024, 1, 21), 3)], [(4, dt.datetime(2024, 1, 20), 2)]]):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{land}/b{k}")
+    assert run_bound(spark, table, ckpt, "ts", 3) == dt.date(2024, 1, 17) == run_bound(spark, "/nowhere", ckpt, "ts", 3)  # kept until the run ends
+    stream_merge(spark, land, spark.createDataFrame([], schema).schema, table, ckpt, ["id"], "ts", files_per_trigger=1)
+    got = sorted(((r["id"], r["v"]) for r in read_current(spark, table).collect()))
+    assert got == [(1, 2), (2, 1), (3, 1), (4, 3)]
+
+
+def test_validation_touches_no_session_setting(spark, tmp_path):
+    key = "spark.sql.csv.parser.columnPruning.enabled"
+    before = spark.conf.get(key)
+    p = str(tmp_path / "bad.tsv")
+    _write(p, "1\tx\ty\n2\tshort\n")
+    assert len(SL.validate_landing(spark, p, COLS).select(SL.CORRUPT, "a").collect()) == 1 and spark.conf.get(key) == before
+
+
+def test_overlap_gate_names_nested_versions(spark):
+    day = dt.date
+    iv = [(1, "a", day(2020, 1, 1), day(2021, 1, 1)), (1, "b", day(2020, 2, 1), day(2020, 3, 1)), (1, "c", day(2020, 5, 1), day(2020, 6, 1)),
+          (2, "a", day(2020, 1, 1), day(2020, 2, 1)), (2, "b", day(2020, 2, 1), day(2020, 3, 1)), (-1, "x", day(2020, 1, 1), day(2021, 1, 1))]
+    df = spark.createDataFrame(iv, "k int, v string, valid_from date, valid_to date")
+    assert rows(Q.no_overlap(df, "k", "v")) == [(1, "b", day(2021, 1, 1)), (1, "c", day(2021, 1, 1))]
+
+
+def test_declared_checks_count_failures(spark):
+    df = spark.createDataFrame([(1, "A"), (1, None), (2, "Z"), (None, "B")], "k int, c string")
+    assert rows(Q.declared_checks(df, ["k", "c"], ["k"], {"c": ["A", "B"]})) == [
+        ("accepted_values", "c", 1), ("not_null", "c", 1), ("not_null", "k", 1), ("unique", "k", 1)]
+    dim = spark.createDataFrame([(1,)], "k int")
+    assert rows(Q.declared_relationships(df, {"k": (dim, "k")})) == [("relationships", "k", 1)]
 
 
 def test_incremental_slice_lookback(spark):

@@ -3,7 +3,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from ledgerstar.operators.staging import latest_per_key
-from ledgerstar.operators.windows import global_rank, keyed_lag
+from ledgerstar.operators.windows import global_rank, keyed_lag, keyed_running_max
 
 from conftest import rows
 
@@ -38,6 +38,22 @@ def test_keyed_lag_hot_key_spans_partitions(spark):
     assert a == b
 
 
+def test_running_max_of_a_hot_key(spark):
+    from pyspark.sql import Window as W
+
+    data = [(0, i, (i * 37) % 101) for i in range(200)] + [(k, i, i) for k in range(1, 6) for i in range(3)]
+    df = spark.createDataFrame(data, "k int, t int, v int")
+    w = W.partitionBy("k").orderBy("t").rowsBetween(W.unboundedPreceding, -1)
+    want = rows(df.withColumn("m", F.max("v").over(w)))
+    assert rows(keyed_running_max(df, ["k"], ["t"], "v", out="m", num_partitions=7)) == want
+
+
+def test_rank_of_whole_tables_needs_no_second_exchange(spark):
+    df = spark.range(1000).withColumn("v", F.col("id") % 7)
+    p = global_rank(df, ["v", "id"], ntiles={"q": 5}, num_partitions=4)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_pid" not in p.split("BroadcastExchange")[0]
+
+
 def test_latest_per_key(spark):
     import datetime as dt
     df = spark.createDataFrame([(1, dt.date(2020, 1, 1), "a"), (1, dt.date(2020, 1, 2), "b"),
