@@ -1,22 +1,19 @@
 """The pipeline: every stage held against its operator's brute force on the stage's own input."""
 
 import re
-import sys
-from pathlib import Path
-
-sys.path.insert(0, str(Path(__file__).parent))
-
-import corpus_pipeline  # noqa: E402
-import public_tokenizers  # noqa: E402
-from test_contamination import brute as brute_contamination  # noqa: E402
-from test_contamination import words  # noqa: E402
-from test_mixing import brute_mix  # noqa: E402
-from test_quality import brute as brute_quality  # noqa: E402
-from test_simhash import brute_classes, brute_fp  # noqa: E402
-from test_token_planes import want_of  # noqa: E402
-from tokenizers import Tokenizer  # noqa: E402
-
-from ledgerstar.llm.common import cut, table  # noqa: E402
+
+
+import corpus_pipeline
+import public_tokenizers
+from llm.test_contamination import brute as brute_contamination
+from llm.test_contamination import words
+from llm.test_mixing import brute_mix
+from llm.test_quality import brute as brute_quality
+from llm.test_simhash import brute_classes, brute_fp
+from llm.test_token_planes import want_of
+from tokenizers import Tokenizer
+
+from ledgerstar.llm.common import cut, table
 
 
 def test_stages(spark, sf):
