@@ -1126,3 +1126,95 @@ def _declared_sql() -> str:
 
 
 register("dq_declared", O.with_blocks(_declared_sql()))(_declared)
+
+
+# ================================================================== every derivable silver model, over landed text
+from ledgerstar.plans import roles as ROLES  # noqa: E402
+
+# model: (role frame of the warehouse, oracle source of the same rows, the columns that the role fills)
+STAGED = {
+    "stg_address": (lambda w: ROLES.addresses(w.t), "addr_raw", "address_id address_line1 address_line2 city state_province_id postal_code modified_date"),
+    "stg_contryregion": (lambda w: ROLES.country_regions(w.t), "countries", "country_region_code country_region_name"),
+    "stg_currency": (lambda w: ROLES.currencies(w.t), "(SELECT * FROM dim_currency WHERE sk_currency <> '-1') x", "currency_code currency_name modified_date"),
+    "stg_employe": (lambda w: ROLES.employees(w.t), "employees", "business_entity_id job_title gender marital_status hire_date"),
+    "stg_listpricehistory": (lambda w: ROLES.list_price_history(w.t), "price_hist", "product_id start_date end_date list_price modified_date"),
+    "stg_orderdetail": (lambda w: w.detail, "detail", "sales_order_id order_quantity product_id special_offer_id unit_price unit_price_discount modified_date"),
+    "stg_orderheadersalesreason": (lambda w: w.reason_pairs, "reason_pairs", "sales_order_id sales_reason_id modified_date"),
+    "stg_personne": (lambda w: ROLES.persons(w.t), "persons", "business_entity_id first_name last_name"),
+    "stg_personquotahistory": (lambda w: ROLES.quota_history(w.t), "quota_hist", "business_entity_id quota_date sales_quota"),
+    "stg_product": (lambda w: w.product_current, "prod_current", "product_id product_name product_number standard_cost list_price modified_date"),
+    "stg_productcategory": (lambda w: ROLES.product_categories(w.t), "cat", "product_category_id product_category_name"),
+    "stg_productcosthistory": (lambda w: ROLES.cost_history(w.t), "cost_hist", "product_id start_date end_date standard_cost modified_date"),
+    "stg_productsubcat": (lambda w: ROLES.product_subcategories(w.t), "subcat", "product_subcategory_id product_category_id product_subcategory_name"),
+    "stg_reason": (lambda w: ROLES.sales_reasons(w.reason_pairs), "reasons", "sales_reason_id sales_reason_name reason_type modified_date"),
+    "stg_shipmethod": (lambda w: ROLES.ship_methods(w.t), "(SELECT * FROM dim_ship_method WHERE sk_ship_method <> -1) x",
+                       "ship_method_id ship_method_name ship_base ship_rate modified_date"),
+    "stg_stateprovince": (lambda w: ROLES.state_provinces(w.t), "provinces", "state_province_id state_province_code state_province_name country_region_code"),
+    "stg_store": (lambda w: ROLES.stores(w.t), "stores", "business_entity_id store_name"),
+}
+
+
+def _staged(model: str):
+    role, _, listed = STAGED[model]
+
+    def run(s, d):
+        """The role written as a headerless text file in the model's layout (unfilled columns empty, the row
+        id a digest of the first key), read strictly, and staged by the model's spec."""
+        w, spec = wh(s, d), SR.spec(model)
+        df = role(w)
+        filled = set(listed.split()) & {c.name for c in spec}
+        key = next(c.name for c in spec if c.name in filled)
+        cols = [F.col(c.name).cast("string") if c.name in filled else F.md5(F.col(key).cast("string")) if c.name == "row_guid"
+                else F.lit(None).cast("string") for c in spec]
+        path = scratch_path(s, f"landing-{model}")
+        w.written.append(path)
+        SL.write_landing(df.select(*[e.alias(c.raw) for e, c in zip(cols, spec)]), path)
+        return apply_spec(SL.read_landing(s, path, SR.landing_columns(model)), spec).select(*[c.name for c in spec])
+
+    return run
+
+
+def _staged_sql(model: str) -> str:
+    _, source, listed = STAGED[model]
+    spec = SR.spec(model)
+    filled = [c for c in spec if c.name in set(listed.split())]
+    kinds = {"i": "i", "bi": "i", "d": "d", "ts": "t", "b": "b"}
+    empty = {"i": "BIGINT", "m": "DOUBLE", "b": "BOOLEAN"}
+    out = {}
+    for c in spec:
+        k = "m" if c.kind.startswith("dec") else kinds.get(c.kind, "s")
+        if c in filled:
+            out[c.name] = f"expr:s:nullif(trim(CAST({c.name} AS VARCHAR)), '')" if k == "s" else k
+        elif c.name == "row_guid":
+            out[c.name] = f"expr:s:md5(CAST({filled[0].name} AS VARCHAR))"
+        else:
+            out[c.name] = f"expr:s:CAST(NULL AS {empty.get(k, 'VARCHAR')})"
+    return O.canonical_select(out, source)
+
+
+for _m in STAGED:
+    register("silver_" + _m[4:], _staged_sql(_m))(_staged(_m))
+
+
+def _load_metadata(s, d):
+    """Orders landed as files with a column that is dropped on load, loaded strictly into bronze with the scanned
+    file's name, the load time and a generated batch id, and read back through the source registry."""
+    w = wh(s, d)
+    base = scratch_path(s, "bronze-load")
+    w.written.append(base)
+    text = orders_text(w.t).withColumn("xmldata", F.lit("<a/>"))
+    path = SL.write_landing(text, f"{base}/landing")
+    SL.load_landing(s, path, text.columns, f"{base}/loaded", drop_cols=["xmldata"])
+    bronze = SB.with_load_metadata(s.read.parquet(f"{base}/loaded"), SB.new_batch_id())
+    target = SR.source_path(base, "sales.salesorderheader")
+    bronze.write.mode("overwrite").parquet(target)
+    back = s.read.parquet(target)
+    named = back.groupBy("_batch_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("_source_file").rlike(r"^part-.*\.parquet$")).alias("n_named"),
+                                          F.count_if(F.col("_loaded_at").isNotNull()).alias("n_timed"))
+    return named.select("n_rows", "n_named", "n_timed", F.col("_batch_id").rlike(r"^init_[0-9]{8}_[0-9]{6}$").alias("batch_ok"),
+                        F.lit(",".join(sorted(c for c in back.columns if not c.startswith("_")))).alias("columns"))
+
+
+register("src_load_metadata", O.canonical_select(
+    {"n_rows": "expr:i:count(*)", "n_named": "expr:i:count(*)", "n_timed": "expr:i:count(*)", "batch_ok": "expr:b:true",
+     "columns": "expr:s:'customerid,orderdate,salesorderid'"}, "orders"))(_load_metadata)

@@ -331,3 +331,23 @@ def landing_columns(model: str) -> list[str]:
 
 
 MODELS = list(_SPECS)
+
+
+def source_path(base: str, table: str, layer: str = "bronze") -> str:
+    """``<base>/<layer>/<schema>/<table>`` of a declared source table; an undeclared name fails."""
+    if table not in SOURCES:
+        raise KeyError(f"{table!r} is not a declared source table")
+    return f"{base.rstrip('/')}/{layer}/{table.replace('.', '/')}"
+
+
+def source_columns(table: str) -> list[str]:
+    """Raw columns that the silver models take from a source table, in landing order."""
+    if table == "sales.salesorderheader":
+        return list(ORDER_HEADER_LANDING)
+    return next((landing_columns(m) for m in MODELS if source_of(m) == table), [])
+
+
+def read_source(spark, base: str, table: str, layer: str = "bronze"):
+    """A declared source table as all-text rows with its declared columns (missing ones fail)."""
+    df = spark.read.parquet(source_path(base, table, layer))
+    return df.select(*source_columns(table)) if source_columns(table) else df
