@@ -1218,3 +1218,108 @@ def _load_metadata(s, d):
 register("src_load_metadata", O.canonical_select(
     {"n_rows": "expr:i:count(*)", "n_named": "expr:i:count(*)", "n_timed": "expr:i:count(*)", "batch_ok": "expr:b:true",
      "columns": "expr:s:'customerid,orderdate,salesorderid'"}, "orders"))(_load_metadata)
+
+
+# ================================================================== relational operators on their own
+from ledgerstar.functions.columns import surrogate_key  # noqa: E402
+from ledgerstar.operators import star as STAR  # noqa: E402
+
+
+def _rel_semi(s, d):
+    """Orders with a line of at least 49 pieces."""
+    t = R_load(s, d)
+    big = t["lineitem"].where(F.col("l_quantity") >= 49).select(F.col("l_orderkey").alias("o_orderkey"))
+    return t["orders"].select("o_orderkey", "o_custkey").join(big, "o_orderkey", "left_semi")
+
+
+register("rel_semi", O.canonical_select({"o_orderkey": "i", "o_custkey": "i"}, "orders",
+                                        where="o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity >= 49)"))(_rel_semi)
+
+
+def _rel_anti(s, d):
+    """Customers without an urgent order."""
+    t = R_load(s, d)
+    urgent = t["orders"].where(F.col("o_orderpriority").startswith("1")).select(F.col("o_custkey").alias("c_custkey"))
+    return t["customer"].select("c_custkey", "c_name").join(urgent, "c_custkey", "left_anti")
+
+
+register("rel_anti", O.canonical_select({"c_custkey": "i", "c_name": "s"}, "customer c",
+                                        where="NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority LIKE '1%')"))(_rel_anti)
+
+
+def _rel_full_outer(s, d):
+    """Orders placed and lines shipped per customer group and month; either side may be missing."""
+    t = R_load(s, d)
+    placed = t["orders"].groupBy((F.col("o_custkey") % 50).alias("grp"), F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.count(F.lit(1)).alias("placed"))
+    shipped = t["lineitem"].groupBy((F.col("l_suppkey") % 50).alias("grp"), F.date_format("l_shipdate", "yyyy-MM").alias("month")).agg(F.count(F.lit(1)).alias("shipped"))
+    return placed.join(shipped, ["grp", "month"], "full_outer").select("grp", "month", F.coalesce("placed", F.lit(0)).alias("placed"), F.coalesce("shipped", F.lit(0)).alias("shipped"))
+
+
+register("rel_full_outer", O.canonical_select(
+    {"grp": "i", "month": "s", "placed": "expr:i:sum(p)", "shipped": "expr:i:sum(q)"},
+    "(SELECT o_custkey % 50 AS grp, strftime(o_orderdate, '%Y-%m') AS month, 1 AS p, 0 AS q FROM orders UNION ALL "
+    "SELECT l_suppkey % 50, strftime(l_shipdate, '%Y-%m'), 0, 1 FROM lineitem) u", extra="GROUP BY grp, month"))(_rel_full_outer)
+
+
+def _rel_literal(s, d):
+    w = wh(s, d)
+    o = w.t["orders"].select("o_orderkey")
+    known = STAR.literal_key_join(o, w.dims["currency"], "currency_code", "USD", "sk_currency", "sk_reporting")
+    return STAR.literal_key_join(known, w.dims["currency"], "currency_code", "XXX", "sk_currency", "sk_missing")
+
+
+register("rel_literal_key", O.canonical_select({"o_orderkey": "i", "sk_reporting": "expr:s:'USD'", "sk_missing": "expr:s:'-1'"}, "orders"))(_rel_literal)
+
+
+def _rel_roles(s, d):
+    """One dimension in two roles: the nation of the supplier and of the customer of every line."""
+    t = R_load(s, d)
+    n = t["nation"].select("n_nationkey", "n_name")
+    line = (t["lineitem"].join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey")).join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
+            .join(t["supplier"], F.col("l_suppkey") == F.col("s_suppkey")))
+    line = line.join(n.toDF("ck", "customer_nation"), F.col("c_nationkey") == F.col("ck"), "left").join(n.toDF("sk", "supplier_nation"), F.col("s_nationkey") == F.col("sk"), "left")
+    return line.groupBy("supplier_nation", "customer_nation").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+register("rel_role_playing", O.canonical_select(
+    {"supplier_nation": "expr:s:a.n_name", "customer_nation": "expr:s:b.n_name", "n_lines": "expr:i:count(*)"},
+    "lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey "
+    "LEFT JOIN nation a ON s_nationkey = a.n_nationkey LEFT JOIN nation b ON c_nationkey = b.n_nationkey", extra="GROUP BY a.n_name, b.n_name"))(_rel_roles)
+
+
+def _rel_hash(s, d):
+    """Orders joined to the distinct (status, priority) pairs on a computed hash key."""
+    o = R_load(s, d)["orders"]
+    pairs = o.select("o_orderstatus", "o_orderpriority").distinct().select(surrogate_key("o_orderstatus", "o_orderpriority").alias("pair_key"), F.col("o_orderstatus").alias("pair_status"))
+    return (o.withColumn("pair_key", surrogate_key("o_orderstatus", "o_orderpriority")).join(pairs, "pair_key")
+            .groupBy("pair_key", "pair_status").agg(F.count(F.lit(1)).alias("n_orders")))
+
+
+register("rel_hash_key", O.canonical_select(
+    {"pair_key": f"expr:s:{O.skey('o_orderstatus', 'o_orderpriority')}", "pair_status": "expr:s:o_orderstatus", "n_orders": "expr:i:count(*)"},
+    "orders", extra="GROUP BY o_orderstatus, o_orderpriority"))(_rel_hash)
+
+
+def _rel_scalar(s, d):
+    """Orders later than the median day between the first and the last, by a scalar subquery."""
+    o = R_load(s, d)["orders"].select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+    half = o.agg(F.date_add(F.min("day"), (F.datediff(F.max("day"), F.min("day")) / 2).cast("int"))).scalar()
+    return o.where(F.col("day") > half)
+
+
+register("rel_cross_scalar", O.canonical_select(
+    {"o_orderkey": "i", "day": "expr:d:CAST(o_orderdate AS DATE)"}, "orders",
+    where="CAST(o_orderdate AS DATE) > (SELECT CAST(min(o_orderdate) AS DATE) + CAST(date_diff('day', CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE)) // 2 AS INTEGER) FROM orders)"))(_rel_scalar)
+
+register("rel_distinct", O.canonical_select({"l_suppkey": "i", "l_returnflag": "s"}, "(SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem) x"))(
+    lambda s, d: R_load(s, d)["lineitem"].select("l_suppkey", "l_returnflag").distinct())
+
+register("rel_topk", O.canonical_select(
+    {"o_orderkey": "i", "price": "expr:m:CAST(o_totalprice AS DECIMAL(19,2))"}, "orders", extra="ORDER BY CAST(o_totalprice AS DECIMAL(19,2)) DESC, o_orderkey LIMIT 20"))(
+    lambda s, d: R_load(s, d)["orders"].select("o_orderkey", F.col("o_totalprice").cast("decimal(19,2)").alias("price")).orderBy(F.desc("price"), "o_orderkey").limit(20))
+
+register("rel_union_label", O.canonical_select(
+    {"label": "s", "id": "i", "name": "s"},
+    "(SELECT 'customer' AS label, c_custkey AS id, c_name AS name FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier) u"))(
+    lambda s, d: Q.union_labelled({"customer": R_load(s, d)["customer"].select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")),
+                                   "supplier": R_load(s, d)["supplier"].select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))}))
