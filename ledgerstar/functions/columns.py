@@ -101,21 +101,26 @@ def off_by_more_than(a, b, eps: float = 0.01) -> Column:
     return F.abs(col(a) - col(b)) > F.lit(eps)
 
 
+EXACT = T.DecimalType(38, 8)   # comparison form of money
+
+
 def canonical(df: DataFrame) -> DataFrame:
-    """Comparison form of a result: decimals as double, integers as bigint, dates and
-    timestamps as ISO text. Values are unchanged; only the representation is fixed so
-    that another engine's result can be hashed against it."""
+    """Comparison form of a result: decimals as exact text of eight decimals, integers as bigint,
+    dates and timestamps (to the microsecond) as ISO text, so that another engine's result can be
+    hashed against it and no difference is lost in a double."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         t = f.dataType
-        if isinstance(t, T.DecimalType) or isinstance(t, T.FloatType):
+        if isinstance(t, T.DecimalType):
+            c = c.cast(EXACT).cast("string")
+        elif isinstance(t, T.FloatType):
             c = c.cast("double")
         elif isinstance(t, (T.ByteType, T.ShortType, T.IntegerType)):
             c = c.cast("bigint")
         elif isinstance(t, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         out.append(c.alias(f.name))
     return df.select(*out)

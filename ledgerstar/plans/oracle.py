@@ -3,7 +3,7 @@ Spark plans are compared with.
 
 Each named block is one CTE; :func:`with_blocks` puts the blocks a query needs (with
 their dependencies, in order) in front of its final SELECT. Comparison form of the
-output (see ``functions.columns.canonical``): decimals as DOUBLE via their exact text,
+output (see ``functions.columns.canonical``): decimals as exact text of eight decimals,
 integers as BIGINT, dates and timestamps as ISO text.
 """
 
@@ -600,13 +600,13 @@ def canonical_select(cols: dict[str, str], source: str, where: str = "", extra:
         if kind == "i":
             out.append(f"CAST({expr} AS BIGINT) AS {name}")
         elif kind == "m":
-            out.append(f"{dbl(expr)} AS {name}")
+            out.append(f"CAST(CAST({expr} AS DECIMAL(38,8)) AS VARCHAR) AS {name}")
         elif kind == "f":
             out.append(f"CAST({expr} AS DOUBLE) AS {name}")
         elif kind == "d":
             out.append(f"{d_text(expr)} AS {name}")
         elif kind == "t":
-            out.append(f"{ts_text(expr)} AS {name}")
+            out.append(f"strftime({expr}, '%Y-%m-%d %H:%M:%S.%f') AS {name}")
         else:
             out.append(f"{expr} AS {name}")
     sql = f"SELECT {', '.join(out)} FROM {source}"

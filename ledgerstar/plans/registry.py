@@ -196,7 +196,7 @@ register("bq_pareto_curve", O.canonical_select(
 register("bq_top_products", O.canonical_select(
     {"product": "expr:s:product_name", "category": "expr:s:category_name", "revenue": "expr:m:round(revenue, 0)",
      "margin_pct": "expr:f:round(margin_pct * 100, 1)", "class": "expr:s:abc_class"},
-    "mart_pareto", extra="ORDER BY revenue DESC, sk_product LIMIT 20"))(
+    "mart_pareto", extra="ORDER BY mart_pareto.revenue DESC, sk_product LIMIT 20"))(
     lambda s, d: BQ.top_products(wh(s, d).mart_pareto))
 
 register("bq_attainment", O.canonical_select(
@@ -874,7 +874,7 @@ def _stream(s, d, files: int = 1, per_trigger: int = 1000):
 
 
 _STREAM_SQL = O.canonical_select(
-    {"event_id": "i", "ts": "expr:s:strftime(ts, '%Y-%m-%d %H:%M:%S')", "user_id": "i", "event_type": "s",
+    {"event_id": "i", "ts": "t", "user_id": "i", "event_type": "s",
      "value": f"expr:f:CASE WHEN ts >= TIMESTAMP '{STREAM_REPLAY_FROM}' AND event_id % 50 = 0 THEN value + 1 "
               "ELSE value END"}, "events")
 register("inc_stream", _STREAM_SQL)(_stream)
@@ -1179,7 +1179,7 @@ def _staged_sql(model: str) -> str:
     spec = SR.spec(model)
     filled = [c for c in spec if c.name in set(listed.split())]
     kinds = {"i": "i", "bi": "i", "d": "d", "ts": "t", "b": "b"}
-    empty = {"i": "BIGINT", "m": "DOUBLE", "b": "BOOLEAN"}
+    empty = {"i": "BIGINT", "b": "BOOLEAN"}
     out = {}
     for c in spec:
         k = "m" if c.kind.startswith("dec") else kinds.get(c.kind, "s")
@@ -1323,3 +1323,19 @@ register("rel_union_label", O.canonical_select(
     "(SELECT 'customer' AS label, c_custkey AS id, c_name AS name FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier) u"))(
     lambda s, d: Q.union_labelled({"customer": R_load(s, d)["customer"].select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")),
                                    "supplier": R_load(s, d)["supplier"].select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))}))
+
+
+def _dates_used(s, d):
+    """The generated date spine with what happens on each of its days: orders placed, lines shipped."""
+    w = wh(s, d)
+    day = w.dims["date"].where("sk_date <> -1").select("sk_date", "date_actual", "year_quarter", "is_weekend")
+    placed = w.t["orders"].groupBy(F.col("o_orderdate").cast("date").alias("date_actual")).agg(F.count(F.lit(1)).alias("placed"))
+    shipped = w.t["lineitem"].groupBy(F.col("l_shipdate").cast("date").alias("date_actual")).agg(F.count(F.lit(1)).alias("shipped"))
+    both = day.join(placed, "date_actual", "left").join(shipped, "date_actual", "left")
+    return both.select("sk_date", "year_quarter", "is_weekend", F.coalesce("placed", F.lit(0)).alias("placed"), F.coalesce("shipped", F.lit(0)).alias("shipped"))
+
+
+register("dim_date_used", O.canonical_select(
+    {"sk_date": "i", "year_quarter": "s", "is_weekend": "b",
+     "placed": "expr:i:(SELECT count(*) FROM orders WHERE CAST(o_orderdate AS DATE) = date_actual)",
+     "shipped": "expr:i:(SELECT count(*) FROM lineitem WHERE CAST(l_shipdate AS DATE) = date_actual)"}, "dim_date", where="sk_date <> -1"))(_dates_used)
