@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -34,11 +36,41 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     executor. The folder is the one named by ``spark.checkpoint.dir``.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder, deleted by :func:`clean_up`."""
+    path = scratch_path(spark, name)
+    _WRITTEN.append((spark, path))
+    return path
+
+
+def clean_up() -> None:
+    """Delete all tables that operators of this process have written. Results that were not yet
+    collected or written can no longer be computed afterwards. Runs at interpreter exit too."""
+    while _WRITTEN:
+        spark, path = _WRITTEN.pop()
+        sc = spark.sparkContext
+        if sc._jsc is None:  # the session has ended
+            continue
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _at_exit() -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone by then
+        clean_up()
+
+
+atexit.register(_at_exit)
+
+
 def ident(name: str) -> Column:
     """A column by its exact name (dots and back-ticks are part of the name)."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -10,8 +10,9 @@ words is one string). For a set of strings of at least ``m`` words:
   lists those strings, and each is compared with the document word by word.
 
 Strings are grouped by length class so that one short item does not shorten the moves for all others.
-The benchmark is cut into sets of at most ``MAX_STRINGS`` strings, each of which is a bounded table
-sent to the executors; a larger benchmark is searched set after set in the same pass over a batch.
+The benchmark is a stated query set, read item by item. A search table holds at most ``MAX_STRINGS``
+strings, which bounds what is sent to the executors; a larger benchmark is searched table after table,
+each in a pass of its own over the texts, whose findings are written before the next begins.
 """
 
 from __future__ import annotations
@@ -26,10 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerstar.llm.common import arrow_map, arrow_schema, ident, pack
+from ledgerstar.llm.common import arrow_map, arrow_schema, cut, ident, pack
 
 WINDOW = 13
-MAX_STRINGS = 200_000   # strings in one search table (about 100 MB)
+MAX_STRINGS = 100_000   # strings in one search table (about 60 MB in a Python worker)
 LENGTH_CLASSES = (1, 2, 3, 5, 8, 13)
 
 # Digits and letters stay, A-Z as a-z, any other ASCII character separates words; bytes from 0x80 stay.
@@ -95,22 +96,28 @@ class Searcher:
     owners: list[list[frozenset[str]]]
 
     @classmethod
-    def build(cls, items: Iterator[tuple[str, str | None]], window: int = WINDOW, max_strings: int = MAX_STRINGS) -> Searcher:
-        held: dict[tuple[bytes, ...], set[str]] = {}
-        for item, text in items:
-            for w in windows_of(words_of(text), window):
-                held.setdefault(w, set()).add(item)
+    def build(cls, held: dict[tuple[bytes, ...], set[str]], window: int = WINDOW) -> Searcher:
+        """From strings and the items that hold each."""
         classes: dict[int, list] = {}
         for s in sorted(held):
             m = len(s) if len(s) == window else max(c for c in LENGTH_CLASSES if c <= len(s))
             classes.setdefault(m, []).append(s)
-        tables, owners = [], []
-        for m, strings in sorted(classes.items()):
-            for at in range(0, len(strings), max_strings):
-                part = strings[at:at + max_strings]
-                tables.append(SearchTable(m, part))
-                owners.append([frozenset(held[s]) for s in part])
-        return cls(tables, owners)
+        tables = [SearchTable(m, strings) for m, strings in sorted(classes.items())]
+        return cls(tables, [[frozenset(held[s]) for s in t.strings] for t in tables])
+
+    @classmethod
+    def parts(cls, items: Iterator[tuple[str, str | None]], window: int = WINDOW, max_strings: int = MAX_STRINGS) -> Iterator[Searcher]:
+        """Searchers of at most ``max_strings`` strings that together hold all items; one at least."""
+        held: dict[tuple[bytes, ...], set[str]] = {}
+        made = False
+        for item, text in items:
+            for w in windows_of(words_of(text), window):
+                held.setdefault(w, set()).add(item)
+                if len(held) == max_strings:
+                    yield cls.build(held, window)
+                    held, made = {}, True
+        if held or not made:
+            yield cls.build(held, window)
 
     def search(self, words: list[bytes]) -> tuple[np.ndarray, set[str], list[tuple[int, int]]]:
         """(hit mark per word, items, spans [start, end) of the occurrences)."""
@@ -130,44 +137,61 @@ VERDICT = T.StructType([
     T.StructField("items", T.ArrayType(T.StringType()))])
 
 
-def load_items(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", max_items: int = 5_000_000) -> list[tuple[str, str | None]]:
-    """The benchmark's items on the driver. The benchmark is a stated query set; its size is checked."""
+def items_of(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> Iterator[tuple[str, str | None]]:
+    """The benchmark's items one after the other; the driver holds one partition of it at a time."""
     src = benchmark.select(F.coalesce(ident(item_col).cast("string"), F.lit("")).alias("i"), ident(text_col).cast("string").alias("t"))
-    n, chars = src.agg(F.count("*"), F.coalesce(F.sum(F.length("t")), F.lit(0))).first()
-    if n > max_items or chars > 1 << 30:
-        raise ValueError(f"{n} benchmark items of {chars} characters: search them in several calls")
-    return [(r["i"], r["t"]) for r in src.toLocalIterator()]
+    return ((r["i"], r["t"]) for r in src.toLocalIterator())
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, carry: Column, text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """(row, verdict): ``carry`` of every document and its verdict, in one pass without a shuffle.
+FOUND = T.StructType([T.StructField("spans", T.ArrayType(T.IntegerType())), T.StructField("items", T.ArrayType(T.StringType()))])
 
-    n_words, n_hit (words inside any occurrence), n_items, items (ids sorted as text), items_sha256
-    (of those ids, comma-joined) and contaminated (n_hit > 0 and 20 * n_hit >= n_words). NULL and empty
-    texts have no words and are never contaminated. An item with a NULL id counts under the empty id;
-    rows that repeat an id are one item. An empty benchmark hits nothing.
-    """
-    spark = docs.sparkSession
-    searcher = spark.sparkContext.broadcast(Searcher.build(iter(load_items(benchmark)), window))
-    src = docs.select(carry.alias("row"), ident(text_col).cast("string").alias("t"))
-    out = T.StructType([src.schema["row"], T.StructField("verdict", VERDICT)])
+
+def _pass(src: DataFrame, searcher: Searcher, last: bool) -> DataFrame:
+    """One pass over (row, t, found): adds what this searcher finds; the last one gives the verdict."""
+    held = src.sparkSession.sparkContext.broadcast(searcher)
+    out = T.StructType([src.schema["row"], T.StructField("verdict", VERDICT)] if last else src.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, found = arrow_schema(out), searcher.value
+        schema, search = arrow_schema(out), held.value.search
         for b in batches:
             rows = []
-            for t in b.column(1).to_pylist():
+            for t, before in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 words = words_of(t)
-                hit, items, _ = found.search(words)
+                hit, items, spans = search(words)
+                flat = [x for s in sorted(set(spans)) for x in s]
+                if before:
+                    items |= set(before["items"])
+                    for a, e in zip(before["spans"][::2], before["spans"][1::2]):
+                        hit[a:e] = True
+                    flat = before["spans"] + flat
                 ids, n = sorted(items), int(hit.sum())
                 rows.append({"n_words": len(words), "n_hit": n, "n_items": len(ids), "items": ids,
                              "items_sha256": sha256(",".join(ids).encode()).hexdigest(),
-                             "contaminated": n > 0 and 20 * n >= len(words)})
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(schema.field(0).type), pa.array(rows, schema.field(1).type)], schema=schema)
+                             "contaminated": n > 0 and 20 * n >= len(words)} if last else {"spans": flat, "items": ids})
+            row = b.column(0).cast(schema.field(0).type)
+            cols = [row, pa.array(rows, schema.field(1).type)] if last else [row, b.column(1).cast(schema.field(1).type), pa.array(rows, schema.field(2).type)]
+            yield pa.RecordBatch.from_arrays(cols, schema=schema)
 
     return arrow_map(src, run, out)
 
 
+def scan(docs: DataFrame, benchmark: DataFrame, carry: Column, text_col: str = "text", window: int = WINDOW,
+         max_strings: int = MAX_STRINGS) -> DataFrame:
+    """(row, verdict): ``carry`` of every document and its verdict, without a shuffle.
+
+    n_words, n_hit (words inside any occurrence), n_items, items (ids sorted as text), items_sha256
+    (of those ids, comma-joined) and contaminated (n_hit > 0 and 20 * n_hit >= n_words). NULL and empty
+    texts have no words and are never contaminated. An item with a NULL id counts under the empty id;
+    rows that repeat an id are one item. An empty benchmark hits nothing.
+    """
+    found = docs.select(carry.alias("row"), ident(text_col).cast("string").alias("t"), F.lit(None).cast(FOUND).alias("found"))
+    parts = Searcher.parts(items_of(benchmark), window, max_strings)
+    now = next(parts)
+    for following in parts:
+        found, now = cut(_pass(found, now, False), "contamination-part"), following
+    return _pass(found, now, True)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its id, then the fields of the verdict (see :func:`scan`)."""
     return scan(docs, benchmark, ident(id_col), text_col).select(F.col("row").alias(id_col), "verdict.*")

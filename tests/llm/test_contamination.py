@@ -3,6 +3,7 @@
 import re
 from hashlib import sha256
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -40,11 +41,12 @@ def test_words(text):
 @given(st.lists(st.sampled_from("abc"), max_size=60), st.lists(st.lists(st.sampled_from("abc"), max_size=20), max_size=6), st.integers(1, 13))
 def test_search_against_brute_force(doc, items, window):
     items = [(str(k), " ".join(x)) for k, x in enumerate(items)]
-    found = con.Searcher.build(iter(items), window, max_strings=3)
     w = con.words_of(" ".join(doc))
-    hit, ids, _ = found.search(w)
     want = brute(" ".join(doc), items, window)
-    assert (len(w), int(hit.sum()), len(ids)) == want[:3]
+    for size in (3, 1000):
+        got = [p.search(w) for p in con.Searcher.parts(iter(items), window, max_strings=size)]
+        hit, ids = np.any([h for h, *_ in got], axis=0), set().union(*[i for _, i, _ in got])
+        assert (len(w), int(hit.sum()), len(ids)) == want[:3]
 
 
 def test_query_against_brute_force(spark, sf, documents):
@@ -89,3 +91,12 @@ def test_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r["contaminated"] for r in con.contamination(df, none).collect()] == [False]
     assert con.contamination(df.limit(0), none).collect() == []
+
+
+def test_large_benchmarks_are_searched_in_parts(spark, documents, sf):
+    bench = table(spark, sf, "benchmark")
+    whole = con.contamination(documents, bench).collect()
+    n = sum(len(con.windows_of(con.words_of(r["text"]))) for r in bench.collect())
+    src = con.scan(documents, bench, documents["doc_id"], max_strings=n // 3 + 1)
+    parts = src.select("row", "verdict.*").collect()
+    assert sorted(tuple(r) for r in parts) == sorted(tuple(r) for r in whole) and any(r["contaminated"] for r in whole)
