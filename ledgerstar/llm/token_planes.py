@@ -33,15 +33,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from ledgerstar.llm.common import arrow_map, arrow_schema, ident
-from ledgerstar.session import scratch_path
+from ledgerstar.llm.common import arrow_map, arrow_schema, ident, shared_path
 
 MAGIC = b"TPL1"
 BLOCK_IDS = 1 << 14
 CHUNK_IDS = 1 << 19      # a chunk is closed at the first document end at or beyond this many ids
 END_ID = 1
 LEVEL = 3
-CACHE_WORDS = 400_000    # words whose ids a Python worker remembers
+CACHE_WORDS = 800_000    # words whose ids a Python worker remembers
 
 
 # ---- chunks -------------------------------------------------------------------------------------
@@ -94,10 +93,12 @@ class WordEncoder:
     """Encodes texts with a public tokenizer whose pre-tokens never span white space.
 
     The ids of a text are those of its white-space separated pieces in order (its normaliser and its
-    splitter treat white space as a border), so ids of pieces are remembered. A piece that ends in one
-    comma or full stop behind a letter is looked up without it. Texts that hold a special token's text
-    or a separator on which Python's and the tokenizer's idea of white space differ go through the
-    library whole; ``whole=True`` does so for all texts, for tokenizers of another kind.
+    splitter treat white space as a border), so ids of pieces are remembered. As the tokenizer lower-cases,
+    texts of characters below U+0300 (which its Unicode normalisation leaves alone) are lower-cased first,
+    which makes fewer pieces; a piece that ends in one comma or full stop behind a letter is looked up
+    without it. Texts that hold a special token's text or a separator on which Python's and the tokenizer's
+    idea of white space differ go through the library whole; ``whole=True`` does so for all texts, for
+    tokenizers of another kind.
     """
 
     def __init__(self, path: str, whole: bool = False):
@@ -119,7 +120,7 @@ class WordEncoder:
         """The ids of words of letters: one call for all, cut behind the ids that end a word."""
         if not words:
             return []
-        ids = np.array(self.tok.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
+        ids = np.frombuffer(self._library([" ".join(words)])[0], dtype="<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) != len(words):  # a word that is more than one pre-token
             return self._library(words)
@@ -127,23 +128,29 @@ class WordEncoder:
         return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def _learn(self, pieces: set[str]) -> None:
-        stems = {}
-        for p in pieces:
-            stem = p[:-1] if len(p) > 1 and p[-1] in ",." and p[-2].isalpha() else p
-            stems[p] = (stem.lower() if stem.isascii() else stem, p[len(stem):])
-        new = {s for s, _ in stems.values()}.difference(self.known)
-        plain, other = [s for s in new if s.isalpha()], [s for s in new if not s.isalpha()]
-        got = dict(zip(plain, self._words(plain))) | dict(zip(other, self._library(other)))
-        for p, (s, mark) in stems.items():
-            ids = got[s] if s in got else self.known[s]
-            self.known[p] = ids + self.marks[mark] if mark else ids
-        self.known.update(got)
+        known = self.known
+        marked = [p for p in pieces if p[-1] in ",." and len(p) > 1 and p[-2].isalpha()]
+        new = pieces.difference(marked)
+        new.update(s for p in marked if (s := p[:-1]) not in known)
+        plain = [s for s in new if s.isalpha()]
+        other = list(new.difference(plain))
+        known.update(zip(plain, self._words(plain)))
+        known.update(zip(other, self._library(other)))
+        for p in marked:
+            known[p] = known[p[:-1]] + self.marks[p[-1]]
+
+    @staticmethod
+    def _lowered(text: str) -> str:
+        """The text in lower case where that commutes with Unicode normalisation, else as it is."""
+        plain = text.isascii() or np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8).max() < 0xCC
+        return text.lower() if plain else text
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Unsigned 32-bit ids of every text."""
-        whole = [self.whole or any(s in t for s in self.odd) for t in texts]
+        low = texts if self.whole else [self._lowered(t) for t in texts]
+        whole = [self.whole or any(s in t for s in self.odd) for t in low]
         direct = iter(self._library([t for t, w in zip(texts, whole) if w]))
-        split = [None if w else t.split() for t, w in zip(texts, whole)]
+        split = [None if w else t.split() for t, w in zip(low, whole)]
         if len(self.known) > CACHE_WORDS:
             self.known = {}
         new = set().union(*[p for p in split if p]).difference(self.known)
@@ -251,5 +258,5 @@ def read_planes(spark: SparkSession, path: str) -> DataFrame:
 def token_rows(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write ``df`` to a fresh folder in the shared place and read it back (see above)."""
     spark = df.sparkSession
-    path = write_planes(df, scratch_path(spark, "token-planes"), tokenizer, id_col, text_col)
+    path = write_planes(df, shared_path(spark, "token-planes"), tokenizer, id_col, text_col)
     return read_planes(spark, path)

@@ -58,7 +58,7 @@ def test_query_against_the_library(spark, sf, documents, library):
 
 
 def test_files_in_order_and_odd_rows(spark, tmp_path, library):
-    rows = [(k, f"text number {k}. " * (k % 7)) for k in range(300)] + [(None, "no id"), (1000, None), (1001, "long " * 40_000), (1002, "a <|endoftext|> b")]
+    rows = [(k, f"text number {k}. " * (k % 7)) for k in range(300)] + [(None, "no id"), (1000, None), (1001, "long " * 40_000), (1002, "a <|endoftext|> b"), (1003, "A <|EndOfText|> B"), (1004, "H\u0331 h\u0331 I\u0307 \u212b"), (1005, "x., y.. Z,. é, «é», 5, a_,")]
     df = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], "doc_id long, text string, part int, chunk string, t int").repartition(5)
     path = tp.write_planes(df, str(tmp_path / "planes"), PATH, parts=4, chunk_ids=200, block_ids=64)
     got = sorted(((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in tp.read_planes(spark, path).collect()), key=lambda r: (r[0] is not None, r[0] or 0))
