@@ -3,8 +3,10 @@
 Every source gets a target number of words. Whole copies that the target certainly holds are allocated
 to all documents of the source. The rest of the target is a sample: each document draws a uniform number
 u and is ranked by its random odds u / (1 - u) divided by its inclusion odds p / (1 - p); the lowest
-ranks are selected until the sample has the size that is left, in words. p is the share of the source
-that is left, times the document's own weight if a weight column is given.
+ranks are selected as long as they fit the size that is left, in words. p is the share of the source
+that is left, times the document's own weight if a weight column is given. Where the next document would
+overrun the size, one more is taken: of those ranked higher, the one whose words come nearest to the gap
+(the lowest rank of equals), if that is nearer than none.
 
 The ranking is never sorted as a whole: ranks are cut into fine buckets of about ``BUCKET_ROWS``
 documents, bucket totals are summed along the source, and only the one bucket per source in which the
@@ -68,7 +70,7 @@ def plan_mix(rows: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
     """The plan, a row per source, from rows (source, size, u, weight):
 
     source, total, target, whole (copies that every document gets), share (of a copy, sampled), mean_weight,
-    buckets, last_b and last_q (where the sample ends; both NULL: it holds all or none, by share).
+    buckets, last_b and last_q (where the ranked sample ends), extra_q (the rank of the document that fills the gap).
     """
     sums = rows.groupBy("source").agg(F.sum("size").alias("total"), F.count("*").alias("n"),
                                       F.coalesce(F.sum(F.col("size") * F.col("weight")) / F.nullif(F.sum("size"), F.lit(0)), F.lit(1.0)).alias("mean_weight"))
@@ -87,17 +89,24 @@ def plan_mix(rows: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
     last = over.groupBy("source").agg(F.min(F.struct("b", (F.col("upto") - F.col("s")).alias("before"))).alias("x")).select(
         F.col("source").alias("s1"), F.col("x.b").alias("b1"), F.col("x.before").alias("before"))
     edge = ranked.join(last, F.col("source").eqNullSafe(F.col("s1")) & (F.col("b") == F.col("b1")))
-    same = F.sum("size").over(W.partitionBy("source", "q"))
     upto = F.sum("size").over(W.partitionBy("source").orderBy("q")) + F.col("before")  # rows of equal rank together
-    taken = edge.withColumn("in", upto - same / 2 <= F.col("rest"))
-    ends = taken.groupBy("source", "b").agg(F.coalesce(F.max(F.when(F.col("in"), F.col("q"))), F.lit(-1.0)).alias("last_q")).select(
-        F.col("source").alias("s2"), F.col("b").alias("last_b"), "last_q")
-    return cut(t.join(ends, F.col("source").eqNullSafe(F.col("s2")), "left").drop("s2"), "mix-plan")
+    held = edge.withColumn("upto", upto).withColumn("in", F.col("upto") <= F.col("rest"))
+    ends = held.groupBy("source", "b").agg(
+        F.coalesce(F.max(F.when(F.col("in"), F.col("q"))), F.lit(-1.0)).alias("last_q"),
+        (F.first("rest") - F.coalesce(F.max(F.when(F.col("in"), F.col("upto"))), F.first("before"))).alias("gap"))
+    ends = cut(ends.select(F.col("source").alias("s2"), F.col("b").alias("last_b"), "last_q", "gap"), "mix-ends")
+    beyond = ranked.join(ends, F.col("source").eqNullSafe(F.col("s2"))).filter("b > last_b or b = last_b and q > last_q")
+    off = F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), F.col("q"))
+    fill = beyond.groupBy("s2").agg(F.min(off).alias("m"), F.first("gap").alias("g")).filter("m.off < g").select(
+        F.col("s2").alias("s3"), F.col("m.q").alias("extra_q"))
+    plan = (t.join(ends, F.col("source").eqNullSafe(F.col("s2")), "left")
+            .join(fill, F.col("source").eqNullSafe(F.col("s3")), "left").drop("s2", "s3", "gap"))
+    return cut(plan, "mix-plan")
 
 
 def _copies() -> Column:
-    sampled = (F.col("share") > 0) & (F.col("last_b").isNull() | (F.col("b") < F.col("last_b"))
-                                      | (F.col("b") == F.col("last_b")) & (F.col("q") <= F.col("last_q")))
+    sampled = (F.col("share") > 0) & ((F.col("b") < F.col("last_b")) | (F.col("b") == F.col("last_b")) & (F.col("q") <= F.col("last_q"))
+                                      | (F.col("q") == F.coalesce("extra_q", F.lit(-1.0))))
     return (F.col("whole") + F.coalesce(sampled.cast("int"), F.lit(0))).cast("long")
 
 
@@ -155,11 +164,16 @@ r AS (
   SELECT d.doc_id, d.size, g.*, CASE WHEN share > 0 THEN (u / (1 - u)) / (share / (1 - share)) END AS q
   FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
 c AS (
-  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
-         sum(size) OVER (PARTITION BY source, q) AS same
-  FROM r)
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY q RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= rest AND share > 0, false) AS inside
+  FROM r),
+e AS (
+  SELECT *, rest - coalesce(sum(size) FILTER (WHERE inside) OVER (PARTITION BY source), 0) AS gap FROM c),
+n AS (
+  SELECT *, row_number() OVER (PARTITION BY source, inside ORDER BY abs(size - gap), q) AS k FROM e),
+x AS (
+  SELECT source AS sx, q AS extra FROM n WHERE k = 1 AND NOT inside AND share > 0 AND abs(size - gap) < gap)
 SELECT doc_id, CAST(size AS BIGINT) AS size, total AS source_size, target,
-       CAST(size * (whole + CASE WHEN share > 0 AND upto - same / 2.0 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken,
-       CAST(whole + CASE WHEN share > 0 AND upto - same / 2.0 <= rest THEN 1 ELSE 0 END AS BIGINT) AS copies
-FROM c
+       CAST(size * (whole + CASE WHEN inside OR coalesce(q = extra, false) THEN 1 ELSE 0 END) AS BIGINT) AS taken,
+       CAST(whole + CASE WHEN inside OR coalesce(q = extra, false) THEN 1 ELSE 0 END AS BIGINT) AS copies
+FROM n LEFT JOIN x ON n.source IS NOT DISTINCT FROM x.sx
 """

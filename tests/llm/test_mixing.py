@@ -44,12 +44,19 @@ def brute_mix(rows):
         for k in ks:
             u = uniform(*rows[k][:2])
             groups[u / (1 - u) / (p / (1 - p)) if 0 < p < 1 else 0].append(k)
-        cum = 0
+        cum, more = 0, []
         for q in sorted(groups):
             same = sum(size[k] for k in groups[q])
+            held = p > 1e-12 and cum + same <= rest and not more
+            cum += same if held else 0
+            more += [] if held else [q]
             for k in groups[q]:
-                out[k] = size[k] * (whole + (p > 1e-12 and cum + same / 2 <= rest))
-            cum += same
+                out[k] = size[k] * (whole + held)
+        gap = rest - cum
+        best = min(((abs(size[k] - gap), q) for q in more for k in groups[q]), default=(gap, 0)) if p > 1e-12 else (gap, 0)
+        if best[0] < gap:
+            for k in groups[best[1]]:
+                out[k] += size[k]
     return [(size[k], totals[rows[k][2]], target[rows[k][2]], out[k]) for k in range(len(rows))]
 
 
