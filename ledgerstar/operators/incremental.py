@@ -123,10 +123,14 @@ def read_current(spark: SparkSession, base: str, version: int | None = None) ->
 
 
 def _write_run(df: DataFrame, base: str, partition_col: str) -> list[str]:
-    """Write ``df`` as a run of partition folders; their names relative to ``data``."""
+    """Write ``df`` as a run of partition folders; their names relative to ``data``.
+
+    Rows are dealt by partition value first, so a folder gets few files; the rebalance lets AQE
+    split a busy value over several tasks and files and pack small ones together.
+    """
     spark, run = df.sparkSession, f"run={uuid.uuid4().hex[:12]}"
     path = f"{base}/data/{run}"
-    df.write.partitionBy(partition_col).parquet(path)
+    df.hint("rebalance", F.col(partition_col)).write.partitionBy(partition_col).parquet(path)
     return [f"{run}/{n}" for n in _names(spark, path) if n.startswith(f"{partition_col}=")]
 
 
