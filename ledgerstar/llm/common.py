@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
-import tempfile
+import io
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -90,16 +90,22 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application, wherever they were started."""
+    """Send this package to the Python workers, once per application, wherever they were started.
+
+    It goes through the shared folder, as a file that Spark hands to every executor."""
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
-    root = Path(ledgerstar.__file__).parent
-    target = Path(tempfile.mkdtemp(prefix="ledgerstar-code-")) / "ledgerstar.zip"  # the driver serves it to the executors
-    with zipfile.ZipFile(target, "w") as z:
+    root, data = Path(ledgerstar.__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
-    sc.addPyFile(str(target))
+    path = f"{shared_path(spark, 'code')}/ledgerstar.zip"
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target)
+    out.write(data.getvalue())
+    out.close()
+    sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)
 
 
