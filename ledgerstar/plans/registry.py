@@ -1134,9 +1134,9 @@ from ledgerstar.plans import roles as ROLES  # noqa: E402
 # model: (role frame of the warehouse, oracle source of the same rows, the columns that the role fills)
 STAGED = {
     "stg_address": (lambda w: ROLES.addresses(w.t), "addr_raw", "address_id address_line1 address_line2 city state_province_id postal_code modified_date"),
-    "stg_contryregion": (lambda w: ROLES.country_regions(w.t), "countries", "country_region_code country_region_name"),
+    "stg_countryregion": (lambda w: ROLES.country_regions(w.t), "countries", "country_region_code country_region_name"),
     "stg_currency": (lambda w: ROLES.currencies(w.t), "(SELECT * FROM dim_currency WHERE sk_currency <> '-1') x", "currency_code currency_name modified_date"),
-    "stg_employe": (lambda w: ROLES.employees(w.t), "employees", "business_entity_id job_title gender marital_status hire_date"),
+    "stg_employee": (lambda w: ROLES.employees(w.t), "employees", "business_entity_id job_title gender marital_status hire_date"),
     "stg_listpricehistory": (lambda w: ROLES.list_price_history(w.t), "price_hist", "product_id start_date end_date list_price modified_date"),
     "stg_orderdetail": (lambda w: w.detail, "detail", "sales_order_id order_quantity product_id special_offer_id unit_price unit_price_discount modified_date"),
     "stg_orderheadersalesreason": (lambda w: w.reason_pairs, "reason_pairs", "sales_order_id sales_reason_id modified_date"),
@@ -1339,3 +1339,57 @@ register("dim_date_used", O.canonical_select(
     {"sk_date": "i", "year_quarter": "s", "is_weekend": "b",
      "placed": "expr:i:(SELECT count(*) FROM orders WHERE CAST(o_orderdate AS DATE) = date_actual)",
      "shipped": "expr:i:(SELECT count(*) FROM lineitem WHERE CAST(l_shipdate AS DATE) = date_actual)"}, "dim_date", where="sk_date <> -1"))(_dates_used)
+
+
+# ================================================================== declared checks of the silver models
+# Per model the columns declared never NULL, and those declared unique.
+STAGED_CHECKS = """
+stg_address: address_id address_line1 city state_province_id postal_code row_guid modified_date; address_id row_guid
+stg_countryregion: country_region_code country_region_name modified_date; country_region_code
+stg_currency: currency_code currency_name modified_date; currency_code
+stg_employee: business_entity_id national_id_number login_id job_title birth_date marital_status gender hire_date salaried_flag vacation_hours sick_leave_hours current_flag row_guid modified_date; business_entity_id national_id_number login_id row_guid
+stg_listpricehistory: product_id start_date list_price modified_date;
+stg_orderdetail: sales_order_id sales_order_detail_id order_quantity product_id special_offer_id unit_price unit_price_discount row_guid modified_date; sales_order_detail_id row_guid
+stg_orderheadersalesreason: sales_order_id sales_reason_id modified_date;
+stg_personne: business_entity_id first_name last_name; business_entity_id
+stg_product: product_id product_name product_number safety_stock_level reorder_point standard_cost list_price days_to_manufacture row_guid modified_date; product_id product_number row_guid
+stg_productcategory: product_category_id product_category_name row_guid modified_date; product_category_id product_category_name row_guid
+stg_productcosthistory: product_id start_date standard_cost modified_date;
+stg_productsubcat: product_subcategory_id product_category_id product_subcategory_name row_guid modified_date; product_subcategory_id product_subcategory_name row_guid
+stg_reason: sales_reason_id sales_reason_name reason_type modified_date; sales_reason_id
+stg_shipmethod: ship_method_id ship_method_name ship_base ship_rate row_guid modified_date; ship_method_id ship_method_name row_guid
+stg_stateprovince: state_province_id state_province_code country_region_code is_only_state_province_flag state_province_name territory_id row_guid modified_date; state_province_id state_province_name row_guid
+stg_store: business_entity_id store_name row_guid modified_date; business_entity_id row_guid
+"""
+
+
+def _staged_checks() -> dict[str, tuple[list[str], list[str]]]:
+    """The declared checks on columns that the model's role fills (its row id is a digest of the key)."""
+    out = {}
+    for line in STAGED_CHECKS.strip().splitlines():
+        model, rest = line.split(":")
+        filled = {c.name for c in SR.spec(model)} & (set(STAGED[model][2].split()) | {"row_guid"})
+        out[model] = tuple([c for c in part.split() if c in filled] for part in rest.split(";"))
+    return out
+
+
+def _declared_staging(s, d):
+    return Q.union_labelled({m: Q.declared_checks(_staged(m)(s, d), nn, un) for m, (nn, un) in _staged_checks().items()})
+
+
+def _declared_staging_sql() -> str:
+    parts = []
+    for m, (nn, un) in _staged_checks().items():
+        spec = {c.name: c.kind for c in SR.spec(m)}
+        key = next(c for c in spec if c in STAGED[m][2].split())
+
+        def value(c):
+            c, text = (key, False) if c == "row_guid" else (c, spec[c] in ("t", "v"))
+            return f"nullif(trim({c}), '')" if text else c
+
+        parts += [(m, "not_null", c, f"SELECT count(*) FROM {STAGED[m][1]} WHERE {value(c)} IS NULL") for c in nn]
+        parts += [(m, "unique", c, f"SELECT count(*) FROM (SELECT {value(c)} AS v FROM {STAGED[m][1]} WHERE {value(c)} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)") for c in un]
+    return " UNION ALL ".join(f"SELECT '{m}' AS label, '{n}' AS check_name, '{c}' AS column_name, CAST(({q}) AS BIGINT) AS failures" for m, n, c, q in parts)
+
+
+register("dq_declared_staging", O.with_blocks(_declared_staging_sql()))(_declared_staging)

@@ -62,14 +62,14 @@ _SPECS = {
         rowguid row_guid v
         modifieddate modified_date d
     """),
-    "stg_buisnessentityadress": ("person.businessentityaddress", """
+    "stg_businessentityaddress": ("person.businessentityaddress", """
         businessentityid business_entity_id i
         addressid address_id i
         addresstypeid address_type_id i
         rowguid row_guid v
         modifieddate modified_date d
     """),
-    "stg_contryregion": ("person.countryregion", """
+    "stg_countryregion": ("person.countryregion", """
         countryregioncode country_region_code t
         name country_region_name t
         modifieddate modified_date d
@@ -95,7 +95,7 @@ _SPECS = {
         rowguid row_guid v
         modifieddate modified_date d
     """),
-    "stg_employe": ("humanresources.employee", """
+    "stg_employee": ("humanresources.employee", """
         businessentityid business_entity_id i
         nationalidnumber national_id_number t
         loginid login_id t
