@@ -1,6 +1,5 @@
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerstar.functions.columns import (NULL_KEY_TOKEN, canonical, clean_text, day_of_week_sunday0, net_amount,
