@@ -20,7 +20,8 @@ from ledgerstar.session import scratch_path
 # A word is a run of characters other than space, tab, \n, \v, \f and \r.
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
-# Rows of an Arrow batch. Texts may be long, so batches are kept short; results do not depend on it.
+# Rows of an Arrow batch. Texts may be long, so batches are kept short (Spark also ends a batch at 64 MB, by
+# spark.sql.execution.arrow.maxBytesPerBatch); results do not depend on it.
 ARROW_ROWS = 500
 
 
@@ -116,12 +117,6 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
-def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
-    """A batch of ``schema`` from Python lists, numpy arrays or Arrow arrays."""
-    arrays = [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for f, c in zip(schema, columns)]
-    return pa.RecordBatch.from_arrays(arrays, schema=schema)
-
-
 def arrow_schema(struct: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -14,7 +14,6 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa

@@ -250,8 +250,7 @@ def read_planes(spark: SparkSession, path: str) -> DataFrame:
                 cols = [r["doc_ids"], ends - n, n, crc, [r["part"]] * len(n), [r["chunk"]] * len(n)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
-    docs = chunks.select("part", "chunk", "doc_ids", "lengths", "data").mapInArrow(run, DOC)
+    docs = arrow_map(chunks.select("part", "chunk", "doc_ids", "lengths", "data"), run, DOC)
     return docs.join(offsets, ["part", "chunk"]).select("doc_id", (F.col("start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", "part", "chunk")
 
 
