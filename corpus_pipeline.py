@@ -1,7 +1,13 @@
 """The corpus pipeline: five operators in a row over ``documents``.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is written as Parquet and read
-again as the next stage's ``docs``. All stages but the last return the columns of ``documents``.
+again as the next stage's ``docs``. All stages but the last return the columns of ``documents``, extra ones
+and ones with any name included.
+
+Defined cases: NULL and empty texts have no words and leave in the first stage. NULL ids are ordinary rows: the
+second stage keeps one without an id only where no row of its group has one, the last stage writes them first.
+Repeated rows are one group. NULL sources are a source of their own. Empty tables give empty results; without
+labels only the base rules reject, without a benchmark nothing is contaminated.
 """
 
 from __future__ import annotations

@@ -62,3 +62,32 @@ def test_run_and_empty_input(spark, sf, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         table(spark, sf, name).limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_odd_documents_through_all_stages(spark, tmp_path):
+    """NULLs in every column, empty and very long texts, repeated rows and clashing extra columns."""
+    good = [" ".join(f"word{(k * 31 + i) % 997}" for i in range(60 + k)) for k in range(12)]
+    bad = "win $$$ ### *** now " * 30
+    item = " ".join(f"bench{i}" for i in range(20))
+    rows = [(k, good[k], "en", f"s{k % 3}", 1) for k in range(8)]
+    rows += [(0, good[0], "en", "s0", 1)] * 2 + [(20, good[1], None, None, None), (None, good[2], "en", "s1", 2), (None, good[9], None, None, None),
+             (21, None, "en", "s1", None), (22, "", None, "s2", 0), (23, " \n ", None, "s2", 0), (24, good[10] + " " + item + " tail", "en", "s1", 3),
+             (25, (good[11] + " ") * 3000, "de", None, 9), (26, bad, "en", "s1", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    extra = ["row", "t", "id", "fp", "at", "u", "counts", "verdict", "kept", "spans", "part", "chunk", "share", "copies"]
+    docs = spark.createDataFrame(rows, schema).selectExpr("*", *[f"'x' as `{c}`" for c in extra], "1 as `odd.name`")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(k, 1, 0) for k in range(8)] + [(26, 0, 0), (None, 0, 1), (3, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, item), (None, item), (2, None), (3, "")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    now, columns = docs, docs.columns
+    kept = []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        now = cut(stage(spark, now, str(tmp_path)), f"odd-{k}")
+        assert k == 4 or now.columns == columns
+        kept.append(now.collect())
+    first, single, clean, mixed, out = kept
+    assert not {21, 22, 23, 25, 26} & {r["doc_id"] for r in first}          # no words, repeated windows, symbols
+    ids = [r["doc_id"] for r in single]
+    assert sorted(x for x in ids if x is not None) == [0, 1, 2, 3, 4, 5, 6, 7, 24] and ids.count(None) == 1
+    assert {r["doc_id"] for r in clean} == set(ids) - {24}
+    assert {r["doc_id"] for r in mixed} <= {r["doc_id"] for r in clean} and len(out) == len(mixed)
