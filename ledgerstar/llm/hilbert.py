@@ -129,8 +129,10 @@ def manifest(assigned: DataFrame) -> DataFrame:
 
 
 def write_shards(assigned: DataFrame, path: str) -> None:
-    """Write the carried rows, one folder per shard, in slot order; bins are stored for pushed-down filters."""
-    (assigned.select("row", "bins", "shard", "slot").repartition("shard").sortWithinPartitions("shard", "slot")
+    """Write the carried rows, one folder per shard, files in slot order; bins are stored for pushed-down
+    filters. Ranges of (shard, slot) are written by as many tasks as there are shuffle partitions, so a
+    shard is several files when it is large."""
+    (assigned.select("row", "bins", "shard", "slot").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
      .write.partitionBy("shard").parquet(path))
 
 

@@ -82,7 +82,7 @@ def plan_mix(rows: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
          .withColumn("buckets", F.ceil(F.col("n") / BUCKET_ROWS).cast("long")))
     t = cut(t, "mix-targets")
 
-    ranked = _ranked(rows, t.filter("share > 0"))
+    ranked = _ranked(rows, t.filter("share > 0")).filter("b is not null")
     sums_b = ranked.groupBy("source", "b").agg(F.sum("size").alias("s"), F.first("rest").alias("rest"))
     run = F.sum("s").over(W.partitionBy("source").orderBy("b"))
     over = sums_b.withColumn("upto", run).filter("upto > rest")
@@ -101,7 +101,8 @@ def plan_mix(rows: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
         F.col("s2").alias("s3"), F.col("m.q").alias("extra_q"))
     plan = (t.join(ends, F.col("source").eqNullSafe(F.col("s2")), "left")
             .join(fill, F.col("source").eqNullSafe(F.col("s3")), "left").drop("s2", "s3", "gap"))
-    return cut(plan, "mix-plan")
+    # no end found: all that have a weight fit
+    return cut(plan.withColumn("last_b", F.coalesce("last_b", F.col("buckets") + 1)), "mix-plan")
 
 
 def _copies() -> Column:
@@ -124,7 +125,8 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
 
     The draw is fixed by id and text, so reruns agree and rows that repeat both share one draw: they are
     taken together. NULL sources are one source, NULL and empty texts have size 0 and cost nothing.
-    Other columns are ignored. An empty table gives an empty result.
+    Other columns are ignored. An empty table gives an empty result. With ``weight``, rows of weight 0 or
+    NULL get the whole copies only.
     """
     rows = cut(_rows(df, ident(id_col), id_col, text_col, source_col, weight, True), "mix-rows")
     plan = plan_mix(rows.select("source", "size", "u", "weight"), max_copies)

@@ -112,6 +112,18 @@ def test_weights_raise_inclusion(spark):
     assert even > 2 * odd and abs(sum(r["taken"] for r in got) - got[0]["target"]) <= 2
 
 
+def test_rows_without_weight_are_not_sampled(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(k, "w w", "a") for k in range(400)] + [(900 + k, "w w", "b") for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df, weight=F.when(F.col("doc_id") % 2 == 0, 1.0)).filter("doc_id < 400").collect()
+    whole = int(got[0]["target"] / got[0]["source_size"])
+    assert all(r["copies"] == whole for r in got if r["doc_id"] % 2) and sum(r["taken"] for r in got) <= got[0]["target"] + 2
+    few = mixing.mix(df, weight=F.when(F.col("doc_id") % 40 == 0, 1.0)).filter("doc_id < 400").collect()
+    assert all(r["copies"] == whole + (r["doc_id"] % 40 == 0) for r in few)  # all that have a weight fit
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.mix(df).collect() == [] and mixing.mixed(df).collect() == []
