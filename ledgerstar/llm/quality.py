@@ -205,9 +205,9 @@ def scored(stats: DataFrame, forest: IsolationForest) -> DataFrame:
 def calibrate(judged: DataFrame, min_keep: float = 0.995) -> float:
     """The score above which rows are rejected, from labelled rows (anomaly, good 0/1, n).
 
-    Of the thresholds that keep at least ``min_keep`` of the good rows, the one with the highest balanced
-    accuracy; the lowest of equals. Without labelled rows of both kinds nothing is rejected. The driver
-    sees a histogram of ``BINS`` bins.
+    Of the thresholds that keep at least ``min_keep`` of the good rows, those with the highest balanced
+    accuracy; where a stretch of them is equal, its middle, so that rows like the good ones have a margin.
+    Without labelled rows of both kinds nothing is rejected. The driver sees a histogram of ``BINS`` bins.
     """
     hist = (judged.filter("good is not null").groupBy(F.floor(F.col("anomaly") * BINS).cast("int").alias("bin"), "good")
             .agg(F.count("*").alias("n")).collect())
@@ -218,7 +218,10 @@ def calibrate(judged: DataFrame, min_keep: float = 0.995) -> float:
         return float("inf")
     kept, caught = np.cumsum(good) / good.sum(), 1 - np.cumsum(bad) / bad.sum()
     value = np.where(kept >= min_keep, kept + caught, -1)
-    return float((int(np.argmax(value)) + 1) / BINS)
+    first = last = int(np.argmax(value))
+    while last + 1 < len(value) and value[last + 1] == value[first]:
+        last += 1
+    return float(((first + last) // 2 + 1) / BINS)
 
 
 def quality_rules(df: DataFrame, labels: DataFrame, carry: Column, key: Column, text_col: str = "text") -> DataFrame:

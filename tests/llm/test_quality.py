@@ -108,3 +108,9 @@ def test_no_labels_of_one_kind_rejects_nothing(spark):
     assert quality.calibrate(df) == float("inf")
 
 
+
+
+def test_threshold_stands_between_good_and_bad(spark):
+    rows = [(0.4, 1)] * 50 + [(0.8, 0)] * 10 + [(0.99, None)]
+    df = spark.createDataFrame(rows, "anomaly double, good int")
+    assert abs(quality.calibrate(df) - 0.6) < 0.01
