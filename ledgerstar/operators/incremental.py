@@ -64,7 +64,8 @@ def _same_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
 
 def merge_upsert(tgt: DataFrame | None, src: DataFrame, keys: list[str] | str, check: bool = True) -> DataFrame:
     """Matched keys take the source row, unmatched source rows are inserted, the rest
-    of the target stays: ``anti-join + union``. Duplicate source keys fail (``check``)."""
+    of the target stays: ``anti-join + union``. Duplicate source keys fail (``check``, one more
+    read of the source's keys: pass a written source)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     if check:
         require_unique(src, keys)

@@ -740,7 +740,8 @@ register("inc_slice", O.canonical_select(
 def _inc_merge(s, d):
     """Stored first load and increment, merged as rows."""
     w = wh(s, d)
-    return INC.merge_upsert(INC.read_current(s, _first_load(w), 1), _line_delta(w), ["sk_sales_order_line"]).drop("order_month")
+    delta = w.keep("fct_line_delta", _line_delta(w))  # written: the key check and the merge both read it
+    return INC.merge_upsert(INC.read_current(s, _first_load(w), 1), delta, ["sk_sales_order_line"]).drop("order_month")
 
 
 register("inc_merge", O.canonical_select(K_LINE, "fct_line"))(_inc_merge)
@@ -758,7 +759,7 @@ def _inc_partitions(s, d):
     """The physical merge: the increment writes only the months it touches, as a new version."""
     w = wh(s, d)
     base = _own_table(s, w, "fct_line_merge")
-    INC.merge_table(s, base, _line_delta(w), "sk_sales_order_line", "order_month")
+    INC.merge_table(s, base, w.keep("fct_line_delta", _line_delta(w)), "sk_sales_order_line", "order_month")
     return INC.read_current(s, base).drop("order_month")
 
 

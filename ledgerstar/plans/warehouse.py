@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import atexit
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -169,6 +170,13 @@ class Warehouse:
             "territory": lambda: D.dim_territory(R.territories(t)),
         }, self.keep)
 
+    def build_dims(self, at_once: int = 4) -> Mapping:
+        """All dimensions, several write jobs at a time: each is small, so one alone leaves most cores idle."""
+        _ = self.header, self.reason_pairs, self.address, self.snap_product, self.snap_customer  # what they share
+        with ThreadPoolExecutor(at_once) as pool:
+            list(pool.map(self.dims.__getitem__, list(self.dims)))
+        return self.dims
+
     # ------------------------------------------------------------ facts
     @cached_property
     def header_resolved(self) -> DataFrame:

@@ -17,8 +17,10 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-# Only for a local master: one JVM holds driver and executors.
-_LOCAL = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"}
+# Only for a local master: one JVM holds driver and executors, and tables are small; short row groups
+# let the scan of a written layer use all cores (a cluster's tables have enough of the usual ones).
+_LOCAL = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g",
+          "spark.hadoop.parquet.block.size": str(4 << 20)}
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "ledgerstar",
