@@ -27,6 +27,7 @@ from ledgerstar.llm.pii_labels import LABELLED
 KINDS = ("email", "ip", "card", "phone")
 TAGS = ("O", *[f"{p}-{k}" for k in KINDS for p in "BI"])
 NEAR = 3   # tokens on either side of a marked token that are decoded with it
+BATCH_TOKENS = 16_384   # padded tokens decoded at once
 
 # The base patterns.
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -237,21 +238,31 @@ def _neighbourhoods(text: str) -> list[list[tuple[int, int]]]:
             runs[-1][1] = hi
         else:
             runs.append([lo, hi])
-    # a run that never ends (a table of numbers) is decoded in parts, cut in front of a token
-    return [tokens[a:min(b, a + 256)] for lo, b in runs for a in range(lo, b, 256)]
+    return [tokens[a:b] for a, b in runs]
+
+
+def _batches(lengths: list[int]) -> Iterator[list[int]]:
+    """Numbers of the sequences, shortest first, in batches that hold ``BATCH_TOKENS`` with their padding;
+    a longer sequence is a batch of its own."""
+    part: list[int] = []
+    for i in sorted(range(len(lengths)), key=lengths.__getitem__):
+        if part and (len(part) + 1) * lengths[i] > BATCH_TOKENS:
+            yield part
+            part = []
+        part.append(i)
+    if part:
+        yield part
 
 
 def tagged_spans(texts: list[str], field: ChainField) -> list[list[tuple[str, int, int]]]:
-    """Spans that the field finds in each text."""
+    """Spans that the field finds in each text. A run is decoded whole, whatever its length."""
     places, sequences = [], []
     for k, t in enumerate(texts):
         for run in _neighbourhoods(t):
             places.append((k, run))
             sequences.append([t[a:b] for a, b in run])
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    order = sorted(range(len(sequences)), key=lambda i: len(sequences[i]))
-    for at in range(0, len(order), 512):
-        part = order[at:at + 512]
+    for part in _batches([len(s) for s in sequences]):
         for i, path in zip(part, field.decode([sequences[j] for j in part])):
             k, run = places[i]
             open_: tuple[str, int, int] | None = None

@@ -84,3 +84,29 @@ def test_odd_rows(spark):
 
 def test_redact():
     assert pii.redact("mail a@b.co or 10.0.0.1", [("email", 5, 11), ("ip", 15, 23)]) == "mail <email> or <ip>"
+
+
+def test_long_runs_are_decoded_whole():
+    """A list of more than 256 number tokens, its spans across every place a cut could be, against an uncut decode."""
+    field = pii.trained()
+    for lead in ("", "7 "):
+        text = lead + "(212) 555-0147 " * 400 + "call (212) 555-0147 now"
+        tokens = [m.span() for m in re.finditer(r"\S+", text)]
+        want, open_ = [], None
+        for (a, b), tag in zip([*tokens, (0, 0)], [*field.decode([[text[a:b] for a, b in tokens]])[0], 0]):
+            name = pii.TAGS[tag]
+            if open_ and name == "I-" + open_[0]:
+                open_ = (open_[0], open_[1], b)
+                continue
+            want += [open_] if open_ else []
+            open_ = (name[2:], a, b) if name[0] == "B" else None
+        got = pii.tagged_spans([text, "no numbers", "call 555-0147"], field)
+        assert got[0] == [x for s in want if (x := pii._trimmed(text, s))] and got[1] == []
+        assert got[0]
+
+
+def test_batches_hold_every_sequence_once():
+    lengths = [3, 40_000, 1, 9000, 9000, *[5] * 4000]
+    parts = list(pii._batches(lengths))
+    assert sorted(i for p in parts for i in p) == list(range(len(lengths)))
+    assert all(len(p) == 1 or len(p) * max(lengths[i] for i in p) <= pii.BATCH_TOKENS for p in parts)
