@@ -1,8 +1,9 @@
 """Toxicity by weak supervision.
 
 1. A lexicon of word stems is learned from a bounded sample of labelled rows: stems (word beginnings of 4 to
-   7 letters) that are far more frequent in texts labelled toxic. It is dealt out to several lexicon
-   voters; a fixed list of insults and some patterns vote as well.
+   7 letters, shorter words whole) that are far more frequent in texts labelled toxic. How many texts a stem
+   needs does not depend on the size of the sample; equal texts count once. It is dealt out to several
+   lexicon voters; a fixed list of insults and some patterns vote as well.
 2. Every text is read once: votes and the shares behind them are written as one short row.
 3. A generative label model explains the votes by a hidden class. Given the class, each voter depends on at
    most one other voter (the spanning forest of the strongest conditional dependences), so voters that
@@ -33,9 +34,9 @@ from ledgerstar.llm.common import arrow_map, arrow_schema, cut, draw, ident
 LABELLED_ROWS = 20_000     # labelled rows, at most, from which stems are learned
 LEXICON_STEMS = 4_000      # stems kept, at most
 STEM = (4, 7)
-MIN_TOXIC_TEXTS = 4        # a stem must be in that many toxic texts,
-MIN_TOXIC_SHARE = 0.02     # and in that share of them (a group of copies does not make a stem)
+MIN_TOXIC_TEXTS = 4        # a stem must be in that many different toxic texts (in all of them if there are fewer)
 MIN_LOG_ODDS = 1.5
+EVIDENCE_Z = 3.0           # and the lower bound (likelihood interval of 3 deviations) of its log odds must be above 0
 LISTS = 6                  # lexicon voters
 FIT_ROWS = 40_000          # rows, at most, on which the classifier is trained
 CACHE_WORDS = 300_000
@@ -63,19 +64,26 @@ def _letters(word: str) -> str:
     return word if word.isalpha() else max(_NOT_LETTERS.split(word), key=len)
 
 
+def _stems(word: str) -> list[str]:
+    """The beginnings of a word; a word too short for one is its own stem."""
+    return [word[:k] for k in range(min(len(word), STEM[0]), min(len(word), STEM[1]) + 1) if k]
+
+
 def stems_of(text: str) -> set[str]:
     out: set[str] = set()
     for w in {_letters(x) for x in set(text.lower().split())}:
-        out.update(w[:k] for k in range(STEM[0], min(len(w), STEM[1]) + 1))
+        out.update(_stems(w))
     return out
 
 
 def learn_lexicon(rows: DataFrame) -> list[tuple[str, float]]:
     """(stem, log odds), strongest first, from rows (t, toxic 0/1). Texts are counted, not occurrences.
 
-    Counts are made per batch, summed by Spark, and only stems that pass come to the driver, at most
+    Texts equal but for case and white space are one text, toxic if any of them is. Counts are made per batch, summed by Spark, and only stems that pass come to the driver, at most
     ``LEXICON_STEMS``. A stem whose beginning is in the list as well is left out.
     """
+    same = F.md5(F.trim(F.regexp_replace(F.lower(F.coalesce("t", F.lit(""))), r"\s+", " ")))
+    rows = cut(rows.groupBy(same.alias("k")).agg(F.min("t").alias("t"), F.max("toxic").alias("toxic")), "tox-texts")
     totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
@@ -94,8 +102,12 @@ def learn_lexicon(rows: DataFrame) -> list[tuple[str, float]]:
 
     counts = arrow_map(rows.select("t", F.col("toxic").cast("int")), run, out).groupBy("stem").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     odds = F.log((F.col("bad") + 0.5) / F.lit(bad + 1.0)) - F.log((F.col("good") + 0.5) / F.lit(good + 1.0))
-    kept = (counts.filter(F.col("bad") >= max(MIN_TOXIC_TEXTS, MIN_TOXIC_SHARE * bad)).withColumn("odds", odds).filter(F.col("odds") >= MIN_LOG_ODDS)
-            .orderBy(F.desc("odds"), "stem").limit(LEXICON_STEMS).collect())
+    # twice the log likelihood ratio against equal shares; it grows with a stem's texts, not with the sample
+    b, g, share = F.col("bad"), F.col("good"), bad / (bad + good)
+    parts = [F.when(x > 0, x * F.log(x / ((b + g) * F.lit(p)))).otherwise(0.0) for x, p in ((b, share), (g, 1 - share))]
+    kept = (counts.filter(b >= min(MIN_TOXIC_TEXTS, bad)).withColumn("odds", odds).withColumn("evidence", 2 * (parts[0] + parts[1]))
+            .filter((F.col("odds") >= MIN_LOG_ODDS) & (F.col("evidence") > EVIDENCE_Z ** 2))
+            .orderBy(F.desc("evidence"), "stem").limit(LEXICON_STEMS).collect())
     found = {r["stem"]: r["odds"] for r in kept}
     own = [(s, o) for s, o in found.items() if not any(s[:k] in found and found[s[:k]] >= o - 1.0 for k in range(STEM[0], len(s)))]
     return sorted(own, key=lambda x: (-x[1], x[0]))
@@ -112,7 +124,7 @@ class Reader:
 
     def _judge(self, word: str) -> tuple[int, float, bool] | None:
         w = _letters(word)
-        found = max((self.of[w[:k]] for k in range(STEM[0], min(len(w), STEM[1]) + 1) if w[:k] in self.of), key=lambda x: x[1], default=None)
+        found = max((self.of[s] for s in _stems(w) if s in self.of), key=lambda x: x[1], default=None)
         insult = w in INSULTS
         return (*(found or (-1, 0.0)), insult) if found or insult else None
 

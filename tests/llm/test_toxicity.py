@@ -82,3 +82,17 @@ def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [(r["score"], r["predicted"]) for r in toxicity.toxicity(df, none).collect()] == [(0.0, 0)]
     assert toxicity.toxicity(df.limit(0), none).collect() == []
+
+
+def test_rare_stems_of_a_large_sample_are_learned(spark):
+    """39 of 2,000 toxic texts share a word of a rare vocabulary, 39 a word of three letters; 400 copies of one text are one text."""
+    def text(k, word=""):
+        return f"plain words number{k:05d} {word} here".replace("0", "a").replace("1", "b")
+
+    rows = [(text(k, "vorkelt" if k < 39 else "zok" if k < 78 else "commonslur"), 1) for k in range(2000)]
+    rows += [(text(k + 2000), 0) for k in range(6000)] + [("a copied text with mirabelle in it", 1)] * 400
+    found = dict(toxicity.learn_lexicon(spark.createDataFrame(rows, "t string, toxic int")))
+    assert {"vork", "zok", "comm"} <= set(found)
+    assert not any(s.startswith(("mira", "plai", "word")) for s in found)
+    votes, _ = toxicity.Reader([("zok", 3.0)]).read("you ZOK !")
+    assert votes[0] == 1 and toxicity.Reader([("zok", 3.0)]).read("zokel zo")[0][0] == 0
