@@ -115,6 +115,15 @@ def learn_lexicon(rows: DataFrame) -> list[tuple[str, float]]:
 
 # ---- votes --------------------------------------------------------------------------------------
 
+_ASCII, _UPPER = bytes(range(128)), bytes(range(65, 91))
+
+
+def upper_letters(text: str) -> int:
+    """Upper-case letters of a text; only those beyond ASCII are looked at one by one."""
+    raw = text.encode()
+    return len(raw) - len(raw.translate(None, _UPPER)) + sum(map(str.isupper, raw.translate(None, _ASCII).decode()))
+
+
 class Reader:
     """Votes and shares of texts under a lexicon; words seen before are remembered up to a limit."""
 
@@ -141,7 +150,7 @@ class Reader:
         odds = sum(x[1] for x in hits)
         many, dense = len(hits), len(hits) / n
         insults = sum(x[2] for x in hits)
-        upper = sum(map(str.isupper, text)) / chars if hits and text else 0.0
+        upper = upper_letters(text or "") / chars
         bangs, symbols = ((text or "").count("!")) / n, sum((text or "").count(c) for c in "#*$%&|") / n
         votes = [*[int(k in lists) for k in range(LISTS)], int(insults > 0), int(dense > 0.02), int(many > 2), int(upper > 0.4), int(bangs > 0.2), int(symbols > 0.2)]
         shares = [math.log1p(many), min(1.0, 10 * dense), math.log1p(odds), math.log1p(insults), upper, min(1.0, bangs), min(1.0, symbols), float(many > 0)]

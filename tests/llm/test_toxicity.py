@@ -96,3 +96,10 @@ def test_rare_stems_of_a_large_sample_are_learned(spark):
     assert not any(s.startswith(("mira", "plai", "word")) for s in found)
     votes, _ = toxicity.Reader([("zok", 3.0)]).read("you ZOK !")
     assert votes[0] == 1 and toxicity.Reader([("zok", 3.0)]).read("zokel zo")[0][0] == 0
+
+
+def test_shouting_votes_without_a_hit():
+    reader, k = toxicity.Reader([]), toxicity.VOTERS.index("shouting")
+    assert reader.read("QWRT ÄÖÜ ZZKW")[0][k] == 1 and reader.read("qwrt äöü ZZ")[0][k] == 0 and reader.read(None)[0][k] == 0
+    for t in ("", "aB c", "ÀÉ ß ǅ Ω 😀 A", "ⅧⒶ x"):
+        assert toxicity.upper_letters(t) == sum(map(str.isupper, t))
