@@ -92,3 +92,19 @@ def test_empty(spark):
 def test_only_a_system_turn(spark):
     df = spark.createDataFrame([(1, 0, "system", "s")], "conv_id long, turn long, role string, text string")
     assert read(chat.read_back(chat.samples(df))) == brute([(1, 0, "system", "s")])
+
+
+def test_chunks_change_nothing(spark):
+    """Conversations of many chunks, a NULL one, turns above the budget and repeated rows; the plan gathers chunks alone."""
+    import random
+
+    rnd = random.Random(7)
+    rows = [(c, k, "system" if c == 1 and k == 0 else rnd.choice(["user", "assistant"]), "w " * rnd.choice([0, 1, 3, 9, 30, 90]))
+            for c, n in ((1, 300), (2, 70), (None, 200), (3, 1), (4, 5)) for k in range(n)]
+    rows += [(5, None, "assistant", "same words")] * 150 + [(6, 0, "system", "s")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    whole, *parts = (sorted(map(str, chat.samples(df, 80, 25, chunk=k).collect())) for k in (10_000, 2, 3, 16, 64))
+    assert all(p == whole for p in parts)
+    assert read(chat.read_back(chat.samples(df, 80, 25, chunk=8))) == brute(rows)
+    turns = chat._turns(df, "conv_id", "turn", "role", "text")
+    assert max(len(r["t"]) + len(r["back"]) for r in chat._chunks(turns, 25, 80, 16).collect()) <= 16 + 25 // chat.TURN_TOKENS
