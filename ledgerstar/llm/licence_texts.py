@@ -1,4 +1,10 @@
-"""Public licence texts, licence notices and equivalent spellings."""
+"""Public licence texts, licence notices and equivalent spellings.
+
+Full texts of long licences lie in ``licence_files``, a file per licence. Not known: AGPL, the Unlicense, CC-BY texts,
+EPL, EUPL, BSL and any text not named here.
+"""
+
+from pathlib import Path
 
 _MIT_GRANT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -62,6 +68,30 @@ LICENCES = {
         "with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
 }
 
+# title lines that stand in front of a text; the copyright line below them is dropped by the canonical form
+TITLES = {
+    "MIT": ("The MIT License (MIT)", "The MIT License"),
+    "ISC": ("ISC License", "The ISC License"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License"),
+    "Zlib": ("zlib License", "The zlib License"),
+}
+
+
+def _bullets(text: str, mark: str) -> str:
+    for k in "123":
+        text = text.replace(f"{k}. ", mark)
+    return text
+
+
+for _name in ("BSD-2-Clause", "BSD-3-Clause"):
+    LICENCES[f"{_name} (bullets)"] = _bullets(LICENCES[_name], "* ")
+for _name in [n for n in LICENCES if n.removesuffix(" (bullets)") in TITLES]:
+    for _title in TITLES[_name.removesuffix(" (bullets)")]:
+        LICENCES[f"{_name} ({_title})"] = f"{_title}\n\n{LICENCES[_name]}"
+LICENCES |= {f.stem: f.read_text(encoding="utf-8") for f in sorted((Path(__file__).parent / "licence_files").glob("*.txt"))}
+
 NOTICES = {
     "MIT": "Released under the MIT License.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",

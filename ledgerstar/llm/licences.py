@@ -9,6 +9,9 @@ parameter table.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +39,29 @@ def known(spark: SparkSession, texts: dict[str, str]) -> DataFrame:
     return rows.select(digest(F.col("body")).alias("digest"), "licence").groupBy("digest").agg(F.min("licence").alias("licence"))
 
 
+def _spellings(word: str) -> list[str] | None:
+    """How a word of a canonical form can stand in a lower-case text; None: not as a word of its own."""
+    found = [word]
+    for w in found:
+        for other, usual in SPELLINGS:
+            if usual in w and other.isalpha():
+                found += [x for x in [w.replace(usual, other)] if x not in found]
+    parts = {p for other, usual in SPELLINGS if not other.isalpha() for p in re.findall(r"[^\W_]+", usual)}
+    return None if any(p in word for p in parts) else found
+
+
+def _may_be(text: Column, forms: list[str]) -> Column:
+    """Whether a lower-case text may hold one of the canonical forms: it has the two longest words of one."""
+    anyway = F.lit(False)
+    for form in forms:
+        words = sorted((x for w in set(form.split()) if (x := _spellings(w))), key=lambda x: (-len(x[0]), x[0]))[:2]
+        both = F.lit(True)
+        for x in words:
+            both = both & reduce(Column.__or__, [F.contains(text, F.lit(w)) for w in x])
+        anyway = anyway | both
+    return anyway
+
+
 def scan(df: DataFrame, licences: DataFrame | None = None, notices: dict[str, str] | None = None,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, digest, licence (NULL: the text is no known licence), notices (names of known notice lines).
@@ -46,13 +72,15 @@ def scan(df: DataFrame, licences: DataFrame | None = None, notices: dict[str, st
     """
     spark = df.sparkSession
     licences = known(spark, LICENCES) if licences is None else licences
-    lines = known(spark, NOTICES if notices is None else notices).collect()  # the fixed notices
+    notices = NOTICES if notices is None else notices
+    lines = known(spark, notices).collect()  # the fixed notices
+    forms = sorted({r[0] for r in spark.createDataFrame([(x,) for x in notices.values()], "x string").select(canonical(F.col("x"))).collect()})
     name_of = F.create_map(*[F.lit(x) for r in lines for x in (r["digest"], r["licence"])]) if lines else None
     text = ident(text_col).cast("string")
-    candidates = F.filter(F.split(text, "\n"), lambda x: F.lower(x).rlike("licen[cs]"))
+    candidates = F.filter(F.split(text, "\n"), lambda x: _may_be(F.lower(x), forms))
     found = (F.array_sort(F.array_distinct(F.array_compact(F.transform(candidates, lambda x: name_of[digest(x)]))))
              if name_of is not None else F.array().cast("array<string>"))
-    notices_col = F.when(F.lower(text).rlike("licen[cs]"), F.array_join(found, ",")).otherwise("")
+    notices_col = F.when(_may_be(F.lower(text), forms), F.array_join(found, ",")).otherwise("")
     rows = df.select(ident(id_col).alias("id"), digest(text).alias("digest"), F.coalesce(notices_col, F.lit("")).alias("notices"))
     named = licences.select(F.col("digest").alias("d"), F.col("licence"))
     return (rows.join(named, F.col("digest") == F.col("d"), "left")

@@ -40,3 +40,18 @@ def test_repeats_empty_and_own_table(spark):
     own = licences.known(spark, {"Own": "OWN TERMS"})
     assert [r["licence"] for r in licences.scan(df, own).collect()] == ["Own"] * 3
     assert licences.scan(df.limit(0)).collect() == []
+
+
+def test_titled_bulleted_and_long_texts(spark):
+    bsd = LICENCES["BSD-3-Clause"]
+    forms = ["BSD 3-Clause License\n\nCopyright (c) 2020, Some One\nAll rights reserved.\n\n" + bsd, "The MIT License (MIT)\n\n" + LICENCES["MIT"], "ISC License\n\n" + LICENCES["ISC"],
+             "zlib License\n\n" + LICENCES["Zlib"], bsd.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* "), LICENCES["GPL-3"].upper(), LICENCES["Apache-2.0"]]
+    got = scan(spark, forms)
+    assert [got[k]["licence"].split(" ")[0] for k in range(len(forms))] == ["BSD-3-Clause", "MIT", "ISC", "Zlib", "BSD-3-Clause", "GPL-3", "Apache-2.0"]
+
+
+def test_own_notices_of_any_wording(spark):
+    own = {"PD": "Released into the public domain.", "ODD": "Favour and/or behaviour", "SUB": "May be sub-licensed", "SHORT": "X"}
+    texts = ["a\n# RELEASED into the public domain\nb", "favor and or behavior", "may be sub licenced", "may be sublicensed", "prose\nx.\n", "prose"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["notices"] for r in sorted(licences.scan(df, notices=own).collect())] == ["PD", "ODD", "SUB", "SUB", "SHORT", ""]
