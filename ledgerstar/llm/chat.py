@@ -142,7 +142,8 @@ def samples(df: DataFrame, budget: int = BUDGET, history: int = HISTORY, conv_co
     """
     turns = cut(_turns(df, conv_col, turn_col, role_col, text_col), "chat-rows")
     spans = _spans(turns, budget, history, chunk).withColumnRenamed("conv", "c").withColumnRenamed("pos", "p")
-    held = turns.join(spans, F.col("conv").eqNullSafe(F.col("c")) & (F.col("pos") == F.col("p")))
+    # merged: the estimate of the exploded spans is far below their size, so the planner would broadcast them
+    held = turns.join(spans.hint("merge"), F.col("conv").eqNullSafe(F.col("c")) & (F.col("pos") == F.col("p")))
     one = held.groupBy("conv", "sample").agg(F.sort_array(F.collect_list(F.struct("pos", "own", "rendered", "head", "body", "target"))).alias("t"))
     one = one.withColumn("formatted", F.array_join(F.transform("t", lambda x: x["rendered"]), ""))
     loss = F.expr("""
