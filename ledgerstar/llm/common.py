@@ -36,10 +36,22 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     Later jobs start from the files, so they neither recompute what is above nor lose it with an
     executor. The folder is the one named by ``spark.checkpoint.dir``.
     """
+    return stored(df, name)[0]
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As :func:`cut`, with the place of the files, for :func:`discard` once they are no longer needed."""
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table of :func:`stored`. Nothing may be computed from it afterwards."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    _WRITTEN[:] = [w for w in _WRITTEN if w[1] != path]
 
 
 _WRITTEN: list[tuple[SparkSession, str]] = []
