@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstar.llm import chat, contamination, hilbert, importance, licences, mixing, pii, quality, simhash, token_planes, toxicity, warc
+from ledgerstar.llm import (chat, collocations, contamination, hilbert, importance, licences, mixing, pii, quality, simhash,
+                            token_planes, toxicity, warc)
 from ledgerstar.llm.common import table
 
 
@@ -61,6 +62,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -72,6 +77,7 @@ def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_simhash, op3_hilbert_shards, op4_chat_windows, op5_token_planes, op6_pareto_mix,
     op7_licence_digests, op8_wu_manber, op9_personal_data, op10_toxicity,
-    op12_importance, op13_warc)}
+    op11_collocations, op12_importance, op13_warc)}
 
-ORACLE = {"op6_pareto_mix": mixing.ORACLE, "op7_licence_digests": licences.oracle(), "op8_wu_manber": contamination.ORACLE}
+ORACLE = {"op6_pareto_mix": mixing.ORACLE, "op7_licence_digests": licences.oracle(), "op8_wu_manber": contamination.ORACLE,
+          "op11_collocations": collocations.oracle()}
