@@ -359,9 +359,9 @@ WITH t AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents),
 w AS (
-  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), x -> x <> '') AS ws FROM t),
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM t),
 g AS (
-  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), i -> list_slice(ws, i, i + k - 1))) AS p FROM w, range(1, 6) AS r(k) WHERE len(ws) >= k),
+  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: list_slice(ws, i, i + k - 1))) AS p FROM w, range(1, 6) AS r(k) WHERE len(ws) >= k),
 f AS (
   SELECT lang, k, p, count(*) AS c FROM g GROUP BY ALL HAVING count(*) >= {least}),
 n AS (
