@@ -1,13 +1,15 @@
 """Quality rules with an isolation forest over rule statistics.
 
 One pass over the texts counts what the rules need. The base rules reject outright; the forest judges
-the rest: trees of random splits are grown on a bounded sample of rows, and a row that few splits
-isolate (a short mean path) is anomalous. The threshold on the anomaly score is calibrated from all
-labelled rows. The statistics are written once; sampling, calibration and scoring read them.
+the rest by the statistics themselves (mean word length, symbols, echoes, the most frequent word, words and
+bytes that are not letters): trees of random splits are grown on a bounded sample of rows, and a row that few
+splits isolate (a short mean path) is anomalous. No statistic has a limit of its own; the one threshold, on the anomaly
+score, is calibrated from all labelled rows. The statistics are written once; sampling, calibration and scoring read them.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +30,7 @@ TREES, TREE_ROWS = 100, 256   # the forest's sample: TREES * TREE_ROWS rows at m
 SEED = 11
 BINS = 4096                   # score histogram for the threshold
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_bang", "n_echo", "n_digits")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_echo", "n_top", "n_lettered", "n_letters", "n_bytes")
 
 
 def _repeat_marks(words: list[bytes], size: int) -> int:
@@ -63,21 +65,25 @@ def _repeat_marks(words: list[bytes], size: int) -> int:
 
 
 _SPACES = b" \t\n\x0b\x0c\r"
-_UPPER = bytes(range(65, 91))
+_LETTERS = bytes(b for b in range(256) if 65 <= b <= 90 or 97 <= b <= 122 or b >= 128)
+_NEITHER = bytes(b for b in range(256) if b not in _LETTERS and b not in _SPACES)
 
 
 def rule_counts(text: str | None) -> tuple[int, ...]:
-    """The counts of one whole text, in the order of ``COUNTS``; NULL counts as empty."""
+    """The counts of one whole text, in the order of ``COUNTS``; NULL counts as empty.
+
+    Letters are A-Z, a-z and all bytes of other scripts; n_top counts the most frequent word, n_echo words
+    equal to the one before, n_lettered words with a letter.
+    """
     if not text:
         return (0,) * len(COUNTS)
     raw = text.encode("utf-8", "surrogatepass")
     words = raw.split()
     lines = [x for x in text.split("\n") if x.encode("utf-8", "surrogatepass").split()]
-    n = len(raw)
+    n, spoken = len(raw), raw.translate(None, _NEITHER)  # letters and spaces
     return (len(words), len(text) - (n - len(raw.translate(None, _SPACES))), n - len(raw.translate(None, SYMBOLS)),
-            len(lines) - len(set(lines)), _repeat_marks(words, WINDOW), len(lines),
-            n - len(raw.translate(None, _UPPER)), raw.count(b"!"), sum(map(bytes.__eq__, words, words[1:])),
-            n - len(raw.translate(None, b"0123456789")))
+            len(lines) - len(set(lines)), _repeat_marks(words, WINDOW), sum(map(bytes.__eq__, words, words[1:])),
+            max(Counter(words).values(), default=0), len(spoken.split()), len(spoken.translate(None, _SPACES)), n)
 
 
 def rule_statistics(df: DataFrame, carry: Column, text_col: str = "text") -> DataFrame:
@@ -101,24 +107,17 @@ def base_failed(c: str = "counts") -> Column:
     return (n < MIN_WORDS) | (100 * F.col(f"{c}.n_repeat_words") > MAX_REPEAT_PCT * n)
 
 
-# Rule limits: what ordinary prose stays within. A statistic is the excess over its limit.
-LIMITS = {"word_length_low": 3.0, "word_length_high": 10.0, "symbols": 0.1, "dup_lines": 0.3, "repeats": 0.3,
-          "upper": 0.3, "bangs": 0.1, "echoes": 0.1, "digits": 0.2}
+STATISTICS = ("word_length", "symbols", "echoes", "top_word", "unlettered", "non_letters")
 
 
 def features(c: dict[str, np.ndarray]) -> np.ndarray:
-    """Rule statistics: by how much each share exceeds its limit (0 within it), one column per limit.
+    """The rule statistics, raw, one column per name in ``STATISTICS``.
 
-    Shares make long and short texts comparable, and the excess makes all rows that keep every rule one
-    point, which random splits cannot part; what isolates a row is breaking rules in an unusual degree.
+    All but the first are shares, so that long and short texts compare. Splits are drawn between the least and
+    the greatest value, so a column's scale does not matter. Repeated windows are left to the base rule.
     """
-    n, chars, lines = (np.maximum(1, c[k]).astype(float) for k in ("n_words", "word_chars", "n_lines"))
-    length = c["word_chars"] / n
-    shares = {"symbols": c["n_symbols"] / n, "dup_lines": c["n_dup_lines"] / lines, "repeats": c["n_repeat_words"] / n,
-              "upper": c["n_upper"] / chars, "bangs": c["n_bang"] / n, "echoes": c["n_echo"] / n, "digits": c["n_digits"] / chars}
-    low = np.maximum(0.0, LIMITS["word_length_low"] - length)
-    return np.stack([low, np.maximum(0.0, length - LIMITS["word_length_high"]),
-                     *[np.maximum(0.0, v - LIMITS[k]) for k, v in shares.items()]], axis=1)
+    n, size = (np.maximum(1, c[k]).astype(float) for k in ("n_words", "n_bytes"))
+    return np.stack([c["word_chars"] / n, c["n_symbols"] / n, c["n_echo"] / n, c["n_top"] / n, 1 - c["n_lettered"] / n, 1 - c["n_letters"] / size], axis=1)
 
 
 @dataclass
@@ -140,13 +139,13 @@ class IsolationForest:
 
     @classmethod
     def grow(cls, x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = SEED) -> IsolationForest:
-        """``x``: the sample, tree after tree. Fewer rows than asked for: smaller trees."""
+        """``x``: the sample, tree after tree. Where it is smaller than all trees together, each draws its rows from it."""
         rng = np.random.default_rng(seed)
-        per = max(1, min(rows, len(x) // trees if len(x) >= trees * 2 else len(x)))
+        per = min(rows, len(x))
         depth = int(np.ceil(np.log2(max(2, per))))
         out = cls([], [], [], [], float(max(1e-9, cls.usual_path(per))))
         for t in range(trees):
-            part = x[t * per:(t + 1) * per] if len(x) >= trees * per else x
+            part = x[t * per:(t + 1) * per] if len(x) >= trees * per else x[rng.choice(len(x), per, replace=False)]
             f, v, c, p, queue = [], [], [], [], [(part, 0)]
             while queue:
                 rows_, d = queue.pop(0)
@@ -179,7 +178,7 @@ class IsolationForest:
 def _sample(stats: DataFrame, rows: int, size: int) -> np.ndarray:
     """At most ``size`` feature rows of ``rows``: those of the smallest draws (fixed by id and counts)."""
     if not rows:
-        return np.empty((0, len(LIMITS)))
+        return np.empty((0, len(STATISTICS)))
     drawn = stats.select("counts.*", draw(F.col("id"), *[F.col("counts")[c] for c in COUNTS], seed=SEED).alias("u"))
     got = drawn.filter(F.col("u") < min(1.0, 2.0 * size / rows)).orderBy("u", *COUNTS).limit(size).toPandas()
     return features({c: got[c].to_numpy() for c in COUNTS})

@@ -60,13 +60,62 @@ def test_query_against_brute_force(spark, sf, documents):
 
 
 def test_forest_isolates_outliers():
-    x = np.zeros((2000, len(quality.LIMITS)))
+    x = np.zeros((2000, len(quality.STATISTICS)))
     x[:40, 2] = np.linspace(0.5, 3, 40)
     forest = quality.IsolationForest.grow(np.random.default_rng(0).permutation(x), trees=50, rows=64)
     s = forest.score(x)
     assert s[:40].min() > s[40:].max()
 
 
+def _labelled(sf):
+    """Statistics and label (NaN: none) of the documents that pass the base rule."""
+    import pyarrow.parquet as pq
+
+    docs = pq.read_table(f"{sf}/documents.parquet", columns=["doc_id", "text"]).to_pydict()
+    labels = dict(zip(*pq.read_table(f"{sf}/labels.parquet", columns=["doc_id", "quality"]).to_pydict().values()))
+    counts = np.array([quality.rule_counts(t) for t in docs["text"]])
+    c = {k: counts[:, i] for i, k in enumerate(quality.COUNTS)}
+    passing = ~((c["n_words"] < 20) | (100 * c["n_repeat_words"] > 30 * c["n_words"]))
+    x = quality.features(c)[passing]
+    y = np.array([labels.get(d, np.nan) for d in docs["doc_id"]], dtype=float)[passing]
+    return x, y
+
+
+def _gap(scores, y):
+    """Balanced accuracy of the best threshold on labelled rows."""
+    good, bad = np.sort(scores[y == 1]), np.sort(scores[y == 0])
+    at = np.unique(scores[~np.isnan(y)])
+    return max((np.searchsorted(good, at, "right") / len(good) + 1 - np.searchsorted(bad, at, "right") / len(bad)) / 2)
+
+
+def test_verdict_is_no_limit_on_one_statistic_and_needs_its_paths(sf):
+    """The forest parts good from bad better than any limit on one statistic, its verdicts agree with none of them,
+    and with its paths shuffled among the leaves of each tree it is worse."""
+    x, y = _labelled(sf.replace("0.001", "0.01"))
+    forest = quality.IsolationForest.grow(x, 100, 256)
+    scores = forest.score(x)
+    whole = _gap(scores, y)
+    assert whole >= 0.99
+    cut_at = np.quantile(scores[y == 1], 0.995)
+    rejected = scores > cut_at
+    for k in range(x.shape[1]):
+        for side in (x[:, k], -x[:, k]):
+            assert _gap(side, y) < whole
+            assert min((rejected != (side > v)).sum() for v in np.unique(side)) > 0
+    rng = np.random.default_rng(4)
+    for k in range(len(forest.path)):
+        leaf = forest.feature[k] < 0
+        forest.path[k][leaf] = rng.permutation(forest.path[k][leaf])
+    assert _gap(forest.score(x), y) < whole - 0.02
+
+
+def test_small_samples_are_drawn_for_each_tree():
+    x = np.random.default_rng(1).normal(size=(300, len(quality.STATISTICS)))
+    x[0] = 9
+    forest = quality.IsolationForest.grow(x, trees=40, rows=128)
+    assert len(forest.feature) == 40 and forest.score(x).argmax() == 0
+
+
 def test_good_kept_bad_rejected(spark):
     sf = "/root/testdata/sf0.01"
     from ledgerstar.llm.common import table
