@@ -4,7 +4,9 @@ Every source gets a target number of words. Whole copies that the target certain
 to all documents of the source. The rest of the target is a sample: each document draws a uniform number
 u and is ranked by its random odds u / (1 - u) divided by its inclusion odds p / (1 - p); the lowest
 ranks are selected as long as they fit the size that is left, in words. p is the share of the source
-that is left, times the document's own weight if a weight column is given. Where the next document would
+that is left, times the document's own weight over the mean weight of the source's words; by default the weight
+is the number of binary digits of the document's size, so long documents are likelier than short ones, but less than
+in proportion. Rows that repeat both id and text of a source are numbered, and each draws for itself. Where the next document would
 overrun the size, one more is taken: of those ranked higher, the one whose words come nearest to the gap
 (the lowest rank of equals), if that is nearer than none.
 
@@ -73,7 +75,7 @@ def plan_mix(rows: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
     buckets, last_b and last_q (where the ranked sample ends), extra_q (the rank of the document that fills the gap).
     """
     sums = rows.groupBy("source").agg(F.sum("size").alias("total"), F.count("*").alias("n"),
-                                      F.coalesce(F.sum(F.col("size") * F.col("weight")) / F.nullif(F.sum("size"), F.lit(0)), F.lit(1.0)).alias("mean_weight"))
+                                      F.coalesce(F.sum(F.col("size") * F.col("weight")).cast("double") / F.nullif(F.sum("size"), F.lit(0)).cast("double"), F.lit(1.0)).alias("mean_weight"))
     sums = cut(sums, "mix-sources")
     t = targets(sums.select("source", "total", "n"), max_copies).join(sums.select(F.col("source").alias("s"), "mean_weight"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     whole = F.when(F.col("total") > 0, F.floor(F.col("target") / F.col("total"))).otherwise(0).cast("long")
@@ -111,24 +113,50 @@ def _copies() -> Column:
     return (F.col("whole") + F.coalesce(sampled.cast("int"), F.lit(0))).cast("long")
 
 
-def _rows(df: DataFrame, carry: Column, id_col: str, text_col: str, source_col: str, weight: Column | None, sized: bool) -> DataFrame:
-    text = ident(text_col).cast("string")
-    u = draw(ident(id_col), F.md5(text), seed=SEED)
-    w = F.lit(1.0) if weight is None else F.greatest(F.coalesce(weight.cast("double"), F.lit(0.0)), F.lit(0.0))
-    return df.select(carry.alias("row"), ident(source_col).cast("string").alias("source"), u.alias("u"), w.alias("weight"),
-                     *([n_words(text).alias("size")] if sized else []))
+def _rows(df: DataFrame, carry: Column, id_col: str, text_col: str, source_col: str, weight: Column | None) -> DataFrame:
+    """(row, source, size, weight, name, key): ``name`` is what the draw is made from, ``key`` is equal for repeated rows."""
+    text, source = ident(text_col).cast("string"), ident(source_col).cast("string")
+    name = F.concat(F.coalesce(ident(id_col).cast("string"), F.lit("~")), F.lit("|"), F.coalesce(F.md5(text), F.lit("~")))
+    size = n_words(text)
+    w = F.length(F.bin(size)) if weight is None else F.greatest(F.coalesce(weight.cast("double"), F.lit(0.0)), F.lit(0.0))
+    return df.select(carry.alias("row"), source.alias("source"), size.alias("size"), w.alias("weight"), name.alias("name"),
+                     F.md5(F.concat(name, F.coalesce(F.concat(F.lit("|"), source), F.lit("")))).alias("key"))
+
+
+def _drawn(rows: DataFrame, repeat: Column) -> DataFrame:
+    """The uniform number of every row, from its name and, where it repeats an earlier row, the number of that repeat."""
+    name = F.concat("name", F.when(repeat > 0, F.concat(F.lit("|"), repeat.cast("string"))).otherwise(F.lit("")))
+    return rows.withColumn("u", draw(name, seed=SEED)).drop("name")
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``repeat``: 0 for the first row of a key, then 1, 2, ...; which row is first does not matter.
+
+    The rows are written with their places; a key is counted per written part and the parts of a key are
+    numbered one after the other, so no task holds more of one key than one part has.
+    """
+    at = cut(rows.withColumn("place", F.monotonically_increasing_id()), "mix-places").withColumn("part", F.shiftright("place", 33))
+    before = F.sum("k").over(W.partitionBy("key").orderBy("part").rowsBetween(W.unboundedPreceding, -1))
+    counts = at.groupBy("key", "part").agg(F.count("*").alias("k")).select("key", "part", F.coalesce(before, F.lit(0)).alias("off"))
+    own = F.row_number().over(W.partitionBy("key", "part").orderBy("place")) - 1
+    return at.withColumn("own", own).join(counts, ["key", "part"]).withColumn("repeat", F.col("own") + F.col("off")).drop("place", "part", "own", "off")
+
+
+def _all_drawn(df: DataFrame, carry: Column, *cols) -> DataFrame:
+    rows = _numbered(_rows(df, carry, *cols))
+    return cut(_drawn(rows, F.col("repeat")), "mix-rows")
 
 
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weight: Column | None = None, max_copies: int = MAX_COPIES) -> DataFrame:
     """doc_id, size, source_size, target, taken (words the mix takes), copies; one row per document.
 
-    The draw is fixed by id and text, so reruns agree and rows that repeat both share one draw: they are
-    taken together. NULL sources are one source, NULL and empty texts have size 0 and cost nothing.
-    Other columns are ignored. An empty table gives an empty result. With ``weight``, rows of weight 0 or
-    NULL get the whole copies only.
+    The draw is fixed by id, text and, for rows that repeat id, text and source, the number of the repeat, so reruns
+    agree: of repeated rows, as many are taken each time. NULL sources are one source, NULL and empty texts have
+    size 0 and cost nothing. Other columns are ignored. Very long texts are ordinary rows; only their size travels. An
+    empty table gives an empty result. With ``weight``, rows of weight 0 or NULL get the whole copies only.
     """
-    rows = cut(_rows(df, ident(id_col), id_col, text_col, source_col, weight, True), "mix-rows")
+    rows = _all_drawn(df, ident(id_col), id_col, text_col, source_col, weight)
     plan = plan_mix(rows.select("source", "size", "u", "weight"), max_copies)
     return _ranked(rows, plan).withColumn("copies", _copies()).select(
         F.col("row").alias(id_col), "size", F.col("total").alias("source_size"), "target",
@@ -137,34 +165,47 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
 
 def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           weight: Column | None = None, max_copies: int = MAX_COPIES) -> DataFrame:
-    """``df`` with every row repeated by its copies (0 to ``max_copies``); columns and their order stay."""
-    rows = cut(_rows(df, F.lit(0), id_col, text_col, source_col, weight, True).drop("row"), "mix-rows")
-    plan = plan_mix(rows, max_copies)
-    whole = _ranked(_rows(df, pack(df), id_col, text_col, source_col, weight, False), plan).withColumn("copies", _copies())
-    return whole.filter("copies > 0").select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("row.*")
+    """``df`` with every row repeated by its copies (0 to ``max_copies``); columns and their order stay.
+
+    Cases as in :func:`mix`. The plan decides a row on its own, in one pass over the whole rows; only rows that
+    repeat id, text and source are written and numbered again.
+    """
+    cols = (id_col, text_col, source_col, weight)
+    rows = _all_drawn(df, F.lit(0), *cols)
+    plan = plan_mix(rows.select("source", "size", "u", "weight"), max_copies)
+    repeated = cut(rows.filter("repeat = 1").select("key"), "mix-repeated")
+    whole = _rows(df, pack(df), *cols)
+    single = _drawn(whole.join(repeated, "key", "left_anti"), F.lit(0))
+    again = _drawn(_numbered(whole.join(repeated, "key", "left_semi")), F.col("repeat"))
+    both = single.select("row", "source", "u", "weight").union(again.select("row", "source", "u", "weight"))
+    return (_ranked(both, plan).withColumn("copies", _copies()).filter("copies > 0")
+            .select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("row.*"))
 
 
 ORACLE = r"""
-WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         (CAST('0x' || substr(md5('6|' || coalesce(CAST(doc_id AS VARCHAR), '~') || '|' || coalesce(md5(text), '~')), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+WITH z AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(text) AS m, row_number() OVER (PARTITION BY doc_id, text, source) - 1 AS j
   FROM documents),
+d AS (
+  SELECT doc_id, source, size, length(bin(size)) AS weight,
+         (CAST('0x' || substr(md5('6|' || coalesce(CAST(doc_id AS VARCHAR), '~') || '|' || coalesce(m, '~') || CASE WHEN j > 0 THEN '|' || j ELSE '' END), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+  FROM z),
 s AS (
-  SELECT source, CAST(sum(size) AS BIGINT) AS total, 3 * CAST(sum(size) AS BIGINT) AS cap, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w
+  SELECT source, CAST(sum(size) AS BIGINT) AS total, CASE WHEN sum(size) > 0 THEN CAST(sum(size * weight) AS DOUBLE) / CAST(sum(size) AS DOUBLE) ELSE 1 END AS mean_weight, 3 * CAST(sum(size) AS BIGINT) AS cap, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w
   FROM d GROUP BY source),
 o AS (
   SELECT *, CAST((SELECT sum(total) FROM s) - coalesce(sum(cap) OVER before, 0) AS DOUBLE) / CAST((SELECT sum(w) FROM s) - coalesce(sum(w) OVER before, 0) AS DOUBLE) AS rate,
          row_number() OVER (ORDER BY CAST(cap AS DOUBLE) / w, source NULLS LAST) AS k
   FROM s WINDOW before AS (ORDER BY CAST(cap AS DOUBLE) / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (
-  SELECT source, total, least((SELECT arg_min(rate, k) FROM o WHERE rate * w <= cap) * w, CAST(cap AS DOUBLE)) AS target FROM o),
+  SELECT source, total, mean_weight, least((SELECT arg_min(rate, k) FROM o WHERE rate * w <= cap) * w, CAST(cap AS DOUBLE)) AS target FROM o),
 f AS (
   SELECT *, CASE WHEN total > 0 THEN CAST(floor(target / total) AS BIGINT) ELSE 0 END AS whole FROM t),
 g AS (
   SELECT *, target - whole * total AS rest, CASE WHEN total > 0 THEN (target - whole * total) / total ELSE 0 END AS share FROM f),
 r AS (
-  SELECT d.doc_id, d.size, g.*, CASE WHEN share > 0 THEN (u / (1 - u)) / (share / (1 - share)) END AS q
-  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+  SELECT e.*, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS q
+  FROM (SELECT d.doc_id, d.size, u, g.*, least(share * weight / mean_weight, 1 - 1e-9::DOUBLE) AS p FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source) AS e),
 c AS (
   SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY q RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= rest AND share > 0, false) AS inside
   FROM r),

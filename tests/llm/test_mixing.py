@@ -22,41 +22,46 @@ def brute_targets(sizes):
         fixed |= {s: 3 * sizes[s] for s in over}
 
 
-def uniform(doc, text):
+def uniform(doc, text, repeat):
     inner = "~" if text is None else hashlib.md5(text.encode()).hexdigest()
-    h = hashlib.md5(f"6|{'~' if doc is None else doc}|{inner}".encode()).hexdigest()
+    more = f"|{repeat}" if repeat else ""
+    h = hashlib.md5(f"6|{'~' if doc is None else doc}|{inner}{more}".encode()).hexdigest()
     return (int(h[:13], 16) + 0.5) / 2**52
 
 
 def brute_mix(rows):
+    """(size, source_size, target, taken) of every (doc_id, text, source) row, one row after the other."""
     size = {k: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for k, (_, t, _) in enumerate(rows)}
-    by = defaultdict(list)
-    for k, (_, _, s) in enumerate(rows):
-        by[s].append(k)
+    by, seen, repeat = defaultdict(list), defaultdict(int), {}
+    for k, row in enumerate(rows):
+        by[row[2]].append(k)
+        repeat[k] = seen[row]
+        seen[row] += 1
     totals = {s: sum(size[k] for k in ks) for s, ks in by.items()}
     target = brute_targets(totals)
     out = {}
     for s, ks in by.items():
         whole = int(target[s] / totals[s] + 1e-12) if totals[s] else 0
+        share = (target[s] - whole * totals[s]) / totals[s] if totals[s] else 0
         rest = target[s] - whole * totals[s]
-        p = rest / totals[s] if totals[s] else 0
-        groups = defaultdict(list)
-        for k in ks:
-            u = uniform(*rows[k][:2])
-            groups[u / (1 - u) / (p / (1 - p)) if 0 < p < 1 else 0].append(k)
-        cum, more = 0, []
-        for q in sorted(groups):
-            same = sum(size[k] for k in groups[q])
-            held = p > 1e-12 and cum + same <= rest and not more
-            cum += same if held else 0
-            more += [] if held else [q]
-            for k in groups[q]:
-                out[k] = size[k] * (whole + held)
+        out |= {k: size[k] * whole for k in ks}
+        if share <= 1e-12:
+            continue
+        weight = {k: len(f"{size[k]:b}") for k in ks}
+        mean = sum(size[k] * weight[k] for k in ks) / totals[s]
+
+        def rank(k):
+            u, p = uniform(*rows[k][:2], repeat[k]), min(share * weight[k] / mean, 1 - 1e-9)
+            return u / (1 - u) / (p / (1 - p))
+
+        order, cum = sorted(ks, key=rank), 0
+        while order and cum + size[order[0]] <= rest:
+            cum += size[order[0]]
+            out[order[0]] += size[order.pop(0)]
         gap = rest - cum
-        best = min(((abs(size[k] - gap), q) for q in more for k in groups[q]), default=(gap, 0)) if p > 1e-12 else (gap, 0)
-        if best[0] < gap:
-            for k in groups[best[1]]:
-                out[k] += size[k]
+        if order and min(abs(size[k] - gap) for k in order) < gap:
+            k = min(order, key=lambda k: abs(size[k] - gap))
+            out[k] += size[k]
     return [(size[k], totals[rows[k][2]], target[rows[k][2]], out[k]) for k in range(len(rows))]
 
 
@@ -102,6 +107,40 @@ def test_repeats_follow_copies(spark, documents):
     assert {r["doc_id"]: r["count"] for r in whole.groupBy("doc_id").count().collect()} == want
 
 
+def test_repeated_rows_stay_within_one_document_of_the_target(spark):
+    rows = [(1000 * s + k, "w " * 100, f"s{s}") for s in range(3) for k in range(60)] + [(-1, "a b c", f"s{s}") for s in range(3) for _ in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    got = mixing.mix(df).collect()
+    same(got, rows)
+    taken = defaultdict(int)
+    for r in got:
+        taken[r["target"]] += r["taken"]
+    assert all(abs(t - v) <= 100 for t, v in taken.items())
+    copies = mixing.mixed(df).groupBy("doc_id", "source").count().collect()
+    want = defaultdict(int)
+    for r in mixing.mix(df.withColumn("tag", df["source"])).collect():
+        want[(r["doc_id"], r["target"])] += r["copies"]
+    assert sorted(r["count"] for r in copies) == sorted(v for v in want.values() if v)
+    words = defaultdict(int)
+    for r in copies:
+        words[r["source"]] += r["count"] * (3 if r["doc_id"] == -1 else 100)
+    assert sorted(words.values()) == sorted(taken.values())
+
+
+def test_a_key_held_by_most_rows_is_numbered_in_parts(spark):
+    df = spark.createDataFrame([(None, "w w", "a")] * 3000 + [(5, "w", "a")], "doc_id long, text string, source string").repartition(6)
+    numbered = mixing._numbered(mixing._rows(df, df["doc_id"], "doc_id", "text", "source", None))
+    assert sorted(r["repeat"] for r in numbered.filter("row is null").collect()) == list(range(3000))
+
+
+def test_long_documents_are_likelier(spark):
+    rows = [(k, "w " * (4 if k % 2 else 400), "a") for k in range(2000)] + [(9000 + k, "w " * 404, "b") for k in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df).filter("doc_id < 9000").collect()
+    long, short = (sum(r["copies"] for r in got if (r["size"] > 4) == x) for x in (True, False))
+    assert long > 2 * short > 0
+
+
 def test_weights_raise_inclusion(spark):
     from pyspark.sql import functions as F
 
