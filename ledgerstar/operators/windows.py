@@ -2,20 +2,14 @@
 
 Spark runs an unpartitioned window (``Window.orderBy(...)`` without ``partitionBy``) in
 a single task, and a window partitioned by a hot key buffers that whole key in one
-task. Both are avoided here with a two-phase scan:
-
-1. ``repartitionByRange`` on the full sort order (which includes a unique tie-breaker,
-   so the range bounds can split even a hot key over several partitions), a sort inside
-   the partitions, then a reliable ``checkpoint()`` so that the partition and place of
-   every row are pinned;
-2. per-partition local results: a row's number is its place in the sorted partition
-   (``monotonically_increasing_id``), which needs no second exchange; running sums and
-   per-key values come from a window over ``(_pid, ...)`` groups, which are bounded by
-   the partition size;
-3. a per-partition summary (one row per partition, a proven small bound), whose
-   prefix gives the carry that each partition adds to its local results.
-
-The plain-window forms are kept (``method="window"``) as the reference for tests.
+task. Both are avoided:
+
+* ``global_rank`` cuts the order into buckets of nearly equal size (``selection.buckets``, which moves no
+  row and splits equal values by the keys after them), sorts only inside a bucket, and adds the counts and
+  sums of the buckets before, one row per bucket. The rows are exchanged once, by bucket.
+* ``keyed_lag`` and ``keyed_running_max`` deal rows by ranges of keys and order (the order's tie-breaker lets
+  the bounds split a hot key), pin them with a reliable ``checkpoint()``, compute inside ``(_pid, key)``
+  groups and carry one or two summary rows per partition over to the next.
 """
 
 from __future__ import annotations
@@ -24,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerstar.session import checkpoint_dir
+from ledgerstar.operators.selection import buckets
+from ledgerstar.session import checkpoint_dir, written
 
 
 def _order_exprs(order: list) -> list[Column]:
@@ -45,8 +40,7 @@ def _pin_ranges(df: DataFrame, sort_exprs: list[Column], num_partitions: int | N
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     pinned = (df.repartitionByRange(n, *sort_exprs).sortWithinPartitions(*sort_exprs)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_lrn", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1))
+              .withColumn("_pid", F.spark_partition_id()))
     # Reliable checkpoint: range bounds come from sampling, so a recomputation could
     # move rows between partitions; the written copy also survives executor loss.
     return pinned.checkpoint(eager=True)
@@ -65,75 +59,51 @@ def ntile_from_rank(rank: Column, n: Column, k: int) -> Column:
 
 def global_rank(df: DataFrame, order: list, value: str | None = None, ntiles: dict | None = None,
                 rank_col: str = "rank", running_col: str = "running", total_col: str = "total",
-                count_col: str | None = None, method: str = "two_phase",
-                num_partitions: int | None = None) -> DataFrame:
+                count_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
     """Add a 1-based global ``row_number`` in ``order``; optionally the running sum of
     ``value`` (rows from the first to the current), the grand total of ``value`` and
     ``ntile`` columns (``ntiles={"name": k}``, computed from the same rank).
 
-    ``order`` must be a strict total order (end it with a unique tie-breaker) so
-    that every method gives the same numbering.
+    ``order`` (names, or (name, "desc")) must be a strict total order: end it with a unique tie-breaker.
+    ``df`` is written first, since the search for the buckets scans it several times.
     """
-    ntiles = ntiles or {}
-    sort_exprs = _order_exprs(order)
-    if method == "window":
-        w = W.orderBy(*sort_exprs)
-        out = df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
-        if value is not None:
-            out = out.withColumn(running_col, F.sum(value).over(
-                w.rowsBetween(W.unboundedPreceding, W.currentRow)))
-            out = out.withColumn(total_col, F.sum(value).over(W.partitionBy()))
-        n = F.count(F.lit(1)).over(W.partitionBy())
-        for name, k in ntiles.items():
-            out = out.withColumn(name, F.ntile(k).over(w).cast("bigint"))
-        if count_col:
-            out = out.withColumn(count_col, n.cast("bigint"))
-        return out
-    if method != "two_phase":
-        raise ValueError(method)
-
-    pinned = _pin_ranges(df, sort_exprs, num_partitions)
-    local = pinned
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = written(df, "rank-rows")
+    rows = rows.withColumn("_b", buckets(rows, order, n))
+    by = W.partitionBy("_b").orderBy(*_order_exprs(order))
+    local = rows.withColumn("_lrn", F.row_number().over(by))
     aggs = [F.count(F.lit(1)).alias("_cnt")]
     if value is not None:
-        wl = W.partitionBy("_pid").orderBy("_lrn").rowsBetween(W.unboundedPreceding, W.currentRow)
-        local = local.withColumn("_lsum", F.sum(value).over(wl))
+        local = local.withColumn("_lsum", F.sum(value).over(by.rowsBetween(W.unboundedPreceding, W.currentRow)))
         aggs.append(F.sum(value).alias("_psum"))
-    # One row per partition: bounded by the partition count, so it is broadcast.
-    summary = pinned.groupBy("_pid").agg(*aggs)
-    wp = W.orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
-    carry_cols = [F.col("_pid"), F.coalesce(F.sum("_cnt").over(wp), F.lit(0)).alias("_ccnt"),
-                  F.sum("_cnt").over(W.partitionBy()).alias("_n")]
+    # At most ``n`` rows, one per bucket, so they are ordered in one task and broadcast.
+    before, every = W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1), W.partitionBy()
+    carry = [F.col("_b").alias("_cb"), F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_ccnt"), F.sum("_cnt").over(every).alias("_n")]
     if value is not None:
-        carry_cols += [F.sum("_psum").over(wp).alias("_csum"),
-                       F.sum("_psum").over(W.partitionBy()).alias("_tot")]
-    carry = summary.select(*carry_cols)
-    out = local.join(F.broadcast(carry), "_pid", "left")
+        carry += [F.sum("_psum").over(before).alias("_csum"), F.sum("_psum").over(every).alias("_tot")]
+    out = local.join(F.broadcast(rows.groupBy("_b").agg(*aggs).select(*carry)), F.col("_b") == F.col("_cb"))
     out = out.withColumn(rank_col, (F.col("_lrn") + F.col("_ccnt")).cast("bigint"))
     if value is not None:
         lsum = F.col("_lsum")
         out = out.withColumn(running_col, F.when(F.col("_csum").isNull(), lsum).otherwise(lsum + F.col("_csum")))
         out = out.withColumn(total_col, F.col("_tot"))
-    for name, k in ntiles.items():
+    for name, k in ntiles.items() if ntiles else ():
         out = out.withColumn(name, ntile_from_rank(F.col(rank_col), F.col("_n"), k))
     if count_col:
         out = out.withColumn(count_col, F.col("_n").cast("bigint"))
-    return out.drop("_pid", "_lrn", "_lsum", "_ccnt", "_csum", "_n", "_tot")
+    return out.drop("_b", "_cb", "_lrn", "_lsum", "_ccnt", "_csum", "_n", "_tot")
 
 
 def keyed_lag(df: DataFrame, keys: list[str], order: list, cols: list[str], prefix: str = "prev_",
-              method: str = "two_phase", num_partitions: int | None = None) -> DataFrame:
-    """``lag(c, 1) over (partition by keys order by order)`` for every ``c`` in ``cols``.
+              num_partitions: int | None = None) -> DataFrame:
+    """``lag(c, 1) over (partition by keys order by order)`` for every ``c`` in ``cols``; NULL is a key like any other.
 
     Two-phase form: range partitions over ``keys + order``; the first row of a key in a
     partition takes its lag from the last row of the previous non-empty partition
     when that row has the same key.
     """
     sort_exprs = [F.col(k).asc() for k in keys] + _order_exprs(order)
-    if method == "window":
-        w = W.partitionBy(*keys).orderBy(*_order_exprs(order))
-        return df.select("*", *[F.lag(c, 1).over(w).alias(prefix + c) for c in cols])
-    pinned = _pin_ranges(df, sort_exprs, num_partitions).drop("_lrn")
+    pinned = _pin_ranges(df, sort_exprs, num_partitions)
     wl = W.partitionBy("_pid", *keys).orderBy(*_order_exprs(order))
     local = pinned.select("*", F.row_number().over(wl).alias("_lrn"),
                           *[F.lag(c, 1).over(wl).alias(prefix + c) for c in cols])
@@ -149,9 +119,9 @@ def keyed_lag(df: DataFrame, keys: list[str], order: list, cols: list[str], pref
     out = local.join(F.broadcast(carry), "_pid", "left")
     same_key = F.lit(True)
     for k in keys:
-        same_key = same_key & (F.col("_prev")["k_" + k] == F.col(k))
+        same_key = same_key & F.col("_prev")["k_" + k].eqNullSafe(F.col(k))
     for c in cols:
-        out = out.withColumn(prefix + c, F.when((F.col("_lrn") == 1) & same_key, F.col("_prev")["v_" + c])
+        out = out.withColumn(prefix + c, F.when((F.col("_lrn") == 1) & F.col("_prev").isNotNull() & same_key, F.col("_prev")["v_" + c])
                              .otherwise(F.col(prefix + c)))
     return out.drop("_pid", "_lrn", "_prev")
 
@@ -165,7 +135,7 @@ def keyed_running_max(df: DataFrame, keys: list[str], order: list[str], value: s
     partition can go on, so the carry has at most two rows per partition.
     """
     sort_exprs = [F.col(k).asc() for k in keys] + _order_exprs(order)
-    pinned = _pin_ranges(df, sort_exprs, num_partitions).drop("_lrn")
+    pinned = _pin_ranges(df, sort_exprs, num_partitions)
     key = F.struct(*[F.col(k) for k in keys])
     wl = W.partitionBy("_pid", *keys).orderBy(*_order_exprs(order)).rowsBetween(W.unboundedPreceding, -1)
     local = pinned.withColumn("_local", F.max(value).over(wl))

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerstar.functions.columns import days_between, ratio
+from ledgerstar.operators.selection import ntiles
 from ledgerstar.operators.windows import global_rank
+from ledgerstar.session import written
 
 # RFM segment labels (first matching rule wins, in this order) and the
 # quota attainment statuses (no quota, reached, not reached).
@@ -29,13 +31,12 @@ def rfm_base(orders: DataFrame, as_of: str | None = None) -> DataFrame:
         F.max("order_date").alias("last_order_date"))
 
 
-def rfm_scores(base: DataFrame, k: int = 5, tie: str = "sk_customer", method: str = "two_phase") -> DataFrame:
+def rfm_scores(base: DataFrame, k: int = 5, tie: str = "sk_customer") -> DataFrame:
     """Quintile scores; recency inverted (``k + 1 - ntile``). Each score orders by its
-    measure then by ``tie``, so that equal measures are split deterministically."""
-    s = global_rank(base, ["recency_days", tie], ntiles={"__r": k}, rank_col="__rr", method=method)
-    s = global_rank(s, ["frequency_orders", tie], ntiles={"f_score": k}, rank_col="__fr", method=method)
-    s = global_rank(s, ["monetary_total", tie], ntiles={"m_score": k}, rank_col="__mr", method=method)
-    return s.withColumn("r_score", (F.lit(k + 1) - F.col("__r")).cast("bigint")).drop("__r", "__rr", "__fr", "__mr")
+    measure then by ``tie``, so that equal measures are split deterministically. The bounds of all three
+    are selected together; ``base`` is written first, since the selection scans it several times."""
+    s = ntiles(written(base, "rfm-base"), {"__r": (["recency_days", tie], k), "f_score": (["frequency_orders", tie], k), "m_score": (["monetary_total", tie], k)})
+    return s.withColumn("r_score", (F.lit(k + 1) - F.col("__r")).cast("bigint")).drop("__r")
 
 
 def rfm_segment(r: Column, f: Column) -> Column:
@@ -54,13 +55,13 @@ def lifetime_value(fct_line: DataFrame) -> DataFrame:
 
 
 def mart_customer_clv_rfm(fct_order: DataFrame, fct_line: DataFrame, dim_customer: DataFrame,
-                          dim_date: DataFrame, method: str = "two_phase") -> DataFrame:
+                          dim_date: DataFrame) -> DataFrame:
     """One row per customer version key (the grain of ``sk_customer``); the unknown member
     takes part in the scoring and is removed afterwards."""
     orders = fct_order.join(F.broadcast(dim_date.select("sk_date", "date_actual")),
                             fct_order.sk_order_date == F.col("sk_date"), "inner") \
         .select("sk_customer", "sales_order_id", F.col("date_actual").alias("order_date"), "subtotal", "total_due")
-    s = rfm_scores(rfm_base(orders), method=method)
+    s = rfm_scores(rfm_base(orders))
     c = dim_customer.select("sk_customer", "customer_id", "customer_type", "customer_display_name", "territory_id")
     m = lifetime_value(fct_line)
     j = s.join(c, "sk_customer", "left").join(m, "sk_customer", "left")
@@ -81,12 +82,12 @@ def abc_class(share: Column, a: float = 0.80, b: float = 0.95) -> Column:
     return F.when(share <= a, "A").when(share <= b, "B").otherwise("C")
 
 
-def mart_product_abc_pareto(fct_line: DataFrame, dim_product: DataFrame, method: str = "two_phase") -> DataFrame:
+def mart_product_abc_pareto(fct_line: DataFrame, dim_product: DataFrame) -> DataFrame:
     ps = fct_line.where(F.col("sk_product") != "-1").groupBy("sk_product").agg(
         F.sum("net_amount").alias("revenue"), F.sum("gross_margin").alias("margin"),
         F.sum("order_qty").alias("units_sold"), F.count(F.lit(1)).alias("line_count"))
     r = global_rank(ps, [("revenue", "desc"), "sk_product"], value="revenue", rank_col="revenue_rank",
-                    running_col="running_revenue", total_col="total_revenue", method=method)
+                    running_col="running_revenue", total_col="total_revenue")
     r = r.withColumn("cumulative_revenue_pct", ratio("running_revenue", "total_revenue"))
     p = dim_product.select("sk_product", "product_id", "product_name", "subcategory_name", "category_name")
     j = r.join(p, "sk_product", "left")

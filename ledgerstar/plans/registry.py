@@ -660,13 +660,10 @@ register("dq_grain", O.canonical_select(
 from ledgerstar.operators.windows import global_rank, keyed_lag  # noqa: E402
 
 
-def _win_rank(method: str):
-    def run(s, d):
-        o = R_load(s, d)["orders"].select("o_orderkey", F.col("o_totalprice").cast("decimal(19,2)").alias("price"))
-        return global_rank(o, [("price", "desc"), "o_orderkey"], value="price", ntiles={"decile": 10},
-                           rank_col="price_rank", running_col="running_price", total_col="total_price",
-                           method=method)
-    return run
+def _win_rank(s, d):
+    o = R_load(s, d)["orders"].select("o_orderkey", F.col("o_totalprice").cast("decimal(19,2)").alias("price"))
+    return global_rank(o, [("price", "desc"), "o_orderkey"], value="price", ntiles={"decile": 10},
+                       rank_col="price_rank", running_col="running_price", total_col="total_price")
 
 
 _WIN_SQL = O.canonical_select(
@@ -676,23 +673,22 @@ _WIN_SQL = O.canonical_select(
     "sum(price) OVER () AS total_price, ntile(10) OVER w AS decile "
     "FROM (SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(19,2)) AS price FROM orders) "
     "WINDOW w AS (ORDER BY price DESC, o_orderkey)) x")
-register("win_two_phase_rank", _WIN_SQL)(_win_rank("two_phase"))
+register("win_two_phase_rank", _WIN_SQL)(_win_rank)
 
 
-def _win_lag(method: str):
-    def run(s, d):
-        o = R_load(s, d)["orders"].select("o_custkey", "o_orderkey", "o_orderdate")
-        return keyed_lag(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderdate", "o_orderkey"],
-                         method=method)
-    return run
+def _win_lag(s, d):
+    """The previous order of the same customer; every ninth order has no customer, which is a key like any other."""
+    o = R_load(s, d)["orders"].select(F.when(F.col("o_orderkey") % 9 != 0, F.col("o_custkey")).alias("o_custkey"), "o_orderkey", "o_orderdate")
+    return keyed_lag(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderdate", "o_orderkey"])
 
 
 _LAG_SQL = O.canonical_select(
     {"o_custkey": "i", "o_orderkey": "i", "o_orderdate": "t", "prev_o_orderdate": "t", "prev_o_orderkey": "i"},
     "(SELECT o_custkey, o_orderkey, o_orderdate, lag(o_orderdate) OVER w AS prev_o_orderdate, "
-    "lag(o_orderkey) OVER w AS prev_o_orderkey FROM orders "
+    "lag(o_orderkey) OVER w AS prev_o_orderkey "
+    "FROM (SELECT CASE WHEN o_orderkey % 9 <> 0 THEN o_custkey END AS o_custkey, o_orderkey, o_orderdate FROM orders) "
     "WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)) x")
-register("win_two_phase_lag", _LAG_SQL)(_win_lag("two_phase"))
+register("win_two_phase_lag", _LAG_SQL)(_win_lag)
 
 
 # ================================================================== incremental load

@@ -56,12 +56,10 @@ class Warehouse:
     table have that table's size estimate until they are, and could not be broadcast.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, tables: dict | None = None, mart_method: str = "two_phase",
-                 materialize: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, tables: dict | None = None, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.t = tables or R.load(spark, sf_dir)
-        self.mart_method = mart_method
         self.materialize = materialize
         self.written: list[str] = []
 
@@ -204,12 +202,11 @@ class Warehouse:
     # ------------------------------------------------------------ marts
     @cached_property
     def mart_rfm(self) -> DataFrame:
-        return M.mart_customer_clv_rfm(self.fct_order, self.fct_line, self.dims["customer"], self.dims["date"],
-                                       method=self.mart_method)
+        return M.mart_customer_clv_rfm(self.fct_order, self.fct_line, self.dims["customer"], self.dims["date"])
 
     @cached_property
     def mart_pareto(self) -> DataFrame:
-        return M.mart_product_abc_pareto(self.fct_line, self.dims["product"], method=self.mart_method)
+        return M.mart_product_abc_pareto(self.fct_line, self.dims["product"])
 
     @cached_property
     def mart_quota(self) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC so that dates and timestamps agree with the oracle,
 # AQE for runtime coalescing and skew splitting.
@@ -78,3 +80,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written intermediate tables."""
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: later jobs scan the files, and a lost executor
+    costs nothing above them. :func:`drop_written` (also at interpreter exit) deletes them."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    _WRITTEN.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_written() -> None:
+    """Delete the tables of :func:`written`; results that read them can no longer be computed."""
+    while _WRITTEN:
+        spark, path = _WRITTEN.pop()
+        sc = spark.sparkContext
+        if sc._jsc is not None:
+            p = sc._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@atexit.register
+def _at_exit() -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone by then
+        drop_written()
