@@ -15,55 +15,52 @@ VERSION_FROM = "version_from"
 VERSION_TO = "version_to"
 
 
+def scd2_changes(open_: DataFrame | None, source: DataFrame, keys: list[str], check_cols: list[str], run_ts) -> DataFrame:
+    """What a run makes of the open versions: the source's columns, ``version_from``, ``version_to`` and ``state``
+    (``closed``: an open version that ends now; ``open``: one that begins now; ``same``: one that stays open).
+
+    One null-safe full outer join of the open versions with the source on the key (a single shuffle of both); each
+    joined row emits its one or two output rows through one ``explode``, so the join is computed once.
+    """
+    ts = run_ts.cast("timestamp_ntz") if hasattr(run_ts, "_jc") else F.lit(run_ts).cast("timestamp_ntz")
+    cols = source.columns
+    never = F.lit(None).cast("timestamp_ntz")
+    if open_ is None:
+        return source.select(*cols, ts.alias(VERSION_FROM), never.alias(VERSION_TO), F.lit("open").alias("state"))
+    o = open_.select(*[F.col(c).alias("o__" + c) for c in [*cols, VERSION_FROM]], F.lit(True).alias("has_o"))
+    s = source.select(*[F.col(c).alias("s__" + c) for c in cols], F.lit(True).alias("has_s"))
+    same_key = F.lit(True)
+    for k in keys:
+        same_key = same_key & F.col("o__" + k).eqNullSafe(F.col("s__" + k))
+    j = o.join(s, same_key, "full_outer")
+    has_o, has_s = F.coalesce("has_o", F.lit(False)), F.coalesce("has_s", F.lit(False))
+    differs = F.lit(False)
+    for c in check_cols:
+        differs = differs | ~F.col("o__" + c).eqNullSafe(F.col("s__" + c))
+    changed = has_o & has_s & differs
+    old = F.struct(*[F.col("o__" + c).alias(c) for c in [*cols, VERSION_FROM]], F.when(changed, ts).alias(VERSION_TO),
+                   F.when(changed, "closed").otherwise("same").alias("state"))
+    new = F.struct(*[F.col("s__" + c).alias(c) for c in cols], ts.alias(VERSION_FROM), never.alias(VERSION_TO), F.lit("open").alias("state"))
+    emitted = F.array(F.when(has_o, old), F.when(has_s & (~has_o | changed), new))
+    return j.select(F.explode(emitted).alias("v")).where(F.col("v").isNotNull()).select("v.*")
+
+
 def scd2_apply(current: DataFrame | None, source: DataFrame, key: str | list[str],
                check_cols: list[str], run_ts) -> DataFrame:
-    """One snapshot run with the 'check' strategy.
+    """One snapshot run with the 'check' strategy, as a whole table (``history`` stores one that is appended to).
 
     * first run (``current`` is None): every source row opens a version at ``run_ts``;
     * a key whose open version differs from the source in any check column (NULL-safe)
       gets that version closed at ``run_ts`` and a new open version;
-    * new keys open a version; keys missing from the source stay open;
+    * new keys open a version; keys missing from the source stay open; NULL is a key like any other;
     * closed history passes through untouched, and a re-run with unchanged input
       changes nothing.
-
-    One full outer join of the open versions with the source on the key (a single
-    shuffle of both on the key); each joined row emits its zero, one or two output
-    rows through one ``explode``, so the join is computed once.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    ts = F.lit(run_ts).cast("timestamp_ntz") if not hasattr(run_ts, "_jc") else run_ts.cast("timestamp_ntz")
-    data_cols = [c for c in source.columns]
     if current is None:
-        return source.select(*data_cols, ts.alias(VERSION_FROM), F.lit(None).cast("timestamp_ntz").alias(VERSION_TO))
-
-    closed = current.where(F.col(VERSION_TO).isNotNull())
-    open_ = current.where(F.col(VERSION_TO).isNull())
-    o = open_.select(*[F.col(c).alias("o__" + c) for c in open_.columns])
-    s = source.select(*[F.col(c).alias("s__" + c) for c in data_cols])
-    cond = None
-    for k in keys:
-        c = F.col("o__" + k) == F.col("s__" + k)
-        cond = c if cond is None else cond & c
-    j = o.join(s, cond, "full_outer")
-
-    has_o = F.col("o__" + keys[0]).isNotNull()
-    has_s = F.col("s__" + keys[0]).isNotNull()
-    changed = F.lit(False)
-    for c in check_cols:
-        changed = changed | ~F.col("o__" + c).eqNullSafe(F.col("s__" + c))
-    is_changed = has_o & has_s & changed
-
-    old_row = F.struct(*[F.col("o__" + c).alias(c) for c in data_cols],
-                       F.col("o__" + VERSION_FROM).alias(VERSION_FROM),
-                       F.when(is_changed, ts).otherwise(F.col("o__" + VERSION_TO)).alias(VERSION_TO))
-    new_row = F.struct(*[F.col("s__" + c).alias(c) for c in data_cols],
-                       ts.alias(VERSION_FROM),
-                       F.lit(None).cast("timestamp_ntz").alias(VERSION_TO))
-    emitted = j.select(F.explode(F.array(
-        F.when(has_o, old_row),
-        F.when(has_s & (~has_o | is_changed), new_row),
-    )).alias("v")).where(F.col("v").isNotNull()).select("v.*")
-    return closed.select(*data_cols, VERSION_FROM, VERSION_TO).unionByName(emitted)
+        return scd2_changes(None, source, keys, check_cols, run_ts).drop("state")
+    closed = current.where(F.col(VERSION_TO).isNotNull()).select(*source.columns, VERSION_FROM, VERSION_TO)
+    return closed.unionByName(scd2_changes(current.where(F.col(VERSION_TO).isNull()), source, keys, check_cols, run_ts).drop("state"))
 
 
 def expose_versions(snapshot: DataFrame, key: str, version_from: str = VERSION_FROM,
@@ -75,8 +72,8 @@ def expose_versions(snapshot: DataFrame, key: str, version_from: str = VERSION_F
     the shuffle, so a key with many versions is not gathered in one task) joined back
     on the key.
     """
-    first = snapshot.groupBy(key).agg(F.min(version_from).alias("__first_from"))
-    v = snapshot.join(first, key, "left")
+    first = snapshot.groupBy(F.col(key).alias("__key")).agg(F.min(version_from).alias("__first_from"))
+    v = snapshot.join(first, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
     return (v.withColumn("valid_from", F.when(F.col(version_from) == F.col("__first_from"),
                                               F.lit(BEGIN_OF_TIME).cast("timestamp_ntz"))
                          .otherwise(F.col(version_from)))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -692,11 +693,13 @@ register("win_two_phase_lag", _LAG_SQL)(_win_lag)
 
 
 # ================================================================== incremental load
+from ledgerstar.operators import history as HIST  # noqa: E402
 from ledgerstar.operators import incremental as INC  # noqa: E402
 from ledgerstar.plans import facts as FCT  # noqa: E402
 
 INC_BOUNDARY = "2000-01-01"      # first load: lines modified before this day
 INC_LOOKBACK = 3
+LINE_RANGES = ["sales_order_id"]  # part of the line key: a stored key can only be where its order can be
 
 
 def _month(df):
@@ -709,7 +712,7 @@ def _first_load(w):
         base = scratch_path(w.spark, "fct_line_inc")
         first = w.detail.where(F.col("modified_date") < F.lit(INC_BOUNDARY).cast("date"))
         fact = FCT.fct_sales_order_line(first, w.header_resolved, w.dims, w.product_timeline, rollup=w.rollup)
-        INC.write_table(_month(fact), base, "order_month")
+        INC.write_table(_month(fact), base, "order_month", ranges=LINE_RANGES)
         w.written.append(base)
         w.__dict__["line_first_load"] = base
     return w.__dict__["line_first_load"]
@@ -747,7 +750,7 @@ def _own_table(s, w, name):
     """A copy of the first load as a table of its own."""
     base = scratch_path(s, name)
     w.written.append(base)
-    INC.write_table(INC.read_current(s, _first_load(w), 1), base, "order_month")
+    INC.write_table(INC.read_current(s, _first_load(w), 1), base, "order_month", ranges=LINE_RANGES)
     return base
 
 
@@ -755,7 +758,7 @@ def _inc_partitions(s, d):
     """The physical merge: the increment writes only the months it touches, as a new version."""
     w = wh(s, d)
     base = _own_table(s, w, "fct_line_merge")
-    INC.merge_table(s, base, w.keep("fct_line_delta", _line_delta(w)), "sk_sales_order_line", "order_month")
+    INC.merge_table(s, base, w.keep("fct_line_delta", _line_delta(w)), "sk_sales_order_line", "order_month", ranges=LINE_RANGES)
     return INC.read_current(s, base).drop("order_month")
 
 
@@ -768,8 +771,8 @@ def _inc_replay(s, d):
     w = wh(s, d)
     base = _own_table(s, w, "fct_line_replay")
     delta = w.keep("fct_line_delta", _line_delta(w))
-    once = INC.merge_table(s, base, delta, "sk_sales_order_line", "order_month")
-    twice = INC.merge_table(s, base, delta, "sk_sales_order_line", "order_month")
+    once = INC.merge_table(s, base, delta, "sk_sales_order_line", "order_month", ranges=LINE_RANGES)
+    twice = INC.merge_table(s, base, delta, "sk_sales_order_line", "order_month", ranges=LINE_RANGES)
     a, b = INC.read_current(s, base, once), INC.read_current(s, base, twice)
     n = b.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("net_amount").alias("revenue")).withColumn("k", F.lit(1))
     c = INC.changed_rows(a, b).agg(F.count(F.lit(1)).alias("changed")).withColumn("k", F.lit(1))
@@ -802,6 +805,35 @@ register("inc_merge_moved_keys", O.canonical_select(
      "month": f"expr:s:CASE WHEN o_orderkey % 13 <> 0 THEN strftime({_MOVED_DAY}, '%Y-%m') END"}, "orders"))(_inc_moved_keys)
 
 
+def _inc_interleaved(s, d):
+    """Two merges that begin from the same version, each with changes to half of the same orders' months: the one that
+    publishes second finds the first one's version and merges again. A refresh that fails on the way changes nothing."""
+    o = R_load(s, d)["orders"].select("o_orderkey", "o_totalprice", F.lit(0).alias("source"), F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    base = scratch_path(s, "orders_two_writers")
+    wh(s, d).written.append(base)
+    INC.write_table(o.where("o_orderkey % 5 <> 0"), base, "month", ranges=["o_orderkey"])
+    one, two = (o.where(f"o_orderkey % 4 = {k} or o_orderkey % 5 = 0 and o_orderkey % 2 = {k - 1}").withColumn("source", F.lit(k)) for k in (1, 2))
+
+    def other(attempt: int) -> None:
+        if attempt == 1:
+            INC.merge_table(s, base, two, "o_orderkey", "month", ranges=["o_orderkey"])
+
+    INC.merge_table(s, base, one, "o_orderkey", "month", ranges=["o_orderkey"], on_written=other)
+    try:
+        broken = F.when(F.col("o_orderkey") % 7 == 0, F.raise_error(F.lit("refresh fails")).cast("int"))
+        INC.write_table(o.withColumn("extra", broken), base, "month")
+        raise AssertionError("the refresh was to fail")
+    except PySparkException:
+        pass
+    return INC.read_current(s, base)
+
+
+register("inc_interleaved_merges", O.canonical_select(
+    {"o_orderkey": "i", "o_totalprice": "f", "month": "expr:s:strftime(o_orderdate, '%Y-%m')",
+     "source": "expr:i:CASE WHEN o_orderkey % 4 = 1 OR o_orderkey % 5 = 0 AND o_orderkey % 2 = 0 THEN 1 "
+               "WHEN o_orderkey % 4 = 2 OR o_orderkey % 5 = 0 AND o_orderkey % 2 = 1 THEN 2 ELSE 0 END"}, "orders"))(_inc_interleaved)
+
+
 def _order_first(w):
     f = w.header_resolved.where(F.col("modified_date") < F.lit(INC_BOUNDARY).cast("date"))
     return FCT.fct_sales_order(f, w.detail, rollup=w.rollup)
@@ -886,6 +918,32 @@ register("scd_snapshot_pricing", O.canonical_select(
     "CASE WHEN run = 1 AND product_id % 7 = 0 THEN TIMESTAMP '1997-01-01' END AS version_to FROM prod_runs "
     "WHERE run = 1 OR (run = 2 AND product_id % 7 = 0)) x"))(lambda s, d: wh(s, d).snap_pricing)
 
+
+def _scd_null_key(s, d):
+    """A history over three runs in which one customer has no key, one value becomes NULL, and the set is compacted in between."""
+    c = R_load(s, d)["customer"].select(F.when(F.col("c_custkey") != 7, F.col("c_custkey")).alias("k"), F.col("c_acctbal").cast("decimal(19,2)").alias("balance"), "c_mktsegment")
+    base = scratch_path(s, "customer_history")
+    wh(s, d).written.append(base)
+    key = F.coalesce("k", F.lit(7))
+    for run, state in (("2020-01-01", c.where(key % 11 != 3)), ("2020-02-01", c.withColumn("balance", F.when(key % 7 == 0, F.col("balance") + 1).otherwise(F.col("balance")))),
+                       ("2020-03-01", c.withColumn("balance", F.when(key % 14 != 0, F.when(key % 7 == 0, F.col("balance") + 1).otherwise(F.col("balance")))))):
+        HIST.snapshot(s, base, state, "k", ["balance"], run)
+        if run == "2020-02-01":
+            HIST.compact(s, base, "k")
+    return HIST.read_history(s, base, "k")
+
+
+_NULL_KEY_RUNS = ("(SELECT c_custkey AS id, CAST(c_acctbal AS DECIMAL(19,2)) AS b, c_mktsegment, r, CASE WHEN r = 1 THEN CAST(c_acctbal AS DECIMAL(19,2)) "
+                  "WHEN r = 3 AND c_custkey % 14 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN CAST(c_acctbal AS DECIMAL(19,2)) + 1 ELSE CAST(c_acctbal AS DECIMAL(19,2)) END AS balance "
+                  "FROM customer, range(1, 4) AS x(r) WHERE r > 1 OR c_custkey % 11 <> 3)")
+register("scd_null_key", O.canonical_select(
+    {"k": "expr:i:nullif(id, 7)", "balance": "m", "c_mktsegment": "s", "version_from": "t", "version_to": "t"},
+    "(SELECT id, balance, c_mktsegment, make_timestamp(2020, r, 1, 0, 0, 0) AS version_from, "
+    "CASE WHEN nxt IS NOT NULL THEN make_timestamp(2020, nxt, 1, 0, 0, 0) END AS version_to FROM ("
+    "SELECT *, lead(r) OVER (PARTITION BY id ORDER BY r) AS nxt FROM ("
+    "SELECT *, row_number() OVER w AS i, lag(balance) OVER w AS was "
+    f"FROM {_NULL_KEY_RUNS} a WINDOW w AS (PARTITION BY id ORDER BY r)) b WHERE i = 1 OR balance IS DISTINCT FROM was) c) y"))(_scd_null_key)
+
 DELTA_CUTOFF = "2001-12-31"
 
 

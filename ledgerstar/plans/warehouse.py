@@ -17,8 +17,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerstar.operators.history import read_history, snapshot
 from ledgerstar.operators.intervals import closed_intervals
-from ledgerstar.operators.scd2 import scd2_apply
 from ledgerstar.plans import dimensions as D
 from ledgerstar.plans import facts as FCT
 from ledgerstar.plans import marts as M
@@ -106,21 +106,23 @@ class Warehouse:
     def product_current(self) -> DataFrame:
         return R.product_state(self.t, len(R.PRODUCT_RUNS))
 
+    def _history(self, name: str, key: str, checks: list[str], runs: list[tuple[str, DataFrame]]) -> DataFrame:
+        """A stored history after its snapshot runs; each run is written, and only what it changes."""
+        from ledgerstar.session import scratch_path
+
+        base = scratch_path(self.spark, name)
+        self.written.append(base)
+        for run, source in runs:
+            snapshot(self.spark, base, source, key, checks, run)
+        return read_history(self.spark, base, key)
+
     @cached_property
     def snap_product(self) -> DataFrame:
-        snap = None
-        for i, run in enumerate(R.PRODUCT_RUNS, start=1):
-            snap = scd2_apply(snap, R.product_state(self.t, i), "product_id", R.PRODUCT_CHECK_COLS, run)
-            snap = self.keep(f"snap_product_run{i}", snap)
-        return snap
+        return self._history("snap_product", "product_id", R.PRODUCT_CHECK_COLS, [(run, R.product_state(self.t, i)) for i, run in enumerate(R.PRODUCT_RUNS, start=1)])
 
     @cached_property
     def snap_customer(self) -> DataFrame:
-        snap = None
-        for i, run in enumerate(R.CUSTOMER_RUNS, start=1):
-            snap = scd2_apply(snap, R.customer_state(self.t, i), "customer_id", R.CUSTOMER_CHECK_COLS, run)
-            snap = self.keep(f"snap_customer_run{i}", snap)
-        return snap
+        return self._history("snap_customer", "customer_id", R.CUSTOMER_CHECK_COLS, [(run, R.customer_state(self.t, i)) for i, run in enumerate(R.CUSTOMER_RUNS, start=1)])
 
     @cached_property
     def cost_intervals(self) -> DataFrame:
@@ -134,12 +136,9 @@ class Warehouse:
 
     @cached_property
     def snap_pricing(self) -> DataFrame:
-        """Snapshot of cost and list price only; every run is written, so run n + 1 reads a table."""
-        snap = None
-        for i, run in enumerate(R.PRODUCT_RUNS, start=1):
-            src = R.product_state(self.t, i).select("product_id", "standard_cost", "list_price", "modified_date")
-            snap = self.keep(f"snap_pricing_run{i}", scd2_apply(snap, src, "product_id", ["standard_cost", "list_price"], run))
-        return snap
+        """Snapshot of cost and list price only."""
+        cols = ["product_id", "standard_cost", "list_price", "modified_date"]
+        return self._history("snap_pricing", "product_id", ["standard_cost", "list_price"], [(run, R.product_state(self.t, i).select(*cols)) for i, run in enumerate(R.PRODUCT_RUNS, start=1)])
 
     @cached_property
     def product_timeline(self) -> DataFrame:

@@ -86,3 +86,63 @@ def test_scd2_history(spark):
     assert rows(no_overlap(v.withColumn("vid", F.col("version_from").cast("string")), "k", "vid")) == []
     first = rows(v.where("k = 3").orderBy("version_from"), "valid_from")
     assert first[0][0] == dt.datetime(1900, 1, 1)
+
+
+def test_null_keys_are_keys(spark):
+    s = "k int, a string"
+    h = scd2_apply(None, spark.createDataFrame([(None, "x"), (1, "y")], s), "k", ["a"], "2020-01-01")
+    h = scd2_apply(h, spark.createDataFrame([(None, "x"), (1, "y")], s), "k", ["a"], "2020-02-01")
+    assert h.count() == 2
+    h = scd2_apply(h, spark.createDataFrame([(None, "z"), (2, None)], s), "k", ["a"], "2020-03-01")
+    T = dt.datetime
+    from conftest import _key
+    assert rows(h) == sorted([(None, "x", T(2020, 1, 1), T(2020, 3, 1)), (None, "z", T(2020, 3, 1), None), (1, "y", T(2020, 1, 1), None), (2, None, T(2020, 3, 1), None)], key=_key)
+    assert [r["valid_from"].year for r in expose_versions(h, "k").where("a = 'x'").collect()] == [1900]
+
+
+def _size(base):
+    return {p.relative_to(base).as_posix(): p.stat().st_size for p in base.rglob("data/**/*.parquet")}
+
+
+def test_stored_history_equals_whole_table_and_writes_only_changes(spark, tmp_path):
+    from ledgerstar.operators import history as H
+
+    base, path = tmp_path / "h", str(tmp_path / "h")
+    n, whole, wrote, seen = 3000, None, [], {}
+    for run in range(1, 6):
+        src = spark.range(n).selectExpr("case when id <> 5 then id end as k", f"case when id % 1000 = 5 then {run} else 0 end as a", "repeat('p', 50) as pad").coalesce(1)
+        before = rows(whole) if whole is not None else None
+        whole = scd2_apply(whole, src, "k", ["a"], f"2020-0{run}-01").checkpoint()
+        H.snapshot(spark, path, src, "k", ["a"], f"2020-0{run}-01")
+        now = _size(base)
+        assert all(now[f] == size for f, size in seen.items())                # nothing written before is touched
+        wrote.append(sum(spark.read.parquet(str(base / f)).count() for f in now if f not in seen))
+        seen = now
+        assert rows(H.read_history(spark, path, "k")) == rows(whole) != before
+        if run == 3:
+            v = H.compact(spark, path, "k")
+            assert rows(H.read_history(spark, path, "k")) == rows(whole) and H.compact(spark, path, "k") == v
+            assert H.open_versions(spark, path, "k").count() == n
+            seen = _size(base)
+    assert wrote == [n, 6, 6, 6, 6]                                            # three closings and three openings a run
+    assert H.snapshot(spark, path, src, "k", ["a"], "2020-09-01") == H.list_versions(spark, path)[-1]
+    assert rows(H.read_history(spark, path, "k")) == rows(whole)               # a repeated run changes nothing
+
+
+def test_runs_of_a_history_at_once(spark, tmp_path):
+    import pytest
+
+    from ledgerstar.operators import history as H
+    from ledgerstar.operators.incremental import DuplicateKeys, VersionConflict
+
+    path = str(tmp_path / "h")
+    src = spark.createDataFrame([(1, "a"), (2, "b")], "k int, a string")
+    H.snapshot(spark, path, src, "k", ["a"], "2020-01-01")
+    _, listed, schema = H._layout(spark, path)
+    H.snapshot(spark, path, spark.createDataFrame([(1, "x")], "k int, a string"), "k", ["a"], "2020-02-01")
+    mine = H._write(spark, src.selectExpr("k", "a", "timestamp_ntz'2020-02-01' as version_from", "cast(null as timestamp_ntz) as version_to", "'open' as state"), path)
+    with pytest.raises(VersionConflict):
+        H._publish(spark, path, [tuple(r) for r in listed] + mine, schema, 1)
+    assert not (tmp_path / "h" / "data" / mine[0][0]).exists() and H.read_history(spark, path, "k").count() == 3
+    with pytest.raises(DuplicateKeys):
+        H.snapshot(spark, path, src.union(src), "k", ["a"], "2020-03-01")
