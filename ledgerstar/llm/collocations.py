@@ -9,12 +9,15 @@ words that are too rare end a suffix, since no frequent phrase holds them.
 
 Texts are read once, into blocks: a dictionary and an array of word numbers per language and about
 ``BLOCK_WORDS`` words. All that a block must know (numbers of frequent words, groups of prefixes) reaches it
-by joins on its own dictionary or prefixes, never as a broadcast vocabulary. Frequencies then meet in joins:
+by joins on its own dictionary or prefixes, never as a broadcast vocabulary; a bitmap of fixed size only spares most of
+the rare words that join. Blocks then keep their own small numbers, and so do the suffixes sent to a group, each batch with
+its dictionary. Frequencies then meet in joins:
 each phrase with its parts for the score, and with the phrases one word longer that contain it.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +37,7 @@ TOP = 2000
 BUDGET = 1 << 20          # suffixes of a group (one prefix more at most)
 BLOCK_WORDS = 1 << 20     # words of a block (one text more at most)
 BIN_ROWS = 4096           # prefixes that are packed together
+FILTER_BITS = 22          # the bitmap of frequent words has 2 ** FILTER_BITS bits, whatever the vocabulary
 NO_LANG = "und"
 
 # A-Z become a-z; the ends of pieces . , ; : ! ? \n \v \f \r become \n; a tab becomes a space.
@@ -62,12 +66,24 @@ def numbered(text: str | None, words: _Words) -> np.ndarray:
     return got[got != _NOTHING]
 
 
-def _zip(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
+def _zip(*arrays: np.ndarray) -> bytes:
+    """Arrays of non-negative numbers in one zstandard frame, each in 2, 4 or 8 bytes a number."""
+    out = [np.array([len(arrays)], dtype=np.int64).tobytes()]
+    for a in arrays:
+        top = int(a.max(initial=0))
+        width = 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
+        out += [np.array([width, a.size], dtype=np.int64).tobytes(), np.ascontiguousarray(a.ravel().astype(f"<u{width}")).tobytes()]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(out))
 
 
-def _unzip(data: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=kind)
+def _unzip(data: bytes) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    out, at = [], 8
+    for _ in range(int(np.frombuffer(raw, np.int64, 1)[0])):
+        width, n = np.frombuffer(raw, np.int64, 2, at).tolist()
+        out.append(np.frombuffer(raw, f"<u{width}", n, at + 16).astype(np.int64))
+        at += 16 + width * n
+    return out
 
 
 BLOCK = T.StructType([T.StructField("lang", T.StringType()), T.StructField("words", T.ArrayType(T.BinaryType())), T.StructField("counts", T.ArrayType(T.LongType())),
@@ -169,13 +185,19 @@ def walk(suffix: np.ndarray, tables: list[np.ndarray]) -> tuple[np.ndarray, np.n
     return level, group, node
 
 
-def _tables(batch: pa.RecordBatch, row: int, levels: int) -> list[np.ndarray]:
-    """The prefix tables of one block (struct columns t1, t2, ... with parallel arrays)."""
-    out = []
+def _field(batch: pa.RecordBatch, name: str, row: int) -> pa.Scalar:
+    return batch.column(batch.schema.get_field_index(name))[row]
+
+
+def _block(batch: pa.RecordBatch, row: int, levels: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """One block: the suffixes in its own numbers, the global number of each of those (0: 0), and its prefix tables
+    (struct columns t1, t2, ...)."""
+    tables = []
     for k in range(1, levels + 1):
-        got = batch.column(batch.schema.get_field_index(f"t{k}"))[row].values if batch.column(batch.schema.get_field_index(f"t{k}"))[row].is_valid else None
-        out.append(np.empty((0, 4), dtype=np.int64) if got is None else np.stack([got.field(c).to_numpy(zero_copy_only=False) for c in ("node", "word", "to", "group")], axis=1).astype(np.int64))
-    return out
+        got = _field(batch, f"t{k}", row)
+        cols = [got.values.field(c).to_numpy(zero_copy_only=False) for c in ("node", "word", "to", "group")] if got.is_valid else [np.empty(0, dtype=np.int64)] * 4
+        tables.append(np.stack(cols, axis=1).astype(np.int64))
+    return suffixes(_unzip(_field(batch, "seq", row).as_py())[0]), np.r_[0, tables[0][:, 1]], tables
 
 
 def _known(pairs: DataFrame, table: DataFrame, level: int) -> DataFrame:
@@ -184,10 +206,49 @@ def _known(pairs: DataFrame, table: DataFrame, level: int) -> DataFrame:
     return got.groupBy("block").agg(F.collect_list(F.struct("node", "word", "to", "group")).alias(f"t{level}"))
 
 
-def _coded(blocks: DataFrame, vocabulary: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """(block, lang, seq, t1) with seq in global word numbers, 0 for ends and rare words; and the table of words."""
-    entries = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("local", "w")).select("block", "lang", "local", F.col("w.words").alias("text"))
-    used = entries.join(vocabulary.select("lang", "text", "node", "group"), ["lang", "text"]).groupBy("block").agg(F.collect_list(F.struct("local", "node", "group")).alias("used"))
+def _filter_bit(word: bytes, lang: bytes) -> int:
+    return zlib.crc32(word + b"\0" + lang) % (1 << FILTER_BITS)
+
+
+def _entries(blocks: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(block, lang, local, text): the words of each block's dictionary, but for most that are not in ``vocabulary``.
+
+    The filter is a bitmap of 2 ** FILTER_BITS hash values; a word that passes by chance finds no partner in the join.
+    """
+    bit = F.pmod(F.crc32(F.concat("text", F.lit(bytearray(b"\0")), F.col("lang").cast("binary"))), F.lit(1 << FILTER_BITS))
+    at = vocabulary.select(bit.cast("int").alias("b")).distinct().toPandas()["b"].to_numpy()
+    bits = np.zeros(1 << FILTER_BITS, dtype=bool)
+    bits[at] = True
+    held = blocks.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    out = T.StructType([T.StructField("block", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("local", T.IntegerType()), T.StructField("text", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, bits = arrow_schema(out), np.unpackbits(held.value)
+        for b in batches:
+            for i in range(b.num_rows):
+                lang, words = b.column(1)[i].as_py(), b.column(2)[i].as_py()
+                tail = lang.encode("utf-8", "surrogatepass")
+                hashed = np.fromiter((_filter_bit(w, tail) for w in words), np.int64, len(words))
+                local = np.flatnonzero(bits[hashed])
+                cols = ([b.column(0)[i].as_py()] * len(local), [lang] * len(local), local, [words[k] for k in local])
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+
+    return arrow_map(blocks.select("block", "lang", "words"), run, out)
+
+
+def _compact(seq: np.ndarray) -> np.ndarray:
+    """``seq`` without runs of breaks (0) and without words between two breaks, which are in no phrase."""
+    word = seq > 0
+    before, after = np.r_[False, word[:-1]], np.r_[word[1:], False]
+    seq = seq[(word & (before | after)) | (~word & (before | after))]
+    word = seq > 0
+    return seq[word | np.r_[True, word[:-1]]]
+
+
+def _coded(blocks: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(block, lang, seq, t1): seq counts the rows of t1, the frequent words of the block, from 1; 0 for ends and rare words."""
+    used = _entries(blocks, vocabulary).join(vocabulary.select("lang", "text", "node", "group"), ["lang", "text"])
+    used = used.groupBy("block").agg(F.collect_list(F.struct("local", "node", "group")).alias("used"))
     out = T.StructType([T.StructField("block", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("seq", T.BinaryType()),
                         T.StructField("t1", T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in ("node", "word", "to", "group")])))])
 
@@ -195,12 +256,15 @@ def _coded(blocks: DataFrame, vocabulary: DataFrame, least: int) -> tuple[DataFr
         schema = arrow_schema(out)
         for b in batches:
             for i in range(b.num_rows):
-                seq, held = _unzip(b.column(2)[i].as_py(), np.int32), b.column(3)[i].values
+                seq, held = _unzip(b.column(2)[i].as_py())[0], b.column(3)[i].values
                 local, node, group = (held.field(c).to_numpy(zero_copy_only=False) for c in ("local", "node", "group"))
-                number = np.zeros(max(int(seq.max(initial=0)), int(local.max(initial=0)) + 2) + 1, dtype=np.int64)
-                number[local + 2] = node
+                often = np.bincount(seq, minlength=int(local.max()) + 3)
+                order = np.argsort(-often[local + 2], kind="stable")  # frequent words get small numbers
+                local, node, group = local[order], node[order], group[order]
+                number = np.zeros(len(often), dtype=np.int64)
+                number[local + 2] = np.arange(1, len(local) + 1)
                 t1 = pa.StructArray.from_arrays([pa.array(np.zeros(len(node), dtype=np.int64)), pa.array(node), pa.array(node), pa.array(group)], names=["node", "word", "to", "group"])
-                rows = [b.column(0).slice(i, 1), b.column(1).slice(i, 1), pa.array([_zip(number[seq])]), pa.ListArray.from_arrays(pa.array([0, len(node)], pa.int32()), t1)]
+                rows = [b.column(0).slice(i, 1), b.column(1).slice(i, 1), pa.array([_zip(_compact(number[seq]))]), pa.ListArray.from_arrays(pa.array([0, len(node)], pa.int32()), t1)]
                 yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(rows, schema)], schema=schema)
 
     return cut(arrow_map(blocks.select("block", "lang", "seq").join(used, "block"), run, out), "phrase-coded")
@@ -213,11 +277,12 @@ def _pairs(coded: DataFrame, levels: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                s = suffixes(_unzip(b.column(b.schema.get_field_index("seq"))[i].as_py(), np.int64))
-                level, group, node = walk(s, _tables(b, i, levels))
+                own, names, tables = _block(b, i, levels)
+                s = names[own]
+                level, group, node = walk(s, tables)
                 on = (level == levels) & (group == HEAVY) & (s[levels] > 0)
                 pair, n = np.unique(np.stack([node[on], s[levels, on]], axis=1), axis=0, return_counts=True)
-                cols = [np.full(len(n), b.column(b.schema.get_field_index("block"))[i].as_py()), pair[:, 0], pair[:, 1], n]
+                cols = [np.full(len(n), _field(b, "block", i).as_py()), pair[:, 0], pair[:, 1], n]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=arrow_schema(out))
 
     return cut(arrow_map(coded, run, out), "phrase-pairs")
@@ -232,16 +297,22 @@ def _parts(coded: DataFrame, levels: int) -> DataFrame:
         schema = arrow_schema(PART)
         for b in batches:
             for i in range(b.num_rows):
-                s = suffixes(_unzip(b.column(b.schema.get_field_index("seq"))[i].as_py(), np.int64))
-                level, group, _ = walk(s, _tables(b, i, levels))
+                s, names, tables = _block(b, i, levels)
+                level, group, _ = walk(names[s], tables)
                 at = np.flatnonzero((level > 0) & (group >= 0) & (s[1] > 0))
                 if not len(at):
                     continue
-                at = at[np.lexsort((group[at], level[at]))]
+                at = at[np.lexsort((s[1, at], s[0, at], group[at], level[at]))]  # like suffixes side by side pack better
                 first = np.flatnonzero(np.r_[True, (group[at][1:] != group[at][:-1]) | (level[at][1:] != level[at][:-1])])
                 ends = np.r_[first[1:], len(at)]
-                lang = b.column(b.schema.get_field_index("lang"))[i].as_py()
-                cols = (level[at][first], group[at][first], [lang] * len(first), [_zip(s[:, at[x:y]]) for x, y in zip(first, ends)])
+                packed = []
+                for x, y in zip(first, ends):
+                    part = s[:, at[x:y]]
+                    used = np.flatnonzero(np.bincount(part.ravel(), minlength=len(names)))
+                    small = np.zeros(len(names), dtype=np.int64)
+                    small[used] = np.arange(len(used))
+                    packed.append(_zip(names[used], small[part]))
+                cols = (level[at][first], group[at][first], [_field(b, "lang", i).as_py()] * len(first), packed)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
     return arrow_map(coded, run, PART)
@@ -276,7 +347,7 @@ def _group_counts(parts: DataFrame, least: int) -> DataFrame:
     ship(parts.sparkSession)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pieces = [_unzip(x, np.int64).reshape(MAX_WORDS, -1) for x in pdf["rows"]]
+        pieces = [names[codes].reshape(MAX_WORDS, -1) for names, codes in map(_unzip, pdf["rows"])]
         owner = np.repeat(np.arange(len(pieces)), [p.shape[1] for p in pieces])
         out = [(pdf["lang"].iloc[owner[s]], p, int(n)) for ps, ns, ss in subtree(np.concatenate(pieces, axis=1), int(pdf["level"].iloc[0]), least) for p, n, s in zip(ps, ns, ss)]
         return pd.DataFrame(out, columns=["lang", "phrase", "n"])
@@ -292,7 +363,7 @@ def phrase_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     entries = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
     sums = entries.groupBy("lang", F.col("w.words").alias("text")).agg(F.sum("w.counts").alias("n")).filter(F.col("n") >= least)
     words = _packed(sums, ["lang", "text"], "phrase-words", False)
-    coded = _coded(blocks, words, least)
+    coded = _coded(blocks, words)
     found = [words.select("lang", F.array("node").alias("phrase"), "n")]
     heavy = words.filter(F.col("group") == HEAVY).select("lang", F.col("node").alias("from"), F.array("node").alias("phrase"))
     levels = 1

@@ -70,6 +70,19 @@ def test_suffixes_and_subtree():
     assert got == {(3,): 3, (4,): 3, (3, 4): 3}
 
 
+def test_arrays_and_compact_sequences_round_trip():
+    arrays = [np.array([0, 1, 70_000]), np.array([], dtype=np.int64), np.array([2**40, 3]), np.array([5])]
+    assert [a.tolist() for a in co._unzip(co._zip(*arrays))] == [a.tolist() for a in arrays]
+    rng = random.Random(8)
+    for _ in range(200):
+        seq = np.array([rng.choice([0, 0, 1, 2, 3]) for _ in range(rng.randrange(0, 30))], dtype=np.int64)
+
+        def runs(x):
+            return [r for r in "".join(map(str, x.tolist())).split("0") if len(r) > 1]
+        got = co._compact(seq)
+        assert runs(got) == runs(seq) and not any(len(r) == 1 for r in "".join(map(str, got.tolist())).split("0"))
+
+
 def test_scores_beyond_64_bits(spark):
     from pyspark.sql import functions as F
 
