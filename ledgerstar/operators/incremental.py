@@ -152,12 +152,23 @@ def version_schema(spark: SparkSession, base: str, version: int) -> T.StructType
     return spark.read.parquet(f"{base}/versions/v={version}/_schema").schema
 
 
-def publish(spark: SparkSession, base: str, rows: list[tuple], fields: str, schema: T.StructType, after: int) -> int:
+def read_note(spark: SparkSession, base: str, version: int | None = None) -> dict:
+    """What writers have noted with the newest version (or the one asked for)."""
+    vs = list_versions(spark, base)
+    path = f"{base}/versions/v={version or (vs[-1] if vs else 0)}/_note"
+    return json.loads(spark.read.text(path).first()[0]) if _names(spark, path) else {}
+
+
+def publish(spark: SparkSession, base: str, rows: list[tuple], fields: str, schema: T.StructType, after: int,
+            note: dict | None = None) -> int:
     """Publish version ``after + 1``, a list of ``rows`` (``fields``, ``folder`` among them) with its schema.
-    ``VersionConflict`` if it exists by now."""
+    ``VersionConflict`` if it exists by now. The version's note is that of version ``after``, updated by ``note``."""
     new = f"{base}/versions/.new-{uuid.uuid4().hex[:12]}"
     spark.createDataFrame(rows, fields).coalesce(1).write.parquet(new)
     spark.createDataFrame([], schema).write.parquet(f"{new}/_schema")
+    noted = read_note(spark, base, after) | (note or {}) if after else note
+    if noted:
+        spark.createDataFrame([(json.dumps(noted),)], "value string").coalesce(1).write.text(f"{new}/_note")
     try:
         rename_new(spark, new, f"{base}/versions/v={after + 1}")
     except VersionConflict:
@@ -275,7 +286,7 @@ def folders_near(rows: list[Row], src: DataFrame, columns: list[str]) -> list[st
 
 def merge_table(spark: SparkSession, base: str, src: DataFrame, keys: list[str] | str, partition_col: str,
                 newest: str | None = None, ranges: list[str] | None = None, attempts: int = 20,
-                on_written: Callable[[int], None] | None = None) -> int:
+                on_written: Callable[[int], None] | None = None, note: dict | None = None) -> int:
     """Merge ``src`` into the table as its next version; the version number.
 
     The partitions rewritten are those of the source rows and those that hold a source key
@@ -286,7 +297,8 @@ def merge_table(spark: SparkSession, base: str, src: DataFrame, keys: list[str]
     ``ranges``: columns that are equal wherever the keys are (the keys themselves, or what they are made from). Stored keys
     are looked for only in folders whose recorded range of these columns holds a source value. If another
     writer publishes first, the merge starts again from the newest version, up to ``attempts`` times. ``on_written`` is
-    called with the number of the attempt when its data is written and its version is not yet published.
+    called with the number of the attempt when its data is written and its version is not yet published. ``note`` is
+    published with the version, in the same step; with a note a version is published even if no row changes.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     require_unique(src, keys)
@@ -295,18 +307,18 @@ def merge_table(spark: SparkSession, base: str, src: DataFrame, keys: list[str]
         if not vs:
             rows = _described(spark, base, _write_run(src, base, partition_col), src.schema, partition_col, ranges or [])
             try:
-                return publish(spark, base, rows, _LIST, src.schema, 0)
+                return publish(spark, base, rows, _LIST, src.schema, 0, note)
             except VersionConflict:
                 _drop_run(spark, base, rows)
                 continue
         found = _merged(spark, base, vs[-1], src, keys, partition_col, newest, ranges or [])
-        if found is None:
+        if found is None and not note:
             return vs[-1]
-        new, rows = found
+        new, rows = found or ([], [(r["folder"], r["ranges"]) for r in listed(spark, base, vs[-1])])
         if on_written:
             on_written(attempt)
         try:
-            return publish(spark, base, rows, _LIST, version_schema(spark, base, vs[-1]), vs[-1])
+            return publish(spark, base, rows, _LIST, version_schema(spark, base, vs[-1]), vs[-1], note)
         except VersionConflict:
             _drop_run(spark, base, new)
     raise VersionConflict(f"{base}: {attempts} merges in a row found a newer version")

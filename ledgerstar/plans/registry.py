@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import PySparkException
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -879,6 +879,7 @@ register("snk_clustered_fact", O.canonical_select(
 
 # ================================================================== streaming micro-batches
 from ledgerstar.operators.incremental import read_current  # noqa: E402
+from ledgerstar.streaming.chain import Chain  # noqa: E402
 from ledgerstar.streaming.merge_stream import stream_merge  # noqa: E402
 
 STREAM_SPLIT = "2024-01-20"      # first landing file: events before this time
@@ -973,6 +974,41 @@ register("src_bronze_delta", O.canonical_select(
     f"AND NOT (TRY_CAST(orderdate AS DATE) <= DATE '{CUTOFF}')) u"))(_bronze_delta)
 
 
+def _held_back_chain(s, d):
+    """Order text in two landings of several files through the chain, with a later cutoff each time; both runs are
+    interrupted after a published step, so that a micro-batch is executed twice. The fact holds the orders due by the last cutoff."""
+    w = wh(s, d)
+    text = orders_text_modified(R_load(s, d)).withColumn("modifieddate", F.col("modifieddate").cast("timestamp_ntz"))
+    base = scratch_path(s, "held_back_chain")
+    w.written.append(base)
+    landing, interrupts = f"{base}/landing", {(0, "bronze"), (2, "fact")}
+
+    def on_step(batch: int, step: str) -> None:
+        if (batch, step) in interrupts:
+            interrupts.remove((batch, step))
+            raise RuntimeError("interrupted")
+
+    def build(due: DataFrame) -> DataFrame:
+        own = due.select(F.col("salesorderid").cast("bigint").alias("sales_order_id"))
+        return _month(FCT.fct_sales_order(w.header_resolved.join(own, "sales_order_id", "left_semi"), w.detail, rollup=w.rollup))
+
+    chain = Chain(s, landing, text.schema, base, ["salesorderid"], "modifieddate", "orderdate", build, ["sk_sales_order"], "order_month", on_step)
+    for k, cutoff in enumerate((CUTOFF, DELTA_CUTOFF)):
+        text.where(F.col("salesorderid").cast("bigint") % 3 == 0 if k else F.lit(True)).repartition(4).write.parquet(f"{landing}/f{k}")
+        while True:  # start again until a run ends by itself
+            try:
+                chain.run(cutoff, files_per_trigger=2)
+                break
+            except StreamingQueryException:
+                continue
+    assert not interrupts
+    return read_current(s, chain.fact).drop("order_month")
+
+
+register("inc_held_back_chain", O.canonical_select(K_ORDER, "fct_order", where=(
+    f"sales_order_id IN (SELECT CAST(salesorderid AS BIGINT) FROM {_OTM} o WHERE TRY_CAST(orderdate AS DATE) <= DATE '{DELTA_CUTOFF}')")))(_held_back_chain)
+
+
 def _bronze_full(s, d):
     """Full reload of a reference table, run twice into the same table path: the second
     run replaces the first (deterministic plan + overwrite), so the table is identical."""

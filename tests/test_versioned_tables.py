@@ -1,5 +1,7 @@
 """Versioned tables: failed refreshes, interleaved merges, folders read by a merge, removal of old versions."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,3 +100,50 @@ def test_old_versions_are_removed_and_the_rest_stays(spark, tmp_path):
     want = rows(INC.read_current(spark, base))
     assert INC.drop_versions(spark, base, keep=2) == 2 and INC.list_versions(spark, base) == [3, 4]
     assert rows(INC.read_current(spark, base)) == want and INC.read_current(spark, base, 3).count() == 300
+
+
+def test_chain_moves_each_batch_once(spark, tmp_path):
+    """Interrupted after its steps, one after the other: the tables are those of an undisturbed run, and no batch is published twice."""
+    from pyspark.errors import StreamingQueryException
+
+    from ledgerstar.streaming.chain import Chain
+
+    schema = "id string, day string, modified timestamp_ntz, v int"
+
+    def land(base, name, data):
+        for k, part in enumerate(data):
+            spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{base}/landing/{name}{k}")
+
+    def at(day):
+        return dt.datetime(2024, 1, day)
+
+    first = [[("1", "2024-01-01", at(1), 1), ("2", "2024-01-20", at(1), 1)], [("3", "n/a", at(1), 1), (None, "2024-01-02", at(1), 1)]]
+    # a correction of a row that is in, one that is held back, one that comes too late to win, and a new row that is due
+    second = [[("1", "2024-01-01", at(3), 2), ("2", "2024-01-20", at(3), 2)], [("1", "2024-01-01", at(2), 9), ("4", "2024-01-03", at(3), 2)]]
+
+    def play(name, *interrupts):
+        base, left = str(tmp_path / name), list(interrupts)
+
+        def on_step(batch, step):
+            if (batch, step) in left:
+                left.remove((batch, step))
+                raise RuntimeError("interrupted")
+
+        chain = Chain(spark, f"{base}/landing", spark.createDataFrame([], schema).schema, base, ["id"], "modified", "day",
+                      lambda due: due.select("id", "v", F.substring("day", 1, 7).alias("m")), ["id"], "m", on_step)
+        states = []
+        for k, (data, cutoff) in enumerate(((first, "2024-01-10"), (second, "2024-01-10"), ([], "2024-01-31"), ([], "2024-01-05"))):
+            land(base, f"f{k}", data)
+            for _ in range(6):
+                try:
+                    chain.run(cutoff, files_per_trigger=1)
+                    break
+                except (StreamingQueryException, RuntimeError):
+                    continue
+            states.append(rows(INC.read_current(spark, chain.fact), "id", "v"))
+        assert not left and chain.cutoff() == "2024-01-31"
+        return states, rows(INC.read_current(spark, chain.bronze), "id", "v"), [INC.list_versions(spark, t) for t in (chain.bronze, chain.fact)]
+
+    want = play("calm")
+    assert want[0] == [[("1", 1), (None, 1)], [("1", 2), ("4", 2), (None, 1)], [("1", 2), ("2", 2), ("4", 2), (None, 1)]] + [[("1", 2), ("2", 2), ("4", 2), (None, 1)]]
+    assert play("interrupted", (0, "bronze"), (0, "fact"), (1, "fact"), (2, "bronze"), (3, "fact"), (-1, "cutoff")) == want
