@@ -66,27 +66,26 @@ def _turns(df: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col:
 
 
 def _chunks(turns: DataFrame, history: int, budget: int, chunk: int) -> DataFrame:
-    """conv, chunk, skip, room, back (turns in front that can be its history), t (its turns), without the system turn."""
+    """conv, chunk, long (of a conversation of several chunks), skip, room, back (turns in front that can be its history), t (its turns), without the system turn."""
     reach = history // TURN_TOKENS
     numbers = turns.select("conv", "pos", "sys", "tok")
     places = numbers.withColumn("chunk", F.explode(F.expr(f"sequence((pos - 1) div {chunk}, (pos - 1 + {reach}) div {chunk})")))
     rows = places.groupBy("conv", "chunk").agg(F.sort_array(F.collect_list(F.struct("pos", "tok", "sys"))).alias("all"))
     rows = rows.filter(f"exists(all, x -> x.pos > chunk * {chunk})")
-    # the system turn of conversations of several chunks: one row per more than a chunk of turns
-    long = numbers.filter(F.col("pos") == chunk + 1).select(F.col("conv").alias("c"))
-    heads = numbers.filter("sys").join(long, F.col("conv").eqNullSafe(F.col("c"))).select("c", F.col("tok").alias("head"))
-    rows = rows.join(F.broadcast(heads), F.col("conv").eqNullSafe(F.col("c")), "left").drop("c")
+    # a row per chunk of each conversation of several chunks, with the tokens of its system turn; joined chunk by chunk
+    ends = numbers.groupBy("conv").agg(F.max("pos").alias("last"), F.max(F.when(F.col("sys"), F.col("tok"))).alias("head")).filter(F.col("last") > chunk)
+    heads = ends.select(F.col("conv").alias("c"), "head", F.explode(F.expr(f"sequence(0L, (last - 1) div {chunk})")).alias("k"))
+    rows = rows.join(heads, F.col("conv").eqNullSafe(F.col("c")) & (F.col("chunk") == F.col("k")), "left").withColumn("long", F.col("k").isNotNull()).drop("c", "k")
     head = F.coalesce("head", F.expr("if(all[0].sys, all[0].tok, null)"))
     return (rows.withColumn("head", head).withColumn("skip", F.col("head").isNotNull().cast("int"))
             .withColumn("room", F.greatest(F.lit(1), budget - history - F.coalesce("head", F.lit(0))).cast("long"))
-            .select("conv", "chunk", "skip", "room", F.expr(f"filter(all, x -> x.pos <= chunk * {chunk} and not x.sys)").alias("back"),
+            .select("conv", "chunk", "long", "skip", "room", F.expr(f"filter(all, x -> x.pos <= chunk * {chunk} and not x.sys)").alias("back"),
                     F.expr(f"filter(all, x -> x.pos > chunk * {chunk} and not x.sys)").alias("t")))
 
 
 def _entries(chunks: DataFrame) -> DataFrame:
     """c, k, sum, sample: tokens and number of the open span that enters chunk k, of conversations of several chunks."""
-    long = chunks.filter("chunk = 1").select(F.col("conv").alias("c"))
-    rows = chunks.join(F.broadcast(long), F.col("conv").eqNullSafe(F.col("c")))
+    rows = chunks.filter("long").withColumnRenamed("conv", "c")
     # tokens of the chunk up to each turn that can be its first cut; every turn has TURN_TOKENS at least
     rows = rows.withColumn("upto", F.expr(f"""
         aggregate(slice(t, 1, if(chunk = 0, 1, cast(room div {TURN_TOKENS} + 2 as int))), cast(array() as array<bigint>),
@@ -109,8 +108,7 @@ def _spans(turns: DataFrame, budget: int, history: int, chunk: int = CHUNK) -> D
     """conv, sample, pos, own: which turns each sample holds, and which of them are its own."""
     reach = history // TURN_TOKENS
     chunks = cut(_chunks(turns, history, budget, chunk), "chat-chunks")
-    entries = F.broadcast(_entries(chunks))  # a row per chunk of the long conversations
-    rows = chunks.join(entries, F.col("conv").eqNullSafe(F.col("c")) & (F.col("chunk") == F.col("k")), "left")
+    rows = chunks.join(_entries(chunks), F.col("conv").eqNullSafe(F.col("c")) & (F.col("chunk") == F.col("k")), "left")
     # a span ends before the turn that would overrun the room; cuts are positions
     rows = rows.withColumn("cuts", F.expr("""
         aggregate(t, named_struct('sum', coalesce(sum, 0L), 'open', chunk > 0, 'cuts', cast(array() as array<bigint>)),
