@@ -32,7 +32,6 @@ from pyspark.sql import types as T
 from ledgerstar.llm.common import arrow_map, arrow_schema, cut, draw, ident
 
 LABELLED_ROWS = 20_000     # labelled rows, at most, from which stems are learned
-LEXICON_STEMS = 4_000      # stems kept, at most
 STEM = (4, 7)
 MIN_TOXIC_TEXTS = 4        # a stem must be in that many different toxic texts (in all of them if there are fewer)
 MIN_LOG_ODDS = 1.5
@@ -79,8 +78,8 @@ def stems_of(text: str) -> set[str]:
 def learn_lexicon(rows: DataFrame) -> list[tuple[str, float]]:
     """(stem, log odds), strongest first, from rows (t, toxic 0/1). Texts are counted, not occurrences.
 
-    Texts equal but for case and white space are one text, toxic if any of them is. Counts are made per batch, summed by Spark, and only stems that pass come to the driver, at most
-    ``LEXICON_STEMS``. A stem whose beginning is in the list as well is left out.
+    Texts equal but for case and white space are one text, toxic if any of them is. Counts are made per batch, summed by Spark, and only stems that pass come to the driver:
+    the sample of texts bounds them. A stem whose beginning is in the list as well is left out.
     """
     same = F.md5(F.trim(F.regexp_replace(F.lower(F.coalesce("t", F.lit(""))), r"\s+", " ")))
     rows = cut(rows.groupBy(same.alias("k")).agg(F.min("t").alias("t"), F.max("toxic").alias("toxic")), "tox-texts")
@@ -107,7 +106,7 @@ def learn_lexicon(rows: DataFrame) -> list[tuple[str, float]]:
     parts = [F.when(x > 0, x * F.log(x / ((b + g) * F.lit(p)))).otherwise(0.0) for x, p in ((b, share), (g, 1 - share))]
     kept = (counts.filter(b >= min(MIN_TOXIC_TEXTS, bad)).withColumn("odds", odds).withColumn("evidence", 2 * (parts[0] + parts[1]))
             .filter((F.col("odds") >= MIN_LOG_ODDS) & (F.col("evidence") > EVIDENCE_Z ** 2))
-            .orderBy(F.desc("evidence"), "stem").limit(LEXICON_STEMS).collect())
+            .collect())
     found = {r["stem"]: r["odds"] for r in kept}
     own = [(s, o) for s, o in found.items() if not any(s[:k] in found and found[s[:k]] >= o - 1.0 for k in range(STEM[0], len(s)))]
     return sorted(own, key=lambda x: (-x[1], x[0]))
@@ -285,7 +284,8 @@ def toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .filter(~held_out(F.col("label_id"))).groupBy("label_id").agg((F.max("y") > 0).cast("int").alias("toxic")))
     toxic = cut(toxic, "tox-labels")
     n = toxic.count()
-    few = toxic.filter(draw(F.col("label_id"), seed=SEED) < min(1.0, LABELLED_ROWS / max(1, n))).limit(LABELLED_ROWS)
+    u = draw(F.col("label_id"), seed=SEED)  # ordered, so that the bound keeps the same rows each time
+    few = toxic.filter(u < min(1.0, LABELLED_ROWS / max(1, n))).orderBy(u, "label_id").limit(LABELLED_ROWS)
     teach = df.select(ident(id_col).alias("id"), ident(text_col).cast("string").alias("t")).join(few, F.col("id") == F.col("label_id")).select("t", "toxic")
     lexicon = learn_lexicon(cut(teach, "tox-teach"))
     out = F.col("id").alias(id_col)
@@ -300,7 +300,7 @@ def toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     size = sum(r["n"] for r in counts)
     fit = (taught.withColumn("u", draw(F.col("id"), seed=SEED + 1)).filter(F.col("u") < min(1.0, FIT_ROWS / max(1, size)))
-           .limit(2 * FIT_ROWS).select("votes", *SHARES).toPandas())
+           .orderBy("u", "votes", *SHARES).limit(2 * FIT_ROWS).select("votes", *SHARES).toPandas())
     w = fit_linear(fit[list(SHARES)].to_numpy(), model.posterior(fit["votes"].to_numpy()))
     z = sum((F.col(s) * F.lit(float(k)) for s, k in zip(SHARES, w)), F.lit(float(w[-1])))
     score = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
