@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from ledgerstar.llm.common import arrow_map, arrow_schema, cut, ident, ship
+from ledgerstar.llm.common import arrow_map, arrow_schema, cut, discard, ident, ship, stored
 
 MAX_WORDS = 5
 LEAST = 100               # occurrences of a candidate
@@ -90,8 +90,8 @@ BLOCK = T.StructType([T.StructField("lang", T.StringType()), T.StructField("word
                       T.StructField("n", T.LongType()), T.StructField("seq", T.BinaryType())])
 
 
-def text_blocks(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """(block, lang, words, counts, n, seq): the texts as dictionaries and word numbers, written once."""
+def text_blocks(df: DataFrame, text_col: str, lang_col: str) -> tuple[DataFrame, str]:
+    """(block, lang, words, counts, n, seq): the texts as dictionaries and word numbers, written once; and where."""
     src = df.select(F.coalesce(ident(lang_col).cast("string"), F.lit(NO_LANG)).alias("lang"), ident(text_col).cast("string").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +116,7 @@ def text_blocks(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
         for lang in list(open_):
             yield close(lang)
 
-    return cut(arrow_map(src, run, BLOCK).select(F.monotonically_increasing_id().alias("block"), "*"), "phrase-blocks")
+    return stored(arrow_map(src, run, BLOCK).select(F.monotonically_increasing_id().alias("block"), "*"), "phrase-blocks")
 
 
 def _packed(rows: DataFrame, keys: list[str], name: str, last: bool) -> DataFrame:
@@ -358,12 +358,13 @@ def _group_counts(parts: DataFrame, least: int) -> DataFrame:
 def phrase_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All phrases of 1 to ``MAX_WORDS`` words with at least ``least`` occurrences: (lang, phrase as word numbers, n);
     the words (lang, text, node); the totals (lang, total)."""
-    blocks = text_blocks(df, text_col, lang_col)
-    totals = blocks.groupBy("lang").agg(F.sum("n").alias("total"))
+    blocks, place = text_blocks(df, text_col, lang_col)
+    totals = cut(blocks.groupBy("lang").agg(F.sum("n").alias("total")), "phrase-totals")
     entries = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
     sums = entries.groupBy("lang", F.col("w.words").alias("text")).agg(F.sum("w.counts").alias("n")).filter(F.col("n") >= least)
     words = _packed(sums, ["lang", "text"], "phrase-words", False)
     coded = _coded(blocks, words)
+    discard(df.sparkSession, place)
     found = [words.select("lang", F.array("node").alias("phrase"), "n")]
     heavy = words.filter(F.col("group") == HEAVY).select("lang", F.col("node").alias("from"), F.array("node").alias("phrase"))
     levels = 1
