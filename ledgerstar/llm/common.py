@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 import ledgerstar
 from ledgerstar.session import scratch_path
@@ -146,6 +147,20 @@ def draw(*keys: Column, seed: int) -> Column:
     return (n.cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
+def repeats(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` with ``repeat``: 0 for the first row of a ``key`` (a column, never NULL), then 1, 2, ...; which row is first
+    does not matter.
+
+    The rows are written with their places; a key is counted per written part and the parts of a key are
+    numbered one after the other, so no task holds more of one key than one part has.
+    """
+    at = cut(rows.withColumn("place_", F.monotonically_increasing_id()), name).withColumn("part_", F.shiftright("place_", 33))
+    before = F.sum("k_").over(W.partitionBy("key").orderBy("part_").rowsBetween(W.unboundedPreceding, -1))
+    counts = at.groupBy("key", "part_").agg(F.count("*").alias("k_")).select("key", "part_", F.coalesce(before, F.lit(0)).alias("off_"))
+    own = F.row_number().over(W.partitionBy("key", "part_").orderBy("place_")) - 1
+    return at.withColumn("own_", own).join(counts, ["key", "part_"]).withColumn("repeat", F.col("own_") + F.col("off_")).drop("place_", "part_", "own_", "off_", "k_")
+
+
 def ascii_ws_words(text: str | None) -> list[bytes]:
     """The words (``WORD_RE``) of a text as UTF-8 bytes; ``bytes.split`` splits on exactly that class."""
     return text.encode("utf-8", "surrogatepass").split() if text else []

@@ -15,10 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ledgerstar.llm.common import cut, ident, pack
+from ledgerstar.llm.common import cut, ident, pack, repeats
 
 BITS = 5          # per dimension
 RUN_ROWS = 256
+REPEATS = 8      # rows equal in key that a run gets together
 
 
 # ---- the curve ----------------------------------------------------------------------------------
@@ -91,6 +92,11 @@ def size_bin(c: Column, bits: int = BITS, octaves: int = 32) -> Column:
 
 # ---- shards -------------------------------------------------------------------------------------
 
+def run_of(runs: Column) -> Column:
+    """The run of a row in a cell of ``runs`` runs, by its key; rows that repeat a key are dealt on in small packs."""
+    return F.pmod(F.xxhash64("key", F.floor(F.col("repeat") / REPEATS)), runs).cast("int")
+
+
 def assign(df: DataFrame, bins: dict[str, Column], key: list[Column], shards: int, carry: Column, bits: int = BITS) -> DataFrame:
     """(row, bins, place, rank, shard, slot) for every row.
 
@@ -101,18 +107,19 @@ def assign(df: DataFrame, bins: dict[str, Column], key: list[Column], shards: in
     """
     if len(bins) * bits > 18:
         raise ValueError("the table of cells is sent to all executors: at most 2 ** 18 cells")
-    src = df.select(carry.alias("row"), F.struct(*key).alias("key"), F.struct(*[b.alias(n) for n, b in bins.items()]).alias("bins"))
-    rows = cut(src.withColumn("place", curve_index([F.col("bins")[n] for n in bins], bits)), "hilbert-rows")
+    src = df.select(carry.alias("row"), F.struct(*key).alias("order"), F.xxhash64(*key).alias("key"), F.struct(*[b.alias(n) for n, b in bins.items()]).alias("bins"))
+    src = repeats(src.withColumn("place", curve_index([F.col("bins")[n] for n in bins], bits)), "hilbert-places")
+    rows = cut(src, "hilbert-rows")
 
     cells = rows.groupBy("place").agg(F.count("*").alias("n"))
     # the number of cells is fixed by bits and dimensions, whatever the input
     cells = cut(cells.select("place", "n", F.ceil(F.col("n") / RUN_ROWS).cast("int").alias("runs"),
                              (F.sum("n").over(W.orderBy("place")) - F.col("n")).alias("base"),
                              F.sum("n").over(W.partitionBy(F.lit(0))).alias("total")), "hilbert-cells")
-    placed = rows.join(F.broadcast(cells), "place").withColumn("run", F.pmod(F.xxhash64("key"), F.col("runs")).cast("int"))
+    placed = rows.join(F.broadcast(cells), "place").withColumn("run", run_of(F.col("runs")))
     runs = placed.groupBy("place", "run").agg(F.count("*").alias("m"))
     before = runs.withColumn("before", F.sum("m").over(W.partitionBy("place").orderBy("run")) - F.col("m")).drop("m")
-    inside = F.row_number().over(W.partitionBy("place", "run").orderBy("key")) - 1
+    inside = F.row_number().over(W.partitionBy("place", "run").orderBy("order", "repeat")) - 1
     ranked = (placed.withColumn("inside", inside).join(before, ["place", "run"])
               .withColumn("rank", F.col("base") + F.col("before") + F.col("inside")))
     shard = F.expr(f"(rank * {int(shards)}) div total")

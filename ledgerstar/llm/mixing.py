@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ledgerstar.llm.common import WORD_RE, cut, draw, ident, pack
+from ledgerstar.llm.common import WORD_RE, cut, draw, ident, pack, repeats
 
 SEED = 6
 MAX_COPIES = 3
@@ -129,21 +129,8 @@ def _drawn(rows: DataFrame, repeat: Column) -> DataFrame:
     return rows.withColumn("u", draw(name, seed=SEED)).drop("name")
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``repeat``: 0 for the first row of a key, then 1, 2, ...; which row is first does not matter.
-
-    The rows are written with their places; a key is counted per written part and the parts of a key are
-    numbered one after the other, so no task holds more of one key than one part has.
-    """
-    at = cut(rows.withColumn("place", F.monotonically_increasing_id()), "mix-places").withColumn("part", F.shiftright("place", 33))
-    before = F.sum("k").over(W.partitionBy("key").orderBy("part").rowsBetween(W.unboundedPreceding, -1))
-    counts = at.groupBy("key", "part").agg(F.count("*").alias("k")).select("key", "part", F.coalesce(before, F.lit(0)).alias("off"))
-    own = F.row_number().over(W.partitionBy("key", "part").orderBy("place")) - 1
-    return at.withColumn("own", own).join(counts, ["key", "part"]).withColumn("repeat", F.col("own") + F.col("off")).drop("place", "part", "own", "off")
-
-
 def _all_drawn(df: DataFrame, carry: Column, *cols) -> DataFrame:
-    rows = _numbered(_rows(df, carry, *cols))
+    rows = repeats(_rows(df, carry, *cols), "mix-places")
     return cut(_drawn(rows, F.col("repeat")), "mix-rows")
 
 
@@ -176,7 +163,7 @@ def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     repeated = cut(rows.filter("repeat = 1").select("key"), "mix-repeated")
     whole = _rows(df, pack(df), *cols)
     single = _drawn(whole.join(repeated, "key", "left_anti"), F.lit(0))
-    again = _drawn(_numbered(whole.join(repeated, "key", "left_semi")), F.col("repeat"))
+    again = _drawn(repeats(whole.join(repeated, "key", "left_semi"), "mix-places"), F.col("repeat"))
     both = single.select("row", "source", "u", "weight").union(again.select("row", "source", "u", "weight"))
     return (_ranked(both, plan).withColumn("copies", _copies()).filter("copies > 0")
             .select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("row.*"))

@@ -75,3 +75,16 @@ def test_few_rows_and_empty(spark):
     schema = "doc_id long, text string, lang string, source string"
     assert hilbert.shard_documents(spark.createDataFrame([], schema)).collect() == []
     check_law(hilbert.shard_documents(spark.createDataFrame([(1, "a", "en", "s"), (2, "b", "fr", "t")], schema)).collect())
+
+
+def test_repeated_rows_are_spread_over_runs(spark):
+    """20,000 equal rows: every slot is taken once, and no group that one task orders is large."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same text").alias("text"), F.lit("s").alias("source"), F.lit("en").alias("lang"))
+    df = df.union(spark.createDataFrame([(k, "w " * k, "s", "en") for k in range(15)], df.schema))
+    got = hilbert.shard_documents(df, carry_rows=True)
+    assert sorted(r["rank"] for r in got.select("rank").collect()) == list(range(20_015))
+    keys = hilbert.repeats(df.select(F.xxhash64("doc_id", "text").alias("key")), "test-places")
+    sizes = keys.withColumn("run", hilbert.run_of(F.lit(-(-20_015 // hilbert.RUN_ROWS)))).groupBy("run").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 512

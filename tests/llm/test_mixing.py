@@ -129,7 +129,7 @@ def test_repeated_rows_stay_within_one_document_of_the_target(spark):
 
 def test_a_key_held_by_most_rows_is_numbered_in_parts(spark):
     df = spark.createDataFrame([(None, "w w", "a")] * 3000 + [(5, "w", "a")], "doc_id long, text string, source string").repartition(6)
-    numbered = mixing._numbered(mixing._rows(df, df["doc_id"], "doc_id", "text", "source", None))
+    numbered = mixing.repeats(mixing._rows(df, df["doc_id"], "doc_id", "text", "source", None), "mix-places")
     assert sorted(r["repeat"] for r in numbered.filter("row is null").collect()) == list(range(3000))
 
 
