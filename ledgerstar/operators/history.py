@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerstar.operators.incremental import (VersionConflict, _delete, _names, list_versions, listed, publish, read_folders,
-                                              require_unique, version_schema)
+from ledgerstar.operators.incremental import (VersionConflict, _delete, _names, as_stored, list_versions, listed, publish,
+                                              read_folders, require_unique, version_schema)
 from ledgerstar.operators.scd2 import VERSION_FROM, VERSION_TO, scd2_changes
 
 _LIST = "folder string, state string, settled boolean"
@@ -89,11 +89,13 @@ def snapshot(spark: SparkSession, base: str, source: DataFrame, key: str | list[
     """One snapshot run with the 'check' strategy (rules of ``scd2.scd2_apply``); the version, the old one if nothing changed.
 
     NULL is a key like any other. Duplicate source keys fail (``DuplicateKeys``; pass a written source, it is read twice).
-    A run that is repeated finds no change. Two runs at once: the second fails with ``VersionConflict``.
+    Later sources are cast to the types of the first. A run that is repeated finds no change. Two runs at once: the second fails with ``VersionConflict``.
     """
     keys = _keys(key)
     require_unique(source, keys)
     v, rows, schema = _layout(spark, base)
+    if schema:
+        source = as_stored(source, T.StructType([f for f in schema.fields if f.name in source.columns]))
     changes = scd2_changes(_open(spark, base, rows, schema, keys) if schema else None, source, keys, check_cols, run_ts)
     changes = changes.where("state <> 'same'")
     new = _write(spark, changes, base)

@@ -182,8 +182,12 @@ def read_folders(spark: SparkSession, base: str, folders: list[str], schema: T.S
     if not folders:
         return spark.createDataFrame([], schema)
     root = f"{base}/data"
-    df = spark.read.option("basePath", root).parquet(*[f"{root}/{f}" for f in folders])
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    return spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/{f}" for f in folders]).select(*schema.names)
+
+
+def as_stored(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` in the columns and types of the table (a value that does not fit fails)."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_current(spark: SparkSession, base: str, version: int | None = None) -> DataFrame | None:
@@ -333,7 +337,7 @@ def _merged(spark: SparkSession, base: str, version: int, src: DataFrame, keys:
             newest: str | None, ranges: list[str]) -> tuple[list[tuple], list[tuple]] | None:
     """Write the partitions that ``src`` changes; (their list rows, the list rows of the next version), None if there are none."""
     held, schema = listed(spark, base, version), version_schema(spark, base, version)
-    src = src.select(*schema.names)
+    src = as_stored(src, schema)
     near = read_folders(spark, base, folders_near(held, src, ranges), schema)
     if newest:
         old = near.select(*[F.col(k).alias("__" + k) for k in keys], F.col(newest).alias("__newest"))

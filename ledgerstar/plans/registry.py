@@ -11,12 +11,13 @@ from collections.abc import Callable
 
 from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerstar.functions.columns import canonical
 from ledgerstar.plans import business as BQ
 from ledgerstar.plans import oracle as O
-from ledgerstar.plans.warehouse import Warehouse, clustered, shared
+from ledgerstar.plans.warehouse import LINE_CLUSTER, Warehouse, clustered, shared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -859,22 +860,41 @@ register("inc_order_merge", O.canonical_select(K_ORDER, "fct_order"))(_inc_order
 register("inc_order_full_refresh", O.canonical_select(K_ORDER, "fct_order"))(lambda s, d: _inc_order(s, d, full_refresh=True))
 
 
-def _clustered_write(s, d):
-    """The line fact written clustered and partitioned, with its audit column, and read back: rows per
-    month, rows without a load time, and files whose date ranges overlap inside a month's sort order."""
+def _overlapping_files(back):
+    """order_month, n_files_overlapping: files of the month whose dates begin before an earlier file's end.
+
+    The dates of a file are one grouped aggregate over the date column; a month's files, a few, are compared in order.
+    """
+    files = back.groupBy("order_month", F.col("_metadata.file_path").alias("f")).agg(F.min(LINE_CLUSTER).alias("lo"), F.max(LINE_CLUSTER).alias("hi"))
+    before = W.partitionBy("order_month").orderBy("lo", "hi", "f").rowsBetween(W.unboundedPreceding, -1)
+    return (files.withColumn("until", F.max("hi").over(before)).groupBy(F.col("order_month").alias("m"))
+            .agg(F.count_if(F.col("lo") < F.col("until")).alias("overlapping")))
+
+
+def _clustered_write(s, d, shuffled: bool = False):
+    """The line fact written clustered and partitioned, with its audit column, and read back: rows per month, rows without a
+    load time, and files whose dates overlap an earlier file's of the month. ``shuffled``: the planted fault, dealt at random."""
     w = wh(s, d)
     path = scratch_path(s, "fct_line_clustered")
     w.written.append(path)
-    clustered(w.fct_line.withColumn("dwh_loaded_at", F.current_timestamp())).write.partitionBy("order_month").parquet(path)
+    fact = clustered(w.fct_line.withColumn("dwh_loaded_at", F.current_timestamp()))
+    (fact.repartition(4) if shuffled else fact).write.partitionBy("order_month").parquet(path)
     back = s.read.parquet(path)
-    return back.groupBy("order_month").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("net_amount").alias("revenue"),
+    rows = back.groupBy("order_month").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("net_amount").alias("revenue"),
                                            F.count_if(F.col("dwh_loaded_at").isNull()).alias("unloaded"))
+    return rows.join(_overlapping_files(back), F.col("order_month") == F.col("m")).drop("m")
 
 
 register("snk_clustered_fact", O.canonical_select(
     {"order_month": "expr:i:CAST(floor(sk_order_date / 100) AS INTEGER)", "n_rows": "expr:i:count(*)",
-     "revenue": "expr:m:sum(net_amount)", "unloaded": "expr:i:0"}, "fct_line",
+     "revenue": "expr:m:sum(net_amount)", "unloaded": "expr:i:0", "overlapping": "expr:i:0"}, "fct_line",
     extra="GROUP BY CAST(floor(sk_order_date / 100) AS INTEGER)"))(_clustered_write)
+register("snk_clustered_planted", O.canonical_select(
+    {"order_month": "expr:i:CAST(floor(sk_order_date / 100) AS INTEGER)", "found": "expr:b:true"}, "fct_line",
+    extra="GROUP BY CAST(floor(sk_order_date / 100) AS INTEGER) HAVING count(DISTINCT sk_order_date) > 20"))(
+    lambda s, d: _clustered_write(s, d, shuffled=True).join(wh(s, d).fct_line.groupBy((F.col("sk_order_date") / 100).cast("int").alias("m"))
+        .agg(F.countDistinct("sk_order_date").alias("days")).filter("days > 20"), F.col("order_month") == F.col("m"))
+    .select("order_month", (F.col("overlapping") > 0).alias("found")))
 
 
 # ================================================================== streaming micro-batches
@@ -1231,6 +1251,12 @@ STAGED = {
     "stg_listpricehistory": (lambda w: ROLES.list_price_history(w.t), "price_hist", "product_id start_date end_date list_price modified_date"),
     "stg_orderdetail": (lambda w: w.detail, "detail", "sales_order_id order_quantity product_id special_offer_id unit_price unit_price_discount modified_date"),
     "stg_orderheadersalesreason": (lambda w: w.reason_pairs, "reason_pairs", "sales_order_id sales_reason_id modified_date"),
+    "stg_person": (lambda w: ROLES.seller_info(w.t), "(SELECT s_suppkey AS business_entity_id, CAST(100000 + 1000 * (s_suppkey % 50) AS DECIMAL(19,2)) AS sales_quota, "
+                   "CAST(0 AS DECIMAL(19,2)) AS bonus, CAST(0.01 AS DECIMAL(19,2)) AS commission_percent FROM supplier) x",
+                   "business_entity_id sales_quota bonus commission_percent"),
+    "stg_specialoffer": (lambda w: ROLES.special_offers(w.detail), "(SELECT special_offer_id, discount_percent, offer_type AS discount_type, "
+                         "offer_category AS discount_category, start_date, end_date, min_qty AS min_quantity FROM dim_special_offer WHERE special_offer_id <> -1) x",
+                         "special_offer_id discount_percent discount_type discount_category start_date end_date min_quantity"),
     "stg_personne": (lambda w: ROLES.persons(w.t), "persons", "business_entity_id first_name last_name"),
     "stg_personquotahistory": (lambda w: ROLES.quota_history(w.t), "quota_hist", "business_entity_id quota_date sales_quota"),
     "stg_product": (lambda w: w.product_current, "prod_current", "product_id product_name product_number standard_cost list_price modified_date"),

@@ -50,6 +50,21 @@ def test_interleaved_merges_keep_both_changes(spark, tmp_path):
     assert set(INC._names(spark, f"{base}/data")) == used                  # the overtaken run is gone
 
 
+def test_later_sources_take_the_types_of_the_table(spark, tmp_path):
+    from ledgerstar.operators import history as H
+
+    base, past = str(tmp_path / "t"), str(tmp_path / "h")
+    first = spark.range(20).selectExpr("id as k", "cast(id as decimal(19,2)) as v", "concat('m', id % 2) as p")
+    wide = spark.range(5).selectExpr("cast(id as int) as k", "cast(id as decimal(25,4)) + 1 as v", "'m0' as p")
+    INC.write_table(first, base, "p", ranges=["k"])
+    INC.merge_table(spark, base, wide, "k", "p", ranges=["k"])
+    H.snapshot(spark, past, first, "k", ["v"], "2020-01-01")
+    H.snapshot(spark, past, wide, "k", ["v"], "2020-02-01")
+    for df in (INC.read_current(spark, base), H.read_history(spark, past, "k").where("version_to is null")):
+        assert df.schema["v"].dataType.simpleString() == "decimal(19,2)"
+        assert {r["k"]: int(r["v"]) for r in df.collect()} == {k: k + (k < 5) for k in range(20)}
+
+
 def test_publishing_twice_is_refused(spark, tmp_path):
     base = str(tmp_path / "t")
     df = _table(spark, base)
