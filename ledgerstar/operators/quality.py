@@ -23,9 +23,8 @@ def not_null(df: DataFrame, cols: list[str]) -> DataFrame:
 def declared_checks(df: DataFrame, not_null_cols: list[str], unique_cols: list[str], accepted: dict[str, list] | None = None) -> DataFrame:
     """All column checks declared for one table: ``(check_name, column_name, failures)``, a row per check.
 
-    NULLs and values outside a list are counted by one aggregate over the table. A uniqueness
-    check counts the values that occur more than once, as a grouped count per column (partial
-    before its shuffle).
+    NULLs and values outside a list are counted by one aggregate over the table. All uniqueness
+    checks share one grouped count of (check, value as text), so the table is exchanged once for them.
     """
     accepted = accepted or {}
     one = [("not_null", c, F.count_if(F.col(c).isNull())) for c in not_null_cols]
@@ -35,8 +34,12 @@ def declared_checks(df: DataFrame, not_null_cols: list[str], unique_cols: list[s
         counts = df.agg(*[e.alias(f"c{i}") for i, (_, _, e) in enumerate(one)])
         stack = ", ".join(f"'{n}', '{c}', c{i}" for i, (n, c, _) in enumerate(one))
         out = counts.selectExpr(f"stack({len(one)}, {stack}) as (check_name, column_name, failures)")
-    for c in unique_cols:
-        twice = unique(df, c).agg(F.count(F.lit(1)).alias("failures")).select(F.lit("unique").alias("check_name"), F.lit(c).alias("column_name"), "failures")
+    if unique_cols:
+        values = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(unique_cols)])
+        times = df.select(F.explode(values).alias("p")).select("p.*").where("v is not null").groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+        counts = times.agg(*[F.count_if((F.col("i") == i) & (F.col("n") > 1)).alias(f"u{i}") for i in range(len(unique_cols))])
+        stack = ", ".join(f"'unique', '{c}', u{i}" for i, c in enumerate(unique_cols))
+        twice = counts.selectExpr(f"stack({len(unique_cols)}, {stack}) as (check_name, column_name, failures)")
         out = twice if out is None else out.unionByName(twice)
     return out
 

@@ -84,7 +84,6 @@ def product_timeline(dim_product: DataFrame, cost_iv: DataFrame, price_iv: DataF
 
 
 def fct_sales_order_line(detail: DataFrame, header_resolved: DataFrame, dims: dict, timeline: DataFrame,
-                         all_detail: DataFrame | None = None, audit: bool = False,
                          rollup: DataFrame | None = None) -> DataFrame:
     """Line-grain fact: every source line exactly once (inner join to its header, left
     joins to everything else, unknown member on a miss).
@@ -93,9 +92,8 @@ def fct_sales_order_line(detail: DataFrame, header_resolved: DataFrame, dims: di
       the order date (equi-join on the product key with a half-open range residual), which
       is the last join, so AQE can split a hot product;
     * freight and tax are allocated by the line's share of the order's net total;
-      the total comes from *all* lines of the order: the shared ``rollup`` when given,
-      else a grouped sum over ``all_detail`` (when ``detail`` is an incremental slice)
-      or ``detail``.
+      the total comes from *all* lines of the order: the shared ``rollup`` when given (it must
+      be when ``detail`` is an incremental slice), else a grouped sum over ``detail``.
     """
     net = net_amount("order_quantity", "unit_price", "unit_price_discount")
     hcols = ["sales_order_id", "sales_order_number", "order_date", "customer_id", "currency_rate_id",
@@ -109,8 +107,7 @@ def fct_sales_order_line(detail: DataFrame, header_resolved: DataFrame, dims: di
     if rollup is not None:
         totals = rollup.select("sales_order_id", F.col("computed_subtotal").alias("__order_net"))
     else:
-        totals = (all_detail if all_detail is not None else detail).groupBy("sales_order_id").agg(
-            F.sum(net).alias("__order_net"))
+        totals = detail.groupBy("sales_order_id").agg(F.sum(net).alias("__order_net"))
     lines = lines.join(totals, "sales_order_id", "left")
 
     lines = resolve_fk(lines, dims["special_offer"], {"special_offer_id": "special_offer_id"}, "sk_special_offer")
@@ -119,7 +116,7 @@ def fct_sales_order_line(detail: DataFrame, header_resolved: DataFrame, dims: di
                               "is_fallback_cost": "__pc_fallback", "list_price": "list_price_at_order_date"})
 
     cost = F.coalesce(F.col("__pc_cost"), F.col("__p_cost"), F.lit(0))
-    out = lines.select(
+    return lines.select(
         surrogate_key("sales_order_id", "sales_order_detail_id").alias("sk_sales_order_line"),
         "sales_order_id", "sales_order_detail_id", "sales_order_number",
         F.coalesce("sk_product", F.lit("-1")).alias("sk_product"),
@@ -145,9 +142,6 @@ def fct_sales_order_line(detail: DataFrame, header_resolved: DataFrame, dims: di
         ratio("__net", "__order_net").alias("line_share_of_order"),
         F.col("modified_date").alias("source_modified_date"),
     )
-    if audit:
-        out = out.withColumn("dwh_loaded_at", F.current_timestamp())
-    return out
 
 
 def order_rollup(detail: DataFrame) -> DataFrame:
@@ -159,11 +153,10 @@ def order_rollup(detail: DataFrame) -> DataFrame:
         F.sum(net_amount("order_quantity", "unit_price", "unit_price_discount")).alias("computed_subtotal"))
 
 
-def fct_sales_order(header_resolved: DataFrame, detail: DataFrame, audit: bool = False,
-                    rollup: DataFrame | None = None) -> DataFrame:
+def fct_sales_order(header_resolved: DataFrame, detail: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
     """Header-grain fact: unallocated money, line roll-up and variance, fulfilment lags."""
     h = header_resolved.join(rollup if rollup is not None else order_rollup(detail), "sales_order_id", "left")
-    out = h.select(
+    return h.select(
         surrogate_key("sales_order_id").alias("sk_sales_order"),
         "sales_order_id", "sales_order_number", "purchase_order_number", "account_number",
         "sk_customer", "sk_salesperson", "sk_territory", "sk_ship_method", "sk_order_status", "sk_currency",
@@ -180,9 +173,6 @@ def fct_sales_order(header_resolved: DataFrame, detail: DataFrame, audit: bool =
         "online_order_flag", "revision_number",
         F.col("modified_date").alias("source_modified_date"),
     )
-    if audit:
-        out = out.withColumn("dwh_loaded_at", F.current_timestamp())
-    return out
 
 
 def fct_sales_quota(quota: DataFrame, dim_salesperson: DataFrame, dim_date: DataFrame) -> DataFrame:

@@ -1126,7 +1126,12 @@ def _planted_pit(s, d):
     return Q.pit_has_effect(line, w.dims["product"])
 
 
-register("dq_pit_effect_planted", "SELECT CAST(0 AS BIGINT) AS differing_rows")(_planted_pit)
+register("dq_pit_effect_planted", O.canonical_select(
+    {"differing_rows": "i"},
+    "(SELECT count_if(abs(x.cost - p.standard_cost) > 0.001) AS differing_rows FROM ("
+    "SELECT f.sk_product, f.is_fallback_cost, n.standard_cost AS cost FROM fct_line f JOIN dim_product n ON n.sk_product = f.sk_product) x "
+    "JOIN dim_product p ON p.sk_product = x.sk_product WHERE NOT x.is_fallback_cost) y",
+    where="differing_rows = 0"))(_planted_pit)
 
 
 def _planted_count(s, d):

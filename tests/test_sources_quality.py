@@ -64,6 +64,15 @@ def test_quality_checks_return_planted_rows(spark):
     assert rows(Q.relationships(df, "k", dim, "k")) == [(2, 1)]
 
 
+def test_uniqueness_checks_of_a_table_share_one_exchange(spark):
+    df = spark.createDataFrame([(1, "a", dt.date(2020, 1, 1)), (1, None, dt.date(2020, 1, 1)), (2, None, dt.date(2020, 1, 1)), (2, "1", None)], "k int, s string, d date")
+    got = Q.declared_checks(df, ["s"], ["k", "s", "d"], {"s": ["a"]})
+    assert {(r["check_name"], r["column_name"]): r["failures"] for r in got.collect()} == {
+        ("not_null", "s"): 2, ("accepted_values", "s"): 1, ("unique", "k"): 2, ("unique", "s"): 0, ("unique", "d"): 1}
+    plan = Q.declared_checks(df, [], ["k", "s", "d"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_net_gap_and_mutation(spark):
     header = spark.createDataFrame([(1, 10.0), (2, 5.0)], "o int, sub double")
     lines = spark.createDataFrame([(1, 4.0), (1, 6.0), (2, 5.0)], "o int, net double")
