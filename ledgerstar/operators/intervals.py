@@ -1,4 +1,7 @@
-"""Validity intervals, point-in-time (as-of) joins and interval overlap checks."""
+"""Validity intervals and point-in-time (as-of) joins.
+
+Long histories are swept instead of joined: see :mod:`ledgerstar.operators.sweep`.
+"""
 
 from __future__ import annotations
 
@@ -76,18 +79,3 @@ def asof_join(fact: DataFrame, intervals: DataFrame, fact_key: str, fact_date: s
         F.col(fact_date), F.col("__iv_from"), F.col("__iv_to"), closed)
     return fact.join(right, cond, how).drop("__iv_key", "__iv_from", "__iv_to")
 
-
-def overlaps(df: DataFrame, key: str, version_id: str, valid_from: str = "valid_from",
-             valid_to: str = "valid_to") -> DataFrame:
-    """Pairs of different versions of one key whose half-open ranges intersect.
-
-    A self join on the key with the range test as residual; returns
-    ``(key, version_a, version_b)``. Empty means the history is consistent.
-    """
-    a = df.select(F.col(key).alias("__k"), F.col(version_id).alias("version_a"),
-                  F.col(valid_from).alias("__fa"), F.col(valid_to).alias("__ta"))
-    b = df.select(F.col(key).alias("__k2"), F.col(version_id).alias("version_b"),
-                  F.col(valid_from).alias("__fb"), F.col(valid_to).alias("__tb"))
-    cond = ((F.col("__k") == F.col("__k2")) & (F.col("version_a") != F.col("version_b"))
-            & (F.col("__fa") < F.col("__tb")) & (F.col("__fb") < F.col("__ta")))
-    return a.join(b, cond, "inner").select(F.col("__k").alias(key), "version_a", "version_b")

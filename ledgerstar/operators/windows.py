@@ -35,7 +35,8 @@ def _order_exprs(order: list) -> list[Column]:
     return out
 
 
-def _pin_ranges(df: DataFrame, sort_exprs: list[Column], num_partitions: int | None) -> DataFrame:
+def pin_ranges(df: DataFrame, sort_exprs: list[Column], num_partitions: int | None) -> DataFrame:
+    """``df`` dealt to ranges of the order, each sorted, with the range's number as ``_pid``; written once."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -103,7 +104,7 @@ def keyed_lag(df: DataFrame, keys: list[str], order: list, cols: list[str], pref
     when that row has the same key.
     """
     sort_exprs = [F.col(k).asc() for k in keys] + _order_exprs(order)
-    pinned = _pin_ranges(df, sort_exprs, num_partitions)
+    pinned = pin_ranges(df, sort_exprs, num_partitions)
     wl = W.partitionBy("_pid", *keys).orderBy(*_order_exprs(order))
     local = pinned.select("*", F.row_number().over(wl).alias("_lrn"),
                           *[F.lag(c, 1).over(wl).alias(prefix + c) for c in cols])
@@ -135,7 +136,7 @@ def keyed_running_max(df: DataFrame, keys: list[str], order: list[str], value: s
     partition can go on, so the carry has at most two rows per partition.
     """
     sort_exprs = [F.col(k).asc() for k in keys] + _order_exprs(order)
-    pinned = _pin_ranges(df, sort_exprs, num_partitions)
+    pinned = pin_ranges(df, sort_exprs, num_partitions)
     key = F.struct(*[F.col(k) for k in keys])
     wl = W.partitionBy("_pid", *keys).orderBy(*_order_exprs(order)).rowsBetween(W.unboundedPreceding, -1)
     local = pinned.withColumn("_local", F.max(value).over(wl))

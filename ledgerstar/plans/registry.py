@@ -626,8 +626,8 @@ register("dq_no_overlap_planted", O.canonical_select(
 
 
 def _overlap_pairs(s, d):
-    """Every pair of overlapping versions of the planted intervals (a product has a handful of versions)."""
-    from ledgerstar.operators.intervals import overlaps
+    """Every pair of overlapping versions of the planted intervals, by a sweep over their starts."""
+    from ledgerstar.operators.sweep import overlaps
 
     return overlaps(_planted_intervals(s, d), "product_id", "version_id")
 
@@ -638,6 +638,24 @@ register("rel_interval_overlaps", O.canonical_select(
     "AND a.valid_from < b.valid_to AND b.valid_from < a.valid_to"))(_overlap_pairs)
 
 
+def _asof_merge(s, d):
+    """The cost of every order line on its order date, by a merge of lines and cost versions."""
+    from ledgerstar.operators.sweep import asof_merge
+
+    w = wh(s, d)
+    dates = w.header.select("sales_order_id", F.to_date("order_date").alias("order_date"))
+    lines = w.detail.select("sales_order_id", "sales_order_detail_id", "product_id").join(dates, "sales_order_id")
+    return asof_merge(lines, w.cost_intervals, "product_id", "order_date", select=["standard_cost", "is_fallback_cost"])
+
+
+register("rel_asof_merge", O.canonical_select(
+    {"sales_order_id": "expr:i:l.sales_order_id", "sales_order_detail_id": "expr:s:l.sales_order_detail_id",
+     "product_id": "expr:i:l.product_id", "order_date": "expr:d:CAST(h.order_date AS DATE)", "standard_cost": "expr:i:c.standard_cost",
+     "is_fallback_cost": "expr:b:c.is_fallback_cost"},
+    "detail l JOIN header h ON l.sales_order_id = h.sales_order_id LEFT JOIN cost_iv c ON c.product_id = l.product_id "
+    "AND CAST(h.order_date AS DATE) >= c.valid_from AND CAST(h.order_date AS DATE) < c.valid_to"))(_asof_merge)
+
+
 def _dq_one_current(s, d):
     w = wh(s, d)
     return Q.union_labelled({
