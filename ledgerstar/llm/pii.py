@@ -28,6 +28,7 @@ KINDS = ("email", "ip", "card", "phone")
 TAGS = ("O", *[f"{p}-{k}" for k in KINDS for p in "BI"])
 NEAR = 3   # tokens on either side of a marked token that are decoded with it
 BATCH_TOKENS = 16_384   # padded tokens decoded at once
+BLOCK = 1_024           # places of a sequence whose scores are held at once
 
 # The base patterns.
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -83,26 +84,95 @@ def shape(token: str) -> str:
     return "".join(out)[:24]
 
 
+_HEX = frozenset("0123456789abcdefABCDEF:")
+
+
 @lru_cache(maxsize=200_000)
 def token_features(token: str) -> tuple[str, ...]:
     """Features of a token without its neighbours. Closing marks around it are left off."""
     core = token.strip(".,;:!?\"'<>")
     digits = sum("0" <= c <= "9" for c in core)
     if not digits and "@" not in core:
-        return ("plain", "cue:" + core.lower() if core.lower() in CUES else "plain")
+        return ("plain", f"cue:{_cue(core)}")
     lengths = "-".join(str(len(x)) for x in re.findall(r"[0-9]+", core))[:24]
     mixed = any(c.isalpha() for c in core)
-    return ("s:" + shape(core), "n:" + str(min(digits, 20)), f"l:{lengths}", f"m:{mixed}:{'@' in core}:{core[:1] == '+'}:{'=' in core}")
+    prefix = _PREFIX.match(core)
+    rest = core[prefix.end():] if prefix and _cue(prefix[1]) else core
+    return ("s:" + shape(core), "n:" + str(min(digits, 20)), f"l:{lengths}", f"m:{mixed}:{'@' in core}:{core[:1] == '+'}:{'=' in core}",
+            f"p:{_cue(prefix[1]) if prefix else None}:{digits >= 7}", "r:" + shape(rest),
+            f"at:{core.count('@')}:{core[:1] == '@' or core[-1:] == '@'}", f"v6:{core.count(':') > 1 and all(c in _HEX for c in core)}")
+
+
+# Words that announce a kind of number, and words that announce another kind of number.
+CUE_WORDS = {
+    "phone": "call phone phones tel telefon telephone téléphone telefono teléfono tél ring mobile cell fax dial text sms whatsapp handy contact hotline extension callback",
+    "card": "card cards carte karte tarjeta kreditkarte visa mastercard amex maestro paid pay charge charged",
+    "email": "mail email e-mail mailto address write correo courriel",
+    "ip": "host hosts server ip ips login node gateway router ping dns subnet client peer machine rechner address",
+    "other": "version release page pages chapter section order room id lot part year isbn issn ref ticket invoice lines line table figure no score serial model build sku volume vol line zip postcode in since from",
+}
+CUES = {}
+for _kind, _words in CUE_WORDS.items():
+    for _w in _words.split():
+        CUES[_w] = CUES[_w] + "+" + _kind if _w in CUES else _kind
+REACH = 3   # tokens before a chain of numbers in which a word may announce it
+_NUMBERS = re.compile(r"[0-9().+/\-–]*[0-9][0-9().+/\-–]*")
+_PREFIX = re.compile(r"([^\W\d_]+)[:=.](?=.)")
+
+
+def _cue(token: str) -> str | None:
+    return CUES.get(token.strip(".,;:!?\"'<>()").lower())
+
+
+def chains(tokens: list[str]) -> list[tuple[str, ...]]:
+    """Features of each token from the chain of neighbouring tokens of digits and number marks that holds it:
+    its digits, its tokens, the token's place in it, and the nearest word before it that announces a number.
+
+    A plus sign, an opening bracket (unless a country code stands before it), 13 digits in one token and a
+    closing mark bound a chain. Linear in the number of tokens.
+    """
+    out: list[tuple[str, ...]] = [()] * len(tokens)
+    parts = [_number(t) for t in tokens]
+    i = 0
+    while i < len(tokens):
+        if not parts[i]:
+            i += 1
+            continue
+        end, total = i, 0
+        while end < len(tokens) and parts[end]:
+            core, own, digits = parts[end]
+            if end > i and (own or core[0] == "+" or digits >= 13 or core[0] == "(" and parts[end - 1][0][0] != "+"):
+                break
+            total += digits
+            end += 1
+            if tokens[end - 1][-1] in ",;:!?." or digits >= 13:
+                break
+        core, own, _ = parts[i]
+        cue = own or next((c for j in range(i - 1, max(-1, i - 1 - REACH), -1) if (c := _cue(tokens[j]))), "none")
+        size, n = min(total, 20), min(end - i, 6)
+        for j in range(i, end):
+            place = "B" if j == i else "I"
+            out[j] = (f"c:{size}:{place}", f"ct:{size}:{n}", f"cq:{cue}:{place}", f"cs:{shape(core)}:{place}", f"cl:{size >= 7}:{size >= 13}:{cue}:{place}")
+        i = end
+    return out
 
 
-CUES = frozenset(("call", "phone", "tel", "telefon", "number", "ring", "card", "carte", "karte", "mail", "email", "address", "host", "server"))
+@lru_cache(maxsize=200_000)
+def _number(token: str) -> tuple[str, str | None, int] | None:
+    """(number, kind that a prefix such as ``tel:`` announces, digits) of a token of digits and number marks."""
+    core = token.strip(",;:!?\"'<>.")
+    prefix = _PREFIX.match(core)
+    own = _cue(prefix[1]) if prefix else None
+    if own:
+        core = core[prefix.end():]
+    return (core, own, sum("0" <= c <= "9" for c in core)) if _NUMBERS.fullmatch(core) else None
 
 
-def _window_features(tokens: list[str], i: int) -> list[str]:
+def _window_features(tokens: list[str], i: int, around: list[tuple[str, ...]]) -> list[str]:
     own = token_features(tokens[i])
     before = token_features(tokens[i - 1]) if i else ("edge",)
     after = token_features(tokens[i + 1]) if i + 1 < len(tokens) else ("edge",)
-    return ["bias", *["0" + f for f in own], *["-" + f for f in before[:2]], *["+" + f for f in after[:2]]]
+    return ["bias", *["0" + f for f in own], *["-" + f for f in before[:2]], *["+" + f for f in after[:2]], *around[i]]
 
 
 # ---- the field ----------------------------------------------------------------------------------
@@ -116,30 +186,38 @@ class ChainField:
     move: np.ndarray
     start: np.ndarray
 
-    def emissions(self, sequences: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """(batch, length, tags) scores, zero beyond each sequence's end; lengths."""
-        n = np.array([len(s) for s in sequences])
-        out = np.zeros((len(sequences), int(n.max()), len(TAGS)))
+    def emissions(self, sequences: list[list[str]], around: list[list[tuple[str, ...]]], lo: int, hi: int) -> np.ndarray:
+        """(batch, hi - lo, tags) scores of the places ``lo .. hi - 1``, zero beyond a sequence's end."""
+        out = np.zeros((len(sequences), hi - lo, len(TAGS)))
         get = self.index.get
         for b, s in enumerate(sequences):
-            for i in range(len(s)):
-                known = [k for f in _window_features(s, i) if (k := get(f)) is not None]
-                out[b, i] = self.emit[known].sum(0)
-        return out, n
+            for i in range(lo, min(hi, len(s))):
+                known = [k for f in _window_features(s, i, around[b]) if (k := get(f)) is not None]
+                out[b, i - lo] = self.emit[known].sum(0)
+        return out
 
     def decode(self, sequences: list[list[str]]) -> list[list[int]]:
-        """Viterbi: the best tag sequence of every token sequence, all sequences of a batch at once."""
+        """Viterbi: the best tag sequence of every token sequence, all sequences of a batch at once.
+
+        Scores are made ``BLOCK`` places at a time; of a whole sequence only the pointers back are kept
+        (a byte a tag and token).
+        """
         if not sequences:
             return []
-        e, n = self.emissions(sequences)
-        size, length, _ = e.shape
-        best = self.start + e[:, 0]
+        n = np.array([len(s) for s in sequences])
+        size, length = len(sequences), int(n.max())
+        around = [chains(s) for s in sequences]
+        best = np.zeros((size, len(TAGS)))
         back = np.zeros((size, length, len(TAGS)), dtype=np.int8)
-        for i in range(1, length):
-            through = best[:, :, None] + self.move
-            back[:, i] = through.argmax(1)
-            ahead = through.max(1) + e[:, i]
-            best = np.where((i < n)[:, None], ahead, best)
+        for lo in range(0, length, BLOCK):
+            e = self.emissions(sequences, around, lo, min(length, lo + BLOCK))
+            for i in range(lo, min(length, lo + BLOCK)):
+                if i == 0:
+                    best = self.start + e[:, 0]
+                    continue
+                through = best[:, :, None] + self.move
+                back[:, i] = through.argmax(1)
+                best = np.where((i < n)[:, None], through.max(1) + e[:, i - lo], best)
         out = []
         for b in range(size):
             tag = int(best[b].argmax())
@@ -153,7 +231,7 @@ class ChainField:
     @classmethod
     def train(cls, rows: list[tuple[list[str], list[int]]], steps: int = 250, rate: float = 0.15, ridge: float = 0.02) -> ChainField:
         """Maximum likelihood with an L2 penalty: forward-backward gradients, Adam steps, all rows at once."""
-        feats = [[_window_features(t, i) for i in range(len(t))] for t, _ in rows]
+        feats = [[_window_features(t, i, around) for i in range(len(t))] for t, around in ((t, chains(t)) for t, _ in rows)]
         index: dict[str, int] = {}
         for f in (f for s in feats for x in s for f in x):
             index.setdefault(f, len(index))
@@ -188,7 +266,7 @@ class ChainField:
             z = lse(fwd[:, -1], 1)
             node = np.exp(fwd + bwd - z[:, None, None]) * live[:, :, None]
             pair = np.exp(fwd[:, :-1, :, None] + w[1] + (e[:, 1:] + bwd[:, 1:])[:, :, None, :] - z[:, None, None, None]) * live[:, 1:, None, None]
-            grads = [np.einsum("bif,bit->ft", x, gold - node), moves - pair.sum((0, 1)), (gold[:, 0] - node[:, 0]).sum(0)]
+            grads = [np.tensordot(x, gold - node, ([0, 1], [0, 1])), moves - pair.sum((0, 1)), (gold[:, 0] - node[:, 0]).sum(0)]
             for p, g, a, s in zip(w, grads, m, v):
                 g -= ridge * p
                 a += 0.1 * (g - a)
@@ -278,8 +356,12 @@ def tagged_spans(texts: list[str], field: ChainField) -> list[list[tuple[str, in
 
 
 def _trimmed(text: str, span: tuple[str, int, int]) -> tuple[str, int, int] | None:
-    """The span without closing marks at its ends; None when no digit or at sign is left."""
+    """The span without closing marks at its ends and without an announcing prefix (``tel:``); None when no
+    digit or at sign is left."""
     kind, a, b = span
+    prefix = _PREFIX.match(text, a, b)
+    if prefix and _cue(prefix[1]):
+        a = prefix.end()
     while a < b and text[a] in ".,;:!?\"'<>":
         a += 1
     while a < b and text[b - 1] in ".,;:!?\"'<>":

@@ -68,4 +68,148 @@ a 50/50 chance @ best
 mix 1:10 or 2:25 by weight
 part no. 77-1203-A and 80-4410-B
 lot 20200517 and lot 20210630
+tel:[phone|+49-30-555-0117] is the desk
+tel:[phone|030/5550175] is the office
+phone:[phone|212-555-0166] or come in
+fax [phone|030/5550176] only in the day
+mobile [phone|0171 5550123], please
+handy [phone|0151/5550144] am abend
+his cell is [phone|415.555.0199] as before
+dial [phone|212.555.0147] from here
+call [phone|1-800-555-0199] free of charge
+ring [phone|020 7946 0958] before six
+tél. [phone|01 55 50 12 34] le soir
+téléphone [phone|06 55 50 98 76] svp
+text [phone|07700 900123] if late
+whatsapp [phone|07700 900456].
+teléfono [phone|91 555 01 23] por la tarde
+call me on [phone|(617) 555-0122], thanks
+the hotline is [phone|1 (888) 555-0133] all day
+phone [phone|310 555 0188] for a table
+contact: [phone|303-555-0101] (office)
+contact [phone|(503) 555-0155] or [phone|(503) 555-0156] today
+she left [phone|646-555-0177] as a number
+reach Tom at [phone|(718) 555-0191] after lunch
+Ann, [phone|917-555-0143], will help
+dial [phone|555-0147] for the desk
+call [phone|555-0188] and ask
+ring the house, [phone|555-867-5310], at nine
+tel [phone|(089) 5550133] ab neun
+telefon [phone|(040) 555 01 75] bitte
+fax: [phone|+44 (0)20 7946 0999]
+mobile: [phone|+33-6-55-50-12-34]
+sms to [phone|+46 70 555 01 23] works
+with [phone|(312) 555-0118] on the sign
+number: [phone|(206) 555-0162]
+old phone [phone|702-555-0129] and new phone [phone|702-555-0130]
+visa [card|4532.1143.8765.3211] was charged
+card [card|4111.1111.1111.1111] is a test
+mastercard [card|5105 1051 0510 5100] at the till
+amex [card|3782 822463 10005] was used
+amex [card|371449635398431], gold
+he paid with [card|6011 1111 1111 1117].
+tarjeta [card|5555 5555 5555 4444] caducada
+kreditkarte [card|4916 3385 0608 2832] gesperrt
+visa:[card|4024007198964305] on file
+card no [card|4539 1488 0343 6467] was lost
+pay by card [card|3530 1113 3330 0000] now
+two cards, [card|4556737586899855] and [card|4716461583322103], were stolen
+charged [card|5200-8282-8282-8210] twice
+from [card|4242 4242 4242 4242] to the shop
+[card|4000 0566 5566 5556] was declined
+[card|4917610000000000] declined
+router [ip|10.1.255.254] is up
+gateway [ip|172.31.0.1] answered
+ping [ip|1.1.1.1] works
+ip:[ip|203.0.113.77] was seen
+dns [ip|2001:db8::53] answered
+host [ip|fe80::1ff:fe23:4567:890a] is local
+node [ip|2001:db8:0:1::17] came back
+server [ip|2001:db8:85a3::8a2e:370:7334] is down
+peer [ip|198.51.100.23:8080] hung up
+client [ip|192.0.2.146:443], gone
+subnet [ip|10.20.0.0/16] is ours
+login by [ip|203.0.113.9] at 10:15
+[ip|198.51.100.7] was banned
+[ip|203.0.113.200] and [ip|203.0.113.201] were banned
+mail [email|root@localhost] about it
+write [email|admin@intranet] or stop by
+email [email|ops@build7] when red
+address [email|jörg.müller@büro.example.de] bitte
+mailto:[email|kim@example.net] for more
+email: [email|x.y.z@a.example.com]
+his mail, [email|paul@mailhost], is dead
+[email|nina@example.org] wrote back
+[email|team@server1] and [email|lead@server1] know
+courriel [email|zoe@exemple.example.fr] merci
+correo [email|luz.mar@correo.example.es] por favor
+isbn 978-3-16-148410-0 of the book
+isbn 0-306-40615-2 is old
+issn 2049-3630 and vol. 12
+the call of 2019 and the phone of 2007
+call 3 of 7 was long
+phone 12 and phone 14 are new models
+card 7 of 52 was the king
+a card of 1982 and 14 others
+paid 1 250 000 in 2018
+charged 99.95 on 2021-03-04
+pay 1,000,000 by 31.12.2024
+server 4 of rack 12
+server version 10.4.2 runs
+host 17 and host 18 left
+ip version 4 and ip version 6
+address 12, 80331 here
+at 221 baker street, 3rd floor
+zip 10115 and zip 94105-1234
+from 1914-1918 and from 1939-1945
+since 2001, 2002 and 2003
+ticket 2023-00417 is open
+invoice 2020-05-17-0042 was sent
+order 100-2231-7 came
+model 5550-123 and model 5550-124
+serial 4411-2231-0098 on the back
+build 2021.11.04 is out
+build 1.20.300 failed
+ref 44/2019 and ref 45/2019
+sku 12345678 and sku 87654321
+figure 3.4 and figure 3.5.1
+3.14159265358979 is pi
+10 20 30 40 50 60
+0 1 1 2 3 5 8 13 21 34 55
+1024 2048 4096 8192 16384
+x = 1 2 3 4 and y = 5 6 7 8
+12:30 13:45 14:00 15:15
+from 10:00:00 to 12:30:59
+2020-01-01 2020-01-02 2020-01-03
+in 1999 2000 2001 2002
+lat 52.5200 and lon 13.4050
+52.5200, 13.4050 on the map
+the sum of 123 456 789 people
+a total of 1.234.567,89
+scores 21-19 18-21 21-15
+he won 6-4 6-3 7-5 in 2012
+def f(x, y=2): return x[0] + 10
+for i in range(100): a[i] = 0
+if n == 16: k = 255
+0x1F4A and 0xFFFF0000 are hex
+sha 9f86d081884c7d659a2feaa0c55ad015
+uuid 123e4567-e89b-12d3-a456-426614174000 made
+commit 4b825dc642cb6eb9a060e54bf8d69288fbee4904
+see @user1, @user2 and @user_3
+cc @team @lead thanks
+price 5 @ 10 each
+follow us @shop24 now
+import @angular/core from 2 files
+@Override and @Test in line 40
+rated 4.5/5 by 1,204 users
+50% of 2,000 and 30% of 900
+section 12(3) and section 14(1)(a)
+(1) one, (2) two and (3) three
+[1] first, [2] second
+no. 7, no. 8 and no. 9
+room 555-A and room 555-B
+bus 555 and bus 867 stop here
+area code 212 or area code 415
+call 911 or call 112
+dial 0 for help
 """
