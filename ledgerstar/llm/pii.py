@@ -126,7 +126,8 @@ def _cue(token: str) -> str | None:
 
 def chains(tokens: list[str]) -> list[tuple[str, ...]]:
     """Features of each token from the chain of neighbouring tokens of digits and number marks that holds it:
-    its digits, its tokens, the token's place in it, and the nearest word before it that announces a number.
+    its digits, whether they pass the check of card numbers, its tokens, the token's place in it, and the nearest
+    word before it that announces a number.
 
     A plus sign, an opening bracket (unless a country code stands before it), 13 digits in one token and a
     closing mark bound a chain. Linear in the number of tokens.
@@ -148,11 +149,12 @@ def chains(tokens: list[str]) -> list[tuple[str, ...]]:
             if tokens[end - 1][-1] in ",;:!?." or digits >= 13:
                 break
         core, own, _ = parts[i]
+        checked = luhn("".join(_only_digits(parts[j][0]) for j in range(i, end))) if 13 <= total <= 19 else None
         cue = own or next((c for j in range(i - 1, max(-1, i - 1 - REACH), -1) if (c := _cue(tokens[j]))), "none")
         size, n = min(total, 20), min(end - i, 6)
         for j in range(i, end):
             place = "B" if j == i else "I"
-            out[j] = (f"c:{size}:{place}", f"ct:{size}:{n}", f"cq:{cue}:{place}", f"cs:{shape(core)}:{place}", f"cl:{size >= 7}:{size >= 13}:{cue}:{place}")
+            out[j] = (f"c:{size}:{place}", f"ct:{size}:{n}", f"cq:{cue}:{place}", f"cs:{shape(core)}:{place}", f"cl:{size >= 7}:{size >= 13}:{cue}:{place}", f"lu:{checked}:{place}")
         i = end
     return out
 
@@ -366,7 +368,21 @@ def _trimmed(text: str, span: tuple[str, int, int]) -> tuple[str, int, int] | No
         a += 1
     while a < b and text[b - 1] in ".,;:!?\"'<>":
         b -= 1
-    return (kind, a, b) if _MARK.search(text, a, b) else None
+    return (kind, a, b) if _MARK.search(text, a, b) and _holds(kind, text[a:b]) else None
+
+
+def _holds(kind: str, found: str) -> bool:
+    """The checks of the base patterns, for a span of the field: a card has 13 to 19 digits that pass Luhn, a
+    phone 7 to 15 digits, the parts of a dotted address are at most 255, an email has an at sign inside."""
+    digits = _only_digits(found)
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and luhn(digits)
+    if kind == "phone":
+        return 7 <= len(digits) <= 15
+    if kind == "email":
+        return "@" in found[1:-1]
+    parts = re.split(r"[:/]", found)[0].split(".") if found.count(".") == 3 else []
+    return all(p.isascii() and p.isdigit() and len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts) if parts else found.count(":") > 1
 
 
 def join_spans(spans: list[tuple[str, int, int]]) -> str:

@@ -102,7 +102,7 @@ sms to [phone|+46 70 555 01 23] works
 with [phone|(312) 555-0118] on the sign
 number: [phone|(206) 555-0162]
 old phone [phone|702-555-0129] and new phone [phone|702-555-0130]
-visa [card|4532.1143.8765.3211] was charged
+visa [card|4532.1143.8765.3213] was charged
 card [card|4111.1111.1111.1111] is a test
 mastercard [card|5105 1051 0510 5100] at the till
 amex [card|3782 822463 10005] was used
@@ -206,6 +206,15 @@ rated 4.5/5 by 1,204 users
 section 12(3) and section 14(1)(a)
 (1) one, (2) two and (3) three
 [1] first, [2] second
+number 4539148803436468 of the list
+the code 7093441827650032 was read out
+row 9431187265503318 and row 2217743090055184
+key 5311870244901273, then the next
+count 4111 1111 1111 1112 is wrong
+track 1Z999AA10123456784 was sent
+gtin 04012345678905 and gtin 04098765432105
+sum 1234567890123456 of it
+after 8846120975530411 the end.
 no. 7, no. 8 and no. 9
 room 555-A and room 555-B
 bus 555 and bus 867 stop here

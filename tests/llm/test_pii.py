@@ -90,8 +90,8 @@ her extension and number: [phone|(520) 555-0114]
 call [phone|555-2210] from town
 tél [phone|04 55 50 33 21] après midi
 contact [phone|615.555.0138] about it
-visa [card|4929.4212.6543.8890] in the file
-he used card [card|4485 9834 1234 9876] there
+visa [card|4929.4212.6543.8893] in the file
+he used card [card|4485 9834 1234 9873] there
 kreditkarte [card|5425233430109903] gestohlen
 amex [card|3714 496353 98431] expired
 charged to [card|4716 1089 9971 6531]
@@ -123,6 +123,13 @@ def test_scores_in_blocks(monkeypatch):
     assert pii.trained().decode(seqs) == want
 
 
+def test_failing_numbers_are_no_card():
+    """Numbers of a card's length that fail the check, and dotted numbers above 255, are left alone."""
+    texts = ["on the list 9436346619525194 of it", "card 4111 1111 1111 1112 was read", "visa 4111.1111.1111.1112", "host 300.1.2.999 answered", "9436346619525194", "call 12"]
+    assert pii.tagged_spans(texts, pii.trained()) == [[]] * len(texts)
+    assert [s[0] for s in pii.tagged_spans(["visa 4111.1111.1111.1111 ok"], pii.trained())[0]] == ["card"]
+
+
 def test_prefixes_are_no_part_of_a_span():
     text = "tel:+49-30-555-0117, phone:(404) 555-0170 and visa:4024007198964305."
     got = [(k, text[a:b]) for k, a, b in pii.tagged_spans([text], pii.trained())[0]]
