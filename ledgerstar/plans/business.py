@@ -7,8 +7,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerstar.functions.columns import ratio
+from ledgerstar.operators.rollup import bitmap_rows, merge_bitmaps
 from ledgerstar.operators.star import weighted_rollup
 
+LINE_SUMS = ["net_amount", "gross_margin", "total_cost", "order_qty"]
+
+
+def line_months(fct_line: DataFrame) -> DataFrame:
+    """The line fact by order month: sums, and bitmaps of the order numbers from which coarser counts are made."""
+    month = F.floor(F.col("sk_order_date") / F.lit(100)).cast("int")
+    return bitmap_rows(fct_line, {"order_month": month}, "sales_order_id", LINE_SUMS)
+
 
 def kpis(fct_line: DataFrame) -> DataFrame:
     """Revenue, margin (both rounded to units) and distinct orders: one global aggregate."""
@@ -17,6 +26,12 @@ def kpis(fct_line: DataFrame) -> DataFrame:
                         F.countDistinct("sales_order_id").alias("orders"))
 
 
+def kpis_of_months(months: DataFrame) -> DataFrame:
+    """``kpis`` from the monthly rows."""
+    total = merge_bitmaps(months, [], "orders", ["net_amount", "gross_margin"])
+    return total.select(F.round("net_amount", 0).alias("revenue"), F.round("gross_margin", 0).alias("margin"), "orders")
+
+
 def _with_dates(fct_line: DataFrame, dim_date: DataFrame, cols: list[str]) -> DataFrame:
     d = F.broadcast(dim_date.select("sk_date", *cols))       # date spine: bounded by its parameter
     return fct_line.join(d, fct_line.sk_order_date == d.sk_date, "inner")
@@ -81,11 +96,13 @@ def attainment_by_quarter(mart_quota: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ measures
-def base_measures(fct_line: DataFrame, dim_date: DataFrame, by: str = "year") -> DataFrame:
-    j = _with_dates(fct_line, dim_date, [by])
-    return j.groupBy(by).agg(F.sum("net_amount").alias("revenue"), F.sum("gross_margin").alias("margin"),
-                             F.sum("total_cost").alias("cost"), F.sum("order_qty").alias("quantity"),
-                             F.countDistinct("sales_order_id").alias("orders"))
+def base_measures(months: DataFrame, dim_date: DataFrame, by: str = "year") -> DataFrame:
+    """Revenue, margin, cost, quantity and distinct orders by an attribute of months, from the monthly rows."""
+    spine = dim_date.select(F.floor(F.col("sk_date") / F.lit(100)).cast("int").alias("order_month"), by).distinct()
+    j = months.join(F.broadcast(spine), "order_month")       # at most a row per month of the spine
+    return merge_bitmaps(j, [by], "orders", LINE_SUMS).select(
+        by, F.col("net_amount").alias("revenue"), F.col("gross_margin").alias("margin"), F.col("total_cost").alias("cost"),
+        F.col("order_qty").alias("quantity"), "orders")
 
 
 def margin_rate_and_basket(base: DataFrame, by: str = "year") -> DataFrame:

@@ -152,7 +152,7 @@ register("mart_attainment", O.canonical_select(K_QUOTA_MART, "mart_quota"))(lamb
 # ------------------------------------------------------------------ dashboard pages
 register("bq_kpis", O.canonical_select(
     {"revenue": "expr:m:round(sum(net_amount), 0)", "margin": "expr:m:round(sum(gross_margin), 0)",
-     "orders": "expr:i:count(DISTINCT sales_order_id)"}, "fct_line"))(lambda s, d: BQ.kpis(wh(s, d).fct_line))
+     "orders": "expr:i:count(DISTINCT sales_order_id)"}, "fct_line"))(lambda s, d: BQ.kpis_of_months(wh(s, d).line_months))
 
 
 def _bq_month(s, d):
@@ -216,7 +216,7 @@ register("bq_attainment_by_quarter", O.canonical_select(
 # ------------------------------------------------------------------ measures
 def _ms_base(s, d):
     w = wh(s, d)
-    return BQ.base_measures(w.fct_line, w.dims["date"])
+    return BQ.base_measures(w.line_months, w.dims["date"])
 
 
 _MS_FROM = "fct_line f JOIN dim_date dd ON f.sk_order_date = dd.sk_date"

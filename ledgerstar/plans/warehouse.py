@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ledgerstar.operators.history import read_history, snapshot
 from ledgerstar.operators.intervals import closed_intervals
+from ledgerstar.plans import business as BQ
 from ledgerstar.plans import dimensions as D
 from ledgerstar.plans import facts as FCT
 from ledgerstar.plans import marts as M
@@ -199,6 +200,10 @@ class Warehouse:
                          FCT.bridge_order_sales_reason(self.reason_pairs, self.dims["sales_reason"]))
 
     # ------------------------------------------------------------ marts
+    @cached_property
+    def line_months(self) -> DataFrame:
+        return self.keep("line_months", BQ.line_months(self.fct_line))
+
     @cached_property
     def mart_rfm(self) -> DataFrame:
         return M.mart_customer_clv_rfm(self.fct_order, self.fct_line, self.dims["customer"], self.dims["date"])
