@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import io
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,6 +85,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SENT: set[str] = set()
+
+
+def send_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once per application, by a file in the shared folder."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SENT:
+        return
+    root, data = Path(__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    path = f"{scratch_path(spark, 'code')}/{root.name}.zip"
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target)
+    out.write(data.getvalue())
+    out.close()
+    sc.addPyFile(path)
+    _SENT.add(sc.applicationId)
+
+
 _WRITTEN: list[tuple[SparkSession, str]] = []
 
 

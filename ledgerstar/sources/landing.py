@@ -7,10 +7,12 @@ the load. Every column lands as text; typing happens in staging.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerstar.sources.utf16 import read_lines
+
 NULL_MARKERS = ("", "NULL")          # fixed values: both mean NULL
 CORRUPT = "_corrupt_record"
 
@@ -20,18 +22,23 @@ def landing_schema(cols: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
 
 
+def _is_utf16(encoding: str) -> bool:
+    return encoding.upper().replace("-", "").replace("_", "") in ("UTF16", "UTF16LE", "UTF16BE")
+
+
+def _fields(spark: SparkSession, path: str, cols: list[str], encoding: str) -> tuple[DataFrame, Column, list[Column]]:
+    """Lines of UTF-16 files, whether a line has all its fields and no more, and its fields by position."""
+    lines = read_lines(spark, path, encoding).withColumn("_p", F.split("line", "\t", -1))
+    return lines, F.size("_p") == len(cols), [F.nullif(F.get("_p", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(cols)]
+
+
 def _reader(spark: SparkSession, schema: T.StructType, encoding: str, mode: str):
-    r = (spark.read.schema(schema)
-         .option("sep", "\t").option("header", "false")
-         .option("quote", "\u0000").option("escape", "\u0000")   # no quoting, no escaping
-         .option("nullValue", "").option("emptyValue", "")
-         .option("mode", mode).option("encoding", encoding)
-         .option("enforceSchema", "true"))
-    if encoding.upper().replace("-", "") in ("UTF16", "UTF16LE", "UTF16BE"):
-        # The line splitter only understands single-byte newlines; whole-file parsing
-        # keeps multi-byte records intact (one task per file, so files give the parallelism).
-        r = r.option("multiLine", "true").option("lineSep", "\n")
-    return r
+    return (spark.read.schema(schema)
+            .option("sep", "\t").option("header", "false")
+            .option("quote", "\u0000").option("escape", "\u0000")   # no quoting, no escaping
+            .option("nullValue", "").option("emptyValue", "")
+            .option("mode", mode).option("encoding", encoding)
+            .option("enforceSchema", "true"))
 
 
 def null_markers(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -45,7 +52,12 @@ def read_landing(spark: SparkSession, path: str, cols: list[str], encoding: str
     """Read a landing file strictly (FAILFAST): a short or long row fails the job when
     the columns are materialised. ``drop_cols`` removes hostile columns (XML,
     hierarchy ids) right after the scan."""
-    df = _reader(spark, landing_schema(cols), encoding, "FAILFAST").csv(path)
+    if _is_utf16(encoding):
+        lines, whole, fields = _fields(spark, path, cols, encoding)
+        fault = F.raise_error(F.concat(F.lit("malformed landing row: "), F.col("line"))).cast("string")
+        df = lines.select(*[F.when(whole, f).otherwise(fault).alias(c) for f, c in zip(fields, cols)])
+    else:
+        df = _reader(spark, landing_schema(cols), encoding, "FAILFAST").csv(path)
     df = null_markers(df, cols)
     if drop_cols:
         df = df.drop(*drop_cols)
@@ -59,6 +71,9 @@ def validate_landing(spark: SparkSession, path: str, cols: list[str], encoding:
     the caller selects (otherwise a count or a narrow projection would not see a short or
     long row); no session setting is touched.
     """
+    if _is_utf16(encoding):
+        lines, whole, fields = _fields(spark, path, cols, encoding)
+        return lines.where(~whole).select(*fields, F.col("line").alias(CORRUPT))
     schema = landing_schema(cols).add(T.StructField(CORRUPT, T.StringType(), True))
     df = (_reader(spark, schema, encoding, "PERMISSIVE").option("columnPruning", "false")
           .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
