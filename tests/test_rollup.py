@@ -52,3 +52,14 @@ def test_pages_read_the_monthly_rows(spark):
     assert rows(got) == rows(BQ.kpis(w.fct_line))
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "id_bits" in plan and "sk_sales_order_line" not in plan
+
+
+def test_bitmaps_are_built_after_the_last_shuffle(spark):
+    """Ids that lie in many tasks: sums per id are shuffled, never a bitmap of 4 KB per task, group and bucket."""
+    df = spark.range(0, 40_000, 1, 20).select((F.col("id") % 7).alias("g"), (F.xxhash64("id") % 30_000).alias("id"), F.lit(1).alias("amount"))
+    out = bitmap_rows(df, {"g": F.col("g")}, "id", ["amount"])
+    plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    built = [i for i, line in enumerate(plan) if "bitmap_construct_agg" in line]
+    dealt = [i for i, line in enumerate(plan) if "Exchange" in line]
+    assert built and dealt and max(built) < min(dealt)        # a plan is printed from its result down
+    assert out.count() == out.select("g", "id_bucket").distinct().count()
