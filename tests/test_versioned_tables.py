@@ -162,3 +162,21 @@ def test_chain_moves_each_batch_once(spark, tmp_path):
     want = play("calm")
     assert want[0] == [[("1", 1), (None, 1)], [("1", 2), ("4", 2), (None, 1)], [("1", 2), ("2", 2), ("4", 2), (None, 1)]] + [[("1", 2), ("2", 2), ("4", 2), (None, 1)]]
     assert play("interrupted", (0, "bronze"), (0, "fact"), (1, "fact"), (2, "bronze"), (3, "fact"), (-1, "cutoff")) == want
+
+
+def test_clone_lists_the_folders_and_writes_only_what_it_changes(spark, tmp_path):
+    base, own = str(tmp_path / "t"), str(tmp_path / "own")
+    df = _table(spark, base)
+    assert INC.clone_table(spark, base, 1, own) == 1
+    assert INC._names(spark, f"{own}/data") == []                          # nothing is copied
+    assert rows(INC.read_current(spark, own)) == rows(df)
+    src = spark.createDataFrame([(1, "new", "m5"), (900, "new", "m9")], SCHEMA)
+    INC.merge_table(spark, own, src, "k", "p", ranges=["k"])
+    want = df.where("k <> 1").unionByName(src)
+    assert rows(INC.read_current(spark, own)) == rows(want)
+    assert rows(INC.read_current(spark, base)) == rows(df)
+    run, = INC._names(spark, f"{own}/data")
+    assert sorted(n for n in INC._names(spark, f"{own}/data/{run}") if n.startswith("p=")) == ["p=m0", "p=m5", "p=m9"]
+    INC.write_table(src, own, "p")
+    INC.drop_versions(spark, own)                                          # its own folders go, the listed ones stay
+    assert rows(INC.read_current(spark, own)) == rows(src) and rows(INC.read_current(spark, base)) == rows(df)
