@@ -3,6 +3,8 @@ nested-loop joins where an equi-join is meant, NULL keys salted, constants as sc
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ledgerstar.operators.intervals import asof_join
@@ -138,3 +140,36 @@ def test_session_sets_no_sizes_on_a_cluster(monkeypatch):
             pass
     assert not {"spark.sql.shuffle.partitions", "spark.driver.memory"} & set(seen)
     assert session.is_local("local[4]") and not session.is_local("local-cluster[2,1,1024]") and not session.is_local("yarn")
+
+
+def test_a_single_reader_computes_only_its_columns_of_the_line_fact(spark):
+    """One query's reading of the line fact writes neither the fact nor the lines, and shuffles no content hash."""
+    from ledgerstar.plans.warehouse import Warehouse
+
+    from conftest import SF_SMALL
+    wh = Warehouse(spark, SF_SMALL)
+    try:
+        mart = wh.mart_pareto.select("sk_product", "revenue", "line_count")
+        got = sorted(map(tuple, mart.collect()))
+        assert not any(n in p for p in wh.written for n in ("fct_sales_order_line", "stg_orderdetail", "header_resolved"))
+        lines = wh.lines.groupBy("sk_order_date").agg(F.sum("net_amount"))
+        assert "l_linenumber" not in _plan(lines) and "c_name" not in _plan(lines)
+        part = wh.with_lines(["sk_product", "sales_order_id", "net_amount"])
+        assert part.lines.columns == ["sk_product", "sales_order_id", "net_amount"] and "fct_line" not in wh.__dict__
+        want = wh.fct_line.where("sk_product <> '-1'").groupBy("sk_product").agg(F.sum("net_amount"), F.count(F.lit(1)))
+        assert got == sorted(map(tuple, want.collect()))
+        assert wh.lines is wh.fct_line                                     # once it is written, it is read
+        assert wh.header is wh.header and "order_rollup" not in " ".join(wh.written)
+    finally:
+        wh.close()
+
+
+def test_tables_are_written_without_leaving_their_shuffles(spark):
+    from ledgerstar.session import shuffles_dropped
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    with pytest.raises(RuntimeError), shuffles_dropped(spark):
+        assert spark.conf.get(name) == "true"
+        raise RuntimeError
+    assert spark.conf.get(name) == before
