@@ -81,6 +81,21 @@ def test_net_gap_and_mutation(spark):
     assert [r[0] for r in rows(Q.net_gap(broken, header, "o", "net", "sub"))] == [1, 2]
 
 
+def test_merge_drops_matched_rows_without_moving_the_target(spark, tmp_path):
+    """The matched keys, a few, are found from the key columns and broadcast; the target's rows are not exchanged."""
+    spark.range(100_000).selectExpr("if(id = 7, null, id) as k", "concat('row ', id) as v").write.parquet(str(tmp_path / "t"))
+    spark.range(99_990, 200_000).selectExpr("if(id = 100007, null, id) as k", "'new' as v").write.parquet(str(tmp_path / "s"))
+    tgt, src = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s"))
+    got = merge_upsert(tgt, src, "k")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
+    try:
+        assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert (got.count(), got.where("v = 'new'").count(), got.where("k is null").count()) == (199_999, 100_010, 1)
+
+
 def test_merge_is_idempotent_and_partition_scoped(spark, tmp_path):
     tgt = spark.createDataFrame([(1, "a", "m1"), (2, "b", "m1"), (3, "c", "m2")], "k int, v string, p string")
     src = spark.createDataFrame([(2, "B", "m1"), (4, "d", "m3")], "k int, v string, p string")
