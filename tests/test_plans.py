@@ -164,6 +164,28 @@ def test_a_single_reader_computes_only_its_columns_of_the_line_fact(spark):
         wh.close()
 
 
+def test_the_slice_and_the_declared_checks_write_only_the_columns_they_read(spark):
+    from ledgerstar.operators.incremental import read_current
+    from ledgerstar.plans import registry as REG
+    from ledgerstar.plans import warehouse as WH
+
+    from conftest import SF_SMALL
+    WH.close_shared(spark)
+    try:
+        sliced = REG.QUERIES["inc_slice"](spark, SF_SMALL).count()
+        wh = WH.shared(spark, SF_SMALL)
+        part = read_current(spark, wh.line_first_load_part, 1)
+        assert part.columns == ["sales_order_id", "source_modified_date", "order_month"]
+        assert part.count() == wh.detail.where(F.col("modified_date") < F.lit(REG.INC_BOUNDARY).cast("date")).count()
+        whole = read_current(spark, REG._first_load(wh), 1)                 # a query that needs all columns has its own
+        assert whole.count() == part.count() and "sk_sales_order_line" in whole.columns
+        assert REG.QUERIES["inc_slice"](spark, SF_SMALL).count() == sliced > 0
+        assert REG.QUERIES["dq_declared"](spark, SF_SMALL).where("failures is null").count() == 0
+        assert "fct_line" not in wh.__dict__ and not any("fct_sales_order_line" in p for p in wh.written)
+    finally:
+        WH.close_shared(spark)
+
+
 def test_tables_are_written_without_leaving_their_shuffles(spark):
     from ledgerstar.session import shuffles_dropped
 

@@ -73,6 +73,13 @@ def test_uniqueness_checks_of_a_table_share_one_exchange(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_uniqueness_checks_shuffle_a_hash_and_not_the_values(spark):
+    df = spark.createDataFrame([("x" * 40, 1), ("x" * 40, 2), ("y" * 40, 3), (None, 3), (None, None)], "s string, k int")
+    got = Q.declared_checks(df, [], ["s", "k"])
+    assert {r["column_name"]: r["failures"] for r in got.collect()} == {"s": 1, "k": 1}
+    assert any("repeated-hashes" in f for f in got.inputFiles())   # only values of these are grouped themselves
+
+
 def test_net_gap_and_mutation(spark):
     header = spark.createDataFrame([(1, 10.0), (2, 5.0)], "o int, sub double")
     lines = spark.createDataFrame([(1, 4.0), (1, 6.0), (2, 5.0)], "o int, net double")
