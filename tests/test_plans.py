@@ -164,6 +164,25 @@ def test_a_single_reader_computes_only_its_columns_of_the_line_fact(spark):
         wh.close()
 
 
+def test_a_reader_of_no_totals_neither_sums_the_lines_nor_writes_the_headers(spark):
+    from ledgerstar.plans.warehouse import Warehouse
+
+    from conftest import SF_SMALL
+    wh, whole = Warehouse(spark, SF_SMALL), Warehouse(spark, SF_SMALL)
+    try:
+        lines = wh.lines.groupBy("sk_order_date", "sk_order_status").agg(F.sum("net_amount"), F.count(F.lit(1)))
+        assert not any(n in p for p in wh.written for n in ("stg_orderheader", "order_totals", "order_rollup"))
+        assert _plan(lines).count("lineitem.parquet") == 1 and _plan(lines).count("orders.parquet") == 1
+        want = whole.fct_line.groupBy("sk_order_date", "sk_order_status").agg(F.sum("net_amount"), F.count(F.lit(1)))
+        assert sorted(map(tuple, lines.collect())) == sorted(map(tuple, want.collect()))
+        cols = ["sk_sales_order_line", "allocated_freight", "allocated_tax", "line_share_of_order"]   # sums come from a plan, too
+        assert wh.lines.select(*cols).exceptAll(whole.fct_line.select(*cols)).count() == 0
+        assert wh.header is not None and "stg_orderheader" in str(wh.header_plan.inputFiles())       # once written, they are read
+    finally:
+        wh.close()
+        whole.close()
+
+
 def test_the_slice_and_the_declared_checks_write_only_the_columns_they_read(spark):
     from ledgerstar.operators.incremental import read_current
     from ledgerstar.plans import registry as REG
