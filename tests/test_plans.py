@@ -183,6 +183,26 @@ def test_a_reader_of_no_totals_neither_sums_the_lines_nor_writes_the_headers(spa
         whole.close()
 
 
+def test_the_order_fact_takes_the_roll_up_with_the_headers(spark):
+    """Wide header rows are not joined to the roll-up again; headers that are stored without it still are, with the same rows."""
+    from ledgerstar.plans import facts as FCT
+    from ledgerstar.plans.warehouse import Warehouse
+
+    from conftest import SF_SMALL
+    wh, old = Warehouse(spark, SF_SMALL), Warehouse(spark, SF_SMALL)
+    try:
+        assert set(FCT.ROLLUP) <= set(wh.header_rolled.columns)
+        assert "Join" not in _plan(FCT.fct_sales_order(wh.header_rolled, wh.detail))
+        joined = FCT.fct_sales_order(old.header_resolved, old.detail, rollup=old.rollup)
+        assert wh.fct_order.columns == joined.columns
+        assert wh.fct_order.exceptAll(joined).count() == joined.exceptAll(old.fct_order).count() == 0
+        assert wh.fct_order.count() == wh.t["orders"].count()
+        assert wh.header_resolved.columns == old.header_resolved.columns and not any("stg_orderheader" in p for p in wh.written)
+    finally:
+        wh.close()
+        old.close()
+
+
 def test_the_slice_and_the_declared_checks_write_only_the_columns_they_read(spark):
     from ledgerstar.operators.incremental import read_current
     from ledgerstar.plans import registry as REG

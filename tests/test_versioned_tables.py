@@ -30,6 +30,22 @@ def test_failed_refresh_leaves_the_table_readable(spark, tmp_path):
     assert rows(INC.read_current(spark, base, 1)) == rows(df)              # the old version has its own
 
 
+def test_what_finish_makes_is_written_and_not_exchanged(spark, tmp_path):
+    base, seen = str(tmp_path / "t"), []
+
+    def finish(dealt):
+        seen.append(dealt.columns)
+        return dealt.select(F.md5(F.col("k").cast("string")).alias("h"), "k", "p")
+
+    df = spark.createDataFrame([(1, "a", "m0"), (1, "a", "m0"), (None, "b", None)], SCHEMA)
+    assert INC.write_table(df, base, "p", ranges=["k"], finish=finish) == 1
+    stored = INC.read_current(spark, base)
+    assert stored.columns == ["h", "k", "p"] and all(c == ["k", "v", "p"] for c in seen)
+    assert rows(stored) == rows(finish(df))
+    INC.merge_table(spark, base, finish(spark.createDataFrame([(2, "c", "m0")], SCHEMA)), "k", "p", ranges=["k"])
+    assert INC.read_current(spark, base).count() == 4
+
+
 def test_interleaved_merges_keep_both_changes(spark, tmp_path):
     base = str(tmp_path / "t")
     _table(spark, base)
