@@ -23,6 +23,7 @@ and the ids and lengths of its documents.
 from __future__ import annotations
 
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -95,8 +96,8 @@ class WordEncoder:
     The ids of a text are those of its white-space separated pieces in order (its normaliser and its
     splitter treat white space as a border), so ids of pieces are remembered. As the tokenizer lower-cases,
     texts of characters below U+0300 (which its Unicode normalisation leaves alone) are lower-cased first,
-    which makes fewer pieces; a piece that ends in one comma or full stop behind a letter is looked up
-    without it. Texts that hold a special token's text or a separator on which Python's and the tokenizer's
+    which makes fewer pieces; a piece that ends in one comma or full stop behind a letter (that in lower case and
+    normal form still ends in a letter) is looked up without it. Texts that hold a special token's text or a separator on which Python's and the tokenizer's
     idea of white space differ go through the library whole; ``whole=True`` does so for all texts, for
     tokenizers of another kind.
     """
@@ -129,7 +130,7 @@ class WordEncoder:
 
     def _learn(self, pieces: set[str]) -> None:
         known = self.known
-        marked = [p for p in pieces if p[-1] in ",." and len(p) > 1 and p[-2].isalpha()]
+        marked = [p for p in pieces if p[-1] in ",." and len(p) > 1 and p[-2].isalpha() and unicodedata.normalize("NFKC", p[-2].lower())[-1].isalpha()]
         new = pieces.difference(marked)
         new.update(s for p in marked if (s := p[:-1]) not in known)
         plain = [s for s in new if s.isalpha()]

@@ -39,6 +39,13 @@ def test_ids_equal_the_library(texts):
         assert got.tolist() == lib.encode(t, add_special_tokens=False).ids
 
 
+def test_letters_that_end_in_a_mark_before_a_full_stop(library):
+    """In lower case or normal form these letters end in a combining mark, which joins the mark after it."""
+    texts = ["\u0130. \u0301", "a\u0130, b", "\ufb1d. x"]
+    for t, got in zip(texts, tp.encoder(PATH, False).encode(texts)):
+        assert got.tolist() == library.encode(t, add_special_tokens=False).ids
+
+
 def want_of(rows, library):
     """Rows (doc_id, start, n, crc) in ascending id order, NULL first."""
     out, start = [], 0
