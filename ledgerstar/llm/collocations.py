@@ -1,18 +1,18 @@
 """Phrase collocations from depth-truncated suffix subtrees, partitioned vertically by memory budget.
 
-Every word occurrence starts a suffix of at most ``MAX_WORDS`` words of its piece. The suffixes are divided
-by their word prefixes: a word that starts at most ``BUDGET`` suffixes is one prefix, a more frequent one is
-extended by its next word, and so on; prefixes are packed into groups of at most about ``BUDGET`` suffixes.
-A group holds all suffixes of its prefixes, so its subtree is built on its own, level by level, and the
-number of leaves below a node is the frequency of its phrase. Nodes with too few leaves are not grown, and
-words that are too rare end a suffix, since no frequent phrase holds them.
+Every word occurrence starts a suffix of at most ``MAX_WORDS`` words of its piece. A frequent phrase holds only
+frequent words and frequent pairs of neighbours, so a suffix ends before a pair that is too rare, and a place that
+starts with such a pair has none. The suffixes are divided by the hash of their first two words; a prefix that starts
+more than ``BUDGET`` suffixes is extended by its next word, and so on. A group of hashes holds about ``BUDGET``
+suffixes, and all suffixes of its prefixes, so its subtree is built on its own, level by level, and the number of
+leaves below a node is the frequency of its phrase. Nodes with too few leaves are not grown.
 
 Texts are read once, into blocks: a dictionary and an array of word numbers per language and about
-``BLOCK_WORDS`` words. All that a block must know (numbers of frequent words, groups of prefixes) reaches it
-by joins on its own dictionary or prefixes, never as a broadcast vocabulary; a bitmap of fixed size only spares most of
-the rare words that join. Blocks then keep their own small numbers, and so do the suffixes sent to a group, each batch with
-its dictionary. Frequencies then meet in joins:
-each phrase with its parts for the score, and with the phrases one word longer that contain it.
+``BLOCK_WORDS`` words. Blocks stay where they are. What they must know reaches them as two bitmaps of fixed size, of
+the frequent words and of the frequent pairs, and as the few prefixes that are extended (one in ``BUDGET`` words at
+most). Hashes only spare and deal out work: words or pairs of equal hashes count together and stay, and the subtrees
+compare the words themselves, which every batch of suffixes brings as a dictionary of its own. Frequencies then meet
+in joins: each phrase with its parts for the score, and with the phrases one word longer that contain it.
 """
 
 from __future__ import annotations
@@ -36,14 +36,16 @@ LEAST = 100               # occurrences of a candidate
 TOP = 2000
 BUDGET = 1 << 20          # suffixes of a group (one prefix more at most)
 BLOCK_WORDS = 1 << 20     # words of a block (one text more at most)
-BIN_ROWS = 4096           # prefixes that are packed together
+CHUNK = 1 << 21           # pairs or suffixes that a task holds before it sends them (one block more at most)
+BIN_ROWS = 1 << 22        # pairs that are counted together, of all tasks and on average
 FILTER_BITS = 22          # the bitmap of frequent words has 2 ** FILTER_BITS bits, whatever the vocabulary
+PAIR_BITS = 26            # so does that of frequent pairs
+KEY_BITS = 40             # bits of a prefix's hash
 NO_LANG = "und"
 
 # A-Z become a-z; the ends of pieces . , ; : ! ? \n \v \f \r become \n; a tab becomes a space.
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
 _END, _NOTHING = 0, 1     # numbers of a piece end and of the empty string between two spaces
-HEAVY, DONE = -1, -2      # instead of a group: to be extended; complete
 
 
 class _Words(dict):
@@ -119,121 +121,38 @@ def text_blocks(df: DataFrame, text_col: str, lang_col: str) -> tuple[DataFrame,
     return stored(arrow_map(src, run, BLOCK).select(F.monotonically_increasing_id().alias("block"), "*"), "phrase-blocks")
 
 
-def _packed(rows: DataFrame, keys: list[str], name: str, last: bool) -> DataFrame:
-    """``rows`` (keys, n) with ``node`` (a number from 1 on) and ``group``; written.
-
-    Rows are dealt to bins of about ``BIN_ROWS`` by a hash; in a bin, rows are packed one after the other, a new
-    group each ``BUDGET`` occurrences. Rows of more than ``BUDGET`` are HEAVY; at the last word all are DONE.
-    """
-    rows = cut(rows, f"{name}-sums")
-    bins = max(1, -(-rows.count() // BIN_ROWS))
-    heavy = F.col("n") > BUDGET
-    r = rows.withColumn("bin", F.pmod(F.xxhash64(*keys), F.lit(bins)).cast("long")).withColumn("load", F.when(heavy, F.lit(0)).otherwise(F.col("n")))
-    along = W.partitionBy("bin").orderBy("n", *keys)
-    r = (r.withColumn("node", F.shiftleft("bin", 20) + F.row_number().over(along))
-         .withColumn("before", F.sum("load").over(along.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("load")))
-    group = F.lit(DONE) if last else F.when(heavy, F.lit(HEAVY)).otherwise(F.shiftleft("bin", 20) + F.floor(F.col("before") / BUDGET))
-    return cut(r.withColumn("group", group.cast("long")).drop("bin", "load", "before"), name)
-
-
 def _shifted(g: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate([g[k:], np.zeros(min(k, len(g)), dtype=g.dtype)])
 
 
-def suffixes(g: np.ndarray) -> np.ndarray:
-    """(MAX_WORDS, n): for every place the numbers that follow in its piece; 0 after a 0."""
-    out = np.zeros((MAX_WORDS, len(g)), dtype=np.int64)
+def suffixes(g: np.ndarray, linked: np.ndarray | None = None) -> np.ndarray:
+    """(MAX_WORDS, n): for every place the numbers that follow in its piece; 0 after a 0, and after a place that is
+    not ``linked`` to the next."""
+    out = np.zeros((MAX_WORDS, len(g)), dtype=np.int32)
     alive = np.ones(len(g), dtype=bool)
     for k in range(MAX_WORDS):
         s = _shifted(g, k)
         alive &= s > 0
+        if k and linked is not None:
+            alive &= _shifted(linked, k - 1)
         out[k] = np.where(alive, s, 0)
     return out
 
 
-def _look_up(table: np.ndarray, node: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Rows of ``table`` (columns node, word, ...) for each (node, word) pair; -1 where there is none."""
-    nodes, words = np.unique(table[:, 0]), np.unique(table[:, 1])
-
-    def place(n: np.ndarray, w: np.ndarray) -> np.ndarray:
-        i, j = np.searchsorted(nodes, n), np.searchsorted(words, w)
-        known = (i < len(nodes)) & (j < len(words))
-        i, j = np.minimum(i, len(nodes) - 1), np.minimum(j, len(words) - 1)
-        return np.where(known & (nodes[i] == n) & (words[j] == w), i * len(words) + j, -1)
-
-    keys = place(table[:, 0], table[:, 1])
-    order = np.argsort(keys)
-    want = place(node, word)
-    at = np.minimum(np.searchsorted(keys[order], want), len(keys) - 1)
-    return np.where((want >= 0) & (keys[order][at] == want), order[at], -1)
-
-
-def walk(suffix: np.ndarray, tables: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(level, group, node) of every suffix by the prefix tables (node, word, next node, group) of the levels 1, 2, ...;
-    level 0: no frequent prefix. A HEAVY suffix of the last level is yet to be extended."""
-    n = suffix.shape[1]
-    level, group, node = np.zeros(n, dtype=np.int64), np.full(n, HEAVY, dtype=np.int64), np.zeros(n, dtype=np.int64)
-    live = np.flatnonzero(suffix[0] > 0)
-    for k, table in enumerate(tables):
-        if not len(live):
-            break
-        row = _look_up(table, node[live], suffix[k, live]) if len(table) else np.full(len(live), -1)
-        level[live[row < 0]] = 0
-        live, row = live[row >= 0], row[row >= 0]
-        level[live], node[live], group[live] = k + 1, table[row, 2], table[row, 3]
-        live = live[group[live] == HEAVY]
-    return level, group, node
-
-
-def _field(batch: pa.RecordBatch, name: str, row: int) -> pa.Scalar:
-    return batch.column(batch.schema.get_field_index(name))[row]
-
-
-def _block(batch: pa.RecordBatch, row: int, levels: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """One block: the suffixes in its own numbers, the global number of each of those (0: 0), and its prefix tables
-    (struct columns t1, t2, ...)."""
-    tables = []
-    for k in range(1, levels + 1):
-        got = _field(batch, f"t{k}", row)
-        cols = [got.values.field(c).to_numpy(zero_copy_only=False) for c in ("node", "word", "to", "group")] if got.is_valid else [np.empty(0, dtype=np.int64)] * 4
-        tables.append(np.stack(cols, axis=1).astype(np.int64))
-    return suffixes(_unzip(_field(batch, "seq", row).as_py())[0]), np.r_[0, tables[0][:, 1]], tables
-
-
-def _known(pairs: DataFrame, table: DataFrame, level: int) -> DataFrame:
-    """(block, t<level>): the rows of the prefix table that a block needs, from its (block, node, word)."""
-    got = pairs.select("block", "node", "word").join(table.select(F.col("from").alias("node"), "word", F.col("node").alias("to"), "group"), ["node", "word"])
-    return got.groupBy("block").agg(F.collect_list(F.struct("node", "word", "to", "group")).alias(f"t{level}"))
-
-
 def _filter_bit(word: bytes, lang: bytes) -> int:
     return zlib.crc32(word + b"\0" + lang) % (1 << FILTER_BITS)
 
 
-def _entries(blocks: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(block, lang, local, text): the words of each block's dictionary, but for most that are not in ``vocabulary``.
-
-    The filter is a bitmap of 2 ** FILTER_BITS hash values; a word that passes by chance finds no partner in the join.
-    """
+def _word_filter(vocabulary: DataFrame) -> np.ndarray:
+    """A bitmap of 2 ** FILTER_BITS hash values, packed; a rare word that passes by chance is in no frequent phrase."""
     bit = F.pmod(F.crc32(F.concat("text", F.lit(bytearray(b"\0")), F.col("lang").cast("binary"))), F.lit(1 << FILTER_BITS))
-    at = vocabulary.select(bit.cast("int").alias("b")).distinct().toPandas()["b"].to_numpy()
     bits = np.zeros(1 << FILTER_BITS, dtype=bool)
-    bits[at] = True
-    held = blocks.sparkSession.sparkContext.broadcast(np.packbits(bits))
-    out = T.StructType([T.StructField("block", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("local", T.IntegerType()), T.StructField("text", T.BinaryType())])
+    bits[vocabulary.select(bit.cast("int").alias("b")).distinct().toPandas()["b"].to_numpy()] = True
+    return np.packbits(bits)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, bits = arrow_schema(out), np.unpackbits(held.value)
-        for b in batches:
-            for i in range(b.num_rows):
-                lang, words = b.column(1)[i].as_py(), b.column(2)[i].as_py()
-                tail = lang.encode("utf-8", "surrogatepass")
-                hashed = np.fromiter((_filter_bit(w, tail) for w in words), np.int64, len(words))
-                local = np.flatnonzero(bits[hashed])
-                cols = ([b.column(0)[i].as_py()] * len(local), [lang] * len(local), local, [words[k] for k in local])
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
-    return arrow_map(blocks.select("block", "lang", "words"), run, out)
+def _has(packed: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
 
 
 def _compact(seq: np.ndarray) -> np.ndarray:
@@ -245,82 +164,159 @@ def _compact(seq: np.ndarray) -> np.ndarray:
     return seq[word | np.r_[True, word[:-1]]]
 
 
-def _coded(blocks: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(block, lang, seq, t1): seq counts the rows of t1, the frequent words of the block, from 1; 0 for ends and rare words."""
-    used = _entries(blocks, vocabulary).join(vocabulary.select("lang", "text", "node", "group"), ["lang", "text"])
-    used = used.groupBy("block").agg(F.collect_list(F.struct("local", "node", "group")).alias("used"))
-    out = T.StructType([T.StructField("block", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("seq", T.BinaryType()),
-                        T.StructField("t1", T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in ("node", "word", "to", "group")])))])
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = a * np.uint64(0x9E3779B97F4A7C15) + b
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_schema(out)
-        for b in batches:
-            for i in range(b.num_rows):
-                seq, held = _unzip(b.column(2)[i].as_py())[0], b.column(3)[i].values
-                local, node, group = (held.field(c).to_numpy(zero_copy_only=False) for c in ("local", "node", "group"))
-                often = np.bincount(seq, minlength=int(local.max()) + 3)
-                order = np.argsort(-often[local + 2], kind="stable")  # frequent words get small numbers
-                local, node, group = local[order], node[order], group[order]
-                number = np.zeros(len(often), dtype=np.int64)
-                number[local + 2] = np.arange(1, len(local) + 1)
-                t1 = pa.StructArray.from_arrays([pa.array(np.zeros(len(node), dtype=np.int64)), pa.array(node), pa.array(node), pa.array(group)], names=["node", "word", "to", "group"])
-                rows = [b.column(0).slice(i, 1), b.column(1).slice(i, 1), pa.array([_zip(_compact(number[seq]))]), pa.ListArray.from_arrays(pa.array([0, len(node)], pa.int32()), t1)]
-                yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(rows, schema)], schema=schema)
 
-    return cut(arrow_map(blocks.select("block", "lang", "seq").join(used, "block"), run, out), "phrase-coded")
+def _key(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - KEY_BITS)).astype(np.int64)
 
 
-def _pairs(coded: DataFrame, levels: int) -> DataFrame:
-    """(block, node, word, n): how the HEAVY prefixes of each block go on, after ``levels`` words."""
-    out = T.StructType([T.StructField(c, T.LongType()) for c in ("block", "node", "word", "n")])
+def _hashes(words: list[bytes], lang: str) -> np.ndarray:
+    """A 64-bit hash of each word in its language, the same in every process; 0 for the break, number 0."""
+    own = pd.util.hash_array(np.array([lang.encode("utf-8", "surrogatepass"), *words], dtype=object), categorize=False)
+    return np.r_[np.zeros(1, dtype=np.uint64), _mixed(own[1:], own[:1])]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                own, names, tables = _block(b, i, levels)
-                s = names[own]
-                level, group, node = walk(s, tables)
-                on = (level == levels) & (group == HEAVY) & (s[levels] > 0)
-                pair, n = np.unique(np.stack([node[on], s[levels, on]], axis=1), axis=0, return_counts=True)
-                cols = [np.full(len(n), _field(b, "block", i).as_py()), pair[:, 0], pair[:, 1], n]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=arrow_schema(out))
 
-    return cut(arrow_map(coded, run, out), "phrase-pairs")
+def _frequent(words: list[bytes], lang: str, seq: np.ndarray, bits: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(words, their hashes after a 0, seq) of a block without its rare words: seq counts the words from 1; 0 for ends and rare words."""
+    tail = lang.encode("utf-8", "surrogatepass")
+    held = np.flatnonzero(_has(bits, np.fromiter((_filter_bit(w, tail) for w in words), np.int64, len(words))))
+    number = np.zeros(len(words) + 2, dtype=np.int32)
+    number[held + 2] = np.arange(1, len(held) + 1)
+    words = [words[k] for k in held]
+    return words, _hashes(words, lang), _compact(number[seq])
+
 
+def _pair_keys(seq: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, both) of every place and the next; both: neither is a break."""
+    after = _shifted(seq, 1)
+    return _key(_mixed(hashes[seq], hashes[after])), (seq > 0) & (after > 0)
 
-PART = T.StructType([T.StructField("level", T.LongType()), T.StructField("group", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("rows", T.BinaryType())])
+
+def _prefixes(s: np.ndarray, hashes: np.ndarray) -> list[np.ndarray]:
+    """The keys of the first 2, 3, ... words of suffixes."""
+    h, out = hashes[s[0]], []
+    for k in range(1, MAX_WORDS):
+        h = _mixed(h, hashes[s[k]])
+        out.append(_key(h))
+    return out
 
 
-def _parts(coded: DataFrame, levels: int) -> DataFrame:
-    """The suffixes of each block by group (``PART``); those without a second word say nothing and stay behind."""
+def _routed(s: np.ndarray, hashes: np.ndarray, heavy: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(level, key): the words and the hash of the prefix that each suffix goes by; ``heavy``: the prefixes of 2, 3, ... words to be extended."""
+    keys = _prefixes(s, hashes)
+    level, key = np.full(s.shape[1], 2, dtype=np.int64), keys[0].copy()
+    for k, held in enumerate(heavy):
+        on = (level == k + 2) & np.isin(key, held)
+        level[on], key[on] = k + 3, keys[k + 1][on]
+    return level, key
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], bits: np.ndarray, pairs: np.ndarray | None) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray]]:
+    """(lang, words, hashes, keys of pairs, or suffixes if the bitmap of the frequent ``pairs`` is given) of each block."""
+    for b in batches:
+        for i in range(b.num_rows):
+            lang = b.column(0)[i].as_py()
+            words, hashes, seq = _frequent(b.column(1)[i].as_py(), lang, _unzip(b.column(2)[i].as_py())[0], bits)
+            keys, both = _pair_keys(seq, hashes)
+            if pairs is None:
+                yield lang, words, hashes, keys[both]
+            else:
+                s = suffixes(seq, both & _has(pairs, keys >> (KEY_BITS - PAIR_BITS)))
+                yield lang, words, hashes, s[:, s[1] > 0]
+
+
+PAIR = T.StructType([T.StructField("bin", T.LongType()), T.StructField("rows", T.BinaryType())])
+BIN = T.StructType([T.StructField("bin", T.LongType()), T.StructField("load", T.LongType()), T.StructField("bits", T.BinaryType()), T.StructField("heavy", T.ArrayType(T.LongType()))])
+
+
+def _key_counts(blocks: DataFrame, bins: int, least: int, bits, pairs=None, heavy: list[np.ndarray] | None = None) -> DataFrame:
+    """``BIN``: per bin of the keys' first ``bins`` bits those with at least ``least`` occurrences, as bits of a bitmap (by their
+    first PAIR_BITS bits), how often they occur together, and those with more than BUDGET. The keys are of all pairs or, if ``heavy`` is given, of its last
+    prefixes with one word more."""
+    budget = BUDGET
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(open_), return_counts=True)
+            first = np.flatnonzero(np.r_[True, np.diff(keys >> (KEY_BITS - bins)) > 0])
+            rows = [_zip(np.diff(keys[x:y], prepend=0), n[x:y]) for x, y in zip(first, np.r_[first[1:], len(keys)])]
+            return pa.RecordBatch.from_arrays([pa.array(keys[first] >> (KEY_BITS - bins), pa.int64()), pa.array(rows, pa.binary())], schema=arrow_schema(PAIR))
+
+        open_, size = [], 0
+        for _, _, hashes, got in _blocks(batches, bits.value, pairs and pairs.value):
+            if heavy is not None:
+                level, key = _routed(got, hashes, heavy)
+                got = key[level == len(heavy) + 2]
+            if len(got):
+                open_.append(got)
+                size += len(got)
+            if size >= CHUNK:
+                yield packed()
+                open_, size = [], 0
+        if size:
+            yield packed()
+
+    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        got = [_unzip(r) for r in pdf["rows"]]
+        keys, where = np.unique(np.concatenate([np.cumsum(k) for k, _ in got]), return_inverse=True)
+        n = np.bincount(where, np.concatenate([n for _, n in got])).astype(np.int64)
+        places = np.zeros(1 << max(0, PAIR_BITS - bins), dtype=bool)
+        places[(keys[n >= least] >> (KEY_BITS - PAIR_BITS)) & (len(places) - 1)] = True
+        return pd.DataFrame({"bin": [int(pdf["bin"].iloc[0])], "load": [int(n[n >= least].sum())],
+                             "bits": [zstandard.ZstdCompressor(level=3).compress(np.packbits(places).tobytes())], "heavy": [keys[n > budget].tolist()]})
+
+    return arrow_map(blocks.select("lang", "words", "seq"), send, PAIR).groupBy("bin").applyInPandas(count, BIN)
+
+
+PART = T.StructType([T.StructField("level", T.LongType()), T.StructField("group", T.LongType()), T.StructField("lang", T.StringType()),
+                     T.StructField("words", T.BinaryType()), T.StructField("rows", T.BinaryType())])
+
+
+def _parts(blocks: DataFrame, groups: int, bits, pairs, heavy: list[np.ndarray]) -> DataFrame:
+    """The suffixes by group (``PART``), equal ones of a task once with their number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_schema(PART)
-        for b in batches:
-            for i in range(b.num_rows):
-                s, names, tables = _block(b, i, levels)
-                level, group, _ = walk(names[s], tables)
-                at = np.flatnonzero((level > 0) & (group >= 0) & (s[1] > 0))
-                if not len(at):
-                    continue
-                at = at[np.lexsort((s[1, at], s[0, at], group[at], level[at]))]  # like suffixes side by side pack better
-                first = np.flatnonzero(np.r_[True, (group[at][1:] != group[at][:-1]) | (level[at][1:] != level[at][:-1])])
-                ends = np.r_[first[1:], len(at)]
-                packed = []
-                for x, y in zip(first, ends):
-                    part = s[:, at[x:y]]
-                    used = np.flatnonzero(np.bincount(part.ravel(), minlength=len(names)))
-                    small = np.zeros(len(names), dtype=np.int64)
-                    small[used] = np.arange(len(used))
-                    packed.append(_zip(names[used], small[part]))
-                cols = (level[at][first], group[at][first], [_field(b, "lang", i).as_py()] * len(first), packed)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
-
-    return arrow_map(coded, run, PART)
-
-
-def subtree(rows: np.ndarray, level: int, least: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        schema, open_ = arrow_schema(PART), {}
+
+        def close(lang: str) -> pa.RecordBatch:
+            words, pieces = open_.pop(lang)[:2]
+            names, rows = list(words), np.concatenate(pieces, axis=1)  # group, level, words
+            rows = rows[:, np.lexsort(rows[::-1])]  # like suffixes side by side pack better
+            first = np.flatnonzero(np.r_[True, (rows[:, 1:] != rows[:, :-1]).any(axis=0)])
+            n, rows = np.diff(np.r_[first, rows.shape[1]]), rows[:, first]
+            first = np.flatnonzero(np.r_[True, (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)])
+            held, packed = [], []
+            for x, y in zip(first, np.r_[first[1:], rows.shape[1]]):
+                used, small = np.unique(rows[2:, x:y], return_inverse=True)  # the break is always among them
+                held.append(zstandard.ZstdCompressor(level=3).compress(b" ".join(names[k] for k in used)))
+                packed.append(_zip(small, n[x:y]))
+            cols = (rows[1, first], rows[0, first], [lang] * len(first), held, packed)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+
+        for lang, words, hashes, s in _blocks(batches, bits.value, pairs.value):
+            if not s.shape[1]:
+                continue
+            level, key = _routed(s, hashes, heavy)
+            names, pieces, size = open_.get(lang) or ({b"": 0}, [], 0)
+            number = np.fromiter((names.setdefault(w, len(names)) for w in [b"", *words]), np.int32, len(words) + 1)
+            pieces.append(np.concatenate([(key % groups)[None].astype(np.int32), level[None].astype(np.int32), number[s]]))
+            open_[lang] = (names, pieces, size + s.shape[1])
+            if open_[lang][2] >= CHUNK:
+                yield close(lang)
+            if sum(x[2] for x in open_.values()) >= 2 * CHUNK:
+                yield close(max(open_, key=lambda k: open_[k][2]))
+        for lang in list(open_):
+            yield close(lang)
+
+    return arrow_map(blocks.select("lang", "words", "seq"), run, PART)
+
+
+def subtree(rows: np.ndarray, level: int, least: int, times: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Nodes deeper than ``level`` words with at least ``least`` leaves below, depth after depth:
-    (phrases, leaves, a suffix of each). ``rows`` (MAX_WORDS, n): all suffixes of the group's prefixes."""
+    (phrases, leaves, a suffix of each). ``rows`` (MAX_WORDS, n): all suffixes of the group's prefixes, each as often as ``times`` says (once)."""
     at = np.arange(rows.shape[1])
     node = np.zeros(len(at), dtype=np.int64)
     for depth in range(MAX_WORDS):
@@ -329,6 +325,8 @@ def subtree(rows: np.ndarray, level: int, least: int) -> Iterator[tuple[np.ndarr
         words, code = np.unique(rows[depth, at], return_inverse=True)
         key = node * len(words) + code
         _, where, child, leaves = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+        if times is not None:
+            leaves = np.bincount(child, times[at], len(leaves)).astype(np.int64)
         big = leaves >= least
         if depth >= level and big.any():
             shown = at[where[big]]
@@ -339,49 +337,67 @@ def subtree(rows: np.ndarray, level: int, least: int) -> Iterator[tuple[np.ndarr
             return
 
 
-COUNTED = T.StructType([T.StructField("lang", T.StringType()), T.StructField("phrase", T.ArrayType(T.LongType())), T.StructField("n", T.LongType())])
+COUNTED = T.StructType([T.StructField("lang", T.StringType()), T.StructField("phrase", T.ArrayType(T.BinaryType())), T.StructField("n", T.LongType())])
 
 
 def _group_counts(parts: DataFrame, least: int) -> DataFrame:
-    """Phrase counts of every group from its subtree (``COUNTED``). A group is about ``BUDGET`` suffixes."""
+    """Phrase counts of every group from its subtree (``COUNTED``), and what it has of the extended prefixes, which other
+    groups have, too. A group is about ``BUDGET`` suffixes."""
     ship(parts.sparkSession)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pieces = [names[codes].reshape(MAX_WORDS, -1) for names, codes in map(_unzip, pdf["rows"])]
-        owner = np.repeat(np.arange(len(pieces)), [p.shape[1] for p in pieces])
-        out = [(pdf["lang"].iloc[owner[s]], p, int(n)) for ps, ns, ss in subtree(np.concatenate(pieces, axis=1), int(pdf["level"].iloc[0]), least) for p, n, s in zip(ps, ns, ss)]
+        level, out = int(pdf["level"].iloc[0]), []
+        for lang, own in pdf.groupby("lang"):
+            words, pieces, times = {b"": 0}, [], []
+            for names, rows in zip(own["words"], own["rows"]):
+                names = zstandard.ZstdDecompressor().decompress(names).split(b" ")
+                codes, n = _unzip(rows)
+                number = np.fromiter((words.setdefault(w, len(words)) for w in names), np.int32, len(names))
+                pieces.append(number[codes].reshape(MAX_WORDS, -1))
+                times.append(n)
+            rows, times, names = np.concatenate(pieces, axis=1), np.concatenate(times), list(words)
+            found = [(ps, ns) for ps, ns, _ in subtree(rows, level - 1, least, times)]
+            for k in range(2, level):
+                ps, where = np.unique(rows[:k], axis=1, return_inverse=True)
+                ns = np.bincount(where.ravel(), times, ps.shape[1]).astype(np.int64)
+                whole = ps[-1] > 0
+                found.append((ps.T[whole], ns[whole]))
+            out += [(lang, [names[w] for w in p], int(n)) for ps, ns in found for p, n in zip(ps, ns)]
         return pd.DataFrame(out, columns=["lang", "phrase", "n"])
 
     return parts.groupBy("level", "group").applyInPandas(run, COUNTED)
 
 
-def phrase_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """All phrases of 1 to ``MAX_WORDS`` words with at least ``least`` occurrences: (lang, phrase as word numbers, n);
-    the words (lang, text, node); the totals (lang, total)."""
+def phrase_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST) -> tuple[DataFrame, DataFrame]:
+    """All phrases of 1 to ``MAX_WORDS`` words with at least ``least`` occurrences: (lang, phrase as an array of words, n);
+    the totals (lang, total)."""
     blocks, place = text_blocks(df, text_col, lang_col)
     totals = cut(blocks.groupBy("lang").agg(F.sum("n").alias("total")), "phrase-totals")
     entries = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
-    sums = entries.groupBy("lang", F.col("w.words").alias("text")).agg(F.sum("w.counts").alias("n")).filter(F.col("n") >= least)
-    words = _packed(sums, ["lang", "text"], "phrase-words", False)
-    coded = _coded(blocks, words)
+    words = cut(entries.groupBy("lang", F.col("w.words").alias("text")).agg(F.sum("w.counts").alias("n")).filter(F.col("n") >= least), "phrase-words")
+    share = df.sparkSession.sparkContext.broadcast
+    bits = share(_word_filter(words))
+    bins = min(PAIR_BITS, (int(totals.agg(F.sum("total")).first()[0] or 0) // BIN_ROWS).bit_length())
+    found, load, heavy = np.zeros(1 << max(0, PAIR_BITS - 3), dtype=np.uint8), 0, [[]]
+    for r in _key_counts(blocks, bins, least, bits).collect():
+        got = np.frombuffer(zstandard.ZstdDecompressor().decompress(r["bits"]), np.uint8)
+        if bins <= PAIR_BITS - 3:
+            found[r["bin"] * len(got):][:len(got)] = got
+        else:  # a byte holds several bins
+            width = 1 << (PAIR_BITS - bins)
+            found[r["bin"] * width >> 3] |= got[0] >> (r["bin"] * width & 7)
+        load += r["load"]
+        heavy[0] += r["heavy"]
+    pairs = share(found)
+    while len(heavy) < MAX_WORDS - 2 and heavy[-1]:
+        held = [np.array(h, dtype=np.int64) for h in heavy]
+        heavy.append([k for r in _key_counts(blocks, bins, least, bits, pairs, held).select("heavy").collect() for k in r["heavy"]])
+    parts = _parts(blocks, max(1, -(-load // BUDGET)), bits, pairs, [np.array(h, dtype=np.int64) for h in heavy if h])
+    sums = _group_counts(parts, least).groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    counts = cut(words.select("lang", F.array("text").alias("phrase"), "n").unionByName(sums)
+                 .select("lang", F.col("phrase").cast("array<string>").alias("phrase"), "n"), "phrase-counts")
     discard(df.sparkSession, place)
-    found = [words.select("lang", F.array("node").alias("phrase"), "n")]
-    heavy = words.filter(F.col("group") == HEAVY).select("lang", F.col("node").alias("from"), F.array("node").alias("phrase"))
-    levels = 1
-    while levels < MAX_WORDS and heavy.limit(1).count():
-        pairs = _pairs(coded, levels)
-        sums = pairs.groupBy(F.col("node").alias("from"), "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-        grown = _packed(sums, ["from", "word"], f"phrase-prefixes-{levels + 1}", levels + 1 == MAX_WORDS)
-        whole = grown.join(heavy, "from").select("lang", "node", F.concat("phrase", F.array("word")).alias("phrase"), "n", "group")
-        found.append(whole.select("lang", "phrase", "n"))
-        heavy = cut(whole.filter(F.col("group") == HEAVY).select("lang", F.col("node").alias("from"), "phrase"), "phrase-heavy")
-        levels += 1
-        coded = coded.join(_known(pairs, grown, levels), "block", "left")
-    found.append(_group_counts(_parts(coded, levels), least))
-    every = found[0]
-    for f in found[1:]:
-        every = every.unionByName(f)
-    return cut(every, "phrase-counts"), words.select("lang", "text", "node"), totals
+    return counts, totals
 
 
 def _part(first: Column, n: Column) -> Column:
@@ -401,24 +417,22 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     empty texts have no words; a NULL language is ``und``. Repeated rows count as often as they come. An empty
     table gives an empty result. Other columns are ignored. Texts are read whole, one at a time.
     """
-    counts, words, totals = phrase_counts(df, text_col, lang_col, least)
+    counts, totals = phrase_counts(df, text_col, lang_col, least)
     size = F.size("phrase")
     long = counts.filter(size > 1)
     cuts = long.select("*", F.explode(F.sequence(F.lit(1), size - 1)).alias("k"))
     cuts = cuts.select("lang", "phrase", F.col("n").alias("a"), "k", _part(F.lit(1), F.col("k")).alias("p"), _part(F.col("k") + 1, size - F.col("k")).alias("q"))
-    parts = counts.select("phrase", "n")
-    cuts = (cuts.join(parts.select(F.col("phrase").alias("p"), F.col("n").alias("l")), "p").join(parts.select(F.col("phrase").alias("q"), F.col("n").alias("r")), "q")
+    cuts = (cuts.join(counts.select("lang", F.col("phrase").alias("p"), F.col("n").alias("l")), ["lang", "p"])
+            .join(counts.select("lang", F.col("phrase").alias("q"), F.col("n").alias("r")), ["lang", "q"])
             .join(totals.withColumnRenamed("total", "n"), "lang"))
     cuts = cuts.select("lang", "phrase", "a", "n", "k", "l", "r", (F.lit(1000).cast("decimal(4,0)") * _exact("a") * _exact("n")).alias("x"), (_exact("l") * _exact("r")).alias("y"))
     best = cuts.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct(F.expr("x div y").alias("score"), "k", "l", "r")).alias("m"))
-    inner = long.filter(size > 2).select(F.explode(F.array(_part(F.lit(1), size - 1), _part(F.lit(2), size - 1))).alias("phrase"), F.col("n").alias("outer"))
-    inside = inner.groupBy("phrase").agg(F.max("outer").alias("outer"))
-    kept = best.join(inside, "phrase", "left").filter("outer is null or 100 * outer < 100 * a")
+    inner = long.filter(size > 2).select("lang", F.explode(F.array(_part(F.lit(1), size - 1), _part(F.lit(2), size - 1))).alias("phrase"), F.col("n").alias("outer"))
+    inside = inner.groupBy("lang", "phrase").agg(F.max("outer").alias("outer"))
+    kept = best.join(inside, ["lang", "phrase"], "left").filter("outer is null or 100 * outer < 100 * a")
     kept = cut(kept.select("lang", "phrase", "a", "n", "m.score", "m.l", "m.r"), "phrase-kept")
-    spelt = (kept.select("phrase", F.posexplode("phrase").alias("i", "node")).join(words.select("node", "text"), "node")
-             .groupBy("phrase").agg(F.sort_array(F.collect_list(F.struct("i", F.col("text").cast("string").alias("text")))).alias("w"))
-             .select("phrase", F.array_join(F.col("w.text"), " ").alias("text")))
-    shown = kept.join(spelt, "phrase").select("lang", F.col("text").alias("phrase"), "a", "l", "r", "n", "score").withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(64)))
+    shown = (kept.select("lang", F.array_join("phrase", " ").alias("phrase"), "a", "l", "r", "n", "score")
+             .withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(64))))
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     near = shown.withColumn("rank", F.row_number().over(W.partitionBy("lang", "part").orderBy(*order))).filter(F.col("rank") <= top)
     rank = F.row_number().over(W.partitionBy("lang").orderBy(*order)).cast("long")

@@ -62,6 +62,26 @@ def test_groups_blocks_and_heavy_prefixes_do_not_change_the_result(spark, monkey
     assert have(co.collocations(df, least=5, top=40)) == brute(rows, 5, 40)
 
 
+def test_frequent_words_in_rare_pairs_send_no_suffixes(spark, monkeypatch):
+    sent, counted = [], co._group_counts
+
+    def seen(parts, least):
+        sent.append(parts.count())
+        return counted(parts, least)
+
+    monkeypatch.setattr(co, "_group_counts", seen)
+    rows = [(f"w{i} w{j}.", "en") for i in range(30) for j in range(30)]
+    assert co.collocations(spark.createDataFrame(rows, "text string, lang string"), least=5, top=40).collect() == []
+    rows += [("w1 w2 w3", "en"), ("w1 w2 w3", "fr")] * 6
+    assert have(co.collocations(spark.createDataFrame(rows, "text string, lang string"), least=5, top=40)) == brute(rows, 5, 40)
+    assert sent[0] == 0 and sent[1] > 0
+
+
+def test_suffixes_end_before_a_rare_pair():
+    g = np.array([3, 4, 5, 0, 6], dtype=np.int64)
+    assert co.suffixes(g, np.array([True, False, True, True, True]))[:, :3].T.tolist() == [[3, 4, 0, 0, 0], [4, 0, 0, 0, 0], [5, 0, 0, 0, 0]]
+
+
 def test_suffixes_and_subtree():
     g = np.array([3, 4, 0, 3, 4, 3, 4, 5], dtype=np.int64)
     s = co.suffixes(g)
