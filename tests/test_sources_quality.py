@@ -80,6 +80,37 @@ def test_uniqueness_checks_shuffle_a_hash_and_not_the_values(spark):
     assert any("repeated-hashes" in f for f in got.inputFiles())   # only values of these are grouped themselves
 
 
+def test_checks_of_landed_text_read_it_once(spark, tmp_path):
+    odd = [(1, "a", None), (1, None, "x"), (2, None, "x"), (None, "1", "y"), (None, None, None)]
+    df = spark.createDataFrame(odd, "k int, s string, v string")
+    for nn, un in ((["k", "s", "v"], ["k", "s", "v"]), (["v", "k"], []), (["s"], ["v"])):
+        for part in (df, df.where("k = 2"), df.where("false")):
+            assert rows(Q.declared_checks_once(part, nn, un)) == rows(Q.declared_checks(part, nn, un))
+    path = SL.write_landing(df, str(tmp_path / "landed"))
+    got = Q.declared_checks_once(SL.read_landing(spark, path, ["k", "s", "v"]), ["k", "s"], ["k", "v"])
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+
+
+def test_the_staged_models_are_checked_in_one_scan_each(spark):
+    from ledgerstar.plans import registry as REG
+
+    got = REG.QUERIES["dq_declared_staging"](spark, "/root/testdata/sf0.001")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == len(REG._staged_checks())
+
+
+def test_integers_of_landed_text_round_as_ever(spark):
+    from ledgerstar.functions.columns import to_int_rounded
+    from ledgerstar.operators.staging import Col, apply_spec
+
+    texts = ["0", "7", "-7", "+7", "007", " 7 ", "12.49996", "12.5", "-12.5", "1e3", "2147483647", "-2147483648", "3.", ".6", "-0", None]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    assert apply_spec(df, [Col("c", "c", "i")]).collect() == df.select(to_int_rounded("c").alias("c")).collect()
+    wide = spark.createDataFrame([(12, 12.5)], "a int, b double").selectExpr("a", "b", "cast(b as decimal(10, 2)) as c")
+    assert tuple(apply_spec(wide, [Col(c, c, "i") for c in "abc"]).first()) == (12, 13, 13)
+    with pytest.raises(Exception):
+        apply_spec(spark.createDataFrame([("2147483648",)], "c string"), [Col("c", "c", "i")]).collect()
+
+
 def test_net_gap_and_mutation(spark):
     header = spark.createDataFrame([(1, 10.0), (2, 5.0)], "o int, sub double")
     lines = spark.createDataFrame([(1, 4.0), (1, 6.0), (2, 5.0)], "o int, net double")
