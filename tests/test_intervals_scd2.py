@@ -27,6 +27,19 @@ def test_closed_intervals_fallback(spark):
     assert len(got) == 5
 
 
+def test_closed_intervals_broadcast_no_history(spark):
+    """The history is exploded, so its estimate is far below its size: the fallback join takes each key once, by a shuffle."""
+    few = spark.createDataFrame([(1,), (1,), (None,)], "k int")
+    hist = few.select("k", F.explode(F.sequence(F.lit(2020), F.lit(2026))).alias("y")).select(
+        "k", F.make_date("y", F.lit(1), F.lit(1)).alias("start_date"), F.lit(None).cast("date").alias("end_date"), F.lit(5).alias("v"))
+    cur = spark.createDataFrame([(1, 9), (2, 7), (2, 7), (None, 8)], "k int, v int")
+    iv = closed_intervals(hist, cur, "k", "v", flag="fb")
+    got = rows(iv.where("fb"), "k", "v")
+    assert got == [(2, 7), (2, 7), (None, 8)] and iv.where("not fb").count() == 21
+    plan = iv._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "LeftAnti" in plan and "HashAggregate" in plan
+
+
 def test_asof_join_edges(spark):
     cur = spark.createDataFrame([(1, 99)], "k int, v int")
     iv = closed_intervals(_history(spark), cur, "k", "v", flag="fb")
