@@ -94,6 +94,20 @@ def test_small_dimensions_broadcast_and_pages_read_the_stored_fact(spark):
     assert paths and not any(os.path.exists(x.replace("file:", "")) for x in paths)
 
 
+def test_keys_of_a_compressed_layer_are_not_taken_for_a_small_table(spark, tmp_path):
+    """Three million keys in a file of a few MB: no broadcast through the driver; a small layer still is one."""
+    from ledgerstar.plans.warehouse import Warehouse
+
+    from conftest import SF_SMALL
+    for name, n in (("many", 3_000_000), ("few", 1_000)):
+        spark.range(n).select("id", F.lit("the same text in all rows").alias("c")).coalesce(1).write.option("compression", "zstd").parquet(f"{tmp_path}/{name}")
+    Warehouse(spark, SF_SMALL)
+    facts = spark.range(4_000_000).select((F.col("id") % 7).alias("k"))
+    for name, small in (("many", False), ("few", True)):
+        keys = spark.read.parquet(f"{tmp_path}/{name}").select("id")
+        assert ("BroadcastHashJoin" in _plan(facts.join(keys, facts.k == keys.id, "left"))) is small, name
+
+
 def test_keep_runs_the_jobs_of_a_plain_write(spark):
     from ledgerstar.plans.warehouse import Warehouse
     from ledgerstar.session import scratch_path
